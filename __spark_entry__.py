@@ -281,8 +281,8 @@ def q_step_windows(spark, sf):
 def q_loss_windows(spark, sf):
     w = _windows(spark, sf)
     return w.select(
-        "log_window", "epoch", "end_step", "global_step", F.round("mean_loss", 6).alias("mean_loss"),
-        "micro_steps", "spans_epoch",
+        "log_window", "epoch", "end_step", "global_step", F.col("loss_sum").cast("string").alias("loss_sum"),
+        "micro_steps", "n_ranks", "spans_epoch",
     )
 
 

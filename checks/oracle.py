@@ -204,7 +204,7 @@ def windows_cte() -> str:
     tps = P.TOKENS_PER_MICRO_STEP
     return f""",
 pr AS (
-  SELECT log_window, rank, sum(loss) AS loss_sum, count(*) AS micro_steps,
+  SELECT log_window, rank, sum(CAST(loss AS DECIMAL(38,12))) AS loss_sum, count(*) AS micro_steps,
          max(opt_step) FILTER (WHERE is_sync) AS last_sync, min(epoch) AS first_epoch,
          arg_max(epoch, epoch * 100000000 + step) AS last_epoch,
          arg_max(step, epoch * 100000000 + step) AS last_step,
@@ -221,7 +221,7 @@ starts AS (SELECT epoch, epoch_start FROM ep WHERE rank = 0),
 win AS (
   SELECT t.log_window, m.epoch, m.end_step, m.main_steps, m.spans_epoch, m.log_ts, t.loss_sum,
          s.epoch_start, pv.log_ts AS prev_ts,
-         t.loss_sum / m.main_steps / (SELECT n FROM nr) AS mean_loss
+         CAST(t.loss_sum AS DOUBLE) / m.main_steps / (SELECT n FROM nr) AS mean_loss
   FROM tot t JOIN main m USING (log_window)
   JOIN starts s ON s.epoch = m.epoch
   LEFT JOIN main pv ON pv.log_window + 1 = t.log_window
@@ -388,7 +388,8 @@ SELECT rank, epoch, step, opt_step, is_sync, log_window FROM steps_w"""
     lw = log_ctes() + windows_cte()
     q["loss_windows"] = lw + """
 SELECT log_window, epoch, end_step, CAST((log_window + 1) * """ + str(P.UPDATE_FREQ) + """ AS BIGINT) AS global_step,
-       round(mean_loss, 6) AS mean_loss, CAST(main_steps AS BIGINT) AS micro_steps, spans_epoch
+       CAST(CAST(loss_sum AS DECIMAL(38,12)) AS VARCHAR) AS loss_sum, CAST(main_steps AS BIGINT) AS micro_steps,
+       CAST((SELECT n FROM nr) AS BIGINT) AS n_ranks, spans_epoch
 FROM win3"""
     q["perplexity"] = lw + f"""
 SELECT log_window, round(exp(least(mean_loss, {P.PPL_CLAMP})), 6) AS perplexity FROM win3"""

@@ -25,6 +25,9 @@ PERPLEXITY_CLAMP = 20.0
 PROGRESS_EVERY = 50
 # ---------------------------------------------------------------------------
 
+#: Loss sums are accumulated exactly in this type.
+LOSS_DECIMAL = "decimal(38,12)"
+
 
 def _check(accum: int, update_freq: int | None = None) -> None:
     if accum <= 0:
@@ -88,8 +91,9 @@ def loss_windows(
     n_ranks_row = log.select(F.countDistinct("rank").alias("n")).first()
     n_ranks = int(n_ranks_row["n"] or 1)
 
+    # Exact decimal sums: the window mean does not depend on partitioning.
     per_rank = steps.groupBy("log_window", "rank").agg(
-        F.sum("loss").alias("loss_sum"),
+        F.sum(F.col("loss").cast(LOSS_DECIMAL)).alias("loss_sum"),
         F.count("*").alias("micro_steps"),
         F.max(F.struct("epoch", "step", "ts")).alias("last"),
         F.min("epoch").alias("first_epoch"),
@@ -117,12 +121,14 @@ def loss_windows(
     win = win.join(broadcast_if_small(starts), "epoch").join(prev, "log_window", "left")
     since = F.greatest(F.coalesce(F.col("prev_ts"), F.col("epoch_start")), F.col("epoch_start"))
     elapsed = F.timestamp_diff("MICROSECOND", since, F.col("log_ts")) / 1e6
-    mean_loss = F.col("loss_sum") / F.col("main_steps") / F.lit(n_ranks)
+    mean_loss = (F.col("loss_sum") / F.col("main_steps") / F.lit(n_ranks)).cast("double")
     return win.select(
         "log_window",
         "epoch",
         "end_step",
         ((F.col("log_window") + 1) * update_freq).cast("long").alias("global_step"),
+        F.col("loss_sum").cast(LOSS_DECIMAL).alias("loss_sum"),
+        F.lit(n_ranks).cast("long").alias("n_ranks"),
         mean_loss.alias("mean_loss"),
         F.exp(F.least(mean_loss, F.lit(PERPLEXITY_CLAMP))).alias("perplexity"),
         elapsed.alias("elapsed_sec"),
