@@ -177,6 +177,22 @@ def q_tokenize_cp(spark, sf):
     )
 
 
+def q_tokenize_bpe(spark, sf):
+    """A1 through the Python tokenizer path (mapInPandas, broadcast JSON)."""
+    from shardloom.functions.bytelevel import byte_level_json
+    from shardloom.functions.tokenizer import JsonTokenizer
+
+    tok = materialized_tokens(_corpus(spark, sf), SPEC, JsonTokenizer(byte_level_json()))
+    return tok.select(
+        "doc_id",
+        "shard",
+        F.col("length").cast("long").alias("length"),
+        F.size(F.filter("labels", lambda x: x == -100)).cast("long").alias("n_src"),
+        ids_digest("input_ids").alias("ids_md5"),
+        ids_digest("labels").alias("labels_md5"),
+    )
+
+
 def q_label_mask(spark, sf):
     tok = _tokens(spark, sf)
     return tok.select(

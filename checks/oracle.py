@@ -113,6 +113,33 @@ tokens AS (
   FROM sides {cap})"""
 
 
+MARKERS = ("<|begin_of_text|>", "<|start_header_id|>", "<|end_header_id|>", "<|eot_id|>", "<|end_of_text|>")
+PUA = 57344  # private-use code points stand in for the markers
+
+
+def utf8_ids(col: str) -> str:
+    """Byte-level ids: UTF-8 bytes of each code point; markers -> 256 + k."""
+    for k, m in enumerate(MARKERS):
+        col = f"replace({col}, '{m}', chr({PUA + k}))"
+    u = "unicode(c)"
+    return f"""flatten(list_transform(string_split({col}, ''), lambda c: CASE
+        WHEN {u} BETWEEN {PUA} AND {PUA + len(MARKERS) - 1} THEN [{u} - {PUA} + 256]
+        WHEN {u} < 128 THEN [{u}]
+        WHEN {u} < 2048 THEN [192 + ({u} >> 6), 128 + ({u} & 63)]
+        WHEN {u} < 65536 THEN [224 + ({u} >> 12), 128 + (({u} >> 6) & 63), 128 + ({u} & 63)]
+        ELSE [240 + ({u} >> 18), 128 + (({u} >> 12) & 63), 128 + (({u} >> 6) & 63), 128 + ({u} & 63)] END))"""
+
+
+def bytelevel_tokens_cte(max_len: int | None = P.MAX_LEN) -> str:
+    cap = f"WHERE len(src) + len(tgt) <= {max_len}" if max_len is not None else ""
+    return f"""bsides AS (
+  SELECT doc_id, shard, {utf8_ids('inputs')} AS src, {utf8_ids('outputs')} AS tgt FROM prompts),
+btokens AS (
+  SELECT doc_id, shard, src, list_concat(src, tgt) AS input_ids,
+         list_concat(list_transform(src, lambda x: -100), tgt) AS labels, len(src) + len(tgt) AS length
+  FROM bsides {cap})"""
+
+
 def flat_cte() -> str:
     return """flat0 AS (
   SELECT shard, doc_id, unnest(generate_series(1, len(input_ids))) AS p,
@@ -296,6 +323,11 @@ SELECT doc_id, shard, CAST(len(input_ids) AS BIGINT) AS length,
        md5(array_to_string(input_ids, ',')) AS ids_md5
 FROM tokens"""
 
+    q["tokenize_bpe"] = base_ctes(tokens=False) + ",\n" + bytelevel_tokens_cte() + """
+SELECT doc_id, shard, CAST(length AS BIGINT) AS length, CAST(len(src) AS BIGINT) AS n_src,
+       md5(array_to_string(input_ids, ',')) AS ids_md5, md5(array_to_string(labels, ',')) AS labels_md5
+FROM btokens"""
+
     q["label_mask"] = base_ctes() + """
 SELECT doc_id, shard, CAST(len(list_filter(labels, lambda x: x = -100)) AS BIGINT) AS n_masked,
        md5(array_to_string(labels, ',')) AS labels_md5

@@ -13,6 +13,7 @@ tokens, then concatenated.  Two tokenizers:
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -43,23 +44,24 @@ class JsonTokenizer:
             return cls(fh.read(), **kw)
 
 
-_WORKER_CACHE: dict[int, object] = {}
+_WORKER_CACHE: dict[str, object] = {}
 
 
-def _load(bc_id: int, text: str):
-    tok = _WORKER_CACHE.get(bc_id)
+def _load(key: str, bc):
+    """One parsed tokenizer per Python worker process and tokenizer."""
+    tok = _WORKER_CACHE.get(key)
     if tok is None:
         from tokenizers import Tokenizer
 
-        tok = Tokenizer.from_str(text)
-        _WORKER_CACHE[bc_id] = tok
+        tok = Tokenizer.from_str(bc.value)
+        _WORKER_CACHE[key] = tok
     return tok
 
 
 def _encode_sides(df: DataFrame, tokenizer: JsonTokenizer, keys: Sequence[str], src: str, tgt: str) -> DataFrame:
     spark = df.sparkSession
     bc = spark.sparkContext.broadcast(tokenizer.json_text)
-    bc_id = bc.id
+    key = hashlib.sha1(tokenizer.json_text.encode("utf-8")).hexdigest()
     special = tokenizer.add_special_tokens
     key_fields = [df.schema[k] for k in keys]
     schema = T.StructType(
@@ -73,7 +75,7 @@ def _encode_sides(df: DataFrame, tokenizer: JsonTokenizer, keys: Sequence[str],
     def encode(batches):
         import pandas as pd
 
-        tok = _load(bc_id, bc.value)
+        tok = _load(key, bc)
         for pdf in batches:
             s = tok.encode_batch(pdf[src].tolist(), add_special_tokens=special)
             t = tok.encode_batch(pdf[tgt].tolist(), add_special_tokens=special)
