@@ -32,7 +32,7 @@ from shardloom.operators.windows import (  # noqa: E402
     split_by_dates,
 )
 from shardloom.plans.build import BuildSpec, materialized_tokens, packed_shards, prompt_table, token_table  # noqa: E402
-from shardloom.session import ensure_checkpoint_dir, materialize  # noqa: E402
+from shardloom.session import ensure_checkpoint_dir, materialize, scratch_path  # noqa: E402
 from shardloom.sources.tables import corpus_view, run_config, train_log_view  # noqa: E402
 
 SPEC = BuildSpec(
@@ -228,6 +228,31 @@ def q_rewindow(spark, sf):
     return _digest_blocks(_chunks(spark, sf))
 
 
+def _npy_export(spark, sf):
+    """Packed shards exported as flat ``.npy`` parts in the shared folder."""
+    from shardloom.sources.npy import write_npy_shards
+
+    path = scratch_path(spark, "npy")
+    write_npy_shards(_packed(spark, sf), path)
+    return path
+
+
+def q_npy_read(spark, sf):
+    """The array-shard reader cuts CHUNK windows per shard."""
+    from shardloom.sources.npy import read_npy_shards
+
+    return _digest_blocks(read_npy_shards(spark, _npy_export(spark, sf), P.CHUNK))
+
+
+def q_npy_manifest(spark, sf):
+    """S4 + S5 on the array files: header-sized token counts per shard."""
+    from shardloom.sources.npy import npy_listing
+
+    listing = npy_listing(spark, _npy_export(spark, sf))
+    per_file = feed.npy_manifest(listing).join(listing.select("path", "shard"), "path")
+    return per_file.groupBy("shard").agg(F.sum("n_tokens").cast("long").alias("n_tokens"))
+
+
 def q_manifest(spark, sf):
     return _manifest(spark, sf)
 

@@ -355,6 +355,9 @@ SELECT shard, CAST(gp AS BIGINT) AS pos, doc_id, CAST(tid AS INTEGER) AS input_i
     q["shard_chunks"] = base_ctes(flat=True) + "\n" + blocks_sql(P.CHUNK, keep_tail=False)
     q["rewindow"] = q["shard_chunks"]
 
+    q["npy_read"] = q["shard_chunks"]
+    q["npy_manifest"] = base_ctes() + ",\n" + manifest_cte() + "\nSELECT shard, n_tokens FROM manifest"
+
     q["manifest"] = base_ctes() + ",\n" + manifest_cte() + "\nSELECT * FROM manifest"
 
     q["corpus_summary"] = base_ctes() + ",\n" + manifest_cte() + f"""
