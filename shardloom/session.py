@@ -32,6 +32,7 @@ def get_spark(
         # Token rows are wide (up to ~64k ids x 2 arrays): keep Arrow batches small.
         .config("spark.sql.execution.arrow.maxRecordsPerBatch", "256")
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        .config("spark.sql.parquet.columnarReaderBatchSize", str(WIDE_ROW_BATCH))
         .config("spark.ui.enabled", "false")
     )
     if shuffle_partitions:
@@ -41,6 +42,20 @@ def get_spark(
     return spark
 
 
+#: Parquet reader batch (rows) for token tables: a row holds up to ~64k ids in
+#: two arrays (~0.5 MB), so Spark's default 4,096-row batch could need ~2 GB
+#: per task.  256 rows keep a batch near 128 MB in the worst case.
+WIDE_ROW_BATCH = 256
+_DEFAULT_READER_BATCH = "4096"
+
+
+def tune_for_wide_rows(spark: SparkSession) -> None:
+    """Lower the Parquet reader batch unless the user already chose one."""
+    key = "spark.sql.parquet.columnarReaderBatchSize"
+    if spark.conf.get(key, _DEFAULT_READER_BATCH) == _DEFAULT_READER_BATCH:
+        spark.conf.set(key, str(WIDE_ROW_BATCH))
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint folder, setting one only if unset."""
     sc = spark.sparkContext
@@ -70,6 +85,7 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     tokenisation) and keeps column pruning for later narrow projections.
     """
     spark = df.sparkSession
+    tune_for_wide_rows(spark)
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
