@@ -337,6 +337,25 @@ def q_throughput(spark, sf):
     )
 
 
+def q_stream_loss_windows(spark, sf):
+    """G5/G9 online: the log arrives as a file stream; windows are emitted
+    by a stateful operator as soon as they are full."""
+    from shardloom.streaming.loss_windows import run_to_table, stream_loss_windows
+
+    log = _log(spark, sf)
+    src = scratch_path(spark, "log-stream")
+    log.repartition(6).write.parquet(src)
+    dims = log.agg((F.max("step") + 1).alias("e"), (F.max("epoch") + 1).alias("n"), F.countDistinct("rank").alias("r")).first()
+    stream = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 2).parquet(src)
+    out = stream_loss_windows(
+        stream, steps_per_epoch=int(dims.e), n_epochs=int(dims.n), accum=P.ACCUM, update_freq=P.UPDATE_FREQ, n_ranks=int(dims.r)
+    )
+    res = run_to_table(out, scratch_path(spark, "log-windows"), scratch_path(spark, "log-windows-ckpt"))
+    return res.select(
+        "log_window", "epoch", "end_step", "global_step", "loss_sum", "micro_steps", "n_ranks", "spans_epoch"
+    )
+
+
 def q_progress(spark, sf):
     log = _log(spark, sf)
     loader_len = log.agg(F.max("step") + 1).first()[0]
