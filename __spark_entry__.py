@@ -253,6 +253,18 @@ def q_npy_manifest(spark, sf):
     return per_file.groupBy("shard").agg(F.sum("n_tokens").cast("long").alias("n_tokens"))
 
 
+def q_parquet_shards(spark, sf):
+    """S7 + S4: shards written as Parquet partitioned by shard, discovered
+    from the folders and summarised from the stored per-block counts."""
+    from shardloom.plans.build import build_shards
+
+    path = scratch_path(spark, "parquet-shards")
+    stored = build_shards(_corpus(spark, sf), SPEC, path)
+    man = feed.shard_manifest(stored.select("shard", "n_tokens"), P.CHUNK, labels=None)
+    lab = feed.shard_manifest(stored.select("shard", F.col("labels").alias("input_ids")), labels=None)
+    return man.join(lab.withColumnRenamed("n_tokens", "n_labels"), "shard").select("shard", "n_tokens", "n_labels", "n_chunks")
+
+
 def q_manifest(spark, sf):
     return _manifest(spark, sf)
 

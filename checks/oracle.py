@@ -356,6 +356,7 @@ SELECT shard, CAST(gp AS BIGINT) AS pos, doc_id, CAST(tid AS INTEGER) AS input_i
     q["rewindow"] = q["shard_chunks"]
 
     q["npy_read"] = q["shard_chunks"]
+    q["parquet_shards"] = base_ctes() + ",\n" + manifest_cte() + "\nSELECT shard, n_tokens, n_labels, n_chunks FROM manifest"
     q["npy_manifest"] = base_ctes() + ",\n" + manifest_cte() + "\nSELECT shard, n_tokens FROM manifest"
 
     q["manifest"] = base_ctes() + ",\n" + manifest_cte() + "\nSELECT * FROM manifest"
