@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shardloom.functions.tokens import code_points, mask_labels
+from shardloom.session import tune_for_wide_rows
 
 
 class CodePointTokenizer:
@@ -60,6 +61,7 @@ def _load(key: str, bc):
 
 def _encode_sides(df: DataFrame, tokenizer: JsonTokenizer, keys: Sequence[str], src: str, tgt: str) -> DataFrame:
     spark = df.sparkSession
+    tune_for_wide_rows(spark)
     bc = spark.sparkContext.broadcast(tokenizer.json_text)
     key = hashlib.sha1(tokenizer.json_text.encode("utf-8")).hexdigest()
     special = tokenizer.add_special_tokens

@@ -62,16 +62,20 @@ def token_table(corpus: DataFrame, spec: BuildSpec, tokenizer=None, *, max_len="
     return tokenize(prompts, tokenizer or CodePointTokenizer(), keys=("doc_id", "shard"), max_len=cap)
 
 
-def materialized_tokens(corpus: DataFrame, spec: BuildSpec, tokenizer=None) -> DataFrame:
-    """Token table written once to the shared folder.
+def spread_if_narrow(df: DataFrame, min_parts: int | None = None) -> DataFrame:
+    """Repartition only when the scan has too few partitions to use the
+    cluster (e.g. one-row-group files).  A large corpus is split by the file
+    source already; shuffling it here would move all of its text."""
+    spark = df.sparkSession
+    want = int(min_parts or spark.sparkContext.defaultParallelism)
+    have = df.rdd.getNumPartitions()
+    return df.repartition(want, "doc_id") if have < want else df
+
 
-    The driver tables have one row group per file, so the scan is a single
-    task: spread the rows before tokenising.
-    """
-    spark = corpus.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    spread = corpus.repartition(n, "doc_id")
-    return materialize(token_table(spread, spec, tokenizer), "tokens")
+def materialized_tokens(corpus: DataFrame, spec: BuildSpec, tokenizer=None) -> DataFrame:
+    """Token table written once to the shared folder, so the two reads of
+    packing (narrow offsets, wide payload) do not re-tokenise."""
+    return materialize(token_table(spread_if_narrow(corpus), spec, tokenizer), "tokens")
 
 
 def packed_shards(tokens: DataFrame, spec: BuildSpec, *, keep_tail: bool = True) -> DataFrame:
@@ -83,9 +87,12 @@ def packed_shards(tokens: DataFrame, spec: BuildSpec, *, keep_tail: bool = True)
 def write_shards(blocks: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Parquet partitioned by shard; dynamic overwrite makes a window
     re-runnable without touching the others."""
+    n = int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     (
         blocks.withColumn("n_tokens", F.size("input_ids"))
-        .repartition("shard", "chunk")
+        # Contiguous (shard, chunk) ranges: about one file per task, and a
+        # hot shard is still split over many tasks.
+        .repartitionByRange(n, "shard", "chunk")
         .sortWithinPartitions("shard", "chunk")
         .write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")

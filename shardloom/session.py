@@ -49,11 +49,17 @@ WIDE_ROW_BATCH = 256
 _DEFAULT_READER_BATCH = "4096"
 
 
+_DEFAULT_ARROW_BATCH = "10000"
+
+
 def tune_for_wide_rows(spark: SparkSession) -> None:
-    """Lower the Parquet reader batch unless the user already chose one."""
-    key = "spark.sql.parquet.columnarReaderBatchSize"
-    if spark.conf.get(key, _DEFAULT_READER_BATCH) == _DEFAULT_READER_BATCH:
-        spark.conf.set(key, str(WIDE_ROW_BATCH))
+    """Lower the Parquet reader and Arrow batch rows unless the user chose them."""
+    for key, default in (
+        ("spark.sql.parquet.columnarReaderBatchSize", _DEFAULT_READER_BATCH),
+        ("spark.sql.execution.arrow.maxRecordsPerBatch", _DEFAULT_ARROW_BATCH),
+    ):
+        if spark.conf.get(key, default) == default:
+            spark.conf.set(key, str(WIDE_ROW_BATCH))
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
