@@ -71,7 +71,7 @@ def _packed(spark, sf):
 
 def _chunks(spark, sf):
     """Read-time windows of CHUNK tokens cut from the packed shards."""
-    return packing.cut_windows(_packed(spark, sf), P.CHUNK)
+    return packing.cut_windows(_packed(spark, sf), P.CHUNK, block_size=P.BLOCK)
 
 
 def _manifest(spark, sf, packed=None):
@@ -80,7 +80,7 @@ def _manifest(spark, sf, packed=None):
 
 def _samples(spark, sf):
     packed = _packed(spark, sf)
-    chunks = packing.cut_windows(packed, P.CHUNK)
+    chunks = packing.cut_windows(packed, P.CHUNK, block_size=P.BLOCK)
     man = _manifest(spark, sf, packed)
     return feed.feed_samples(
         chunks, man, num_workers=P.WORKERS, shuffle_shards=True, shuffle_chunks=True, seed=P.SEED, epoch=P.EPOCH

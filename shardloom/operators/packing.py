@@ -72,8 +72,13 @@ def pack_blocks(
     offs = with_offsets(tok, group_cols, order_cols, length, _OFF).drop(length)
     payload = [ids] + ([labels] if labels else [])
     rows = tok.select(*group_cols, *order_cols, length, *payload).join(offs, group_cols + order_cols)
-    rows = rows.where(F.col(length) > 0)
+    return _gather_blocks(rows, group_cols, B, ids=ids, labels=labels, length=length, keep_tail=keep_tail, chunk_col=chunk_col)
+
 
+def _gather_blocks(rows, group_cols, B, *, ids, labels, length, keep_tail, chunk_col):
+    """Rows with a stream offset (``_OFF``) and a length -> blocks of ``B``."""
+    payload = [ids] + ([labels] if labels else [])
+    rows = rows.where(F.col(length) > 0)
     off, n = _bq(_OFF), _bq(length)
     frag = rows.select(
         *group_cols,
@@ -86,8 +91,7 @@ def pack_blocks(
     hi = F.least(F.col(_OFF) + F.col(length), (F.col(chunk_col) + 1) * B)
     start = (lo - F.col(_OFF) + 1).cast("int")
     cnt = (hi - lo).cast("int")
-    piece = [lo.alias("pos")]
-    piece.append(F.slice(ids, start, cnt).alias("ids"))
+    piece = [lo.alias("pos"), F.slice(ids, start, cnt).alias("ids")]
     if labels:
         piece.append(F.slice(labels, start, cnt).alias("labels"))
 
@@ -111,12 +115,30 @@ def cut_windows(
     order_col: str = "chunk",
     ids: str = "input_ids",
     labels: str | None = "labels",
+    block_size: int | None = None,
 ) -> DataFrame:
     """Re-cut a packed table (tail kept) into ``chunk_size`` windows,
     dropping each group's tail.  The read-time window size is independent of
-    the write-time block size."""
-    return pack_blocks(
-        shards, group_cols, [order_col], chunk_size, ids=ids, labels=labels, length=None, keep_tail=False
+    the write-time block size.
+
+    With ``block_size`` (a table written by ``pack_blocks``: every block but a
+    group's last is full) each block's stream offset is ``chunk * block_size``
+    and no running total or join is needed - one shuffle of the payload.
+    """
+    group_cols = list(group_cols)
+    if block_size is None:
+        return pack_blocks(
+            shards, group_cols, [order_col], chunk_size, ids=ids, labels=labels, length=None, keep_tail=False
+        )
+    payload = [ids] + ([labels] if labels else [])
+    rows = shards.select(
+        *group_cols,
+        (F.col(order_col).cast("long") * int(block_size)).alias(_OFF),
+        F.size(ids).alias("_sl_len"),
+        *payload,
+    )
+    return _gather_blocks(
+        rows, group_cols, int(chunk_size), ids=ids, labels=labels, length="_sl_len", keep_tail=False, chunk_col=order_col
     )
 
 

@@ -26,6 +26,7 @@ class FeedSpec:
     epoch: int = 0
     demo_shards: int | None = None  # first N shards by name (demo mode: 2)
     world_size: int | None = None
+    block_size: int | None = None  # write-time block of the stored shards, if known
 
 
 def read_parquet_shards(spark: SparkSession, path: str) -> DataFrame:
@@ -36,7 +37,7 @@ def read_parquet_shards(spark: SparkSession, path: str) -> DataFrame:
 def feed_batches(shards: DataFrame, spec: FeedSpec) -> DataFrame:
     """Stacked batches (worker, batch_id, n_samples, input_ids, labels, attention_mask[, rank])."""
     man = feed.shard_manifest(shards, spec.chunk_size)
-    chunks = cut_windows(shards, spec.chunk_size)
+    chunks = cut_windows(shards, spec.chunk_size, block_size=spec.block_size)
     samples = feed.feed_samples(
         chunks,
         man,

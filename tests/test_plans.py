@@ -23,7 +23,7 @@ def digests(batches):
 def test_parquet_and_npy_feeds_agree(spark, tmp_path):
     stored = build_shards(corpus_view(spark, SF_SMALL), E.SPEC, str(tmp_path / "pq"))
     assert set(stored.columns) >= {"shard", "chunk", "input_ids", "labels", "n_tokens"}
-    spec = FeedSpec(chunk_size=1000, batch_size=3, num_workers=3, shuffle_chunks=True, world_size=2)
+    spec = FeedSpec(chunk_size=1000, batch_size=3, num_workers=3, shuffle_chunks=True, world_size=2, block_size=E.SPEC.block_size)
     from_pq = feed_batches(stored, spec)
     write_npy_shards(stored.select("shard", "chunk", "input_ids", "labels"), str(tmp_path / "npy"))
     from_npy = feed_from_npy(spark, str(tmp_path / "npy"), spec)

@@ -112,13 +112,19 @@ def test_pack_random_property_and_repartition_invariance(spark):
         assert all(lab == i or lab == -100 for i, lab in zip(ids, labs))
 
 
-def test_rewindow_equals_direct_cut(spark):
+def test_rewindow_equals_direct_cut(spark, tmp_path):
     rng = random.Random(11)
     rows = tok_rows({"x": [rng.randint(1, 50) for _ in range(40)], "y": [rng.randint(1, 50) for _ in range(3)]})
     df = spark.createDataFrame(rows, TOK_SCHEMA)
     packed = pack_blocks(df, ["shard"], ["doc_id"], 16, keep_tail=True)
     re_cut = {(r.shard, r.chunk): (list(r.input_ids), list(r.labels)) for r in cut_windows(packed, 24).collect()}
     assert re_cut == python_pack(rows, 24)
+    packed.write.parquet(str(tmp_path / "packed"))
+    stored = spark.read.parquet(str(tmp_path / "packed"))
+    regular = cut_windows(stored, 24, block_size=16)
+    assert {(r.shard, r.chunk): (list(r.input_ids), list(r.labels)) for r in regular.collect()} == python_pack(rows, 24)
+    plan = regular._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "Join" not in plan
 
 
 def test_flatten_tokens_positions(spark):
