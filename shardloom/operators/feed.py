@@ -82,14 +82,26 @@ def order_shards(manifest: DataFrame, *, shuffle: bool = True, seed: int = 42, e
 
 
 def order_chunks(
-    chunks: DataFrame, *, shuffle: bool = False, seed: int = 42, epoch: int = 0
+    chunks: DataFrame,
+    *,
+    shuffle: bool = False,
+    seed: int = 42,
+    epoch: int = 0,
+    manifest: DataFrame | None = None,
 ) -> DataFrame:
     """``chunk_rank`` inside each shard.  Unshuffled it is ``chunk``;
     shuffled it is the rank of the hash key, computed without sending a whole
-    shard to one task."""
+    shard to one task.  With a ``manifest`` (``n_chunks`` per shard) the keys
+    are generated from it, so the wide chunk table is not computed twice."""
     if not shuffle:
         return chunks.withColumn("chunk_rank", F.col("chunk").cast("long"))
-    keys = chunks.select("shard", "chunk", shuffle_key(seed, epoch, "shard", "chunk").alias("_sl_key"))
+    if manifest is not None:
+        keys = manifest.where(F.col("n_chunks") > 0).select(
+            "shard", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_chunks") - 1)).alias("chunk")
+        )
+    else:
+        keys = chunks.select("shard", "chunk")
+    keys = keys.select("shard", "chunk", shuffle_key(seed, epoch, "shard", "chunk").alias("_sl_key"))
     ranked = ordinal(keys, ["shard"], ["_sl_key", "chunk"], "chunk_rank").drop("_sl_key")
     return chunks.join(ranked, ["shard", "chunk"])
 
@@ -185,5 +197,5 @@ def feed_samples(
     man = require_shards(first_shards(manifest, demo_shards))
     man = order_shards(stripe_workers(man, num_workers), shuffle=shuffle_shards, seed=seed, epoch=epoch)
     picked = chunks.join(broadcast_if_small(man.select("shard")), "shard", "left_semi")
-    ranked = order_chunks(picked, shuffle=shuffle_chunks, seed=seed, epoch=epoch)
+    ranked = order_chunks(picked, shuffle=shuffle_chunks, seed=seed, epoch=epoch, manifest=man)
     return sample_sequence(ranked, man)
