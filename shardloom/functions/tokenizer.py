@@ -98,10 +98,10 @@ def tokenize(
     keys: Sequence[str] = ("doc_id", "shard"),
     max_len: int | None = None,
 ) -> DataFrame:
-    """(keys..., input_ids, labels, length); rows longer than ``max_len`` dropped.
-
-    ``length == max_len`` is kept.  ``labels`` masks the source side with -100.
-    """
+    """(keys..., input_ids, labels, length, n_masked); rows longer than
+    ``max_len`` dropped (``length == max_len`` is kept).  ``labels`` masks
+    the source side with -100; ``n_masked`` is that side's length, so labels
+    can be rebuilt from ids (``labels_from_mask``) instead of stored."""
     tokenizer = tokenizer or CodePointTokenizer()
     keys = [k for k in keys if k in df.columns]
     if isinstance(tokenizer, CodePointTokenizer):
@@ -115,6 +115,7 @@ def tokenize(
         F.concat("_src", "_tgt").alias("input_ids"),
         mask_labels("_src", "_tgt").alias("labels"),
         (F.size("_src") + F.size("_tgt")).alias("length"),
+        F.size("_src").alias("n_masked"),
     )
     return length_filter(out, max_len)
 

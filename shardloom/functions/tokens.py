@@ -31,6 +31,12 @@ def mask_labels(src_ids: str | Column, tgt_ids: str | Column) -> Column:
     return F.concat(F.array_repeat(F.lit(IGNORE_INDEX), F.size(_c(src_ids))), _c(tgt_ids))
 
 
+def labels_from_mask(ids: str | Column, n_masked: str | Column) -> Column:
+    """A2 from the compact form: ids with the first ``n_masked`` set to -100."""
+    n = _c(n_masked)
+    return F.transform(_c(ids), lambda x, i: F.when(i < n, F.lit(IGNORE_INDEX)).otherwise(x))
+
+
 def attention_mask(ids: str | Column) -> Column:
     """A3: all ones, as long as the ids."""
     return F.array_repeat(F.lit(1), F.size(_c(ids)))

@@ -55,11 +55,16 @@ def pack_blocks(
     length: str | None = "length",
     keep_tail: bool = False,
     chunk_col: str = "chunk",
+    mask: str | None = None,
 ) -> DataFrame:
     """(group..., chunk, input_ids[, labels]) blocks of ``block_size`` tokens.
 
     ``order_cols`` must be unique within a group.  A group shorter than one
     block gives no rows (unless ``keep_tail``).  Empty rows are skipped.
+
+    ``mask`` names a column holding each row's masked-prefix length (labels
+    = ids with that prefix set to -100).  Then only ids and one number per
+    fragment cross the shuffles, and the label arrays are rebuilt per block.
     """
     if block_size <= 0:
         raise ValueError("block_size must be positive")
@@ -70,14 +75,19 @@ def pack_blocks(
         length = "_sl_len"
 
     offs = with_offsets(tok, group_cols, order_cols, length, _OFF).drop(length)
-    payload = [ids] + ([labels] if labels else [])
+    if mask:
+        payload = [ids, mask]
+    else:
+        payload = [ids] + ([labels] if labels else [])
     rows = tok.select(*group_cols, *order_cols, length, *payload).join(offs, group_cols + order_cols)
-    return _gather_blocks(rows, group_cols, B, ids=ids, labels=labels, length=length, keep_tail=keep_tail, chunk_col=chunk_col)
+    return _gather_blocks(
+        rows, group_cols, B, ids=ids, labels=labels, length=length, keep_tail=keep_tail, chunk_col=chunk_col, mask=mask
+    )
 
 
-def _gather_blocks(rows, group_cols, B, *, ids, labels, length, keep_tail, chunk_col):
+def _gather_blocks(rows, group_cols, B, *, ids, labels, length, keep_tail, chunk_col, mask=None):
     """Rows with a stream offset (``_OFF``) and a length -> blocks of ``B``."""
-    payload = [ids] + ([labels] if labels else [])
+    payload = [ids] + ([mask] if mask else ([labels] if labels else []))
     rows = rows.where(F.col(length) > 0)
     off, n = _bq(_OFF), _bq(length)
     frag = rows.select(
@@ -92,14 +102,23 @@ def _gather_blocks(rows, group_cols, B, *, ids, labels, length, keep_tail, chunk
     start = (lo - F.col(_OFF) + 1).cast("int")
     cnt = (hi - lo).cast("int")
     piece = [lo.alias("pos"), F.slice(ids, start, cnt).alias("ids")]
-    if labels:
+    if mask:
+        # masked tokens of this fragment: the part of the prefix inside it
+        masked = F.least(F.greatest(F.col(mask) - (lo - F.col(_OFF)), F.lit(0)), cnt)
+        piece.append(masked.cast("int").alias("m"))
+    elif labels:
         piece.append(F.slice(labels, start, cnt).alias("labels"))
 
     gathered = frag.groupBy(*group_cols, chunk_col).agg(
         F.sort_array(F.collect_list(F.struct(*piece))).alias("_parts")
     )
     cols = [*group_cols, chunk_col, F.flatten(F.transform("_parts", lambda p: p["ids"])).alias(ids)]
-    if labels:
+    if mask and labels:
+        rebuilt = F.transform(
+            "_parts", lambda p: F.transform(p["ids"], lambda x, i: F.when(i < p["m"], F.lit(-100)).otherwise(x))
+        )
+        cols.append(F.flatten(rebuilt).alias(labels))
+    elif labels:
         cols.append(F.flatten(F.transform("_parts", lambda p: p["labels"])).alias(labels))
     blocks = gathered.select(*cols)
     if not keep_tail:

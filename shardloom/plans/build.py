@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from shardloom.functions.templates import chat_prompts
 from shardloom.functions.text import SECTION_COLUMNS, section_text
 from shardloom.functions.tokenizer import CodePointTokenizer, tokenize
+from shardloom.functions.tokens import labels_from_mask
 from shardloom.operators.limits import sample_limit
 from shardloom.operators.packing import pack_blocks
 from shardloom.operators.windows import assign_windows, filter_label_prefix
@@ -74,14 +75,20 @@ def spread_if_narrow(df: DataFrame, min_parts: int | None = None) -> DataFrame:
 
 def materialized_tokens(corpus: DataFrame, spec: BuildSpec, tokenizer=None) -> DataFrame:
     """Token table written once to the shared folder, so the two reads of
-    packing (narrow offsets, wide payload) do not re-tokenise."""
-    return materialize(token_table(spread_if_narrow(corpus), spec, tokenizer), "tokens")
+    packing (narrow offsets, wide payload) do not re-tokenise.
+
+    Stored compactly: ids and the masked-prefix length; ``labels`` is a
+    derived column, computed only by readers that select it."""
+    tok = token_table(spread_if_narrow(corpus), spec, tokenizer).drop("labels")
+    stored = materialize(tok, "tokens")
+    return stored.withColumn("labels", labels_from_mask("input_ids", "n_masked"))
 
 
 def packed_shards(tokens: DataFrame, spec: BuildSpec, *, keep_tail: bool = True) -> DataFrame:
     """Blocks per shard in document order; the tail is kept as a last short
     chunk so any read-time window size can be cut later."""
-    return pack_blocks(tokens, ["shard"], list(spec.order_cols), spec.block_size, keep_tail=keep_tail)
+    mask = "n_masked" if "n_masked" in tokens.columns else None
+    return pack_blocks(tokens, ["shard"], list(spec.order_cols), spec.block_size, keep_tail=keep_tail, mask=mask)
 
 
 def write_shards(blocks: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -164,3 +164,14 @@ def test_pack_plan_has_no_per_token_rows(spark):
     plan = pack_blocks(df, ["shard"], ["doc_id"], 8)._jdf.queryExecution().executedPlan().toString()
     assert "posexplode" not in plan.lower()
     assert "Python" not in plan
+
+
+def test_pack_with_mask_prefix_equals_explicit_labels(spark):
+    rng = random.Random(13)
+    rows = tok_rows({"a": [rng.randint(0, 30) for _ in range(40)], "b": [0, 70, 3]}, seed=9)
+    with_mask = [(s, d, ids, labs, n, sum(1 for x in labs if x == -100)) for s, d, ids, labs, n in rows]
+    df = spark.createDataFrame(with_mask, TOK_SCHEMA + ", n_masked int").drop("labels")
+    for B, tail in ((8, False), (5, True)):
+        blocks = pack_blocks(df, ["shard"], ["doc_id"], B, keep_tail=tail, mask="n_masked")
+        got = {(r.shard, r.chunk): (list(r.input_ids), list(r.labels)) for r in blocks.collect()}
+        assert got == python_pack(rows, B, keep_tail=tail)
