@@ -411,6 +411,7 @@ SELECT name, CAST(est_chunks AS BIGINT) AS est_chunks, loader_len, loader_len_sp
        CAST(loader_len * procs * micro_batch AS BIGINT) AS samples_per_epoch,
        CAST(loader_len_split * procs * micro_batch AS BIGINT) AS samples_per_epoch_split,
        CAST(loader_len * procs * micro_batch * seq_len AS BIGINT) AS tokens_per_epoch,
+       CAST(seq_len * procs * micro_batch * loader_len_split AS BIGINT) AS epoch_tokens,
        CAST(loader_len_split // accum AS BIGINT) AS opt_steps_per_epoch,
        CAST((loader_len_split // accum) * epochs AS BIGINT) AS total_opt_steps,
        CAST(floor((loader_len_split // accum) * epochs * warmup_ratio) AS BIGINT) AS warmup_steps,

@@ -32,7 +32,7 @@ _BASE = "_sl_base"
 _TOTAL = "_sl_total"
 
 #: Largest number of (group, partition) base rows that is broadcast.
-BROADCAST_ROWS = 2_000_000
+BROADCAST_ROWS = 500_000
 
 
 def _partitions(df: DataFrame, num_parts: int | None) -> int:

@@ -69,6 +69,8 @@ def epoch_plan(total_tokens: int, configs: DataFrame) -> DataFrame:
         (F.col("loader_len") * F.col("procs") * F.col("micro_batch")).cast("long").alias("samples_per_epoch"),
         (F.col("loader_len_split") * F.col("procs") * F.col("micro_batch")).cast("long").alias("samples_per_epoch_split"),
         (F.col("loader_len") * F.col("procs") * F.col("micro_batch") * F.col("seq_len")).cast("long").alias("tokens_per_epoch"),
+        # denominator of the progress lines: micro-step tokens x split loader length
+        (F.col("seq_len") * F.col("procs") * F.col("micro_batch") * F.col("loader_len_split")).cast("long").alias("epoch_tokens"),
         F.expr("loader_len_split div accum").cast("long").alias("opt_steps_per_epoch"),
         (F.expr("loader_len_split div accum") * F.col("epochs")).cast("long").alias("total_opt_steps"),
         F.floor(F.expr("(loader_len_split div accum) * epochs") * F.col("warmup_ratio")).cast("long").alias("warmup_steps"),
