@@ -4,9 +4,11 @@ A plain ``sum(x) over (partition by g order by o)`` sends every row of a
 group to one task; a group (one shard, one rank) may hold a third of all
 rows.  The helpers here use two levels instead:
 
-1. range-partition the (narrow) rows by ``(group, order)`` so a large group is
-   spread over many partitions, and pin the partition number by writing the
-   narrow table once to the shared checkpoint folder;
+1. split each group into slices of bounded size: for one integer order key,
+   ``key div 2^20`` (a slice holds at most 2^20 rows, keys being unique);
+   otherwise range-partition the (narrow) rows by ``(group, order)`` and pin
+   the partition number by writing the narrow table once to the shared
+   checkpoint folder;
 2. per ``(group, partition)`` totals -> a table of at most
    ``partitions + groups`` rows -> base offset per ``(group, partition)`` by a
    window over that small table;
@@ -33,6 +35,9 @@ _TOTAL = "_sl_total"
 
 #: Largest number of (group, partition) base rows that is broadcast.
 BROADCAST_ROWS = 500_000
+#: Width of an order-key bucket for integer keys: a bucket holds at most this
+#: many rows of a group (keys are unique within a group).
+BUCKET_WIDTH = 1 << 20
 
 
 def _partitions(df: DataFrame, num_parts: int | None) -> int:
@@ -67,10 +72,16 @@ def running_total(
     group_cols = list(group_cols)
     order_cols = list(order_cols)
     val = F.coalesce(F.col(value) if isinstance(value, str) else value, F.lit(0)).cast("long")
-    n = _partitions(df, num_parts)
 
-    keyed = df.withColumn("_sl_val", val).repartitionByRange(n, *group_cols, *order_cols)
-    keyed = materialize(keyed.withColumn(_PART, F.spark_partition_id()), "ordered")
+    integral = {"tinyint", "smallint", "int", "bigint"}
+    if num_parts is None and len(order_cols) == 1 and dict(df.dtypes).get(order_cols[0]) in integral:
+        # Deterministic buckets of the key itself: no sampling job, no pinning write.
+        key = f"`{order_cols[0]}`"
+        keyed = df.withColumn("_sl_val", val).withColumn(_PART, F.expr(f"cast({key} as bigint) div {BUCKET_WIDTH}"))
+    else:
+        n = _partitions(df, num_parts)
+        keyed = df.withColumn("_sl_val", val).repartitionByRange(n, *group_cols, *order_cols)
+        keyed = materialize(keyed.withColumn(_PART, F.spark_partition_id()), "ordered")
 
     totals = keyed.groupBy(*group_cols, _PART).agg(F.sum("_sl_val").alias(_TOTAL))
     before = Window.partitionBy(*group_cols).orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)

@@ -175,3 +175,21 @@ def test_pack_with_mask_prefix_equals_explicit_labels(spark):
         blocks = pack_blocks(df, ["shard"], ["doc_id"], B, keep_tail=tail, mask="n_masked")
         got = {(r.shard, r.chunk): (list(r.input_ids), list(r.labels)) for r in blocks.collect()}
         assert got == python_pack(rows, B, keep_tail=tail)
+
+
+def test_running_total_integer_buckets(spark, monkeypatch):
+    import shardloom.operators.ordering as O
+
+    monkeypatch.setattr(O, "BUCKET_WIDTH", 16)  # many small buckets
+    rng = random.Random(21)
+    keys = sorted({rng.randint(-(1 << 62), 1 << 62) for _ in range(300)} | set(range(0, 500)))
+    rng.shuffle(keys)
+    data = [("hot" if i % 3 else "g", k, rng.randint(0, 9)) for i, k in enumerate(keys)]
+    df = spark.createDataFrame(data, "g string, o long, v long")
+    res = running_total(df, ["g"], ["o"], "v", "acc", inclusive=True)
+    assert "RepartitionByRange" not in res._jdf.queryExecution().analyzed().toString()
+    got = {(r.g, r.o): r.acc for r in res.collect()}
+    acc = defaultdict(int)
+    for g, o, v in sorted(data, key=lambda t: (t[0], t[1])):
+        acc[g] += v
+        assert got[(g, o)] == acc[g]
