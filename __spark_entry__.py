@@ -31,7 +31,7 @@ from shardloom.operators.windows import (  # noqa: E402
     filter_label_prefix,
     split_by_dates,
 )
-from shardloom.plans.build import BuildSpec, materialized_tokens, packed_shards, prompt_table, token_table  # noqa: E402
+from shardloom.plans.build import BuildSpec, materialized_tokens, packed_shards, prompt_table, spread, token_table  # noqa: E402
 from shardloom.session import ensure_checkpoint_dir, materialize, scratch_path  # noqa: E402
 from shardloom.sources.tables import corpus_view, run_config, train_log_view  # noqa: E402
 
@@ -57,11 +57,15 @@ def _windowed(spark, sf):
     return assign_windows(_corpus(spark, sf), "filing_date", P.START, P.END, P.STEP)
 
 
-def _tokens(spark, sf, max_len="spec"):
-    if max_len == "spec":
-        return materialized_tokens(_corpus(spark, sf), SPEC)
-    spec = BuildSpec(**{**SPEC.__dict__, "max_len": max_len})
-    return materialized_tokens(_corpus(spark, sf), spec)
+def _spec(spark, **changes) -> BuildSpec:
+    """SPEC for this session: the driver files hold one row group each (one
+    scan task), so tokenising is spread over the session's cores."""
+    return BuildSpec(**{**SPEC.__dict__, "spread_partitions": spark.sparkContext.defaultParallelism, **changes})
+
+
+def _tokens(spark, sf, max_len="spec", tokenizer=None):
+    spec = _spec(spark) if max_len == "spec" else _spec(spark, max_len=max_len)
+    return materialized_tokens(_corpus(spark, sf), spec, tokenizer)
 
 
 def _packed(spark, sf):
@@ -167,7 +171,7 @@ def q_sample_limit(spark, sf):
 
 
 def q_tokenize_cp(spark, sf):
-    tok = token_table(_corpus(spark, sf), SPEC, max_len=None)
+    tok = token_table(spread(_corpus(spark, sf), spark.sparkContext.defaultParallelism), SPEC, max_len=None)
     return tok.select(
         "doc_id",
         "shard",
@@ -182,7 +186,7 @@ def q_tokenize_bpe(spark, sf):
     from shardloom.functions.bytelevel import byte_level_json
     from shardloom.functions.tokenizer import JsonTokenizer
 
-    tok = materialized_tokens(_corpus(spark, sf), SPEC, JsonTokenizer(byte_level_json()))
+    tok = _tokens(spark, sf, tokenizer=JsonTokenizer(byte_level_json()))
     return tok.select(
         "doc_id",
         "shard",
@@ -259,7 +263,7 @@ def q_parquet_shards(spark, sf):
     from shardloom.plans.build import build_shards
 
     path = scratch_path(spark, "parquet-shards")
-    stored = build_shards(_corpus(spark, sf), SPEC, path)
+    stored = build_shards(_corpus(spark, sf), _spec(spark), path)
     man = feed.shard_manifest(stored.select("shard", "n_tokens"), P.CHUNK, labels=None)
     lab = feed.shard_manifest(stored.select("shard", F.col("labels").alias("input_ids")), labels=None)
     return man.join(lab.withColumnRenamed("n_tokens", "n_labels"), "shard").select("shard", "n_tokens", "n_labels", "n_chunks")

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from shardloom.functions.templates import chat_prompts
 from shardloom.functions.text import SECTION_COLUMNS, section_text
-from shardloom.functions.tokenizer import CodePointTokenizer, tokenize
+from shardloom.functions.tokenizer import CodePointTokenizer, length_filter, tokenize
 from shardloom.functions.tokens import labels_from_mask
 from shardloom.operators.limits import sample_limit
 from shardloom.operators.packing import pack_blocks
@@ -39,6 +39,11 @@ class BuildSpec:
     block_size: int = 2_048
     date_col: str = "filing_date"
     order_cols: tuple[str, ...] = ("doc_id",)
+    #: Spread the corpus over this many partitions before tokenising (0 keeps
+    #: the scan's partitioning).  Only for inputs whose files cannot be split
+    #: (one row group per file); a large corpus is split by the file source,
+    #: and spreading it would shuffle all of its text.
+    spread_partitions: int = 0
 
 
 def windowed_corpus(corpus: DataFrame, spec: BuildSpec) -> DataFrame:
@@ -63,14 +68,9 @@ def token_table(corpus: DataFrame, spec: BuildSpec, tokenizer=None, *, max_len="
     return tokenize(prompts, tokenizer or CodePointTokenizer(), keys=("doc_id", "shard"), max_len=cap)
 
 
-def spread_if_narrow(df: DataFrame, min_parts: int | None = None) -> DataFrame:
-    """Repartition only when the scan has too few partitions to use the
-    cluster (e.g. one-row-group files).  A large corpus is split by the file
-    source already; shuffling it here would move all of its text."""
-    spark = df.sparkSession
-    want = int(min_parts or spark.sparkContext.defaultParallelism)
-    have = df.rdd.getNumPartitions()
-    return df.repartition(want, "doc_id") if have < want else df
+def spread(df: DataFrame, partitions: int) -> DataFrame:
+    """Hash-spread rows by ``doc_id`` over ``partitions`` (0 = unchanged)."""
+    return df.repartition(int(partitions), "doc_id") if partitions and partitions > 0 else df
 
 
 def materialized_tokens(corpus: DataFrame, spec: BuildSpec, tokenizer=None) -> DataFrame:
@@ -78,9 +78,13 @@ def materialized_tokens(corpus: DataFrame, spec: BuildSpec, tokenizer=None) -> D
     packing (narrow offsets, wide payload) do not re-tokenise.
 
     Stored compactly: ids and the masked-prefix length; ``labels`` is a
-    derived column, computed only by readers that select it."""
-    tok = token_table(spread_if_narrow(corpus), spec, tokenizer).drop("labels")
-    stored = materialize(tok, "tokens")
+    derived column, computed only by readers that select it.
+
+    The length cap is applied on the stored table (a Parquet pushed filter):
+    applied before, Catalyst would push the filter - and with it the whole
+    tokenisation expression - below the spreading exchange into the scan."""
+    tok = token_table(spread(corpus, spec.spread_partitions), spec, tokenizer, max_len=None).drop("labels")
+    stored = length_filter(materialize(tok, "tokens"), spec.max_len)
     return stored.withColumn("labels", labels_from_mask("input_ids", "n_masked"))
 
 
