@@ -7,8 +7,9 @@ tokens, then concatenated.  Two tokenizers:
   expression (stays in whole-stage codegen; used for oracle-checked tests);
 * ``JsonTokenizer`` - any tokenizer serialised as ``tokenizer.json`` (the
   ``tokenizers`` library).  The JSON is broadcast once and loaded once per
-  Python worker; rows cross to Python in Arrow batches via ``mapInPandas``
-  and only the key columns and the two prompt sides are sent.
+  Python worker; rows cross to Python in Arrow batches via ``mapInArrow``
+  (only the key columns and the two prompt sides), and id lists go back as
+  Arrow list arrays without a pandas step.
 """
 
 from __future__ import annotations
@@ -31,13 +32,18 @@ class CodePointTokenizer:
 
 
 class JsonTokenizer:
-    """A ``tokenizers`` tokenizer given as its JSON text."""
+    """A ``tokenizers`` tokenizer given as its JSON text.
+
+    ``threads`` is the tokenizer's own thread count inside one Spark task;
+    Spark already runs one task per core, so the default is 1 (more would
+    oversubscribe the executor)."""
 
     name = "json"
 
-    def __init__(self, json_text: str, add_special_tokens: bool = False):
+    def __init__(self, json_text: str, add_special_tokens: bool = False, threads: int = 1):
         self.json_text = json_text
         self.add_special_tokens = add_special_tokens
+        self.threads = int(threads)
 
     @classmethod
     def from_file(cls, path: str, **kw) -> JsonTokenizer:
@@ -48,10 +54,14 @@ class JsonTokenizer:
 _WORKER_CACHE: dict[str, object] = {}
 
 
-def _load(key: str, bc):
+def _load(key: str, bc, threads: int):
     """One parsed tokenizer per Python worker process and tokenizer."""
     tok = _WORKER_CACHE.get(key)
     if tok is None:
+        import os
+
+        # Read when the tokenizer's thread pool first starts in this process.
+        os.environ.setdefault("RAYON_NUM_THREADS", str(threads))
         from tokenizers import Tokenizer
 
         tok = Tokenizer.from_str(bc.value)
@@ -64,7 +74,7 @@ def _encode_sides(df: DataFrame, tokenizer: JsonTokenizer, keys: Sequence[str],
     tune_for_wide_rows(spark)
     bc = spark.sparkContext.broadcast(tokenizer.json_text)
     key = hashlib.sha1(tokenizer.json_text.encode("utf-8")).hexdigest()
-    special = tokenizer.add_special_tokens
+    special, threads = tokenizer.add_special_tokens, tokenizer.threads
     key_fields = [df.schema[k] for k in keys]
     schema = T.StructType(
         key_fields
@@ -75,18 +85,18 @@ def _encode_sides(df: DataFrame, tokenizer: JsonTokenizer, keys: Sequence[str],
     )
 
     def encode(batches):
-        import pandas as pd
-
-        tok = _load(key, bc)
-        for pdf in batches:
-            s = tok.encode_batch(pdf[src].tolist(), add_special_tokens=special)
-            t = tok.encode_batch(pdf[tgt].tolist(), add_special_tokens=special)
-            out = pdf[list(keys)].copy()
-            out["_src"] = pd.Series([e.ids for e in s], index=pdf.index, dtype=object)
-            out["_tgt"] = pd.Series([e.ids for e in t], index=pdf.index, dtype=object)
-            yield out
-
-    return df.select(*keys, src, tgt).mapInPandas(encode, schema)
+        import pyarrow as pa
+
+        tok = _load(key, bc, threads)
+        ids_type = pa.list_(pa.field("element", pa.int32(), nullable=False))
+        for batch in batches:
+            cols = [batch.column(k) for k in keys]
+            for side in (src, tgt):
+                enc = tok.encode_batch(batch.column(side).to_pylist(), add_special_tokens=special)
+                cols.append(pa.array([e.ids for e in enc], type=ids_type))
+            yield pa.RecordBatch.from_arrays(cols, names=[*keys, "_src", "_tgt"])
+
+    return df.select(*keys, src, tgt).mapInArrow(encode, schema)
 
 
 def tokenize(
