@@ -85,7 +85,7 @@ def _manifest(spark, sf, packed=None):
 def _samples(spark, sf):
     packed = _packed(spark, sf)
     chunks = packing.cut_windows(packed, P.CHUNK, block_size=P.BLOCK)
-    man = _manifest(spark, sf, packed)
+    man = feed.shard_manifest(packed, P.CHUNK, labels=None)
     return feed.feed_samples(
         chunks, man, num_workers=P.WORKERS, shuffle_shards=True, shuffle_chunks=True, seed=P.SEED, epoch=P.EPOCH
     )

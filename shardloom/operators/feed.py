@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shardloom.operators.ordering import broadcast_if_small, ordinal
+from shardloom.session import materialize
 
 
 def shard_manifest(
@@ -25,13 +26,14 @@ def shard_manifest(
     labels: str | None = "labels",
 ) -> DataFrame:
     """(shard, n_tokens[, n_labels][, n_chunks]).  Uses a stored
-    ``n_tokens`` column when present so only that column is read."""
-    if "n_tokens" in shards.columns and not labels:
+    ``n_tokens`` column when present so the id arrays are not read; labels
+    are sized only when ``labels`` is asked for (the J2 check)."""
+    if "n_tokens" in shards.columns:
         agg = [F.sum("n_tokens").cast("long").alias("n_tokens")]
     else:
         agg = [F.sum(F.size(ids)).cast("long").alias("n_tokens")]
-        if labels:
-            agg.append(F.sum(F.size(labels)).cast("long").alias("n_labels"))
+    if labels:
+        agg.append(F.sum(F.size(labels)).cast("long").alias("n_labels"))
     man = shards.groupBy("shard").agg(*agg)
     if chunk_size:
         man = man.withColumn("n_chunks", F.expr(f"n_tokens div {int(chunk_size)}"))
@@ -193,9 +195,13 @@ def feed_samples(
     epoch: int = 0,
     demo_shards: int | None = None,
 ) -> DataFrame:
-    """W3-W7 together: chunks with worker, shard_rank, chunk_rank, seq."""
-    man = require_shards(first_shards(manifest, demo_shards))
+    """W3-W7 together: chunks with worker, shard_rank, chunk_rank, seq.
+
+    The dealt manifest (one row per shard) is written once and reused by the
+    semi-join, the chunk keys and the sequence bases."""
+    man = first_shards(manifest, demo_shards)
     man = order_shards(stripe_workers(man, num_workers), shuffle=shuffle_shards, seed=seed, epoch=epoch)
+    man = require_shards(materialize(man, "manifest"))
     picked = chunks.join(broadcast_if_small(man.select("shard")), "shard", "left_semi")
     ranked = order_chunks(picked, shuffle=shuffle_chunks, seed=seed, epoch=epoch, manifest=man)
     return sample_sequence(ranked, man)

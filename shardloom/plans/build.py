@@ -92,15 +92,19 @@ def packed_shards(tokens: DataFrame, spec: BuildSpec, *, keep_tail: bool = True)
     """Blocks per shard in document order; the tail is kept as a last short
     chunk so any read-time window size can be cut later."""
     mask = "n_masked" if "n_masked" in tokens.columns else None
-    return pack_blocks(tokens, ["shard"], list(spec.order_cols), spec.block_size, keep_tail=keep_tail, mask=mask)
+    blocks = pack_blocks(tokens, ["shard"], list(spec.order_cols), spec.block_size, keep_tail=keep_tail, mask=mask)
+    # stored with the block length, so manifests never read the arrays
+    return blocks.withColumn("n_tokens", F.size("input_ids"))
 
 
 def write_shards(blocks: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Parquet partitioned by shard; dynamic overwrite makes a window
     re-runnable without touching the others."""
     n = int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if "n_tokens" not in blocks.columns:
+        blocks = blocks.withColumn("n_tokens", F.size("input_ids"))
     (
-        blocks.withColumn("n_tokens", F.size("input_ids"))
+        blocks
         # Contiguous (shard, chunk) ranges: about one file per task, and a
         # hot shard is still split over many tasks.
         .repartitionByRange(n, "shard", "chunk")

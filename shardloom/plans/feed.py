@@ -36,7 +36,7 @@ def read_parquet_shards(spark: SparkSession, path: str) -> DataFrame:
 
 def feed_batches(shards: DataFrame, spec: FeedSpec) -> DataFrame:
     """Stacked batches (worker, batch_id, n_samples, input_ids, labels, attention_mask[, rank])."""
-    man = feed.shard_manifest(shards, spec.chunk_size)
+    man = feed.shard_manifest(shards, spec.chunk_size, labels=None)
     chunks = cut_windows(shards, spec.chunk_size, block_size=spec.block_size)
     samples = feed.feed_samples(
         chunks,
