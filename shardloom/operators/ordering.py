@@ -40,12 +40,6 @@ BROADCAST_ROWS = 500_000
 BUCKET_WIDTH = 1 << 20
 
 
-def _partitions(df: DataFrame, num_parts: int | None) -> int:
-    if num_parts:
-        return int(num_parts)
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Broadcast ``df`` only after checking its row count is within bounds."""
     n = df.limit(max_rows + 1).count()
@@ -79,8 +73,13 @@ def running_total(
         key = f"`{order_cols[0]}`"
         keyed = df.withColumn("_sl_val", val).withColumn(_PART, F.expr(f"cast({key} as bigint) div {BUCKET_WIDTH}"))
     else:
-        n = _partitions(df, num_parts)
-        keyed = df.withColumn("_sl_val", val).repartitionByRange(n, *group_cols, *order_cols)
+        keyed = df.withColumn("_sl_val", val)
+        if num_parts:
+            keyed = keyed.repartitionByRange(int(num_parts), *group_cols, *order_cols)
+        else:
+            # No fixed count: AQE merges adjacent range partitions to fit the
+            # data, so slices stay contiguous and ordered.
+            keyed = keyed.repartitionByRange(*group_cols, *order_cols)
         keyed = materialize(keyed.withColumn(_PART, F.spark_partition_id()), "ordered")
 
     totals = keyed.groupBy(*group_cols, _PART).agg(F.sum("_sl_val").alias(_TOTAL))

@@ -193,3 +193,14 @@ def test_running_total_integer_buckets(spark, monkeypatch):
     for g, o, v in sorted(data, key=lambda t: (t[0], t[1])):
         acc[g] += v
         assert got[(g, o)] == acc[g]
+
+
+def test_running_total_composite_key_adaptive_slices(spark):
+    rng = random.Random(31)
+    data = [("hot" if i % 4 else f"g{i % 3}", f"k{rng.randint(0, 50):02d}", i, rng.randint(0, 9)) for i in range(3000)]
+    df = spark.createDataFrame(data, "g string, a string, b long, v long")
+    got = {(r.g, r.a, r.b): r.k for r in ordinal(df, ["g"], ["a", "b"], "k").collect()}
+    cnt = defaultdict(int)
+    for g, a, b, _v in sorted(data, key=lambda t: (t[0], t[1], t[2])):
+        assert got[(g, a, b)] == cnt[g]
+        cnt[g] += 1
