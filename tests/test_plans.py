@@ -39,3 +39,24 @@ def test_log_report(spark):
     rep = log_report(log, LogSpec(accum=4, update_freq=5, seq_len=128, procs=2, micro_batch=2, demo_steps=3))
     assert rep["windows"].count() > 0 and rep["progress"].count() > 0
     assert rep["demo"].agg(F.max("opt_step")).first()[0] == 4
+
+
+def test_token_table_scan_is_pushed_and_pruned(spark):
+    from shardloom.operators.packing import with_offsets
+    from shardloom.plans.build import materialized_tokens
+
+    tok = materialized_tokens(corpus_view(spark, SF_SMALL), E._spec(spark))
+    narrow = with_offsets(tok, ["shard"], ["doc_id"])
+    plan = narrow._jdf.queryExecution().executedPlan().toString()
+    assert "LessThanOrEqual(length,8192)" in plan  # cap is a Parquet filter
+    scans = [line for line in plan.split("\n") if "ReadSchema" in line or "FileScan" in line]
+    assert scans and all("input_ids" not in line for line in scans)  # offsets read narrow columns only
+
+
+def test_no_tokenisation_below_the_spreading_exchange(spark):
+    from shardloom.plans.build import spread, token_table
+
+    tok = token_table(spread(corpus_view(spark, SF_SMALL), 4), E.SPEC, max_len=None)
+    plan = tok._jdf.queryExecution().executedPlan().toString()
+    below = plan.split("Exchange hashpartitioning(doc_id")[1]
+    assert "split(" not in below and "regexp_replace" not in below
