@@ -30,17 +30,16 @@ OUTPUT_SCHEMA = (
 STATE_SCHEMA = "sums string, counts string, first_epoch int, last_epoch int, last_step int, last_ts timestamp_ntz"
 
 
-def window_sizes(steps_per_epoch: int, n_epochs: int, accum: int, update_freq: int):
-    """Micro-steps per rank in each full log window (window -> count)."""
+def window_size(w: int, steps_per_epoch: int, n_epochs: int, accum: int, update_freq: int) -> int | None:
+    """Micro-steps per rank in full log window ``w`` (``None`` if the run ends
+    before the window is full).  Closed form: every optimizer step takes
+    ``accum`` micro-steps except an epoch's last, which takes the remainder."""
     syncs = -(-steps_per_epoch // accum)
-    sizes: dict[int, int] = {}
-    for e in range(n_epochs):
-        for g in range(syncs):
-            opt = e * syncs + g + 1
-            n = accum if g < syncs - 1 else steps_per_epoch - accum * (syncs - 1)
-            sizes[(opt - 1) // update_freq] = sizes.get((opt - 1) // update_freq, 0) + n
-    total = n_epochs * syncs
-    return {w: n for w, n in sizes.items() if (w + 1) * update_freq <= total}
+    if w < 0 or (w + 1) * update_freq > n_epochs * syncs:
+        return None
+    last = steps_per_epoch - accum * (syncs - 1)
+    epoch_ends = (w + 1) * update_freq // syncs - w * update_freq // syncs
+    return update_freq * accum - epoch_ends * (accum - last)
 
 
 def with_windows(log: DataFrame, steps_per_epoch: int, accum: int, update_freq: int) -> DataFrame:
@@ -62,7 +61,6 @@ def stream_loss_windows(
     """Streaming DataFrame of finished log windows (append mode)."""
     if update_freq <= 0 or accum <= 0:
         raise ValueError("accum and update_freq must be positive")
-    sizes = window_sizes(steps_per_epoch, n_epochs, accum, update_freq)
     rows = with_windows(log_stream, steps_per_epoch, accum, update_freq).select(
         "log_window", "rank", "epoch", "step", F.col("loss").cast(LOSS_DECIMAL).cast("string").alias("loss"), "ts"
     )
@@ -90,7 +88,7 @@ def stream_loss_windows(
                     cand = (int(top["epoch"]), int(top["step"]), top["ts"])
                     if last[0] is None or cand[:2] > (last[0], last[1]):
                         last = cand
-        need = sizes.get(w)
+        need = window_size(w, steps_per_epoch, n_epochs, accum, update_freq)
         done = need is not None and len(counts) == n_ranks and all(c == need for c in counts.values())
         if not done:
             state.update(

@@ -101,3 +101,18 @@ def test_progress_rows(spark):
     assert r.processed_tokens == 510 and r.pct == round(510 * 100 / 1200, 4)
     t = (rows[50][4] - rows[0][4]).total_seconds()
     assert r.elapsed == f"{int(t // 3600):02d}:{int((t % 3600) // 60):02d}:{t % 60:05.2f}"
+
+
+def test_stream_window_size_closed_form():
+    from shardloom.streaming.loss_windows import window_size
+
+    for E_, n_ep, acc, uf in ((2500, 2, 16, 10), (37, 3, 5, 2), (10, 1, 16, 5), (64, 2, 8, 3)):
+        syncs = -(-E_ // acc)
+        sizes = {}
+        for e in range(n_ep):
+            for g in range(syncs):
+                opt = e * syncs + g + 1
+                sizes[(opt - 1) // uf] = sizes.get((opt - 1) // uf, 0) + (acc if g < syncs - 1 else E_ - acc * (syncs - 1))
+        full = {w: n for w, n in sizes.items() if (w + 1) * uf <= n_ep * syncs}
+        for w in range(-1, max(sizes) + 3):
+            assert window_size(w, E_, n_ep, acc, uf) == full.get(w)
