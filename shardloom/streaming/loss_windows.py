@@ -25,9 +25,9 @@ from shardloom.operators.trainlog import LOSS_DECIMAL
 
 OUTPUT_SCHEMA = (
     "log_window long, epoch int, end_step int, global_step long, loss_sum string, "
-    "micro_steps long, n_ranks long, spans_epoch boolean, mean_loss double, log_ts timestamp_ntz"
+    "micro_steps long, n_ranks long, spans_epoch boolean, mean_loss double, log_ts {ts}"
 )
-STATE_SCHEMA = "sums string, counts string, first_epoch int, last_epoch int, last_step int, last_ts timestamp_ntz"
+STATE_SCHEMA = "sums string, counts string, first_epoch int, last_epoch int, last_step int, last_ts {ts}"
 
 
 def window_size(w: int, steps_per_epoch: int, n_epochs: int, accum: int, update_freq: int) -> int | None:
@@ -120,8 +120,9 @@ def stream_loss_windows(
             }
         )
 
+    ts_type = log_stream.schema["ts"].dataType.simpleString()  # timestamp or timestamp_ntz
     return rows.groupBy("log_window").applyInPandasWithState(
-        update, OUTPUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout
+        update, OUTPUT_SCHEMA.format(ts=ts_type), STATE_SCHEMA.format(ts=ts_type), "append", GroupStateTimeout.NoTimeout
     )
 
 

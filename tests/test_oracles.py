@@ -38,3 +38,19 @@ def test_query_matches_oracle(spark, con, name):
     assert sorted(df.columns) == sorted(cols)
     assert len(rows) == len(drows)
     assert digest(df.columns, rows) == digest(cols, drows)
+
+
+@pytest.mark.parametrize("name", ["throughput", "progress", "stream_loss_windows", "window_assign"])
+def test_time_queries_independent_of_session_time_settings(spark, con, name):
+    keys = ("spark.sql.parquet.inferTimestampNTZ.enabled", "spark.sql.session.timeZone")
+    old = [spark.conf.get(k) for k in keys]
+    spark.conf.set(keys[0], "false")
+    spark.conf.set(keys[1], "America/New_York")
+    try:
+        df = E.queries()[name](spark, SF_SMALL)
+        rows = [tuple(r) for r in df.collect()]
+    finally:
+        for k, v in zip(keys, old):
+            spark.conf.set(k, v)
+    res = con.execute(E.oracle_sql()[name])
+    assert digest(df.columns, rows) == digest([d[0] for d in res.description], res.fetchall())
