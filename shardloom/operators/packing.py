@@ -23,7 +23,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shardloom.operators.ordering import running_total
+from shardloom.operators.ordering import ordinal, running_total
 
 _OFF = "_sl_off"
 
@@ -126,6 +126,20 @@ def _gather_blocks(rows, group_cols, B, *, ids, labels, length, keep_tail, chunk
     return blocks
 
 
+def with_batch_index(
+    tok: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str], batch_size: int, out: str = "map_batch"
+) -> DataFrame:
+    """Index of the ``batch_size``-row batch each row falls in (per group, in
+    order).  Packing with ``out`` as an extra group column drops the tail per
+    batch instead of per group - the behaviour of a batched map that chunks
+    each batch on its own."""
+    if batch_size <= 0:
+        raise ValueError("batch_size must be positive")
+    keys = tok.select(*group_cols, *order_cols)
+    numbered = ordinal(keys, group_cols, order_cols, "_sl_rn").withColumn(out, F.expr(f"_sl_rn div {int(batch_size)}"))
+    return tok.join(numbered.drop("_sl_rn"), [*group_cols, *order_cols])
+
+
 def cut_windows(
     shards: DataFrame,
     chunk_size: int,

@@ -204,3 +204,24 @@ def test_running_total_composite_key_adaptive_slices(spark):
     for g, a, b, _v in sorted(data, key=lambda t: (t[0], t[1], t[2])):
         assert got[(g, a, b)] == cnt[g]
         cnt[g] += 1
+
+
+def test_per_batch_tails(spark):
+    from shardloom.operators.packing import with_batch_index
+
+    rng = random.Random(41)
+    rows = tok_rows({"a": [rng.randint(0, 20) for _ in range(23)], "b": [rng.randint(0, 20) for _ in range(5)]})
+    df = spark.createDataFrame(rows, TOK_SCHEMA)
+    B, per = 8, 4
+    got = {
+        (r.shard, r.map_batch, r.chunk): list(r.input_ids)
+        for r in pack_blocks(with_batch_index(df, ["shard"], ["doc_id"], per), ["shard", "map_batch"], ["doc_id"], B).collect()
+    }
+    exp = {}
+    for shard in ("a", "b"):
+        docs = sorted((r for r in rows if r[0] == shard), key=lambda r: r[1])
+        for bi in range(0, len(docs), per):
+            stream = [t for r in docs[bi:bi + per] for t in r[2]]
+            for c in range(len(stream) // B):
+                exp[(shard, bi // per, c)] = stream[c * B:(c + 1) * B]
+    assert got == exp
