@@ -1 +1 @@
-"""shardloom."""
+"""Column expressions: text cleaning, prompt rendering, token arrays, tokenizers."""

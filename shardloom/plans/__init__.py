@@ -1 +1 @@
-"""shardloom."""
+"""End-to-end compositions: shard building, feeding batches, log report."""

@@ -1 +1 @@
-"""shardloom."""
+"""Streaming operators: online log windows."""
