@@ -375,7 +375,7 @@ def q_stream_loss_windows(spark, sf):
 def q_progress(spark, sf):
     log = _log(spark, sf)
     loader_len = log.agg(F.max("step") + 1).first()[0]
-    return trainlog.progress_rows(log, P.TOKENS_PER_MICRO_STEP, int(loader_len))
+    return trainlog.progress_rows(log, P.TOKENS_PER_MICRO_STEP, int(loader_len), accum=P.ACCUM)
 
 
 def q_demo_cut(spark, sf):

@@ -443,8 +443,9 @@ SELECT t.rank, t.epoch, t.step,
        printf('%02d:%02d:%05.2f',
               CAST(floor(date_diff('microsecond', e.epoch_start, t.ts) / 1e6 / 3600) AS INTEGER),
               CAST(floor(fmod(date_diff('microsecond', e.epoch_start, t.ts) / 1e6, 3600) / 60) AS INTEGER),
-              fmod(date_diff('microsecond', e.epoch_start, t.ts) / 1e6, 60)) AS elapsed
-FROM train_log t JOIN ep e USING (rank, epoch), loader
+              fmod(date_diff('microsecond', e.epoch_start, t.ts) / 1e6, 60)) AS elapsed,
+       CAST(e.prior + t.step // {P.ACCUM} AS BIGINT) AS global_step
+FROM train_log t JOIN ep2 e USING (rank, epoch), loader
 WHERE t.step % 50 = 0 AND t.step > 0"""
 
     q["demo_cut"] = log_ctes() + f"""

@@ -140,17 +140,21 @@ def loss_windows(
     )
 
 
-def progress_rows(log: DataFrame, tokens_per_step: int, loader_len: int) -> DataFrame:
+def progress_rows(log: DataFrame, tokens_per_step: int, loader_len: int, accum: int | None = None) -> DataFrame:
     """Every 50th micro-step (step > 0) of each rank and epoch: tokens
     processed in the epoch, share of the epoch in percent (4 decimals) and
-    elapsed time since the epoch start as ``HH:MM:SS.ss``."""
-    per = log.groupBy("rank", "epoch").agg(F.min("ts").alias("epoch_start"))
+    elapsed time since the epoch start as ``HH:MM:SS.ss``.  With ``accum``,
+    also the global optimizer step at that point (syncs completed before it)."""
+    if accum is not None:
+        per = epoch_table(log, accum).select("rank", "epoch", "epoch_start", "prior_syncs")
+    else:
+        per = log.groupBy("rank", "epoch").agg(F.min("ts").alias("epoch_start"))
     rows = log.where((F.col("step") % PROGRESS_EVERY == 0) & (F.col("step") > 0))
     rows = rows.join(broadcast_if_small(per), ["rank", "epoch"])
     t = F.timestamp_diff("MICROSECOND", F.col("epoch_start"), F.col("ts")) / 1e6
     processed = (F.col("step") + 1).cast("long") * F.lit(int(tokens_per_step))
     total = int(tokens_per_step) * int(loader_len)
-    return rows.select(
+    cols = [
         "rank",
         "epoch",
         "step",
@@ -163,4 +167,7 @@ def progress_rows(log: DataFrame, tokens_per_step: int, loader_len: int) -> Data
             F.floor((t % 3600) / 60).cast("int"),
             t % 60,
         ).alias("elapsed"),
-    )
+    ]
+    if accum is not None:
+        cols.append((F.col("prior_syncs") + F.expr(f"step div {int(accum)}")).cast("long").alias("global_step"))
+    return rows.select(*cols)

@@ -33,7 +33,7 @@ def log_report(log: DataFrame, spec: LogSpec) -> dict[str, DataFrame]:
     loader_len = log.agg(F.max("step") + 1).first()[0] or 0
     out = {
         "windows": trainlog.loss_windows(log, spec.accum, spec.update_freq, spec.tokens_per_micro_step),
-        "progress": trainlog.progress_rows(log, spec.tokens_per_micro_step, int(loader_len)),
+        "progress": trainlog.progress_rows(log, spec.tokens_per_micro_step, int(loader_len), accum=spec.accum),
         "steps": trainlog.assign_steps(log, spec.accum, spec.update_freq),
     }
     if spec.demo_steps is not None:

@@ -101,6 +101,10 @@ def test_progress_rows(spark):
     assert r.processed_tokens == 510 and r.pct == round(510 * 100 / 1200, 4)
     t = (rows[50][4] - rows[0][4]).total_seconds()
     assert r.elapsed == f"{int(t // 3600):02d}:{int((t % 3600) // 60):02d}:{t % 60:05.2f}"
+    # global step at a progress line = optimizer steps completed before it
+    _rows2, log2 = make_log(spark, [60, 60], ranks=1)
+    steps = {(r.epoch, r.step): r.global_step for r in trainlog.progress_rows(log2, 10, 60, accum=7).collect()}
+    assert steps == {(0, 50): 50 // 7, (1, 50): -(-60 // 7) + 50 // 7}
 
 
 def test_stream_window_size_closed_form():
