@@ -309,6 +309,11 @@ def q_batches(spark, sf):
     return b.select("worker", "batch_id", "n_samples", F.md5(F.array_join(digests, ",")).alias("batch_md5"))
 
 
+def q_delivery_order(spark, sf):
+    rows = feed.assign_batches(_samples(spark, sf), P.BATCH).select("worker", "batch_id").distinct()
+    return feed.delivery_order(rows)
+
+
 def q_rank_split(spark, sf):
     rows = feed.assign_batches(_samples(spark, sf), P.BATCH).select("worker", "batch_id").distinct()
     return feed.split_ranks(rows, P.WORLD)

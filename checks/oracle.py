@@ -387,6 +387,13 @@ SELECT shard, n_tokens FROM manifest ORDER BY shard LIMIT {P.DEMO_SHARDS}"""
 SELECT worker, batch_id, CAST(count(*) AS INTEGER) AS n_samples,
        md5(string_agg(ids_md5, ',' ORDER BY seq)) AS batch_md5
 FROM samples GROUP BY worker, batch_id"""
+    q["delivery_order"] = feed + """,
+nb AS (SELECT worker, max(batch_id) + 1 AS n FROM samples GROUP BY worker),
+bb AS (SELECT DISTINCT worker, batch_id FROM samples)
+SELECT bb.worker, bb.batch_id,
+       CAST((SELECT sum(least(n, bb.batch_id)) FROM nb)
+            + (SELECT count(*) FROM nb WHERE nb.worker < bb.worker AND nb.n > bb.batch_id) AS BIGINT) AS delivery
+FROM bb"""
     q["rank_split"] = feed + f"""
 SELECT DISTINCT worker, batch_id, CAST(batch_id % {P.WORLD} AS INTEGER) AS rank FROM samples"""
 

@@ -152,6 +152,21 @@ def stack_batches(
     )
 
 
+def delivery_order(batches: DataFrame) -> DataFrame:
+    """W8 delivery: global position of each ``(worker, batch_id)`` when
+    batches are taken round-robin over workers and an exhausted worker is
+    skipped: ``sum_w' min(n_w', b) + #{w' < w : n_w' > b}`` with ``n_w`` the
+    batch count of worker ``w``.  The counts have one row per worker (bounded
+    by the worker count), so they are read once and inlined."""
+    counts = batches.groupBy("worker").agg((F.max("batch_id") + 1).alias("n")).collect()
+    b, w = F.col("batch_id"), F.col("worker")
+    before = F.lit(0).cast("long")
+    for r in counts:
+        n = F.lit(int(r["n"])).cast("long")
+        before = before + F.least(n, b) + F.when((F.lit(int(r["worker"])) < w) & (n > b), 1).otherwise(0)
+    return batches.withColumn("delivery", before.cast("long"))
+
+
 def split_ranks(batches: DataFrame, world_size: int) -> DataFrame:
     """Process of each batch, ``batch_id mod world_size`` (documented choice)."""
     if world_size <= 0:

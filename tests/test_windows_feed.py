@@ -174,3 +174,17 @@ def test_epoch_plan_demo_row(spark):
     t = plan["two"]
     assert (t.loader_len_split, t.samples_per_epoch, t.samples_per_epoch_split) == (63, 2000, 1008)
     assert t.total_opt_steps == 6
+
+
+def test_delivery_order_round_robin(spark):
+    counts = {0: 3, 1: 1, 2: 2}
+    rows = [(w, b) for w, n in counts.items() for b in range(n)]
+    got = {(r.worker, r.batch_id): r.delivery for r in feed.delivery_order(spark.createDataFrame(rows, "worker int, batch_id long")).collect()}
+    # replay: take one batch from each worker in turn, skipping exhausted ones
+    order, nxt = [], {w: 0 for w in counts}
+    while len(order) < len(rows):
+        for w in sorted(counts):
+            if nxt[w] < counts[w]:
+                order.append((w, nxt[w]))
+                nxt[w] += 1
+    assert got == {k: i for i, k in enumerate(order)}
