@@ -316,7 +316,7 @@ def q_delivery_order(spark, sf):
 
 def q_rank_split(spark, sf):
     rows = feed.assign_batches(_samples(spark, sf), P.BATCH).select("worker", "batch_id").distinct()
-    return feed.split_ranks(rows, P.WORLD)
+    return feed.split_ranks(feed.delivery_order(rows), P.WORLD).select("worker", "batch_id", "rank")
 
 
 def q_pair_check(spark, sf):

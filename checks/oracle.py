@@ -394,8 +394,13 @@ SELECT bb.worker, bb.batch_id,
        CAST((SELECT sum(least(n, bb.batch_id)) FROM nb)
             + (SELECT count(*) FROM nb WHERE nb.worker < bb.worker AND nb.n > bb.batch_id) AS BIGINT) AS delivery
 FROM bb"""
-    q["rank_split"] = feed + f"""
-SELECT DISTINCT worker, batch_id, CAST(batch_id % {P.WORLD} AS INTEGER) AS rank FROM samples"""
+    q["rank_split"] = feed + f""",
+nb AS (SELECT worker, max(batch_id) + 1 AS n FROM samples GROUP BY worker),
+bb AS (SELECT DISTINCT worker, batch_id FROM samples)
+SELECT bb.worker, bb.batch_id,
+       CAST(((SELECT sum(least(n, bb.batch_id)) FROM nb)
+             + (SELECT count(*) FROM nb WHERE nb.worker < bb.worker AND nb.n > bb.batch_id)) % {P.WORLD} AS INTEGER) AS rank
+FROM bb"""
 
     q["pair_check"] = base_ctes() + ",\n" + manifest_cte() + """
 SELECT shard, n_tokens AS n_ids, n_labels, 'ok' AS status FROM manifest"""

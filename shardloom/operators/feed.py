@@ -168,10 +168,14 @@ def delivery_order(batches: DataFrame) -> DataFrame:
 
 
 def split_ranks(batches: DataFrame, world_size: int) -> DataFrame:
-    """Process of each batch, ``batch_id mod world_size`` (documented choice)."""
+    """Process of each batch.  The delivered stream is dealt round-robin
+    to the processes, so ``rank = delivery mod world_size`` when the batches
+    carry a ``delivery`` column (``delivery_order``), else ``batch_id mod
+    world_size``."""
     if world_size <= 0:
         raise ValueError("world_size must be positive")
-    return batches.withColumn("rank", F.pmod(F.col("batch_id"), F.lit(world_size)).cast("int"))
+    pos = F.col("delivery") if "delivery" in batches.columns else F.col("batch_id")
+    return batches.withColumn("rank", F.pmod(pos, F.lit(world_size)).cast("int"))
 
 
 def pair_shards(ids_manifest: DataFrame, labels_manifest: DataFrame) -> DataFrame:

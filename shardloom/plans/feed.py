@@ -48,7 +48,7 @@ def feed_batches(shards: DataFrame, spec: FeedSpec) -> DataFrame:
         epoch=spec.epoch,
         demo_shards=spec.demo_shards,
     )
-    out = feed.stack_batches(samples, spec.batch_size)
+    out = feed.delivery_order(feed.stack_batches(samples, spec.batch_size))
     if spec.world_size:
         out = feed.split_ranks(out, spec.world_size)
     return out
@@ -67,7 +67,7 @@ def feed_from_npy(spark: SparkSession, path: str, spec: FeedSpec) -> DataFrame:
     )
     man = feed.order_shards(feed.stripe_workers(man, spec.num_workers), shuffle=spec.shuffle_shards, seed=spec.seed, epoch=spec.epoch)
     ranked = feed.order_chunks(chunks, shuffle=spec.shuffle_chunks, seed=spec.seed, epoch=spec.epoch)
-    out = feed.stack_batches(feed.sample_sequence(ranked, man), spec.batch_size)
+    out = feed.delivery_order(feed.stack_batches(feed.sample_sequence(ranked, man), spec.batch_size))
     if spec.world_size:
         out = feed.split_ranks(out, spec.world_size)
     return out
