@@ -6,7 +6,6 @@ import random
 from collections import defaultdict
 
 import pytest
-from pyspark.sql import functions as F
 
 from shardloom.functions.tokenizer import length_filter, tokenize
 from shardloom.functions.tokens import attention_mask, code_points, narrow_ids, wide_ids
