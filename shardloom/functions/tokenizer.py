@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shardloom.functions.tokens import code_points, mask_labels
-from shardloom.session import tune_for_wide_rows
+from shardloom.session import ship_package, tune_for_wide_rows
 
 
 class CodePointTokenizer:
@@ -72,6 +72,7 @@ def _load(key: str, bc, threads: int):
 def _encode_sides(df: DataFrame, tokenizer: JsonTokenizer, keys: Sequence[str], src: str, tgt: str) -> DataFrame:
     spark = df.sparkSession
     tune_for_wide_rows(spark)
+    ship_package(spark)
     bc = spark.sparkContext.broadcast(tokenizer.json_text)
     key = hashlib.sha1(tokenizer.json_text.encode("utf-8")).hexdigest()
     special, threads = tokenizer.add_special_tokens, tokenizer.threads

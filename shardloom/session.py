@@ -84,6 +84,39 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/shardloom/{name}-{uuid.uuid4().hex}"
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``shardloom`` importable in Python workers (once per context).
+
+    Operators that run Python on executors (tokenizer, ``.npy`` source,
+    stream state) pickle references to this package.  When the package is
+    not installed on the executors, it is zipped and added with
+    ``addPyFile`` - the runtime form of ``--py-files``: Spark serves the
+    archive to every executor and puts it on the workers' path.
+    """
+    import os
+    import zipfile
+
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg)
+    fd, archive = tempfile.mkstemp(prefix="shardloom-", suffix=".zip")
+    os.close(fd)
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as zf:
+        for dirpath, _dirs, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    zf.write(full, os.path.relpath(full, root))
+    sc.addPyFile(archive)
+    _SHIPPED.add(app)
+
+
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back.
 

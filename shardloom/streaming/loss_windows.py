@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 from shardloom.operators.trainlog import LOSS_DECIMAL
+from shardloom.session import ship_package
 
 OUTPUT_SCHEMA = (
     "log_window long, epoch int, end_step int, global_step long, loss_sum string, "
@@ -61,6 +62,7 @@ def stream_loss_windows(
     """Streaming DataFrame of finished log windows (append mode)."""
     if update_freq <= 0 or accum <= 0:
         raise ValueError("accum and update_freq must be positive")
+    ship_package(log_stream.sparkSession)
     rows = with_windows(log_stream, steps_per_epoch, accum, update_freq).select(
         "log_window", "rank", "epoch", "step", F.col("loss").cast(LOSS_DECIMAL).cast("string").alias("loss"), "ts"
     )
