@@ -4,9 +4,9 @@ A plain ``sum(x) over (partition by g order by o)`` sends every row of a
 group to one task; a group (one shard, one rank) may hold a third of all
 rows.  The helpers here use two levels instead:
 
-1. split each group into slices of bounded size: for one integer order key,
-   ``key div 2^20`` (a slice holds at most 2^20 rows, keys being unique);
-   otherwise range-partition the (narrow) rows by ``(group, order)`` and pin
+1. split each group into slices of bounded size: for one dense integer order
+   key, ``key div 2^20`` (a slice holds at most 2^20 rows, keys being unique,
+   and density bounds the number of slices); otherwise range-partition the (narrow) rows by ``(group, order)`` and pin
    the partition number by writing the narrow table once to the shared
    checkpoint folder;
 2. per ``(group, partition)`` totals -> a table of at most
@@ -38,6 +38,18 @@ BROADCAST_ROWS = 500_000
 #: Width of an order-key bucket for integer keys: a bucket holds at most this
 #: many rows of a group (keys are unique within a group).
 BUCKET_WIDTH = 1 << 20
+#: Integer buckets are used only when keys are this dense or denser
+#: (key span <= MAX_SPARSITY x rows in every group), so a group has at most
+#: ~rows * MAX_SPARSITY / BUCKET_WIDTH buckets for the per-group base window.
+MAX_SPARSITY = 64
+
+
+def _dense_integer_key(df: DataFrame, group_cols: list[str], key: str) -> bool:
+    """One scalar from an aggregate: are the keys dense in every group?"""
+    span = F.max(key).cast("double") - F.min(key).cast("double") + F.lit(1.0)
+    per = df.groupBy(*group_cols).agg((span / F.count(F.lit(1))).alias("_sl_sparsity"))
+    worst = per.agg(F.max("_sl_sparsity")).first()[0]
+    return worst is None or worst <= MAX_SPARSITY
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
@@ -68,7 +80,12 @@ def running_total(
     val = F.coalesce(F.col(value) if isinstance(value, str) else value, F.lit(0)).cast("long")
 
     integral = {"tinyint", "smallint", "int", "bigint"}
-    if num_parts is None and len(order_cols) == 1 and dict(df.dtypes).get(order_cols[0]) in integral:
+    if (
+        num_parts is None
+        and len(order_cols) == 1
+        and dict(df.dtypes).get(order_cols[0]) in integral
+        and _dense_integer_key(df, group_cols, order_cols[0])
+    ):
         # Deterministic buckets of the key itself: no sampling job, no pinning write.
         key = f"`{order_cols[0]}`"
         keyed = df.withColumn("_sl_val", val).withColumn(_PART, F.expr(f"cast({key} as bigint) div {BUCKET_WIDTH}"))
