@@ -160,10 +160,14 @@ def delivery_order(batches: DataFrame) -> DataFrame:
     by the worker count), so they are read once and inlined."""
     counts = batches.groupBy("worker").agg((F.max("batch_id") + 1).alias("n")).collect()
     b, w = F.col("batch_id"), F.col("worker")
-    before = F.lit(0).cast("long")
-    for r in counts:
-        n = F.lit(int(r["n"])).cast("long")
-        before = before + F.least(n, b) + F.when((F.lit(int(r["worker"])) < w) & (n > b), 1).otherwise(0)
+    per_worker = F.array(
+        *[F.struct(F.lit(int(r["worker"])).alias("w"), F.lit(int(r["n"])).cast("long").alias("n")) for r in counts]
+    ).cast("array<struct<w:int,n:bigint>>")
+    before = F.aggregate(
+        per_worker,
+        F.lit(0).cast("long"),
+        lambda acc, x: acc + F.least(x["n"], b) + F.when((x["w"] < w) & (x["n"] > b), 1).otherwise(0),
+    )
     return batches.withColumn("delivery", before.cast("long"))
 
 
