@@ -7,6 +7,7 @@ DuckDB SQL written independently over the same tables.
 
 from __future__ import annotations
 
+import importlib.util
 import os
 import sys
 from collections.abc import Callable
@@ -397,12 +398,25 @@ def entry(spark: SparkSession) -> DataFrame:
     return q_pack_blocks(spark, "/root/testdata/sf0.001")
 
 
+def _llm():
+    """The module of the training-data operators, or None where that
+    subpackage (or the pipeline built on it) is not there.  An error inside
+    it is not swallowed."""
+    if importlib.util.find_spec("shardloom.llm") is None or importlib.util.find_spec("corpus_pipeline") is None:
+        return None
+    from shardloom.llm import queries as module
+
+    return module
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+    module = _llm()
+    return {**_QUERIES, **(module.queries() if module else {})}
 
 
 def oracle_sql() -> dict[str, str]:
     from checks.oracle import queries_sql
 
     sql = queries_sql()
-    return {k: v for k, v in sql.items() if k in _QUERIES}
+    module = _llm()
+    return {**{k: v for k, v in sql.items() if k in _QUERIES}, **(module.SQL if module else {})}
