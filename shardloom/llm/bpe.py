@@ -1,11 +1,11 @@
 """Byte-level BPE encoding and decoding with a hierarchical-bitmap rank queue.
 
-A pre-token is a linked list of byte runs.  Every adjacent pair that the rank
+Pre-tokens are linked lists of byte runs.  Every adjacent pair that the rank
 table can merge sits in the bucket of its rank; a two-level bitmap of the
-non-empty buckets gives the lowest rank by find-first-set, the bucket's heap
-the leftmost position.  A pair changed by a neighbouring merge leaves a stale
-entry, which is skipped when it comes up, so a pre-token of n bytes takes
-O(n log n) however long it is.
+non-empty buckets gives the lowest rank by find-first-set, and a bucket is
+worked off from left to right.  A pair changed by a neighbouring merge leaves a
+stale entry, which is skipped when it comes up, so n bytes take O(n log n)
+however long a pre-token is.
 
 Rows are independent: texts are encoded where they are scanned, without a
 shuffle.  The rank table (at most a few hundred thousand entries) is the only
@@ -19,9 +19,11 @@ each on their own.
 from __future__ import annotations
 
 import base64
+import gc
 import uuid
+from array import array
 from collections.abc import Iterator
-from heapq import heappop, heappush
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -32,8 +34,14 @@ from pyspark.sql import types as T
 
 from shardloom.llm.common import python_ready, small_batches
 
-#: Distinct strings whose ids a Python worker remembers, in each of two caches.
-CACHE_ENTRIES = 300_000
+#: Distinct strings whose ids a Python worker remembers, in each of two generations (about 200 bytes each).
+CACHED_UNITS = 400_000
+CACHED_PIECES = 400_000
+DECODE_ROWS = 512
+#: Text that is encoded together: what is new in it is learned before the next.
+BATCH_BYTES = 1 << 20
+#: New pre-tokens that share a queue (their lists then stay in the CPU's cache).
+TOGETHER = 512
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -42,124 +50,204 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(tok): int(rank) for tok, rank in (line.split() for line in f if line.strip())}
 
 
-def merge_piece(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """Ids of one pre-token: merges by lowest rank, leftmost first."""
-    whole = ranks.get(piece)
-    if whole is not None:
-        return [whole]
-    n = len(piece)
-    end = list(range(1, n + 1))  # the run that starts at i is piece[i:end[i]]
-    prev = list(range(-1, n - 1))  # start of the run before
-    pair: list[int | None] = [None] * n  # rank of the run at i joined to the next
-    buckets: dict[int, list[int]] = {}
-    words: dict[int, int] = {}  # 256 ranks a word
-    top = 0  # which words are not empty
-
-    def offer(i: int) -> None:
-        nonlocal top
-        j = end[i]
-        rank = pair[i] = ranks.get(piece[i : end[j]]) if j < n else None
-        if rank is None:
-            return
-        bucket = buckets.get(rank)
-        if bucket:
-            heappush(bucket, i)
-            return
-        buckets[rank] = [i]
-        w = rank >> 8
-        words[w] = words.get(w, 0) | 1 << (rank & 255)
-        top |= 1 << w
+class RankTable:
+    """The ranks, by token and by pair of ids."""
 
-    for i in range(n - 1):
-        offer(i)
+    def __init__(self, ranks: dict[bytes, int]):
+        self.ranks = ranks
+        self.byte_id = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
+        self.joins: list[dict[int, int]] = [{} for _ in range(max(ranks.values()) + 1)]  # left id -> right id -> rank
+        for token, rank in ranks.items():
+            for i in range(1, len(token)):
+                left, right = ranks.get(token[:i]), ranks.get(token[i:])
+                if left is not None and right is not None:
+                    self.joins[left][right] = rank
+        self.bytes_join = np.full((256, 256), -1, np.int32)
+        for a in range(256):
+            for b in range(256):
+                self.bytes_join[a, b] = ranks.get(bytes([a, b]), -1)
+
+
+def merge_pieces(pieces: list[bytes], table: RankTable) -> list[list[int]]:
+    """Ids of each pre-token: merges by lowest rank, leftmost first.
+
+    All pieces share one linked list (a node is the place of its first byte, a
+    node merged into its left neighbour is dead) with a gap after each piece,
+    and one queue.  A popped bucket is worked off from left to right; should a
+    merge make a pair of a lower rank, the rest of the bucket waits for it."""
+    joins = table.joins
+    data = np.frombuffer(b"\0".join([*pieces, b""]), np.uint8)
+    gaps = np.cumsum([len(p) + 1 for p in pieces]) - 1
+    first_ids = table.byte_id[data]
+    first_ids[gaps] = -1
+    ranks = np.full(len(data), -1, np.int32)  # of a node and its right neighbour
+    ranks[:-1] = table.bytes_join[data[:-1], data[1:]]
+    ranks[gaps] = ranks[gaps - 1] = -1
+    places = np.flatnonzero(ranks >= 0)
+    places = places[np.argsort(ranks[places], kind="stable")]
+    live, starts = np.unique(ranks[places], return_index=True)
+    places, starts = places.tolist(), [*starts.tolist(), len(places)]
+    live = live.tolist()
+    buckets = {r: places[a:b] for r, a, b in zip(live, starts, starts[1:])}
+    ids, rank_at = first_ids.tolist(), ranks.tolist()
+    words: dict[int, int] = {}  # bitmap of the ranks that have a bucket, 256 a word
+    for rank in buckets:
+        words[rank >> 8] = words.get(rank >> 8, 0) | 1 << (rank & 255)
+    top = 0  # bitmap of the words that are not empty
+    for w in words:
+        top |= 1 << w
+    after, before = list(range(1, len(ids) + 1)), list(range(-1, len(ids) - 1))
     while top:
         w = (top & -top).bit_length() - 1
         bits = words[w]
         rank = w << 8 | (bits & -bits).bit_length() - 1
-        bucket = buckets[rank]
-        i = heappop(bucket)
-        if not bucket:
-            words[w] = bits & (bits - 1)
-            if not words[w]:
-                top &= top - 1
-        if pair[i] != rank:
-            continue  # stale
-        j = end[i]
-        k = end[i] = end[j]
-        pair[j] = None
-        if k < n:
-            prev[k] = i
-        offer(i)
-        if prev[i] >= 0:
-            offer(prev[i])
-    ids, i = [], 0
-    while i < n:
-        ids.append(ranks[piece[i : end[i]]])
-        i = end[i]
-    return ids
-
-
-class _Unsplittable(Exception):
-    """A blank-separated unit whose pre-tokens depend on its neighbours."""
-
-
-class _Pieces(dict):
-    """Pre-token -> its ids as int32 bytes."""
-
-    def __init__(self, ranks):
-        self.ranks = ranks
-
-    def __missing__(self, piece: str) -> bytes:
-        ids = np.array(merge_piece(piece.encode(), self.ranks), dtype=np.int32).tobytes()
-        if len(piece) <= 64:
-            if len(self) >= CACHE_ENTRIES:
-                self.clear()
-            self[piece] = ids
-        return ids
-
-
-class _Units(dict):
-    """What stands between two single blanks -> ids of blank + unit.
-
-    The split pattern attaches a single blank to a non-blank that follows it,
-    so the blank starts a pre-token whatever stands before, unless the unit is
-    empty or white space touches its edges (then the text is split whole).
-    """
-
-    def __init__(self, pieces: _Pieces, findall):
-        self.pieces, self.findall = pieces, findall
-
-    def __missing__(self, unit: str) -> bytes:
-        if not unit or unit[0].isspace() or unit[-1].isspace():
-            raise _Unsplittable
-        ids = b"".join(map(self.pieces.__getitem__, self.findall(" " + unit)))
-        if len(unit) <= 64:
-            if len(self) >= CACHE_ENTRIES:
-                self.clear()
-            self[unit] = ids
-        return ids
+        words[w] = bits = bits & (bits - 1)
+        if not bits:
+            top &= top - 1
+        bucket = buckets.pop(rank)
+        bucket.sort()
+        joins_rank = joins[rank].get
+        for place, i in enumerate(bucket):
+            if rank_at[i] != rank:
+                continue  # stale: the node or its neighbour has changed
+            j = after[i]
+            k = after[i] = after[j]  # the gap at the latest
+            before[k] = i
+            ids[i], ids[j], rank_at[j] = rank, -1, -1
+            right = ids[k]
+            p = before[i]
+            left = ids[p] if p >= 0 else -1
+            new = rank_at[i] = joins_rank(right, -1) if right >= 0 else -1
+            least = rank
+            if new >= 0:
+                if new in buckets:
+                    buckets[new].append(i)
+                else:
+                    buckets[new] = [i]
+                    w = new >> 8
+                    words[w] = words.get(w, 0) | 1 << (new & 255)
+                    top |= 1 << w
+                if new < least:
+                    least = new
+            if left >= 0:
+                new = rank_at[p] = joins[left].get(rank, -1)
+                if new >= 0:
+                    if new in buckets:
+                        buckets[new].append(p)
+                    else:
+                        buckets[new] = [p]
+                        w = new >> 8
+                        words[w] = words.get(w, 0) | 1 << (new & 255)
+                        top |= 1 << w
+                    if new < least:
+                        least = new
+            if least < rank:
+                if rest := bucket[place + 1 :]:
+                    buckets[rank] = buckets.get(rank, []) + rest
+                    w = rank >> 8
+                    words[w] = words.get(w, 0) | 1 << (rank & 255)
+                    top |= 1 << w
+                break
+    out, at = [], 0
+    for gap in gaps.tolist():
+        out.append([x for x in ids[at:gap] if x >= 0])
+        at = gap + 1
+    return out
+
+
+class _Remembered:
+    """Two generations of at most ``entries`` strings: when the young one is
+    full it becomes the old one, so what is asked for again stays."""
+
+    def __init__(self, entries: int):
+        self.entries, self.young, self.old = entries, {}, {}
+
+    def turn(self) -> None:
+        if len(self.young) > self.entries:
+            self.young, self.old = {}, self.young
+
+    def missing(self, keys: Iterator[str]) -> list[str]:
+        """Those of the distinct ``keys`` that are in neither generation; the others are made young."""
+        out, old, young = [], self.old.get, self.young
+        for key in keys:
+            held = old(key)
+            if held is None:
+                out.append(key)
+            else:
+                young[key] = held
+        return out
 
 
 class Encoder:
-    """Text -> int32 ids, with bounded memory for pre-tokens seen before."""
+    """Texts -> int32 ids.
+
+    A text is cut at single blanks first.  The split pattern attaches a single
+    blank to a non-blank that follows it, so a blank starts a pre-token whatever
+    stands before it, and the ids of blank + unit do not depend on the
+    neighbours - unless a unit is empty or white space touches its edges; then
+    the text is split whole.  Ids of units and pre-tokens seen lately are
+    remembered; what is new in a batch goes through one queue together."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.findall = regex.compile(pattern).findall
-        self.pieces = _Pieces(ranks)
-        self.units = _Units(self.pieces, self.findall)
+        self.units, self.pieces = _Remembered(CACHED_UNITS), _Remembered(CACHED_PIECES)
+        self.table = RankTable(ranks)
+
+    def _learn_pieces(self, pieces: set[str]) -> None:
+        """Make every piece young."""
+        young = self.pieces.young
+        new = self.pieces.missing(p for p in pieces if p not in young)
+        data = [p.encode() for p in new]
+        whole = list(map(self.table.ranks.get, data))
+        split = [d for d, w in zip(data, whole, strict=True) if w is None]
+        for start in range(0, len(split), TOGETHER):
+            some = split[start : start + TOGETHER]
+            for d, ids in zip(some, merge_pieces(some, self.table), strict=True):
+                young[d.decode()] = array("i", ids).tobytes()
+        for p, w in zip(new, whole, strict=True):
+            if w is not None:
+                young[p] = array("i", (w,)).tobytes()
+
+    def batch(self, texts: list[str | None]) -> list[bytes]:
+        """Ids of each text, as the bytes of an int32 array."""
+        self.units.turn()
+        self.pieces.turn()
+        known, findall = self.units.young, self.findall
+        get, unknown = known.get, repeat(b"")
+        firsts, looked, asked = [], [], []  # of each text: first unit; ids of the others (empty: not known); units not known
+        for t in texts:
+            first, blank, rest = t.partition(" ") if t else ("", "", "")
+            units = rest.split(" ") if blank else []
+            ids = list(map(get, units, unknown))
+            firsts.append(first)
+            looked.append(ids)
+            asked.append([] if all(ids) else [u for u, x in zip(units, ids, strict=True) if not x])
+        split: dict[str, list[str]] = {}
+        joined = set()  # units that cannot stand alone
+        for u in self.units.missing(set().union(*asked)):
+            if u.isalpha():
+                split[u] = [" " + u]
+            elif not u or u[0].isspace() or u[-1].isspace():
+                joined.add(u)
+            else:
+                split[u] = findall(" " + u)
+        odd = [bool(t) and (not f or f[-1].isspace() or not joined.isdisjoint(new)) for t, f, new in zip(texts, firsts, asked, strict=True)]
+        heads = [findall(t if o else f) if t else [] for t, f, o in zip(texts, firsts, odd, strict=True)]
+        self._learn_pieces({p for parts in split.values() for p in parts}.union(*heads))
+        piece = self.pieces.young.__getitem__
+        for u, parts in split.items():
+            known[u] = b"".join(map(piece, parts))
+        out = []
+        for ids, new, head, o in zip(looked, asked, heads, odd, strict=True):
+            parts = list(map(piece, head))
+            if not o:
+                late = map(known.__getitem__, new)
+                parts += [x or next(late) for x in ids] if new else ids
+            out.append(b"".join(parts))
+        return out
 
     def __call__(self, text: str | None) -> bytes:
-        """Ids as the bytes of an int32 array."""
-        if not text:
-            return b""
-        first, *rest = text.split(" ")
-        if first and not first[-1].isspace():
-            try:
-                tail = b"".join(map(self.units.__getitem__, rest))
-                return b"".join(map(self.pieces.__getitem__, self.findall(first))) + tail
-            except _Unsplittable:
-                pass
-        return b"".join(map(self.pieces.__getitem__, self.findall(text)))
+        return self.batch([text])[0]
 
 
 _WORKER: dict[str, Encoder] = {}
@@ -187,9 +275,10 @@ def encode_documents(
             _WORKER.clear()
             _WORKER[token] = Encoder(*shared.value)
         encode = _WORKER[token]
+        gc.disable()  # strings and lists only: no cycles, and many to walk
         for batch in batches:
-            for part in small_batches(batch, at):
-                ids = _lists([encode(t) for t in part.column(at).to_pylist()])
+            for part in small_batches(batch, at, BATCH_BYTES):
+                ids = _lists(encode.batch(part.column(at).to_pylist()))
                 yield pa.RecordBatch.from_arrays([*part.columns, ids], names=[*kept, out])
 
     return docs.select(*kept).mapInArrow(run, schema)
@@ -199,25 +288,38 @@ def decode_documents(tokens: DataFrame, ranks: dict[bytes, int], *, ids: str = "
     """``tokens`` plus ``out``: the bytes (binary) that its ids stand for."""
     spark = tokens.sparkSession
     python_ready(spark)
-    table: list[bytes | None] = [None] * (max(ranks.values(), default=-1) + 1)
+    size = max(ranks.values(), default=-1) + 1
+    lengths = np.zeros(size, np.int64)
     for tok, rank in ranks.items():
-        table[rank] = tok
-    shared = spark.sparkContext.broadcast(table)
+        lengths[rank] = len(tok)
+    blob = b"".join(tok for tok, _ in sorted(ranks.items(), key=lambda x: x[1]))
+    shared = spark.sparkContext.broadcast((blob, lengths))
     kept = [c for c in tokens.columns if c != out]
     schema = T.StructType([*tokens.select(*kept).schema.fields, T.StructField(out, T.BinaryType())])
     at = kept.index(ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token = shared.value.__getitem__
+        blob, lengths = shared.value
+        blob, starts = np.frombuffer(blob, np.uint8), np.cumsum(lengths) - lengths
         for batch in batches:
-            for start in range(0, batch.num_rows, 512):
-                part = batch.slice(start, 512)
-                texts = [b"".join(map(token, x or ())) for x in part.column(at).to_pylist()]
+            for start in range(0, batch.num_rows, DECODE_ROWS):
+                part = batch.slice(start, DECODE_ROWS)
+                texts = [_decode(x, blob, starts, lengths) for x in part.column(at)]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.binary())], names=[*kept, out])
 
     return tokens.select(*kept).mapInArrow(run, schema)
 
 
+def _decode(ids: pa.ListScalar, blob: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> bytes:
+    """Gather the ids' bytes from the concatenated tokens."""
+    if not ids.is_valid or not len(ids.values):
+        return b""
+    at = ids.values.to_numpy()
+    size = lengths[at]
+    ends = np.cumsum(size)
+    return blob[np.arange(ends[-1]) + np.repeat(starts[at] - (ends - size), size)].tobytes()
+
+
 def ids_sha256(ids) -> F.Column:
     """SHA-256, in lower-case hex, of the decimal ids joined by commas."""
     return F.sha2(F.concat_ws(",", F.col(ids).cast("array<string>")), 256)
