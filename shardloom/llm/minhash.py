@@ -10,10 +10,11 @@
    a pair is pruned once P(similarity >= threshold) falls under ``MISS``.
 4. Survivors are verified exactly on their full sets, and linked.
 5. A bucket whose members are then still in different components is compared
-   completely: cut into blocks of ``BLOCK`` members, one group for each pair of
-   blocks, every pair of members pruned and verified as above unless it is
-   connected already.  A group returns a spanning set of links, never all its
-   pairs, and no group holds more than two blocks, however large the bucket.
+   across components, pruned and verified as above.  Buckets of over ``SMALL``
+   members that share members are one crowd: its members outside its commonest
+   component are probes, compared with all its members in tasks of about
+   ``BLOCK`` probes by ``BLOCK`` members, however large the crowd.  A task
+   returns links that join components, never all its pairs.
 6. Connected components over the links.
 
 No pair of a bucket is skipped, so a link is lost only if its sets share no
@@ -46,7 +47,8 @@ ROWS, BANDS = 5, 30
 HASHES = ROWS * BANDS
 STEP = 25  # signature values compared before each look at the posterior
 MISS = 1e-7
-BLOCK = 256
+SMALL = 64  # members of a bucket that is compared as it is
+BLOCK = 512
 _M1, _M2, _M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
 
 
@@ -189,24 +191,42 @@ def _verify(threshold: int):
     return run
 
 
-def _resolve(threshold: int):
+def _cross(threshold: int):
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        """All pairs across the two blocks (or inside the one) that no link connects yet."""
-        own = rows["i"].iloc[0] == rows["j"].iloc[0]
-        sig = _matrix(rows["sig"])
-        sets = [np.frombuffer(x, np.uint64) for x in rows["hashes"]]
-        side, comp, node = rows["block"].to_numpy(), rows["component"].to_numpy().copy(), rows["node"].to_numpy()
-        links = []
-        for x in range(len(rows)):
-            other = comp != comp[x]
-            other &= (np.arange(len(rows)) > x) if own else (side > side[x])
-            at = np.flatnonzero(other)
+        """Pairs of a small bucket that are in different components and are not
+        pruned; those of its first member have been seen before."""
+        rows = rows.sort_values("node")
+        sig, node, comp = _matrix(rows["sig"]), rows["node"].to_numpy(), rows["component"].to_numpy()
+        out = []
+        for x in range(1, len(rows) - 1):
+            at = x + 1 + np.flatnonzero(comp[x + 1 :] != comp[x])
+            if len(at):
+                keep = at[_survivors(np.repeat(sig[x : x + 1], len(at), 0), sig[at], threshold)]
+                out += [(node[x], node[y]) for y in keep]
+        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+
+    return run
+
+
+def _probe(threshold: int):
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        """Every probe against every member of the block: pruned, verified, and
+        linked where no link found here connects the two yet."""
+        members, probes = rows[~rows["probe"]], rows[rows["probe"]]
+        sig, node = _matrix(members["sig"]), members["node"].to_numpy()
+        sets = [np.frombuffer(x, np.uint64) for x in members["hashes"]]
+        comp, own, links = members["component"].to_numpy().copy(), probes["component"].to_numpy().copy(), []
+        for p, (name, values, hashes) in enumerate(zip(probes["node"], probes["sig"], probes["hashes"], strict=True)):
+            at = np.flatnonzero(comp != own[p])
             if not len(at):
                 continue
-            for y in at[_survivors(np.repeat(sig[x : x + 1], len(at), 0), sig[at], threshold)]:
-                if comp[x] != comp[y] and _alike(sets[x], sets[y], threshold):
-                    links.append((node[x], node[y]))
-                    comp[comp == comp[y]] = comp[x]
+            mine, hashes = _matrix([values]), np.frombuffer(hashes, np.uint64)
+            for y in at[_survivors(np.repeat(mine, len(at), 0), sig[at], threshold)]:
+                if comp[y] != own[p] and _alike(hashes, sets[y], threshold):
+                    links.append((name, node[y]))
+                    old, new = comp[y], own[p]
+                    comp[comp == old] = new
+                    own[own == old] = new
         return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
 
     return run
@@ -258,14 +278,11 @@ def _link(rows: DataFrame, k: int, threshold: int) -> DataFrame:
     placed = stage(placed, "placed")
     mixed = placed.where("size > 2").groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
     mixed = stage(mixed.where("lo != hi").select("bucket"), "mixed")
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    open_rows = placed.join(mixed, "bucket").withColumn("blocks", blocks)
-    open_rows = open_rows.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    partner = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    tasks = open_rows.select("bucket", "node", "component", "block", partner.alias("other"))
-    tasks = tasks.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other")).drop("other")
-    tasks = stage(tasks, "blocks").join(sigs, "node").join(sets, "node")
-    more = tasks.groupBy("bucket", "i", "j").applyInPandas(_resolve(threshold), "a long, b long")
+    rest = stage(placed.join(mixed, "bucket"), "mixed-members")
+    small = rest.where(F.col("size") <= SMALL).select("bucket", "node", "component").join(sigs, "node")
+    more = stage(small.groupBy("bucket").applyInPandas(_cross(threshold), "a long, b long").distinct(), "cross")
+    more = more.join(right, "b").join(left, "a").select("a", "b", "x", "y").mapInArrow(_verify(threshold), "a long, b long")
+    more = more.unionByName(_crowded(rest.where(F.col("size") > SMALL), sigs, sets, threshold))
     more = stage(more, "more-links")
     if not more.isEmpty():
         found = components(links.unionByName(more))
@@ -284,6 +301,30 @@ def _link(rows: DataFrame, k: int, threshold: int) -> DataFrame:
     )
 
 
+def _crowded(rows: DataFrame, sigs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
+    """Links across components inside large buckets.
+
+    Large buckets that share members are one crowd.  All its members outside
+    its commonest component are probes; each is compared with every member of
+    the crowd, in tasks of about ``BLOCK`` probes by ``BLOCK`` members."""
+    crowd = components(rows.select(F.col("head").alias("a"), F.col("node").alias("b")).distinct())
+    crowd = crowd.select("node", F.col("component").alias("crowd"))
+    people = stage(rows.select("node", "component").distinct().join(crowd, "node"), "crowds")
+    shares = people.groupBy("crowd", "component").agg(F.count("*").alias("n"))
+    shares = shares.groupBy("crowd").agg(F.max(F.struct("n", "component")).alias("top"), F.sum("n").alias("n"))
+    parts = lambda n: F.ceil(n / BLOCK).cast("long")
+    shares = shares.select(
+        "crowd", F.col("top.component").alias("main"), parts(F.col("n")).alias("blocks"), parts(F.col("n") - F.col("top.n")).alias("chunks")
+    )
+    people = stage(people.join(stage(shares, "shares"), "crowd"), "crowd-members")
+    block, chunk = F.pmod(F.xxhash64("node"), F.col("blocks")), F.pmod(F.xxhash64("node"), F.col("chunks"))
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    members = people.where("chunks > 0").select("crowd", "node", "component", F.lit(False).alias("probe"), block.alias("block"), every("chunks").alias("chunk"))
+    probes = people.where("component != main").select("crowd", "node", "component", F.lit(True).alias("probe"), every("blocks").alias("block"), chunk.alias("chunk"))
+    tasks = stage(members.unionByName(probes), "tasks").join(sigs, "node").join(sets, "node")
+    return tasks.groupBy("crowd", "block", "chunk").applyInPandas(_probe(threshold), "a long, b long")
+
+
 def deduplicate(
     docs: DataFrame, *, k: int = SHINGLE, threshold: int = THRESHOLD, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
