@@ -16,7 +16,7 @@ equal records count with their number; empty replicas give no rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shardloom.llm.common import stage
@@ -28,34 +28,39 @@ FILE_PAGES = 512
 
 
 def warc_records(pages: DataFrame, *, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
-    """(file, page_id, offset, length, payload): pages as WARC response records.
+    """(file, page_id, length, payload): pages as WARC response records.
 
-    A file takes a span of ``FILE_PAGES`` page ids (null ids: a file of their
-    own); offsets are running totals of lengths by page id, computed in two
-    levels, so no file is sorted in one task.
-    """
+    A file takes a span of ``FILE_PAGES`` page ids (null ids: a file of their own)."""
     body, uri = F.coalesce(F.col(html), F.lit("")), F.coalesce(F.col(url), F.lit(""))
     payload = F.concat(
         F.lit("WARC/1.1\r\nWARC-Type: response\r\nWARC-Target-URI: "), uri, F.lit("\r\nContent-Length: "),
         F.octet_length(body).cast("string"), F.lit("\r\n\r\n"), body, F.lit("\r\n\r\n"),
     )
     span = F.floor(F.col(page_id) / FILE_PAGES).cast("string")
-    rows = pages.select(
-        F.concat(F.lit("crawl-"), F.coalesce(span, F.lit("none")), F.lit(".warc")).alias("file"),
-        F.col(page_id).alias("page_id"), F.monotonically_increasing_id().alias("rid"), payload.alias("payload"),
-    )
-    rows = stage(rows.withColumn("length", F.octet_length("payload").cast("long")), "records")
-    narrow = rows.select("file", F.coalesce("page_id", F.lit(-1)).alias("place"), "rid", "length")
-    offsets = running_total(narrow, ["file"], ["place", "rid"], "length", "offset").select("rid", "offset")
-    return rows.join(offsets, "rid").select("file", "page_id", "offset", "length", "payload")
+    file = F.concat(F.lit("crawl-"), F.coalesce(span, F.lit("none")), F.lit(".warc"))
+    rows = pages.select(file.alias("file"), F.col(page_id).alias("page_id"), payload.alias("payload"))
+    return rows.withColumn("length", F.octet_length("payload").cast("long"))
+
+
+def digest(payload: Column) -> Column:
+    return F.coalesce(F.sha2(payload.cast("binary"), 256), F.lit("null"))
+
+
+def lay_out(records: DataFrame) -> DataFrame:
+    """Narrow ``records`` (file, page_id, length and digests, no payload) plus
+    ``offset``: the running total of lengths by page id, computed in two
+    levels, so no file is sorted in one task."""
+    cols = records.columns
+    rows = stage(records.withColumn("__ll_rid", F.monotonically_increasing_id()), "records")
+    narrow = rows.select("file", F.coalesce("page_id", F.lit(-1)).alias("place"), "__ll_rid", "length")
+    offsets = running_total(narrow, ["file"], ["place", "__ll_rid"], "length", "offset").select("__ll_rid", "offset")
+    return stage(rows.join(offsets, "__ll_rid").select(*cols, "offset"), "laid-out")
 
 
-def record_digests(records: DataFrame) -> DataFrame:
-    """(file, offset, length, digest): one row per distinct record, staged."""
-    digest = F.coalesce(F.sha2(F.col("payload").cast("binary"), 256), F.lit("null"))
-    rows = records.select("file", "offset", "length", digest.alias("digest"))
-    rows = rows.groupBy("file", "offset", "length", "digest").agg(F.count("*").alias("copies"))
-    return stage(rows, "digests")
+def distinct_records(replica: DataFrame) -> DataFrame:
+    """(file, offset, length, digest, copies): one row per distinct record, staged."""
+    rows = replica.groupBy("file", "offset", "length", "digest").agg(F.count("*").alias("copies"))
+    return stage(rows, "replica")
 
 
 def tree(digests: DataFrame, depth: int) -> DataFrame:
@@ -84,9 +89,10 @@ def _mismatches(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def audit(first: DataFrame, second: DataFrame) -> DataFrame:
-    """Records that differ between two replicas: file, offset, and for each side
-    its length and digest; status is changed, missing (in the second) or extra."""
-    a, b = record_digests(first), record_digests(second)
+    """Records that differ between two replicas, each a table (file, offset,
+    length, digest): file, offset, and for each side its length and digest;
+    status is changed, missing (in the second) or extra."""
+    a, b = distinct_records(first), distinct_records(second)
     furthest = max(x.agg(F.max(F.floor(F.col("offset") / RANGE))).first()[0] or 0 for x in (a, b))
     depth = 0
     while furthest >= FANOUT**depth:

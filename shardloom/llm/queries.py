@@ -96,8 +96,13 @@ def replicas(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     records = fixity.warc_records(read(spark, sf_dir, "pages"))
     page = F.col("page_id")
     broken = F.concat(F.expr("substring(payload, 1, length(payload) - 4)"), F.lit("#\n\r\n"))
-    first = records.where(page % 197 != 11)
-    second = records.where(page % 101 != 13).withColumn("payload", F.when(page % 53 == 7, broken).otherwise(F.col("payload")))
+    stored = F.when(page % 53 == 7, broken).otherwise(F.col("payload"))
+    digests = [fixity.digest(F.col("payload")).alias("whole"), fixity.digest(stored).alias("stored")]
+    laid = fixity.lay_out(records.select("file", "page_id", "length", *digests))
+    kept = F.coalesce(page % 197 != 11, F.lit(True)), F.coalesce(page % 101 != 13, F.lit(True))
+    first, second = (
+        laid.where(k).select("file", "offset", "length", F.col(d).alias("digest")) for k, d in zip(kept, ("whole", "stored"), strict=True)
+    )
     return first, second
 
 
