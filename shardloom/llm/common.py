@@ -15,7 +15,7 @@ from shardloom.session import scratch_path, ship_package
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 #: Largest table, in bytes of its values, that is sent to every executor.
-BROADCAST_BYTES = 64 << 20
+BROADCAST_BYTES = 32 << 20
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:

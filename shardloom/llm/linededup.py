@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shardloom.llm.common import python_ready, small_batches, stage
+from shardloom.llm.common import broadcast_within, python_ready, small_batches, stage
 
 RUN = 40
 GRAM = 20
@@ -176,6 +176,7 @@ def dedup_report(
     runs = runs.where(F.size("runs") > 0).groupBy("rid").agg(F.flatten(F.collect_list("runs")).alias("__ll_runs"))
     runs = stage(runs.withColumnRenamed("rid", "__ll_rid"), "runs")
 
+    runs = broadcast_within(runs, F.size("__ll_runs") * 16 + 32)  # within the bound, texts are not shuffled
     joined = held.join(runs, "__ll_rid", "left").select(*cols, "__ll_runs")
     names = [*cols, *REPORT]
     schema = T.StructType([*docs.schema.fields, *(T.StructField(c, T.LongType()) for c in REPORT)])
