@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shardloom.llm.common import python_ready, small_batches, stage
+from shardloom.llm.common import broadcast_within, python_ready, small_batches, stage
 from shardloom.llm.components import components
 
 SHINGLE = 5
@@ -249,7 +249,7 @@ def _link(rows: DataFrame, k: int, threshold: int) -> DataFrame:
     keyed = stage(sketch.drop("sig").join(ids, "rid"), "keyed")
     classes = keyed.where("n > 0").groupBy("k1", "k2").agg(F.min("rid").alias("node"), F.min("doc_id").alias("low"))
     classes = stage(classes, "classes")
-    reps = sketch.select(F.col("rid").alias("node"), "sig").join(classes.select("node"), "node", "left_semi")
+    reps = sketch.select(F.col("rid").alias("node"), "sig").join(_ids(classes.select("node")), "node", "left_semi")
     buckets = stage(reps.mapInArrow(_bands, "bucket long, node long"), "bands")
     heads = buckets.groupBy("bucket").agg(
         F.min("node").alias("head"), F.count("*").alias("size"), F.bit_xor(F.xxhash64("node")).alias("mark")
@@ -257,7 +257,7 @@ def _link(rows: DataFrame, k: int, threshold: int) -> DataFrame:
     # bands that hold the same members name one bucket
     heads = heads.where("size > 1").groupBy("head", "size", "mark").agg(F.min("bucket").alias("bucket"))
     members = stage(buckets.join(stage(heads.drop("mark"), "heads"), "bucket"), "members")
-    involved = members.select("node").distinct()
+    involved = _ids(stage(members.select("node").distinct(), "involved"))  # within the bound, texts are not shuffled
     some = texts.withColumnRenamed("rid", "node").join(involved, "node", "left_semi")
     sets = some.mapInArrow(_set_rows(k), "node long, hashes binary")
     sigs = sketch.select(F.col("rid").alias("node"), "sig").join(involved, "node", "left_semi")
@@ -301,6 +301,11 @@ def _link(rows: DataFrame, k: int, threshold: int) -> DataFrame:
     )
 
 
+def _ids(ids: DataFrame) -> DataFrame:
+    """A one-column table of row places, broadcast if its size is within the bound."""
+    return broadcast_within(ids, F.lit(24))
+
+
 def _crowded(rows: DataFrame, sigs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
     """Links across components inside large buckets.
 
@@ -338,4 +343,4 @@ def deduplicate(
     linked = _link(rows, k, threshold)
     first = linked.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
     first = first.groupBy("component").agg(F.min("rid").alias("__ll_rid")).select("__ll_rid")
-    return held.join(first, "__ll_rid", "left_semi").select(*cols)
+    return held.join(_ids(stage(first, "first")), "__ll_rid", "left_semi").select(*cols)
