@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shardloom.llm.common import ascii_lower, broadcast_within, row_key
+from shardloom.llm.common import ascii_lower, broadcast_within, row_key, stage
 
 #: Fixed value: what separates words (the complement of the word pattern).
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -97,11 +97,11 @@ def remove(
 ) -> DataFrame:
     """``docs`` without contaminated documents, or (``mode="spans"``) with the
     hit words and what separates them from the next word taken out."""
-    found = hits(docs, bench, n, doc_id=doc_id, text=text)
+    found = stage(hits(docs, bench, n, doc_id=doc_id, text=text), "hits")
     cols = docs.columns
     keyed = docs.withColumn("__ll_key", row_key(F.col(doc_id), F.col(text)))
     if mode == "documents":
-        found = found.select(F.col("row_key").alias("__ll_key"))
+        found = broadcast_within(found.select(F.col("row_key").alias("__ll_key")), F.lit(64))
         return keyed.join(found, "__ll_key", "left_anti").select(*cols)
     if mode != "spans":
         raise ValueError("mode is 'documents' or 'spans'")
@@ -112,6 +112,7 @@ def remove(
     left = F.array_except(F.sequence(F.lit(0), F.size("__ll_w") - 1), "__ll_pos")
     cut = F.concat(head, F.array_join(F.transform(left, lambda i: F.get("__ll_w", i)), ""))
     found = found.select(F.col("row_key").alias("__ll_key"), F.col("positions").alias("__ll_pos"))
+    found = broadcast_within(found, F.size("__ll_pos") * 4 + 64)
     joined = keyed.join(found, "__ll_key", "left").withColumn("__ll_w", F.when(F.col("__ll_pos").isNotNull(), pieces))
     new = F.when(F.col("__ll_pos").isNull(), F.col(text)).otherwise(cut).alias(text)
     return joined.select(*[new if c == text else F.col(c) for c in cols])
