@@ -85,17 +85,30 @@ def _expand(x: list[float]) -> list[float]:
     return [1.0, 10.0 * diff, dense, plain, plain * plain]
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
-    """Newton steps; classes weighted equally so that the curve does not lean on their shares."""
+def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1) -> np.ndarray:
+    """Damped Newton steps on the ridge-penalised loss (convex, and every step
+    lowers it); classes weighted equally so that the curve does not lean on
+    their shares."""
     weight = np.where(y > 0, 0.5 / max(y.mean(), 1e-9), 0.5 / max(1 - y.mean(), 1e-9))
+    sign = 2 * y - 1
+
+    def loss(w: np.ndarray) -> float:
+        return float(weight @ np.logaddexp(0, -sign * (x @ w)) + ridge / 2 * w @ w)
+
     w = np.zeros(x.shape[1])
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+    now = loss(w)
+    for _ in range(100):
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -500, 500)))
         grad = x.T @ (weight * (p - y)) + ridge * w
         hess = (x * (weight * p * (1 - p))[:, None]).T @ x + ridge * np.eye(x.shape[1])
-        step = np.linalg.solve(hess, grad)
-        w -= step
-        if np.abs(step).max() < 1e-8:
+        step, size = np.linalg.solve(hess, grad), 1.0
+        while size > 1e-9 and loss(w - size * step) > now - 1e-4 * size * float(grad @ step):
+            size /= 2
+        if size <= 1e-9:
+            break
+        w = w - size * step
+        before, now = now, loss(w)
+        if before - now < 1e-9 * max(1.0, now):
             break
     return w
 
