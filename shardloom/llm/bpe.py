@@ -35,8 +35,8 @@ from pyspark.sql import types as T
 from shardloom.llm.common import python_ready, small_batches
 
 #: Distinct strings whose ids a Python worker remembers, in each of two generations (about 200 bytes each).
-CACHED_UNITS = 400_000
-CACHED_PIECES = 400_000
+CACHED_UNITS = 150_000
+CACHED_PIECES = 200_000
 DECODE_ROWS = 512
 #: Text that is encoded together: what is new in it is learned before the next.
 BATCH_BYTES = 1 << 20
@@ -259,16 +259,21 @@ def _lists(chunks: list[bytes]) -> pa.ListArray:
 
 
 def encode_documents(
-    docs: DataFrame, ranks: dict[bytes, int], pattern: str, *, text: str = "text", out: str = "ids", name: str = ""
+    docs: DataFrame, ranks: dict[bytes, int], pattern: str, *, text: str = "text", out: str = "ids", decoded: str | None = None
 ) -> DataFrame:
-    """``docs`` plus ``out``: array<int> of token ids of the whole text."""
+    """``docs`` plus ``out``: array<int> of token ids of the whole text, and if
+    asked ``decoded``: the bytes those ids decode to (the same as
+    ``decode_documents`` gives, without another worker)."""
     spark = docs.sparkSession
     python_ready(spark)
     shared = spark.sparkContext.broadcast((ranks, pattern))
     token = uuid.uuid4().hex
-    kept = [c for c in docs.columns if c != out]
-    schema = T.StructType([*docs.select(*kept).schema.fields, T.StructField(out, T.ArrayType(T.IntegerType(), False))])
-    at = kept.index(text)
+    kept = [c for c in docs.columns if c not in (out, decoded)]
+    added = [T.StructField(out, T.ArrayType(T.IntegerType(), False))]
+    added += [T.StructField(decoded, T.BinaryType())] if decoded else []
+    schema = T.StructType([*docs.select(*kept).schema.fields, *added])
+    at, names = kept.index(text), [*kept, *(f.name for f in added)]
+    tokens = token_bytes(ranks) if decoded else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if token not in _WORKER:  # a reused worker keeps what it remembers
@@ -276,35 +281,43 @@ def encode_documents(
             _WORKER[token] = Encoder(*shared.value)
         encode = _WORKER[token]
         gc.disable()  # strings and lists only: no cycles, and many to walk
-        for batch in batches:
-            for part in small_batches(batch, at, BATCH_BYTES):
-                ids = _lists(encode.batch(part.column(at).to_pylist()))
-                yield pa.RecordBatch.from_arrays([*part.columns, ids], names=[*kept, out])
+        try:
+            for batch in batches:
+                for part in small_batches(batch, at, BATCH_BYTES):
+                    ids = _lists(encode.batch(part.column(at).to_pylist()))
+                    more = [pa.array([_decode(x, *tokens) for x in ids], pa.binary())] if tokens else []
+                    yield pa.RecordBatch.from_arrays([*part.columns, ids, *more], names=names)
+        finally:
+            gc.enable()
+            pa.default_memory_pool().release_unused()
 
     return docs.select(*kept).mapInArrow(run, schema)
 
 
+def token_bytes(ranks: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All tokens' bytes by rank, and where each starts and how long it is."""
+    lengths = np.zeros(max(ranks.values(), default=-1) + 1, np.int64)
+    for tok, rank in ranks.items():
+        lengths[rank] = len(tok)
+    blob = b"".join(tok for tok, _ in sorted(ranks.items(), key=lambda x: x[1]))
+    return np.frombuffer(blob, np.uint8), np.cumsum(lengths) - lengths, lengths
+
+
 def decode_documents(tokens: DataFrame, ranks: dict[bytes, int], *, ids: str = "ids", out: str = "decoded") -> DataFrame:
     """``tokens`` plus ``out``: the bytes (binary) that its ids stand for."""
     spark = tokens.sparkSession
     python_ready(spark)
-    size = max(ranks.values(), default=-1) + 1
-    lengths = np.zeros(size, np.int64)
-    for tok, rank in ranks.items():
-        lengths[rank] = len(tok)
-    blob = b"".join(tok for tok, _ in sorted(ranks.items(), key=lambda x: x[1]))
-    shared = spark.sparkContext.broadcast((blob, lengths))
+    shared = spark.sparkContext.broadcast(token_bytes(ranks))
     kept = [c for c in tokens.columns if c != out]
     schema = T.StructType([*tokens.select(*kept).schema.fields, T.StructField(out, T.BinaryType())])
     at = kept.index(ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        blob, lengths = shared.value
-        blob, starts = np.frombuffer(blob, np.uint8), np.cumsum(lengths) - lengths
+        table = shared.value
         for batch in batches:
             for start in range(0, batch.num_rows, DECODE_ROWS):
                 part = batch.slice(start, DECODE_ROWS)
-                texts = [_decode(x, blob, starts, lengths) for x in part.column(at)]
+                texts = [_decode(x, *table) for x in part.column(at)]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.binary())], names=[*kept, out])
 
     return tokens.select(*kept).mapInArrow(run, schema)

@@ -137,6 +137,7 @@ def _sketch(k: int):
                 cols = [part.column(0), pa.array([len(s) for s in sets], pa.int64())]
                 cols += [pa.array([x[j] for x in keys], pa.int64()) for j in (0, 1)] + [pa.array(sig, pa.binary())]
                 yield pa.RecordBatch.from_arrays(cols, names=["rid", "n", "k1", "k2", "sig"])
+        pa.default_memory_pool().release_unused()
 
     return run
 

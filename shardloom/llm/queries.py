@@ -116,8 +116,7 @@ def op9_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks, pattern = tokenizer()
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    tokens = bpe.encode_documents(docs, ranks, pattern).drop("text")
-    return bpe.decode_documents(tokens, ranks).select(
+    return bpe.encode_documents(docs, ranks, pattern, decoded="decoded").select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         bpe.ids_sha256("ids").alias("ids_sha256"),
