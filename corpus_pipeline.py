@@ -45,10 +45,9 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each text, and whether they decode to it."""
     ranks, pattern = tokenizer()
-    tokens = bpe.encode_documents(docs.select("doc_id", "lang", "source", "text"), ranks, pattern)
+    tokens = bpe.encode_documents(docs.select("doc_id", "lang", "source", "text"), ranks, pattern, decoded="decoded")
     whole = F.col("decoded").eqNullSafe(F.coalesce("text", F.lit("")).cast("binary"))
-    decoded = bpe.decode_documents(tokens, ranks)
-    return decoded.select(
+    return tokens.select(
         "doc_id", "lang", "source", "ids", F.size("ids").cast("long").alias("n_tokens"), whole.alias("round_trip")
     )
 
