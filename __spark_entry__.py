@@ -151,6 +151,14 @@ def q_user_prompt(spark, sf):
     )
 
 
+def q_null_label(spark, sf):
+    """P5 with null labels: the document stays, the field reads ``None``."""
+    holed = _corpus(spark, sf).withColumn("ipc_label", F.when(F.col("doc_id") % 9 != 0, F.col("ipc_label")))
+    return holed.select(
+        "doc_id", render(P.USER_TEMPLATE, {"ipc_code": "ipc_label", "title": "title"}).alias("user_prompt")
+    )
+
+
 def q_chat_prompts(spark, sf):
     return prompt_table(_corpus(spark, sf), SPEC).select("doc_id", "shard", "inputs", "outputs")
 
@@ -209,7 +217,7 @@ def q_label_mask(spark, sf):
 
 
 def q_length_filter(spark, sf):
-    return length_report(_tokens(spark, sf, max_len=None), P.MAX_LEN)
+    return length_report(_tokens(spark, sf, max_len=None), P.LENGTH_CAP)
 
 
 def q_shard_tokens(spark, sf):

@@ -293,6 +293,9 @@ SELECT doc_id, {text_expr()} AS text FROM corpus"""
     user = template(P.USER_TEMPLATE, {"ipc_code": "ipc_label", "title": "title"})
     q["user_prompt"] = f"""WITH {corpus_cte()}
 SELECT doc_id, {user} AS user_prompt FROM corpus"""
+    q["null_label"] = f"""WITH {corpus_cte()},
+holed AS (SELECT * REPLACE (CASE WHEN doc_id % 9 = 0 THEN 'None' ELSE ipc_label END AS ipc_label) FROM corpus)
+SELECT doc_id, {user} AS user_prompt FROM holed"""
 
     q["chat_prompts"] = base_ctes(tokens=False) + "\nSELECT doc_id, shard, inputs, outputs FROM prompts"
 
@@ -335,10 +338,10 @@ FROM tokens"""
 
     q["length_filter"] = base_ctes(max_len=None) + f"""
 SELECT shard,
-       CAST(count(*) FILTER (WHERE length <= {P.MAX_LEN}) AS BIGINT) AS kept_rows,
-       CAST(count(*) FILTER (WHERE length > {P.MAX_LEN}) AS BIGINT) AS dropped_rows,
-       CAST(coalesce(sum(length) FILTER (WHERE length <= {P.MAX_LEN}), 0) AS BIGINT) AS kept_tokens,
-       CAST(coalesce(sum(length) FILTER (WHERE length > {P.MAX_LEN}), 0) AS BIGINT) AS dropped_tokens
+       CAST(count(*) FILTER (WHERE length <= {P.LENGTH_CAP}) AS BIGINT) AS kept_rows,
+       CAST(count(*) FILTER (WHERE length > {P.LENGTH_CAP}) AS BIGINT) AS dropped_rows,
+       CAST(coalesce(sum(length) FILTER (WHERE length <= {P.LENGTH_CAP}), 0) AS BIGINT) AS kept_tokens,
+       CAST(coalesce(sum(length) FILTER (WHERE length > {P.LENGTH_CAP}), 0) AS BIGINT) AS dropped_tokens
 FROM tokens GROUP BY shard"""
 
     q["shard_tokens"] = base_ctes() + f"""

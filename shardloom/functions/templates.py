@@ -25,6 +25,7 @@ END_OF_TEXT = "<|end_of_text|>"
 def render(template: str, fields: Mapping[str, str | Column], *, literal: bool = False) -> Column:
     """Fill ``{name}`` fields from columns.
 
+    A null field reads ``None``, so a document with a null label is kept.
     ``literal=True`` emits the template as is (for texts with literal braces,
     e.g. JSON examples, that are never formatted).
     """
@@ -41,7 +42,8 @@ def render(template: str, fields: Mapping[str, str | Column], *, literal: bool =
         if field not in fields:
             raise KeyError(f"template field {field!r} has no column")
         src = fields[field]
-        parts.append((F.col(src) if isinstance(src, str) else src).cast("string"))
+        value = (F.col(src) if isinstance(src, str) else src).cast("string")
+        parts.append(F.coalesce(value, F.lit("None")))
     return F.concat(*parts) if parts else F.lit("")
 
 

@@ -52,7 +52,7 @@ def npy_manifest(listing: DataFrame, header_bytes: int = 128, bytes_per_token: i
 def require_shards(manifest: DataFrame, where: str = "") -> DataFrame:
     """Error when no shard matches."""
     if manifest.isEmpty():
-        raise ValueError(f"No shards found{' at ' + where if where else ''}")
+        raise ValueError("the manifest lists no shard" + (f" ({where})" if where else ""))
     return manifest
 
 

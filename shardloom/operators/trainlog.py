@@ -95,6 +95,7 @@ def loss_windows(
     per_rank = steps.groupBy("log_window", "rank").agg(
         F.sum(F.col("loss").cast(LOSS_DECIMAL)).alias("loss_sum"),
         F.count("*").alias("micro_steps"),
+        F.max((F.isnan("loss") | (F.abs("loss") == float("inf"))).cast("int")).alias("odd"),
         F.max(F.struct("epoch", "step", "ts")).alias("last"),
         F.min("epoch").alias("first_epoch"),
         F.max(F.when(F.col("is_sync"), F.col("opt_step"))).alias("last_sync"),
@@ -108,9 +109,14 @@ def loss_windows(
         (F.col("first_epoch") != F.col("last.epoch")).alias("spans_epoch"),
     )
     totals = per_rank.groupBy("log_window").agg(
-        F.sum("loss_sum").alias("loss_sum"), F.min("last_sync").alias("last_sync")
+        F.sum("loss_sum").alias("loss_sum"),
+        F.min("last_sync").alias("last_sync"),
+        F.count("*").alias("ranks"),
+        F.max("odd").alias("odd"),
     )
-    full = totals.where(F.col("last_sync") == (F.col("log_window") + 1) * update_freq)
+    # A window is full once every rank has reached its last sync.
+    reached = F.col("last_sync") == (F.col("log_window") + 1) * update_freq
+    full = totals.where(reached & (F.col("ranks") == n_ranks)).drop("ranks")
     win = full.join(main, "log_window")
 
     starts = (
@@ -121,7 +127,9 @@ def loss_windows(
     win = win.join(broadcast_if_small(starts), "epoch").join(prev, "log_window", "left")
     since = F.greatest(F.coalesce(F.col("prev_ts"), F.col("epoch_start")), F.col("epoch_start"))
     elapsed = F.timestamp_diff("MICROSECOND", since, F.col("log_ts")) / 1e6
-    mean_loss = (F.col("loss_sum") / F.col("main_steps") / F.lit(n_ranks)).cast("double")
+    finite = (F.col("loss_sum") / F.col("main_steps") / F.lit(n_ranks)).cast("double")
+    nan = F.lit(float("nan"))  # one loss that is not finite spoils the window's mean, as in a plain sum
+    mean_loss = F.when(F.col("odd") == 1, nan).otherwise(finite)
     return win.select(
         "log_window",
         "epoch",
@@ -130,7 +138,7 @@ def loss_windows(
         F.col("loss_sum").cast(LOSS_DECIMAL).alias("loss_sum"),
         F.lit(n_ranks).cast("long").alias("n_ranks"),
         mean_loss.alias("mean_loss"),
-        F.exp(F.least(mean_loss, F.lit(PERPLEXITY_CLAMP))).alias("perplexity"),
+        F.when(F.col("odd") == 1, nan).otherwise(F.exp(F.least(finite, F.lit(PERPLEXITY_CLAMP)))).alias("perplexity"),
         elapsed.alias("elapsed_sec"),
         F.when(elapsed > 0, F.lit(float(tokens_per_step)) * F.col("main_steps") / elapsed)
         .otherwise(F.lit(0.0))

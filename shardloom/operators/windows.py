@@ -67,6 +67,8 @@ def assign_windows(
     lo = F.add_months(s, guess * step_months)
     hi = F.add_months(s, (guess + 1) * step_months)
     idx = F.when(d < lo, guess - 1).when(d >= hi, guess + 1).otherwise(guess)
+    # The plain bounds on the date reach the scan; the exact ones below do not.
+    df = scan_window(df, date_col, start, _last_end(start, end, step_months))
     out = df.withColumn("window_idx", idx.cast("long"))
     ws = F.add_months(s, F.col("window_idx").cast("int") * step_months)
     out = out.withColumn("window_start", ws).withColumn(
@@ -76,6 +78,17 @@ def assign_windows(
     return out.withColumn("shard", shard_name(F.col("window_start"), F.col("window_end")))
 
 
+def _last_end(start, end, step_months: int) -> _dt.date:
+    """End of the last window that starts before ``end``."""
+    at = start if isinstance(start, _dt.date) else _dt.date.fromisoformat(str(start))
+    stop = end if isinstance(end, _dt.date) else _dt.date.fromisoformat(str(end))
+    months = at.year * 12 + at.month - 1
+    while _dt.date(months // 12, months % 12 + 1, 1) <= stop:
+        months += step_months
+    months += step_months  # month lengths may shift a start: one window of slack
+    return _dt.date(months // 12, months % 12 + 1, 1)
+
+
 def scan_window(df: DataFrame, date_col: str, start, end) -> DataFrame:
     """Rows with ``start <= date < end`` (half-open; pushed to the scan)."""
     d = F.col(date_col)

@@ -46,24 +46,13 @@ def get_spark(
 #: two arrays (~0.5 MB), so Spark's default 4,096-row batch could need ~2 GB
 #: per task.  256 rows keep a batch near 128 MB in the worst case.
 WIDE_ROW_BATCH = 256
-_DEFAULT_READER_BATCH = "4096"
-
-
-_DEFAULT_ARROW_BATCH = "10000"
-
-
-def tune_for_wide_rows(spark: SparkSession) -> None:
-    """Lower the Parquet reader and Arrow batch rows unless the user chose them."""
-    for key, default in (
-        ("spark.sql.parquet.columnarReaderBatchSize", _DEFAULT_READER_BATCH),
-        ("spark.sql.execution.arrow.maxRecordsPerBatch", _DEFAULT_ARROW_BATCH),
-    ):
-        if spark.conf.get(key, default) == default:
-            spark.conf.set(key, str(WIDE_ROW_BATCH))
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint folder, setting one only if unset."""
+    """Return the session's checkpoint folder, setting one only if unset.
+
+    A folder of this machine is chosen for ``local`` masters alone; elsewhere
+    executors could not read it, so a missing setting is an error."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
@@ -72,7 +61,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         "spark.checkpoint.dir", None
     )
     if not configured:
-        # Only reached in local tests: no shared folder configured.
+        master = sc.master or ""
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="shardloom-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -124,7 +115,6 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     tokenisation) and keeps column pruning for later narrow projections.
     """
     spark = df.sparkSession
-    tune_for_wide_rows(spark)
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)

@@ -48,7 +48,7 @@ def test_token_table_scan_is_pushed_and_pruned(spark):
     tok = materialized_tokens(corpus_view(spark, SF_SMALL), E._spec(spark))
     narrow = with_offsets(tok, ["shard"], ["doc_id"])
     plan = narrow._jdf.queryExecution().executedPlan().toString()
-    assert "LessThanOrEqual(length,8192)" in plan  # cap is a Parquet filter
+    assert "LessThanOrEqual(length,64000)" in plan  # cap is a Parquet filter
     scans = [line for line in plan.split("\n") if "ReadSchema" in line or "FileScan" in line]
     assert scans and all("input_ids" not in line for line in scans)  # offsets read narrow columns only
 

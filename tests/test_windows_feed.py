@@ -130,7 +130,7 @@ def test_striping_and_first_shards(spark):
 
 
 def test_empty_manifest_raises(spark):
-    with pytest.raises(ValueError, match="No shards"):
+    with pytest.raises(ValueError, match="lists no shard"):
         feed.require_shards(manifest(spark, [4], 4).where("false"))
 
 
