@@ -10,8 +10,12 @@ long line is as good as many short ones.
 
 Every fingerprint is joined with its first occurrence (by id, then place in
 the input, then line), the match is extended both ways as far as the lines
-agree, and a run that reaches ``RUN`` words is deleted at the later place.  A
-line is deleted only if an equal line stands earlier, so the first copy stays.
+agree, and the run is deleted at the later place.  A gram has ``GRAM`` words,
+so whichever occurrence is the first, at least the gram agrees with it: no
+later fingerprint stays, and no run of ``RUN`` words is missed because another
+document shares a part of it.  Repeated runs of ``GRAM`` to ``RUN`` words go if
+a fingerprint falls on them; shorter ones stay.  A line is deleted only if an
+equal line stands earlier, so the first copy stays.
 
 A fingerprint that a third of all documents share is joined with one row, not
 with its other occurrences; both sides of that join are read from files, so
@@ -19,9 +23,8 @@ adaptive execution splits it.  What is grouped is one document's matches.
 
 Edge cases: null and empty texts and documents of fewer than ``RUN`` words are
 left alone; blank lines are never compared and stay; null ids come last in
-order; repeated rows are copies; extra columns are kept.  A run is matched
-with the first occurrence of its fingerprint only: where that one agrees for
-fewer than ``RUN`` words the run stays.
+order; repeated rows are copies; extra columns are kept.  Lines that become
+neighbours by a deletion are not compared again.
 """
 
 from __future__ import annotations
@@ -37,8 +40,10 @@ from pyspark.sql import types as T
 
 from shardloom.llm.common import broadcast_within, python_ready, small_batches, stage
 
-RUN = 40
-GRAM = 20
+#: Every repeated run of so many words is found.
+RUN = 48
+#: Words of a fingerprint: no shorter run is deleted.
+GRAM = 40
 
 
 def content_lines(text: str | None) -> tuple[np.ndarray, np.ndarray]:
@@ -102,7 +107,7 @@ def extend(a: np.ndarray, b: np.ndarray, pos: int, pos0: int) -> tuple[int, int]
     return start, pos + (ahead if same.all() else int(np.argmin(same)))
 
 
-def _extend(run_words: int):
+def _extend(least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))
         for batch in batches:
@@ -117,7 +122,7 @@ def _extend(run_words: int):
                             continue  # inside the run found before on this diagonal
                         start, stop = extend(a, b, m["pos"], m["pos0"])
                         covered[shift] = stop
-                        if total[stop] - total[start] >= run_words:
+                        if total[stop] - total[start] >= least:  # else equal hashes of unequal grams
                             runs.append({"start": start, "stop": stop})
                     out.append(runs)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(out, kind)], names=["rid", "runs"])
@@ -153,6 +158,8 @@ def dedup_report(
 ) -> DataFrame:
     """``docs`` with deleted runs taken out of ``text``, plus ``REPORT``: the
     lines that hold a word, how many of them were deleted, and their words."""
+    if not 0 < gram <= run:
+        raise ValueError("gram must be positive and at most run")
     python_ready(docs.sparkSession)
     cols = docs.columns
     held = stage(docs.withColumn("__ll_rid", F.monotonically_increasing_id()), "documents")
@@ -172,7 +179,7 @@ def dedup_report(
     own = lines.select("rid", F.col("hashes").alias("a"), F.col("words").alias("w"))
     other = lines.select(F.col("rid").alias("rid0"), F.col("hashes").alias("b"))
     both = pairs.join(own, "rid").join(other, "rid0").select("rid", "a", "w", "b", "matches")
-    runs = both.mapInArrow(_extend(run), "rid long, runs array<struct<start:int,stop:int>>")
+    runs = both.mapInArrow(_extend(gram), "rid long, runs array<struct<start:int,stop:int>>")
     runs = runs.where(F.size("runs") > 0).groupBy("rid").agg(F.flatten(F.collect_list("runs")).alias("__ll_runs"))
     runs = stage(runs.withColumnRenamed("rid", "__ll_rid"), "runs")
 

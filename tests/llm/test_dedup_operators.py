@@ -116,7 +116,7 @@ def brute_lines(rows, run, gram):
                 s += 1
             while a + e < len(x) and b + e < len(y) and x[a + e] == y[b + e]:
                 e += 1
-            if sum(len(t.split()) for t in x[a - s : a + e]) >= run:
+            if sum(len(t.split()) for t in x[a - s : a + e]) >= gram:
                 gone[i] |= set(range(a - s, a + e))
     return {i: len(gone[i]) for i in order}
 
@@ -148,6 +148,17 @@ def test_line_dedup_equals_brute_force(spark):
     assert linededup.deduplicate(docs.limit(0)).count() == 0
 
 
+def test_line_dedup_misses_no_run_that_shares_a_part(spark):
+    """The first place of a part of a passage is in a document without the rest."""
+    line = lambda k, n: " ".join(f"{k}{i}" for i in range(n))
+    a, b, c = line("a", 22), line("b", 22), line("c", 22)
+    texts = [f"own one\n{a}\nother\n{b}", f"{b}\nother\n{c}", *(f"{line(f'd{i}x', 9)}\n{a}\n{b}\n{c}\nend {i}" for i in range(4))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    left = {r["doc_id"]: r["text"] for r in linededup.dedup_report(docs).collect()}
+    assert left[0] == texts[0] and left[1] == texts[1] and left[2] == texts[2]
+    assert [left[i] for i in (3, 4, 5)] == [f"{line(f'd{i - 2}x', 9)}\nend {i - 2}" for i in (3, 4, 5)]
+
+
 def brute_vectors(rows, threshold=0.98):
     ok = [r[2] is not None and r[1] and None not in r[1] and np.isfinite(r[1]).all() and any(r[1]) for r in rows]
     links = []
