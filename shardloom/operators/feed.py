@@ -43,9 +43,9 @@ def shard_manifest(
 def npy_manifest(listing: DataFrame, header_bytes: int = 128, bytes_per_token: int = 4) -> DataFrame:
     """S5 for flat ``.npy`` files: tokens = ``(bytes - header) div 4`` from a
     file listing ``(path, length)`` (e.g. the ``binaryFile`` source with the
-    content column pruned)."""
+    content column pruned); its ``shard`` column is kept if it has one."""
     return listing.select(
-        "path", F.expr(f"(length - {int(header_bytes)}) div {int(bytes_per_token)}").alias("n_tokens")
+        "path", *(c for c in ("shard",) if c in listing.columns), F.expr(f"(length - {int(header_bytes)}) div {int(bytes_per_token)}").alias("n_tokens")
     )
 
 
@@ -152,13 +152,25 @@ def stack_batches(
     )
 
 
-def delivery_order(batches: DataFrame) -> DataFrame:
+def worker_batches(dealt: DataFrame, batch_size: int) -> DataFrame:
+    """(worker, n): batches of each worker, from the dealt manifest alone."""
+    if batch_size <= 0:
+        raise ValueError("batch_size must be positive")
+    chunks = dealt.groupBy("worker").agg(F.sum("n_chunks").alias("chunks")).where("chunks > 0")
+    return chunks.select("worker", F.expr(f"(chunks + {int(batch_size) - 1}) div {int(batch_size)}").alias("n"))
+
+
+def delivery_order(batches: DataFrame, counts: DataFrame | None = None) -> DataFrame:
     """W8 delivery: global position of each ``(worker, batch_id)`` when
     batches are taken round-robin over workers and an exhausted worker is
     skipped: ``sum_w' min(n_w', b) + #{w' < w : n_w' > b}`` with ``n_w`` the
     batch count of worker ``w``.  The counts have one row per worker (bounded
-    by the worker count), so they are read once and inlined."""
-    counts = batches.groupBy("worker").agg((F.max("batch_id") + 1).alias("n")).collect()
+    by the worker count), so they are read once and inlined; give them
+    (``worker_batches``) where ``batches`` holds token arrays, which a count
+    would compute."""
+    if counts is None:
+        counts = batches.groupBy("worker").agg((F.max("batch_id") + 1).alias("n"))
+    counts = counts.collect()
     b, w = F.col("batch_id"), F.col("worker")
     per_worker = F.array(
         *[F.struct(F.lit(int(r["worker"])).alias("w"), F.lit(int(r["n"])).cast("long").alias("n")) for r in counts]
@@ -207,6 +219,31 @@ def check_lengths(manifest: DataFrame, strict: bool = False) -> DataFrame:
     return rep
 
 
+def deal_shards(
+    manifest: DataFrame,
+    *,
+    num_workers: int,
+    shuffle_shards: bool = True,
+    seed: int = 42,
+    epoch: int = 0,
+    demo_shards: int | None = None,
+) -> DataFrame:
+    """The manifest with worker and shard_rank, written once (one row per
+    shard) for the semi-join, the chunk keys, the sequence bases and the counts."""
+    man = first_shards(manifest, demo_shards)
+    man = order_shards(stripe_workers(man, num_workers), shuffle=shuffle_shards, seed=seed, epoch=epoch)
+    return require_shards(materialize(man, "manifest"))
+
+
+def number_samples(
+    chunks: DataFrame, dealt: DataFrame, *, shuffle_chunks: bool = False, seed: int = 42, epoch: int = 0
+) -> DataFrame:
+    """Chunks of the dealt shards with worker, shard_rank, chunk_rank, seq."""
+    picked = chunks.join(broadcast_if_small(dealt.select("shard")), "shard", "left_semi")
+    ranked = order_chunks(picked, shuffle=shuffle_chunks, seed=seed, epoch=epoch, manifest=dealt)
+    return sample_sequence(ranked, dealt)
+
+
 def feed_samples(
     chunks: DataFrame,
     manifest: DataFrame,
@@ -218,13 +255,8 @@ def feed_samples(
     epoch: int = 0,
     demo_shards: int | None = None,
 ) -> DataFrame:
-    """W3-W7 together: chunks with worker, shard_rank, chunk_rank, seq.
-
-    The dealt manifest (one row per shard) is written once and reused by the
-    semi-join, the chunk keys and the sequence bases."""
-    man = first_shards(manifest, demo_shards)
-    man = order_shards(stripe_workers(man, num_workers), shuffle=shuffle_shards, seed=seed, epoch=epoch)
-    man = require_shards(materialize(man, "manifest"))
-    picked = chunks.join(broadcast_if_small(man.select("shard")), "shard", "left_semi")
-    ranked = order_chunks(picked, shuffle=shuffle_chunks, seed=seed, epoch=epoch, manifest=man)
-    return sample_sequence(ranked, man)
+    """W3-W7 together: chunks with worker, shard_rank, chunk_rank, seq."""
+    dealt = deal_shards(
+        manifest, num_workers=num_workers, shuffle_shards=shuffle_shards, seed=seed, epoch=epoch, demo_shards=demo_shards
+    )
+    return number_samples(chunks, dealt, shuffle_chunks=shuffle_chunks, seed=seed, epoch=epoch)

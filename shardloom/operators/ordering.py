@@ -22,6 +22,7 @@ to wide rows on the keys.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -58,6 +59,15 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFra
     return F.broadcast(df) if n <= max_rows else df
 
 
+def join_on_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on equally named columns; null keys match each other, so no row of a
+    null group or order key is lost."""
+    renamed = right.withColumnsRenamed({c: f"_sl_key{i}" for i, c in enumerate(keys)})
+    same = [F.col(f"`{c}`").eqNullSafe(F.col(f"_sl_key{i}")) for i, c in enumerate(keys)]
+    joined = left.join(renamed, reduce(lambda a, b: a & b, same), how)
+    return joined.drop(*[f"_sl_key{i}" for i in range(len(keys))])
+
+
 def running_total(
     df: DataFrame,
     group_cols: Sequence[str],
@@ -70,10 +80,11 @@ def running_total(
 ) -> DataFrame:
     """Add ``out`` = sum of ``value`` over earlier rows of the group.
 
-    ``order_cols`` must make the order total within a group (ties would make
-    the result depend on the partition layout).  ``inclusive`` adds the
-    current row.  Nulls in ``value`` count as 0.  Returns all input columns
-    plus ``out`` (bigint).
+    ``order_cols`` must make the order total within a group: rows that tie
+    would get totals that depend on the partition layout, so the job fails on
+    them.  A null group is a group, a null order key comes first.
+    ``inclusive`` adds the current row.  Nulls in ``value`` count as 0.
+    Returns all input columns plus ``out`` (bigint).
     """
     group_cols = list(group_cols)
     order_cols = list(order_cols)
@@ -88,7 +99,8 @@ def running_total(
     ):
         # Deterministic buckets of the key itself: no sampling job, no pinning write.
         key = f"`{order_cols[0]}`"
-        keyed = df.withColumn("_sl_val", val).withColumn(_PART, F.expr(f"cast({key} as bigint) div {BUCKET_WIDTH}"))
+        bucket = F.coalesce(F.expr(f"cast({key} as bigint) div {BUCKET_WIDTH}"), F.lit(-(1 << 63)))
+        keyed = df.withColumn("_sl_val", val).withColumn(_PART, bucket)
     else:
         keyed = df.withColumn("_sl_val", val)
         if num_parts:
@@ -111,8 +123,14 @@ def running_total(
         .orderBy(*order_cols)
         .rowsBetween(Window.unboundedPreceding, end)
     )
-    local = keyed.withColumn(_LOCAL, F.coalesce(F.sum("_sl_val").over(inside), F.lit(0)))
-    joined = local.join(broadcast_if_small(bases), [*group_cols, _PART])
+    # Equal keys share a slice, so a tie shows next to its twin (no further pass).
+    before_it = Window.partitionBy(_PART, *group_cols).orderBy(*order_cols)
+    tie = reduce(lambda a, b: a & b, [F.col(f"`{c}`").eqNullSafe(F.lag(c).over(before_it)) for c in order_cols])
+    tie = tie & (F.row_number().over(before_it) > 1)
+    total = F.coalesce(F.sum("_sl_val").over(inside), F.lit(0))
+    message = f"rows of a group tie in {order_cols}; the order must be total"
+    local = keyed.withColumn(_LOCAL, F.when(tie, F.raise_error(F.lit(message)).cast("long")).otherwise(total))
+    joined = join_on_keys(local, broadcast_if_small(bases), [*group_cols, _PART])
     return joined.withColumn(out, (F.col(_LOCAL) + F.col(_BASE)).cast("long")).drop(
         _PART, _LOCAL, _BASE, "_sl_val"
     )

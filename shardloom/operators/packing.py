@@ -23,7 +23,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shardloom.operators.ordering import ordinal, running_total
+from shardloom.operators.ordering import join_on_keys, ordinal, running_total
 
 _OFF = "_sl_off"
 
@@ -59,8 +59,9 @@ def pack_blocks(
 ) -> DataFrame:
     """(group..., chunk, input_ids[, labels]) blocks of ``block_size`` tokens.
 
-    ``order_cols`` must be unique within a group.  A group shorter than one
-    block gives no rows (unless ``keep_tail``).  Empty rows are skipped.
+    ``order_cols`` must be unique within a group (else the job fails); null
+    keys are kept.  A group shorter than one block gives no rows (unless
+    ``keep_tail``).  Empty rows are skipped.
 
     ``mask`` names a column holding each row's masked-prefix length (labels
     = ids with that prefix set to -100).  Then only ids and one number per
@@ -79,7 +80,7 @@ def pack_blocks(
         payload = [ids, mask]
     else:
         payload = [ids] + ([labels] if labels else [])
-    rows = tok.select(*group_cols, *order_cols, length, *payload).join(offs, group_cols + order_cols)
+    rows = join_on_keys(tok.select(*group_cols, *order_cols, length, *payload), offs, group_cols + order_cols)
     return _gather_blocks(
         rows, group_cols, B, ids=ids, labels=labels, length=length, keep_tail=keep_tail, chunk_col=chunk_col, mask=mask
     )
@@ -137,7 +138,23 @@ def with_batch_index(
         raise ValueError("batch_size must be positive")
     keys = tok.select(*group_cols, *order_cols)
     numbered = ordinal(keys, group_cols, order_cols, "_sl_rn").withColumn(out, F.expr(f"_sl_rn div {int(batch_size)}"))
-    return tok.join(numbered.drop("_sl_rn"), [*group_cols, *order_cols])
+    return join_on_keys(tok, numbered.drop("_sl_rn"), [*group_cols, *order_cols])
+
+
+def require_blocks(shards: DataFrame, block_size: int, group_cols: Sequence[str], order_col: str, ids: str) -> None:
+    """Fail unless every group is blocks 0, 1, ... of ``block_size`` tokens, the
+    last one at most as long.  Reads the stored ``n_tokens`` where there is one."""
+    n = F.col("n_tokens") if "n_tokens" in shards.columns else F.size(ids)
+    per = shards.groupBy(*group_cols).agg(
+        F.count(F.lit(1)).alias("blocks"),
+        F.max(order_col).alias("last"),
+        F.count_if(n == block_size).alias("full"),
+        F.max(F.struct(F.col(order_col), n.alias("n")))["n"].alias("tail"),
+    )
+    whole = (F.col("last") == F.col("blocks") - 1) & (F.col("tail") <= block_size)
+    whole &= F.col("full") == F.col("blocks") - F.when(F.col("tail") < block_size, 1).otherwise(0)
+    if not per.where(~F.coalesce(whole, F.lit(False))).isEmpty():
+        raise ValueError(f"the stored blocks are not {block_size} tokens each")
 
 
 def cut_windows(
@@ -156,13 +173,15 @@ def cut_windows(
 
     With ``block_size`` (a table written by ``pack_blocks``: every block but a
     group's last is full) each block's stream offset is ``chunk * block_size``
-    and no running total or join is needed - one shuffle of the payload.
+    and no running total or join is needed - one shuffle of the payload.  The
+    stored blocks are checked first (one narrow aggregate).
     """
     group_cols = list(group_cols)
     if block_size is None:
         return pack_blocks(
             shards, group_cols, [order_col], chunk_size, ids=ids, labels=labels, length=None, keep_tail=False
         )
+    require_blocks(shards, int(block_size), group_cols, order_col, ids)
     payload = [ids] + ([labels] if labels else [])
     rows = shards.select(
         *group_cols,
@@ -192,7 +211,7 @@ def flatten_tokens(
     group_cols, order_cols = list(group_cols), list(order_cols)
     offs = with_offsets(tok, group_cols, order_cols, length, _OFF).drop(length)
     payload = [ids] + ([labels] if labels else [])
-    rows = tok.select(*group_cols, *order_cols, *payload).join(offs, group_cols + order_cols)
+    rows = join_on_keys(tok.select(*group_cols, *order_cols, *payload), offs, group_cols + order_cols)
     zipped = F.arrays_zip(*[F.col(c).alias(c) for c in payload])
     exploded = rows.select(*group_cols, *order_cols, _OFF, F.posexplode(zipped).alias("_i", "_t"))
     out = [*group_cols, (F.col(_OFF) + F.col("_i")).alias("pos"), *order_cols, F.col(f"_t.{ids}").alias("input_id")]

@@ -18,6 +18,7 @@ def shard_token_totals(tok: DataFrame, length: str = "length") -> DataFrame:
         "total_tokens",
         F.format_number(F.col("total_tokens"), 0).alias("total_tokens_fmt"),
     )
+    # The wording of the description.
     return per.withColumn(
         "description",
         F.concat(

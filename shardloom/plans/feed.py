@@ -10,6 +10,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from shardloom.operators import feed
 from shardloom.operators.packing import cut_windows
@@ -34,40 +35,38 @@ def read_parquet_shards(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def feed_batches(shards: DataFrame, spec: FeedSpec) -> DataFrame:
-    """Stacked batches (worker, batch_id, n_samples, input_ids, labels, attention_mask[, rank])."""
-    man = feed.shard_manifest(shards, spec.chunk_size, labels=None)
-    chunks = cut_windows(shards, spec.chunk_size, block_size=spec.block_size)
-    samples = feed.feed_samples(
-        chunks,
-        man,
+def _deal(manifest: DataFrame, spec: FeedSpec) -> DataFrame:
+    return feed.deal_shards(
+        manifest,
         num_workers=spec.num_workers,
         shuffle_shards=spec.shuffle_shards,
-        shuffle_chunks=spec.shuffle_chunks,
         seed=spec.seed,
         epoch=spec.epoch,
         demo_shards=spec.demo_shards,
     )
-    out = feed.delivery_order(feed.stack_batches(samples, spec.batch_size))
-    if spec.world_size:
-        out = feed.split_ranks(out, spec.world_size)
-    return out
+
+
+def _batches(chunks: DataFrame, dealt: DataFrame, spec: FeedSpec) -> DataFrame:
+    """Order and counts come from the manifest, so the arrays are read once."""
+    samples = feed.number_samples(
+        chunks, dealt, shuffle_chunks=spec.shuffle_chunks, seed=spec.seed, epoch=spec.epoch
+    )
+    out = feed.delivery_order(feed.stack_batches(samples, spec.batch_size), feed.worker_batches(dealt, spec.batch_size))
+    return feed.split_ranks(out, spec.world_size) if spec.world_size else out
+
+
+def feed_batches(shards: DataFrame, spec: FeedSpec) -> DataFrame:
+    """Stacked batches (worker, batch_id, n_samples, input_ids, labels, attention_mask, delivery[, rank])."""
+    dealt = _deal(feed.shard_manifest(shards, spec.chunk_size, labels=None), spec)
+    return _batches(cut_windows(shards, spec.chunk_size, block_size=spec.block_size), dealt, spec)
 
 
 def feed_from_npy(spark: SparkSession, path: str, spec: FeedSpec) -> DataFrame:
-    """Same batches from ``.npy`` parts; the reader already cuts the windows."""
-    from shardloom.sources.npy import read_npy_shards
+    """Same batches from ``.npy`` parts; the reader already cuts the windows and
+    the manifest comes from the file sizes."""
+    from shardloom.sources.npy import npy_listing, read_npy_shards
 
+    sizes = feed.npy_manifest(npy_listing(spark, path)).groupBy("shard").agg(F.sum("n_tokens").cast("long").alias("n_tokens"))
+    dealt = _deal(sizes.withColumn("n_chunks", F.expr(f"n_tokens div {int(spec.chunk_size)}")), spec)
     opts = {"first_shards": spec.demo_shards} if spec.demo_shards else {}
-    chunks = read_npy_shards(spark, path, spec.chunk_size, **opts)
-    man = (
-        chunks.groupBy("shard")
-        .count()
-        .withColumnRenamed("count", "n_chunks")
-    )
-    man = feed.order_shards(feed.stripe_workers(man, spec.num_workers), shuffle=spec.shuffle_shards, seed=spec.seed, epoch=spec.epoch)
-    ranked = feed.order_chunks(chunks, shuffle=spec.shuffle_chunks, seed=spec.seed, epoch=spec.epoch)
-    out = feed.delivery_order(feed.stack_batches(feed.sample_sequence(ranked, man), spec.batch_size))
-    if spec.world_size:
-        out = feed.split_ranks(out, spec.world_size)
-    return out
+    return _batches(read_npy_shards(spark, path, spec.chunk_size, **opts), dealt, spec)
