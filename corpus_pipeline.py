@@ -60,7 +60,7 @@ STAGES = [
     ("byte-level BPE encoding and decoding", encode_stage),
 ]
 
-#: No stage's method but the fourth's can be written in SQL; see tests/llm/test_pipeline.py.
+#: No stage's method but the fourth's can be written in SQL; see tests/llm/test_dedup_operators.py.
 ORACLE_SQL = None
 
 
