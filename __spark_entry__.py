@@ -30,11 +30,12 @@ from shardloom.operators.windows import (  # noqa: E402
     assign_windows,
     date_windows,
     filter_label_prefix,
+    scan_window,
     split_by_dates,
 )
 from shardloom.plans.build import BuildSpec, materialized_tokens, packed_shards, prompt_table, spread, token_table  # noqa: E402
 from shardloom.session import ensure_checkpoint_dir, materialize, scratch_path  # noqa: E402
-from shardloom.sources.tables import corpus_view, run_config, train_log_view  # noqa: E402
+from shardloom.sources.tables import corpus_view, read_table, run_config, train_log_view  # noqa: E402
 
 SPEC = BuildSpec(
     system_prompt=P.SYSTEM_PROMPT,
@@ -133,6 +134,12 @@ def q_ipc_filter(spark, sf):
     return filter_label_prefix(_corpus(spark, sf), P.LABEL_PREFIX).select("doc_id", "ipc_label")
 
 
+def q_scan_window(spark, sf):
+    """Both date bounds reach the Parquet scan."""
+    rows = scan_window(read_table(spark, sf, "orders"), "o_orderdate", *P.SCAN)
+    return rows.select("o_orderkey", F.col("o_orderdate").cast("date").cast("string").alias("order_date"))
+
+
 def q_split_train_val(spark, sf):
     return split_by_dates(_corpus(spark, sf), "filing_date", P.TRAIN, P.VAL).select("doc_id", "split")
 
@@ -277,6 +284,16 @@ def q_parquet_shards(spark, sf):
     return man.join(lab.withColumnRenamed("n_tokens", "n_labels"), "shard").select("shard", "n_tokens", "n_labels", "n_chunks")
 
 
+def q_split_shards(spark, sf):
+    """Train and validation shards, and what was written."""
+    from shardloom.plans.build import build_splits, write_report
+
+    path = scratch_path(spark, "split-shards")
+    stored = build_splits(_corpus(spark, sf), _spec(spark), {"train": P.TRAIN, "val": P.VAL}, path)
+    train, val = (write_report(stored[s]).select(F.lit(s).alias("split"), "shard", "n_blocks", "n_tokens") for s in ("train", "val"))
+    return train.unionByName(val)
+
+
 def q_manifest(spark, sf):
     return _manifest(spark, sf)
 
@@ -311,6 +328,14 @@ def q_sample_sequence(spark, sf):
     return _samples(spark, sf).select("worker", "seq", "shard", "chunk")
 
 
+def q_epoch_order(spark, sf):
+    """W4-W8 of several epochs from the manifest alone."""
+    from shardloom.plans.feed import FeedSpec, epoch_orders
+
+    spec = FeedSpec(P.CHUNK, P.BATCH, P.WORKERS, shuffle_chunks=True, seed=P.SEED)
+    return epoch_orders(_packed(spark, sf), spec, P.FEED_EPOCHS)
+
+
 def q_batches(spark, sf):
     b = feed.stack_batches(_samples(spark, sf), P.BATCH)
     digest = {c: F.md5(F.array_join(F.transform(c, lambda a: ids_digest(a)), ",")) for c in ("input_ids", "labels")}

@@ -77,10 +77,11 @@ def wins_cte(start: str = P.START, end: str = P.END, step: int = P.STEP) -> str:
   WHERE window_start < DATE '{end}')"""
 
 
-def windowed_cte() -> str:
-    return """windowed AS (
+def windowed_cte(until: str | None = None) -> str:
+    cut = f" AND c.filing_date < DATE '{until}'" if until else ""
+    return f"""windowed AS (
   SELECT c.*, w.window_idx, w.window_start, w.window_end, w.shard
-  FROM corpus c JOIN wins w ON c.filing_date >= w.window_start AND c.filing_date < w.window_end)"""
+  FROM corpus c JOIN wins w ON c.filing_date >= w.window_start AND c.filing_date < w.window_end{cut})"""
 
 
 def prompts_cte(null_empty: bool = False) -> str:
@@ -278,6 +279,17 @@ SELECT doc_id, CAST(filing_date AS VARCHAR) AS filing_date, shard FROM windowed"
     q["ipc_filter"] = f"""WITH {corpus_cte()}
 SELECT doc_id, ipc_label FROM corpus WHERE starts_with(ipc_label, '{P.LABEL_PREFIX}')"""
 
+    q["scan_window"] = f"""SELECT o_orderkey, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS order_date FROM orders
+WHERE o_orderdate >= DATE '{P.SCAN[0]}' AND o_orderdate < DATE '{P.SCAN[1]}'"""
+
+    def split_sql(name: str, start: str, end: str) -> str:
+        ctes = [corpus_cte(), wins_cte(start, end), windowed_cte(end), prompts_cte(), tokens_cte()]
+        return f"""SELECT * FROM (WITH {", ".join(ctes)}
+SELECT '{name}' AS split, shard, (CAST(sum(length) AS BIGINT) + {P.BLOCK - 1}) // {P.BLOCK} AS n_blocks,
+       CAST(sum(length) AS BIGINT) AS n_tokens FROM tokens GROUP BY shard)"""
+
+    q["split_shards"] = split_sql("train", *P.TRAIN) + "\nUNION ALL\n" + split_sql("val", *P.VAL)
+
     q["split_train_val"] = f"""WITH {corpus_cte()}
 SELECT doc_id, CASE WHEN filing_date >= DATE '{P.TRAIN[0]}' AND filing_date < DATE '{P.TRAIN[1]}' THEN 'train' ELSE 'val' END AS split
 FROM corpus
@@ -387,6 +399,20 @@ SELECT shard, n_tokens FROM manifest ORDER BY shard LIMIT {P.DEMO_SHARDS}"""
     q["shard_shuffle"] = feed + "\nSELECT shard, worker, shard_rank FROM ranked"
     q["chunk_shuffle"] = feed + "\nSELECT shard, chunk, chunk_rank FROM chunks_ranked"
     q["sample_sequence"] = feed + "\nSELECT worker, seq, shard, chunk FROM samples"
+    order_key = f"'{P.SEED}|' || CAST(epoch AS VARCHAR) || '|' || shard"
+    q["epoch_order"] = base_ctes() + f""",
+{manifest_cte()},
+striped AS (
+  SELECT *, CAST((row_number() OVER (ORDER BY shard) - 1) % {P.WORKERS} AS INTEGER) AS worker FROM manifest),
+ep AS (SELECT s.*, CAST(e.range AS INTEGER) AS epoch FROM striped s, range(0, {P.FEED_EPOCHS}) e),
+based AS (
+  SELECT *, CAST(coalesce(sum(n_chunks) OVER (PARTITION BY epoch, worker ORDER BY md5({order_key}), shard
+         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS seq_base FROM ep),
+ch AS (SELECT epoch, worker, shard, seq_base, unnest(range(0, n_chunks)) AS chunk FROM based),
+rk AS (
+  SELECT *, seq_base + row_number() OVER (PARTITION BY epoch, shard
+         ORDER BY md5({order_key} || '|' || CAST(chunk AS VARCHAR)), chunk) - 1 AS seq FROM ch)
+SELECT epoch, worker, seq // {P.BATCH} AS batch_id, CAST(seq % {P.BATCH} AS INTEGER) AS pos_in_batch, shard, chunk FROM rk"""
     q["batches"] = feed + f"""
 SELECT worker, batch_id, CAST(count(*) AS INTEGER) AS n_samples,
        md5(string_agg(ids_md5, ',' ORDER BY seq)) AS batch_md5, md5(string_agg(labs_md5, ',' ORDER BY seq)) AS labels_md5,

@@ -4,6 +4,8 @@ Prompt wording here is our own short test wording; templates are a parameter
 of the library, never built in.
 """
 
+from shardloom.sources.tables import RUN_CONFIGS  # noqa: F401
+
 START = "2015-03-01"
 END = "2018-06-30"
 STEP = 2
@@ -17,6 +19,7 @@ QA_USER_TEMPLATE = "Patent:\n{patent_text}\nList the claims at risk."
 LABEL_PREFIX = "FR"
 TRAIN = ("2016-01-01", "2016-03-01")
 VAL = ("2016-03-01", "2016-04-01")
+SCAN = ("1996-01-01", "1996-07-01")
 N_SAMPLES = 5
 
 MAX_LEN = 64_000  # length cap of the build
@@ -28,6 +31,7 @@ WORKERS = 4
 BATCH = 8
 SEED = 42
 EPOCH = 0
+FEED_EPOCHS = 3
 WORLD = 2
 DEMO_SHARDS = 2
 
@@ -40,9 +44,3 @@ MICRO_BATCH = 8
 TOKENS_PER_MICRO_STEP = CHUNK * PROCS * MICRO_BATCH
 PPL_CLAMP = 20.0
 DEMO_STEPS = 20
-
-RUN_CONFIGS = [
-    ("demo", 1, 8, 16, 3968, 1, 0.05, 0.1, 0.2),
-    ("two_proc", 2, 4, 8, 2048, 2, 0.05, 0.25, 0.5),
-    ("wide", 4, 2, 4, 1024, 3, 0.1, 0.05, 0.1),
-]

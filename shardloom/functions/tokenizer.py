@@ -1,7 +1,9 @@
 """Tokenising a prompt table (A1 + A2 + A4 + P11).
 
 The two prompt sides are tokenised separately, without automatic special
-tokens, then concatenated.  Two tokenizers:
+tokens, then concatenated.  A tokenizer is any object with ``encode_sides(df,
+keys, src, tgt)`` that returns the key columns and two id arrays, ``_src`` and
+``_tgt``, per row; users bring their own.  Two are given:
 
 * ``CodePointTokenizer`` - ids are Unicode code points, computed by a JVM
   expression (stays in whole-stage codegen; used for oracle-checked tests);
@@ -30,6 +32,9 @@ class CodePointTokenizer:
 
     name = "codepoint"
 
+    def encode_sides(self, df: DataFrame, keys: Sequence[str], src: str, tgt: str) -> DataFrame:
+        return df.select(*keys, code_points(src).alias("_src"), code_points(tgt).alias("_tgt"))
+
 
 class JsonTokenizer:
     """A ``tokenizers`` tokenizer given as its JSON text.
@@ -50,6 +55,9 @@ class JsonTokenizer:
         with open(path, encoding="utf-8") as fh:
             return cls(fh.read(), **kw)
 
+    def encode_sides(self, df: DataFrame, keys: Sequence[str], src: str, tgt: str) -> DataFrame:
+        return _encode_sides(df, self, keys, src, tgt)
+
 
 _WORKER_CACHE: dict[str, object] = {}
 
@@ -114,12 +122,9 @@ def tokenize(
     can be rebuilt from ids (``labels_from_mask``) instead of stored."""
     tokenizer = tokenizer or CodePointTokenizer()
     keys = [k for k in keys if k in df.columns]
-    if isinstance(tokenizer, CodePointTokenizer):
-        sides = df.select(*keys, code_points(src).alias("_src"), code_points(tgt).alias("_tgt"))
-    elif isinstance(tokenizer, JsonTokenizer):
-        sides = _encode_sides(df, tokenizer, keys, src, tgt)
-    else:
-        raise TypeError(f"unsupported tokenizer {tokenizer!r}")
+    if not hasattr(tokenizer, "encode_sides"):
+        raise TypeError(f"{tokenizer!r} has no encode_sides(df, keys, src, tgt)")
+    sides = tokenizer.encode_sides(df, keys, src, tgt)
     out = sides.select(
         *keys,
         F.concat("_src", "_tgt").alias("input_ids"),

@@ -38,8 +38,8 @@ def labels_from_mask(ids: str | Column, n_masked: str | Column) -> Column:
 
 
 def attention_mask(ids: str | Column) -> Column:
-    """A3: all ones, as long as the ids."""
-    return F.array_repeat(F.lit(1), F.size(_c(ids)))
+    """A3: all ones (int64), as long as the ids."""
+    return F.array_repeat(F.lit(1).cast("bigint"), F.size(_c(ids)))
 
 
 def seq_length(ids: str | Column) -> Column:

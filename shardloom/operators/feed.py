@@ -15,9 +15,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shardloom.functions.tokens import attention_mask, wide_ids
 from shardloom.operators.ordering import broadcast_if_small, ordinal
 from shardloom.session import materialize
 
+#: Chunk keys generated from one manifest row at a time; a hot shard has many such slices.
+KEY_SLICE = 1 << 16
+
 
 def shard_manifest(
     shards: DataFrame,
@@ -72,8 +76,22 @@ def stripe_workers(manifest: DataFrame, num_workers: int) -> DataFrame:
     return manifest.withColumn("worker", F.pmod(rn, F.lit(num_workers)).cast("int"))
 
 
-def shuffle_key(seed: int, epoch: int, *cols: str) -> Column:
-    return F.md5(F.concat_ws("|", F.lit(str(seed)), F.lit(str(epoch)), *[F.col(c).cast("string") for c in cols]))
+def shuffle_key(seed: int, epoch: int | Column, *cols: str) -> Column:
+    e = epoch.cast("string") if isinstance(epoch, Column) else F.lit(str(epoch))
+    return F.md5(F.concat_ws("|", F.lit(str(seed)), e, *[F.col(c).cast("string") for c in cols]))
+
+
+def chunk_keys(manifest: DataFrame, *cols: str) -> DataFrame:
+    """(cols..., chunk): one row per chunk of each manifest row, from its
+    ``n_chunks``.  Slices of bounded size are spread before they are unfolded, so
+    a hot shard is not unfolded in one array or one task."""
+    last = F.col("n_chunks").cast("long") - 1
+    slices = manifest.where(F.col("n_chunks") > 0).select(
+        *cols, last.alias("_sl_last"), F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(n_chunks - 1) div {KEY_SLICE}"))).alias("_sl_slice")
+    )
+    first = F.col("_sl_slice") * KEY_SLICE
+    in_slice = F.sequence(first, F.least(first + (KEY_SLICE - 1), F.col("_sl_last")))
+    return slices.repartition(*cols, "_sl_slice").select(*cols, F.explode(in_slice).alias("chunk"))
 
 
 def order_shards(manifest: DataFrame, *, shuffle: bool = True, seed: int = 42, epoch: int = 0) -> DataFrame:
@@ -98,9 +116,7 @@ def order_chunks(
     if not shuffle:
         return chunks.withColumn("chunk_rank", F.col("chunk").cast("long"))
     if manifest is not None:
-        keys = manifest.where(F.col("n_chunks") > 0).select(
-            "shard", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_chunks") - 1)).alias("chunk")
-        )
+        keys = chunk_keys(manifest, "shard")
     else:
         keys = chunks.select("shard", "chunk")
     keys = keys.select("shard", "chunk", shuffle_key(seed, epoch, "shard", "chunk").alias("_sl_key"))
@@ -146,12 +162,46 @@ def stack_batches(
         "worker",
         "batch_id",
         F.size("_s").alias("n_samples"),
-        F.transform("_s", lambda s: s[ids].cast("array<bigint>")).alias("input_ids"),
-        F.transform("_s", lambda s: s[labels].cast("array<bigint>")).alias("labels"),
-        F.transform("_s", lambda s: F.array_repeat(F.lit(1).cast("bigint"), F.size(s[ids]))).alias("attention_mask"),
+        F.transform("_s", lambda s: wide_ids(s[ids])).alias("input_ids"),
+        F.transform("_s", lambda s: wide_ids(s[labels])).alias("labels"),
+        F.transform("_s", lambda s: attention_mask(s[ids])).alias("attention_mask"),
     )
 
 
+def epoch_order(
+    manifest: DataFrame,
+    n_epochs: int,
+    batch_size: int,
+    *,
+    num_workers: int,
+    shuffle_shards: bool = True,
+    shuffle_chunks: bool = True,
+    seed: int = 42,
+) -> DataFrame:
+    """W4-W8 for all epochs at once: (epoch, worker, batch_id, pos_in_batch,
+    shard, chunk), a narrow table from the manifest (``n_chunks`` per shard).
+    Token arrays are neither read nor moved: an epoch of training looks its
+    windows up by ``(shard, chunk)``.  Epoch ``e`` has the order the operators
+    above give with ``epoch=e``; an empty manifest gives no rows."""
+    if n_epochs <= 0:
+        raise ValueError("n_epochs must be positive")
+    epochs = F.explode(F.sequence(F.lit(0), F.lit(int(n_epochs) - 1))).alias("epoch")
+    man = stripe_workers(manifest, num_workers).select("shard", "worker", "n_chunks", epochs)
+    epoch = F.col("epoch")
+    key = shuffle_key(seed, epoch, "shard") if shuffle_shards else F.col("shard")
+    # One row per shard and epoch, as small as the manifest.
+    earlier = Window.partitionBy("epoch", "worker").orderBy(key, "shard").rowsBetween(Window.unboundedPreceding, -1)
+    man = man.withColumn("seq_base", F.coalesce(F.sum("n_chunks").over(earlier), F.lit(0)).cast("long"))
+    chunks = chunk_keys(man, "epoch", "worker", "shard", "seq_base")
+    if shuffle_chunks:
+        keyed = chunks.withColumn("_sl_key", shuffle_key(seed, epoch, "shard", "chunk"))
+        chunks = ordinal(keyed, ["epoch", "shard"], ["_sl_key", "chunk"], "chunk_rank")
+    else:
+        chunks = chunks.withColumn("chunk_rank", F.col("chunk"))
+    rows = chunks.withColumn("seq", F.col("seq_base") + F.col("chunk_rank"))
+    return assign_batches(rows, batch_size).select("epoch", "worker", "batch_id", "pos_in_batch", "shard", "chunk")
+
+
 def worker_batches(dealt: DataFrame, batch_size: int) -> DataFrame:
     """(worker, n): batches of each worker, from the dealt manifest alone."""
     if batch_size <= 0:

@@ -7,18 +7,19 @@ materialised token table -> packed blocks -> Parquet partitioned by shard.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Mapping
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shardloom.functions.templates import chat_prompts
-from shardloom.functions.text import SECTION_COLUMNS, section_text
+from shardloom.functions.text import SECTION_COLUMNS, with_patent_text
 from shardloom.functions.tokenizer import CodePointTokenizer, length_filter, tokenize
-from shardloom.functions.tokens import labels_from_mask
+from shardloom.functions.tokens import labels_from_mask, narrow_ids, seq_length
 from shardloom.operators.limits import sample_limit
 from shardloom.operators.packing import pack_blocks
-from shardloom.operators.windows import assign_windows, filter_label_prefix
+from shardloom.operators.windows import assign_windows, filter_label_prefix, scan_window
 from shardloom.session import materialize
 
 
@@ -54,8 +55,7 @@ def windowed_corpus(corpus: DataFrame, spec: BuildSpec) -> DataFrame:
 
 def text_table(corpus: DataFrame, spec: BuildSpec) -> DataFrame:
     rows = windowed_corpus(corpus, spec)
-    keep = [c for c in ("doc_id", "shard", "ipc_label", "title") if c in rows.columns]
-    return rows.select(*keep, section_text(SECTION_COLUMNS, spec.on_null).alias("text"))
+    return with_patent_text(rows, SECTION_COLUMNS, spec.on_null, keep=("doc_id", "shard", "ipc_label", "title"))
 
 
 def prompt_table(corpus: DataFrame, spec: BuildSpec) -> DataFrame:
@@ -93,8 +93,9 @@ def packed_shards(tokens: DataFrame, spec: BuildSpec, *, keep_tail: bool = True)
     chunk so any read-time window size can be cut later."""
     mask = "n_masked" if "n_masked" in tokens.columns else None
     blocks = pack_blocks(tokens, ["shard"], list(spec.order_cols), spec.block_size, keep_tail=keep_tail, mask=mask)
-    # stored with the block length, so manifests never read the arrays
-    return blocks.withColumn("n_tokens", F.size("input_ids"))
+    # stored as int32, with the block length, so manifests never read the arrays
+    stored = blocks.withColumns({c: narrow_ids(c) for c in ("input_ids", "labels")})
+    return stored.withColumn("n_tokens", seq_length("input_ids"))
 
 
 def write_shards(blocks: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -117,6 +118,33 @@ def write_shards(blocks: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def build_shards(corpus: DataFrame, spec: BuildSpec, path: str, tokenizer=None) -> DataFrame:
-    tokens = materialized_tokens(corpus, spec, tokenizer)
-    write_shards(packed_shards(tokens, spec), path)
-    return corpus.sparkSession.read.parquet(path)
+    blocks = packed_shards(materialized_tokens(corpus, spec, tokenizer), spec)
+    write_shards(blocks, path)
+    # the schema is given, so a build without rows reads as an empty table
+    return corpus.sparkSession.read.schema(blocks.schema).parquet(path)
+
+
+def build_splits(
+    corpus: DataFrame, spec: BuildSpec, splits: Mapping[str, tuple], path: str, tokenizer=None
+) -> dict[str, DataFrame]:
+    """S3 taken to shards: each named half-open date range becomes its own set of
+    shards under ``path/<name>``, e.g. ``{"train": (a, b), "val": (b, c)}``.
+
+    Rows outside a range stay out of its shards even where its last window
+    reaches past the range."""
+    return {
+        name: build_shards(
+            scan_window(corpus, spec.date_col, start, end),
+            replace(spec, start=start, end=end),
+            f"{path}/{name}",
+            tokenizer,
+        )
+        for name, (start, end) in splits.items()
+    }
+
+
+def write_report(stored: DataFrame) -> DataFrame:
+    """Blocks and tokens written per shard, from the stored block lengths."""
+    return stored.groupBy("shard").agg(
+        F.count(F.lit(1)).alias("n_blocks"), F.sum("n_tokens").cast("long").alias("n_tokens")
+    )

@@ -61,6 +61,21 @@ def feed_batches(shards: DataFrame, spec: FeedSpec) -> DataFrame:
     return _batches(cut_windows(shards, spec.chunk_size, block_size=spec.block_size), dealt, spec)
 
 
+def epoch_orders(shards: DataFrame, spec: FeedSpec, n_epochs: int) -> DataFrame:
+    """Order of every epoch as a narrow table (``feed.epoch_order``); reads the
+    stored block lengths only."""
+    manifest = feed.first_shards(feed.shard_manifest(shards, spec.chunk_size, labels=None), spec.demo_shards)
+    return feed.epoch_order(
+        manifest,
+        n_epochs,
+        spec.batch_size,
+        num_workers=spec.num_workers,
+        shuffle_shards=spec.shuffle_shards,
+        shuffle_chunks=spec.shuffle_chunks,
+        seed=spec.seed,
+    )
+
+
 def feed_from_npy(spark: SparkSession, path: str, spec: FeedSpec) -> DataFrame:
     """Same batches from ``.npy`` parts; the reader already cuts the windows and
     the manifest comes from the file sizes."""
