@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shardloom.operators.ordering import broadcast_if_small
+from shardloom.session import materialize
 
 # --- fixed values ------------------------------------------------------------
 #: Mean loss is clamped here before ``exp`` (perplexity).
@@ -48,11 +49,12 @@ def epoch_table(log: DataFrame, accum: int) -> DataFrame:
     return per.withColumn("prior_syncs", F.coalesce(F.sum("syncs").over(w), F.lit(0)).cast("long"))
 
 
-def assign_steps(log: DataFrame, accum: int, update_freq: int) -> DataFrame:
+def assign_steps(log: DataFrame, accum: int, update_freq: int, *, epochs: DataFrame | None = None) -> DataFrame:
     """Per micro-step ``opt_step`` (1-based optimizer step it feeds),
-    ``is_sync`` and ``log_window = (opt_step - 1) div update_freq``."""
+    ``is_sync`` and ``log_window = (opt_step - 1) div update_freq``.
+    ``epochs`` is the log's ``epoch_table`` where the caller has it."""
     _check(accum, update_freq)
-    ep = epoch_table(log, accum)
+    ep = epochs if epochs is not None else epoch_table(log, accum)
     j = log.join(broadcast_if_small(ep.select("rank", "epoch", "n_steps", "prior_syncs", "epoch_start")), ["rank", "epoch"])
     return j.select(
         *log.columns,
@@ -62,11 +64,11 @@ def assign_steps(log: DataFrame, accum: int, update_freq: int) -> DataFrame:
     ).withColumn("log_window", F.expr(f"(opt_step - 1) div {update_freq}"))
 
 
-def demo_cut(log: DataFrame, accum: int, n_demo_steps: int) -> DataFrame:
+def demo_cut(log: DataFrame, accum: int, n_demo_steps: int, *, epochs: DataFrame | None = None) -> DataFrame:
     """Micro-steps processed in demo mode: those that start while the
     global step is ``<= n_demo_steps`` (so ``n_demo_steps + 1`` optimizer
     steps run; later epochs process nothing)."""
-    steps = assign_steps(log, accum, 1)
+    steps = assign_steps(log, accum, 1, epochs=epochs)
     return steps.where(F.col("opt_step") - 1 <= F.lit(int(n_demo_steps))).drop("epoch_start", "log_window")
 
 
@@ -76,9 +78,14 @@ def loss_windows(
     update_freq: int,
     tokens_per_step: int,
     main_rank: int = 0,
+    *,
+    epochs: DataFrame | None = None,
 ) -> DataFrame:
     """One row per full log window.
 
+    The log is read twice: for the epoch table and for one rollup to
+    ``(log_window, rank)``; both are written and all else comes from them.
+
     * ``mean_loss`` = (sum of losses over all ranks) / (micro-steps of the
       main rank) / ranks, as the cross-rank reduce does;
     * ``perplexity`` = ``exp(min(mean_loss, 20))``;
@@ -87,9 +94,10 @@ def loss_windows(
       log, on the main rank; 0 when elapsed <= 0.  A window spanning an epoch
       end is flagged (its elapsed time restarts at the epoch).
     """
-    steps = assign_steps(log, accum, update_freq)
-    n_ranks_row = log.select(F.countDistinct("rank").alias("n")).first()
-    n_ranks = int(n_ranks_row["n"] or 1)
+    if epochs is None:
+        epochs = materialize(epoch_table(log, accum), "epochs")
+    steps = assign_steps(log, accum, update_freq, epochs=epochs)
+    n_ranks = int(epochs.select(F.countDistinct("rank").alias("n")).first()["n"] or 1)
 
     # Exact decimal sums: the window mean does not depend on partitioning.
     per_rank = steps.groupBy("log_window", "rank").agg(
@@ -100,6 +108,7 @@ def loss_windows(
         F.min("epoch").alias("first_epoch"),
         F.max(F.when(F.col("is_sync"), F.col("opt_step"))).alias("last_sync"),
     )
+    per_rank = materialize(per_rank, "log-windows-by-rank")
     main = per_rank.where(F.col("rank") == main_rank).select(
         "log_window",
         F.col("micro_steps").alias("main_steps"),
@@ -119,10 +128,7 @@ def loss_windows(
     full = totals.where(reached & (F.col("ranks") == n_ranks)).drop("ranks")
     win = full.join(main, "log_window")
 
-    starts = (
-        epoch_table(log.where(F.col("rank") == main_rank), accum)
-        .select("epoch", "epoch_start")
-    )
+    starts = epochs.where(F.col("rank") == main_rank).select("epoch", "epoch_start")
     prev = main.select((F.col("log_window") + 1).alias("log_window"), F.col("log_ts").alias("prev_ts"))
     win = win.join(broadcast_if_small(starts), "epoch").join(prev, "log_window", "left")
     since = F.greatest(F.coalesce(F.col("prev_ts"), F.col("epoch_start")), F.col("epoch_start"))

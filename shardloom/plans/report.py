@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shardloom.operators import trainlog
+from shardloom.session import materialize
 
 
 @dataclass(frozen=True)
@@ -30,12 +31,15 @@ class LogSpec:
 
 
 def log_report(log: DataFrame, spec: LogSpec) -> dict[str, DataFrame]:
-    loader_len = log.agg(F.max("step") + 1).first()[0] or 0
+    epochs = materialize(trainlog.epoch_table(log, spec.accum), "epochs")
+    loader_len = epochs.agg(F.max("n_steps")).first()[0] or 0
     out = {
-        "windows": trainlog.loss_windows(log, spec.accum, spec.update_freq, spec.tokens_per_micro_step),
+        "windows": trainlog.loss_windows(
+            log, spec.accum, spec.update_freq, spec.tokens_per_micro_step, epochs=epochs
+        ),
         "progress": trainlog.progress_rows(log, spec.tokens_per_micro_step, int(loader_len), accum=spec.accum),
-        "steps": trainlog.assign_steps(log, spec.accum, spec.update_freq),
+        "steps": trainlog.assign_steps(log, spec.accum, spec.update_freq, epochs=epochs),
     }
     if spec.demo_steps is not None:
-        out["demo"] = trainlog.demo_cut(log, spec.accum, spec.demo_steps)
+        out["demo"] = trainlog.demo_cut(log, spec.accum, spec.demo_steps, epochs=epochs)
     return out

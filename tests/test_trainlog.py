@@ -8,6 +8,8 @@ import random
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from shardloom.operators import trainlog
 
 T0 = dt.datetime(2024, 1, 1)
@@ -120,3 +122,13 @@ def test_stream_window_size_closed_form():
         full = {w: n for w, n in sizes.items() if (w + 1) * uf <= n_ep * syncs}
         for w in range(-1, max(sizes) + 3):
             assert window_size(w, E_, n_ep, acc, uf) == full.get(w)
+
+
+def test_loss_windows_come_from_one_rollup(spark):
+    """The result's plan reads the written rollup and epoch table, never the log."""
+    log = spark.createDataFrame([(r, 0, s, 1.0) for r in (0, 1) for s in range(8)], "rank long, epoch int, step int, loss double")
+    log = log.withColumn("ts", F.timestamp_seconds(F.col("step").cast("long")))
+    out = trainlog.loss_windows(log, 2, 2, 10)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan" in plan and "ExistingRDD" not in plan and "LocalTableScan" not in plan
+    assert sorted((r.log_window, r.micro_steps, r.mean_loss) for r in out.collect()) == [(0, 4, 1.0), (1, 4, 1.0)]
