@@ -12,9 +12,8 @@ State: a gated recurrent unit, written in numpy.  Training runs truncated
 backpropagation over windows of ``STEPS`` tokens, carrying the state from
 window to window; a document starts with a zero state.  Tasks train from the
 same weights on their own documents and the weights are averaged (weighted by
-tokens), ``ROUNDS`` times.  Weights learn from a sample of whole training
-documents chosen by a hash of the text: ``TRAIN_SHARE`` of them, or enough for
-``TRAIN_TOKENS`` where that is more.  Counts, classes and scores use all documents.
+tokens), ``ROUNDS`` times.  Every token of every training document is learned from
+once, at any size: a hash of the text deals the documents over the rounds.
 
 Scoring carries the state across windows, so a document's log-likelihood is
 that of the whole text whatever its length; many documents are scored side by
@@ -54,8 +53,6 @@ LANES = 64  # documents trained on side by side
 SCORE_LANES = 512
 ROUNDS = 2
 RATE = 0.25
-TRAIN_SHARE = 1 / 16
-TRAIN_TOKENS = 2_000_000
 MAX_TRAINERS = 1024
 DICTIONARY = 300_000
 WORD_BYTES = 64  # longer words are joined, not looked up
@@ -203,15 +200,15 @@ class Network:
         u_zr, u_c = np.ascontiguousarray(self.u[:, : 2 * n]), np.ascontiguousarray(self.u[:, 2 * n :])
         out = np.empty((*x.shape, n), np.float32)
         any_fresh = fresh.any(1)
+        a = self.gate[x] + self.bias
         for t in range(len(x)):
-            a = self.gate[x[t]] + self.bias
             if any_fresh[t]:
                 h = np.where(fresh[t][:, None], np.float32(0), h)
-            zr = a[:, : 2 * n] + h @ u_zr
+            zr = a[t, :, : 2 * n] + h @ u_zr
             zr = 1 / (1 + np.exp(-zr))
             z, r = zr[:, :n], zr[:, n:]
             rh = r * h
-            c = np.tanh(a[:, 2 * n :] + rh @ u_c)
+            c = np.tanh(a[t, :, 2 * n :] + rh @ u_c)
             new = h + z * (c - h)
             if keep is not None:
                 keep.append((h, z, r, rh, c))
@@ -232,15 +229,20 @@ class Network:
             grads["wc"], grads["bc"] = s.T @ p, p.sum(0)
             ds = p @ self.wc.T
             grads["ww"], grads["bw"] = np.zeros_like(self.ww), np.zeros_like(self.bw)
-        for c in range(self.c):
-            at = slice(cuts[c], cuts[c + 1])
-            if cuts[c] == cuts[c + 1]:
-                continue
-            more, p = _softmax(s[at] @ self.ww[c] + self.bw[c], y[at] - c * WIDTH, grads is not None)
-            out[at] += more
-            if grads is not None:
-                grads["ww"][c], grads["bw"][c] = s[at].T @ p, p.sum(0)
-                ds[at] += p @ self.ww[c].T
+        held, own = np.flatnonzero(np.diff(cuts)), int(cuts[-1])  # classes that occur; rows of own words, by class
+        if own:
+            logit = np.empty((own, WIDTH), np.result_type(s, self.ww))
+            for c in held:
+                np.matmul(s[cuts[c] : cuts[c + 1]], self.ww[c], out=logit[cuts[c] : cuts[c + 1]])
+            logit += self.bw[cls[:own]]
+            more, p = _softmax(logit, y[:own] - cls[:own] * WIDTH, grads is not None)
+            out[:own] += more
+        if own and grads is not None:
+            grads["bw"][held] = np.add.reduceat(p, cuts[held])
+            for c in held:
+                at = slice(cuts[c], cuts[c + 1])
+                grads["ww"][c] = s[at].T @ p[at]
+                ds[at] += p[at] @ self.ww[c].T
         back = np.empty_like(order)
         back[order] = np.arange(len(order))
         if grads is not None:
@@ -279,30 +281,36 @@ class Trainer:
         sq[rows] += grad * grad
         getattr(self.net, name)[rows] -= RATE * grad / np.sqrt(sq[rows])
 
-    def window(self, x: np.ndarray, y: np.ndarray, fresh: np.ndarray, h: np.ndarray) -> np.ndarray:
+    def window(self, x: np.ndarray, y: np.ndarray, fresh: np.ndarray, h: np.ndarray, real: np.ndarray | None = None) -> np.ndarray:
+        """One step on a window.  ``real``: where it holds tokens, if not everywhere;
+        the rest of such a lane is filling, which has no loss."""
         net, n, keep = self.net, HIDDEN, []
         states, last = net.states(x, fresh, h, keep)
         grads: dict = {}
-        net.log_probs(states.reshape(-1, n), y.ravel(), grads)
-        ds = grads.pop("ds").reshape(states.shape)
-        scale = np.float32(1.0 / y.size)
-        u_zr, u_c = net.u[:, : 2 * n], net.u[:, 2 * n :]
-        du = np.zeros_like(net.u)
+        if real is None:
+            net.log_probs(states.reshape(-1, n), y.ravel(), grads)
+            ds, size = grads.pop("ds").reshape(states.shape), y.size
+        else:
+            net.log_probs(states[real], y[real], grads)
+            ds, size = np.zeros_like(states), int(real.sum())
+            ds[real] = grads.pop("ds")
+        scale = np.float32(1.0 / size)
+        u_zr, u_c = np.ascontiguousarray(net.u[:, : 2 * n].T), np.ascontiguousarray(net.u[:, 2 * n :].T)
+        before, z, r, rh, c = map(np.stack, zip(*keep, strict=True))
+        to_z, to_c, to_r, stay = (c - before) * z * (1 - z), z * (1 - c * c), before * r * (1 - r), 1 - z
+        any_fresh = fresh.any(1)
         da = np.empty((*x.shape, 3 * n), np.float32)
         dh = np.zeros_like(last)
         for t in range(len(x) - 1, -1, -1):
-            before, z, r, rh, c = keep[t]
-            d = ds[t] + dh
-            dz = d * (c - before) * z * (1 - z)
-            dc = d * z * (1 - c * c)
-            drh = dc @ u_c.T
-            dr = drh * before * r * (1 - r)
-            da[t] = np.concatenate([dz, dr, dc], 1)
-            dh = d * (1 - z) + drh * r + da[t, :, : 2 * n] @ u_zr.T
-            dh[fresh[t]] = 0
-            du[:, : 2 * n] += before.T @ da[t, :, : 2 * n]
-            du[:, 2 * n :] += rh.T @ dc
+            d, out = ds[t] + dh, da[t]
+            drh = np.multiply(d, to_c[t], out=out[:, 2 * n :]) @ u_c
+            np.multiply(d, to_z[t], out=out[:, :n])
+            np.multiply(drh, to_r[t], out=out[:, n : 2 * n])
+            dh = d * stay[t] + drh * r[t] + out[:, : 2 * n] @ u_zr
+            if any_fresh[t]:
+                dh[fresh[t]] = 0
         flat = da.reshape(-1, 3 * n)
+        du = np.concatenate([before.reshape(-1, n).T @ flat[:, : 2 * n], rh.reshape(-1, n).T @ flat[:, 2 * n :]], 1)
         order = np.argsort(x.ravel(), kind="stable")
         ids, first = np.unique(x.ravel()[order], return_index=True)
         self._step("gate", np.add.reduceat(flat[order], first) * scale, ids)
@@ -334,12 +342,15 @@ def _train(vocab, weights):
         def learn() -> int:
             y, x, fresh = _stream(pending, net.start)
             lanes = min(LANES, max(1, len(y) // STEPS))
-            length = len(y) // lanes
-            y, x, fresh = (a[: lanes * length].reshape(lanes, length).T for a in (y, x, fresh))
+            size, length = len(y), -(-len(y) // lanes)
+            real = np.arange(lanes * length) < size
+            y, x, fresh = (np.pad(a, (0, lanes * length - size)) for a in (y, x, fresh))
+            y, x, fresh, real = (a.reshape(lanes, length).T for a in (y, x, fresh, real))
             h = np.zeros((lanes, HIDDEN), np.float32)
             for t in range(0, length, STEPS):
-                h = trainer.window(x[t : t + STEPS], y[t : t + STEPS], fresh[t : t + STEPS], h)
-            return y.size
+                at = slice(t, t + STEPS)
+                h = trainer.window(x[at], y[at], fresh[at], h, None if real[at].all() else real[at])
+            return size
 
         for batch in batches:
             for part in small_batches(batch, 0):
@@ -373,15 +384,13 @@ def train(texts: DataFrame, vocab: Vocabulary) -> np.ndarray | None:
     spark = texts.sparkSession
     if not vocab.total:
         return None
-    share = max(TRAIN_SHARE, min(1.0, TRAIN_TOKENS / vocab.total))
     held = spark.sparkContext.broadcast(vocab)
     text = F.coalesce(texts[0], F.lit(""))
-    h = F.xxhash64(text)
-    sample = texts.select(text.alias("t"), h.alias("h")).where(F.pmod("h", F.lit(1 << 20)) < int(share * (1 << 20)))
+    dealt = texts.select(text.alias("t"), F.pmod(F.xxhash64(text), F.lit(ROUNDS)).alias("round"))
     flat, kind = None, "w binary, n long"
     for r in range(ROUNDS):
         now = None if flat is None else spark.sparkContext.broadcast(flat)
-        rows = sample.where(F.pmod(F.shiftright("h", 20), F.lit(ROUNDS)) == r).select("t").coalesce(MAX_TRAINERS)
+        rows = dealt.where(F.col("round") == r).select("t").coalesce(MAX_TRAINERS)
         trained = rows.mapInArrow(_train(held, now), kind)
         means = stage(trained, "weights").repartition(8).mapInArrow(_mean, kind).collect()  # at most 8 rows
         if means:

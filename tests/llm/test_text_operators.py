@@ -203,6 +203,31 @@ def test_lm_gradients_match_differences():
         assert seen[name][0][at] == pytest.approx((up - down) / 2e-2, rel=2e-2, abs=2e-3), name
 
 
+def test_lm_trains_on_every_token_at_any_size(spark, monkeypatch):
+    texts = [" ".join(f"w{(i * 7 + k) % 90}" for k in range(20 + i)) for i in range(150)] + ["", None]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)
+    vocab = lm.vocabulary(lm.count_words(docs))
+    vocab.total = 50_000_000  # as in a large corpus
+    kept, real = [], lm.stage
+    monkeypatch.setattr(lm, "stage", lambda df, name: kept.append(real(df, name)) or kept[-1])
+    assert lm.train(docs, vocab) is not None
+    learned = sum(w.agg(F.sum("n")).first()[0] or 0 for w in kept)
+    assert learned == sum(len(lm.tokens(t)) for t in texts)
+
+
+def test_lm_filling_of_a_window_teaches_nothing():
+    vocab = lm.Vocabulary([b"w%d" % i for i in range(60)], np.arange(60, 0, -1), 2000, 60, np.ones(lm.RARE))
+    rng = np.random.default_rng(2)
+    x, y = rng.integers(0, 60, (2, 6, 3)).astype(np.int32)
+    real, fresh, h = np.ones((6, 3), bool), np.zeros((6, 3), bool), np.zeros((3, lm.HIDDEN), np.float32)
+    real[4:, 2] = False
+    nets = []
+    for filled in (0, 59):
+        nets.append(lm.Network(vocab))
+        lm.Trainer(nets[-1]).window(np.where(real, x, filled), np.where(real, y, filled), fresh, h, real)
+    assert all(np.array_equal(getattr(nets[0], n), getattr(nets[1], n)) for n in nets[0].NAMES)
+
+
 def test_decontamination_edges_and_removal(spark):
     long = " ".join(f"w{i}" for i in range(12))
     bench = spark.createDataFrame([(1, long), (2, "Short item"), (3, None), (4, "..."), (None, "nameless thing")], "item_id long, text string")
