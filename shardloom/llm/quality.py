@@ -10,7 +10,9 @@ which enters the same curve.
 Fitting uses a bounded sample of the labelled rows (``SAMPLE_DOCS`` a class,
 texts of ``SAMPLE_CHARS`` at most, chosen by a hash of the id); scoring covers
 every whole text in one pass without a shuffle.  Half of the sample fills the
-dictionaries, the other half fits the curve.
+dictionaries, the other half fits the curve.  A dictionary holds ``DICT_BYTES`` at
+most, dealt evenly: each of its n texts gives ``DICT_BYTES // n - 1`` bytes (130 at
+the full sample of 750), in pieces of about ``SPAN`` spread over the whole text.
 
 Edge cases: null and empty texts score as the curve gives for "no evidence";
 without labelled rows of both classes every text gets the share of good labels
@@ -36,6 +38,7 @@ from shardloom.llm.common import python_ready, small_batches
 SAMPLE_DOCS = 1500
 SAMPLE_CHARS = 20_000
 DICT_BYTES = 96 << 10
+SPAN = 64
 LEVEL = 3
 #: Bytes that are compressed at a time with a dictionary: a long text would
 #: otherwise be compressed by its own beginning and the dictionary not matter.
@@ -113,6 +116,21 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1) -> np.ndarray:
     return w
 
 
+def dictionary(texts: list[str]) -> bytes:
+    """Pieces of every text, one from each of its equal parts; where in the
+    part turns with the text's place, so that no place in the texts is left out."""
+    share = max(1, DICT_BYTES // len(texts) - 1)
+    k = max(1, share // SPAN)
+    size, parts = share // k, []
+    for i, t in enumerate(texts):
+        data = t.encode()
+        if len(data) > share:
+            turn, room = i * 0.618034 % 1, len(data) - size
+            data = b"".join(data[(at := int((j + turn) * room / k)) : at + size] for j in range(k))
+        parts.append(data)
+    return b"\n".join(parts)
+
+
 def fit(
     docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str = "text", label: str = "quality",
     use: Column | None = None, sample_docs: int = SAMPLE_DOCS,
@@ -136,11 +154,7 @@ def fit(
     if len(by[0]) < 2 or len(by[1]) < 2:
         return QualityModel(b"", b"", [], (len(by[1]) / total) if total else 0.5)
 
-    def content(texts: list[str]) -> bytes:
-        share = max(256, DICT_BYTES // len(texts))  # of each text, so that all of the half are in
-        return b"\n".join(t.encode()[:share] for t in texts)[-DICT_BYTES:]
-
-    model = QualityModel(content(by[1][::2]), content(by[0][::2]), [], len(by[1]) / total)
+    model = QualityModel(dictionary(by[1][::2]), dictionary(by[0][::2]), [], len(by[1]) / total)
     x = np.array([_expand(model.features(t)) for v in (0, 1) for t in by[v][1::2]])
     y = np.array([float(v) for v in (0, 1) for _ in by[v][1::2]])
     model.weights = _logistic(x, y).tolist()

@@ -108,6 +108,25 @@ def test_quality_edges(spark):
     assert {r["score"] for r in quality.score(docs, quality.fit(docs, one)).collect()} == {1.0}
 
 
+def test_quality_dictionary_holds_every_text():
+    texts = ["".join(f"<{i:03d}>" for _ in range(200)) for i in range(quality.SAMPLE_DOCS // 2)]
+    held = quality.dictionary(texts)
+    assert len(held) <= quality.DICT_BYTES and all(f"<{i:03d}>".encode() in held for i in range(len(texts)))
+    long = [("a" * 1000 + "b" * 1000 + "c" * 1000 + "d" * 1000) for _ in range(quality.SAMPLE_DOCS // 2)]
+    assert all(quality.dictionary(long).count(c) > quality.DICT_BYTES // 8 for c in (b"a", b"b", b"c", b"d"))
+
+
+def test_quality_learns_traits_after_the_opening(spark):
+    rng = np.random.default_rng(5)
+    opening = " ".join(f"head{i}" for i in range(300))  # longer than a dictionary's share of a text
+    words = {y: ["".join(w) for w in rng.choice(list("abcdefghijklmnop"), (150, 7))] for y in (0, 1)}
+    rows = [(i, i % 2, f"{opening} {' '.join(rng.choice(words[i % 2], 250))}") for i in range(240)]
+    docs, labels = spark.createDataFrame(rows, "doc_id long, quality int, text string"), [r[:2] for r in rows if r[0] < 200]
+    model = quality.fit(docs.drop("quality"), spark.createDataFrame(labels, "doc_id long, quality int"))
+    score = {y: [model.score(t) for i, q, t in rows if i >= 200 and q == y] for y in (0, 1)}
+    assert np.mean([a > b for a in score[1] for b in score[0]]) > 0.95
+
+
 def test_language_held_out_and_edges(spark):
     sf = "/root/testdata/sf0.01"
     got = queries()["op4_language_id"](spark, sf).join(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang"), "doc_id")
