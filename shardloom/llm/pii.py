@@ -2,7 +2,8 @@
 
 Kinds with a fixed contract (``email``, ``ip``, ``card``, ``phone``) are kept
 whenever pattern and validator agree; their score still tells how sure the
-find is.  Further kinds need more than a pattern: ``iban`` the mod-97 check,
+find is.  Further kinds need more than a pattern: ``iban`` the mod-97 check
+(of the country's length, whatever words follow),
 ``card_short`` (13 to 15 digits) the Luhn check and a card word nearby,
 ``national_id`` (ddd-dd-dddd) an identity word nearby.  A span's score starts
 from its kind and validator and rises with context words within
@@ -62,6 +63,17 @@ SPAN = T.StructType(
 _LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _email, _ip, _card, _phone = (re.compile(p) for p in (EMAIL, IP, CARD, PHONE))
 _iban = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
+#: Length of the account numbers of each country (ISO 13616).
+IBAN_LENGTH = {
+    k: n
+    for n, ks in {
+        15: "NO", 16: "BE", 18: "DK FI FO GL NL", 19: "MK SI", 20: "AT BA EE KZ LT LU XK", 21: "CH HR LI LV",
+        22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+        26: "IS TR", 27: "FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU",
+        31: "MT SC", 32: "LC",
+    }.items()
+    for k in ks.split()
+}
 _national = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
 
 
@@ -99,6 +111,25 @@ def _digits(s: str) -> str:
     return "".join(c for c in s if c in "0123456789")
 
 
+def _ibans(text: str) -> Iterator[tuple[int, int]]:
+    """Account numbers that pass mod-97.  A proposal runs on across blanks, so it
+    may hold the words after the number: it is cut at the group that ends at the
+    country's length, or, in a country without one, at the longest run of groups
+    that passes.  After a rejected head the scan goes on right behind it."""
+    m = _iban.search(text)
+    while m:
+        start, size, ends = m.start(), 0, []
+        for group in m.group().split(" "):
+            size += len(group)
+            ends.append((size, start + size + len(ends)))
+        least = IBAN_LENGTH.get(text[start : start + 2])
+        tried = [e for e in reversed(ends) if e[0] >= 15] if least is None else [e for e in ends if e[0] == least] + ends[-1:]
+        end = next((e for _, e in tried if mod97(text[start:e].replace(" ", ""))), None)
+        if end is not None:
+            yield start, end
+        m = _iban.search(text, start + 4 if end is None else end)
+
+
 def find_spans(text: str | None) -> list[tuple[str, int, int, float]]:
     """(kind, start, end, score) by kind as listed, then start."""
     if not text:
@@ -119,9 +150,7 @@ def find_spans(text: str | None) -> list[tuple[str, int, int, float]]:
         for m in _phone.finditer(text):
             if 8 <= len(_digits(m.group())) <= 15:
                 found.append(("phone", *m.span()))
-    for m in _iban.finditer(text):
-        if mod97(m.group().replace(" ", "")):
-            found.append(("iban", *m.span()))
+    found += [("iban", a, b) for a, b in _ibans(text)]
     found += short
     found += [("national_id", *m.span()) for m in _national.finditer(text)]
     scored = []

@@ -91,6 +91,19 @@ def test_pii_validators_context_and_edges(spark):
     assert clean[len(EDGES)] == "mail [EMAIL] or [EMAIL], ip [IP]" and clean[1] is None
 
 
+def test_pii_iban_before_other_words():
+    found = lambda t: [t[s[1] : s[2]] for s in pii.find_spans(t) if s[0] == "iban"]
+    plain, spaced, other = "DE89370400440532013000", "DE89 3704 0044 0532 0130 00", "NO9386011117947"
+    for own in (plain, spaced, other):
+        for after in ("", " BIC COBADEFF", " EUR 50", " 12", " A", " AB12 CD", ", paid"):
+            assert found(f"pay {own}{after}") == [own], (own, after)
+    assert found(f"{other} {other} {plain}") == [other, other, plain]
+    assert found(f"REF AA11 BB {plain} EUR 50") == [plain]  # behind a rejected head
+    assert found("DE88370400440532013000 BIC COBADEFF") == found(f"{plain}X EUR 50") == []
+    turned = next(f"XX{c:02d}12345678901234" for c in range(2, 99) if pii.mod97(f"XX{c:02d}12345678901234"))
+    assert found(f"{turned} EUR 50") == [turned]  # a country without a fixed length
+
+
 def test_quality_held_out(spark):
     sf = "/root/testdata/sf0.01"
     got = queries()["op3_quality"](spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id")
