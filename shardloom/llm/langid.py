@@ -10,9 +10,10 @@ in that space.  Scoring folds both into one matrix: a batch of texts becomes a
 outputs of all languages.  Whole texts are used; n-grams that no landmark has
 count in the norm.
 
-Fitting collects at most ``SAMPLE_PER_LANG`` texts of ``SAMPLE_CHARS`` for each
-of at most ``MAX_LANGS`` languages, chosen by a hash of the text; scoring is one
-pass without a shuffle.
+Fitting collects at most ``SAMPLE_PER_LANG`` whole texts for each of at most
+``MAX_LANGS`` languages (the commonest), chosen by a hash of the text from those of
+``SAMPLE_CHARS`` at most; a language with fewer of these is filled up with its
+shortest longer ones.  Scoring is one pass without a shuffle.
 
 Edge cases: null texts and texts without a letter are ``und`` with score 0;
 with no labelled text at all every text is ``und``; ties go to the language
@@ -139,18 +140,20 @@ def fit(
 ) -> KernelModel:
     """Fit on a bounded sample.  ``use``: condition on ``docs`` that says which rows may be learned from.
 
-    Texts are ranked by hash within (language, slice) first, so no task sorts
-    a whole language, and the slices' best are ranked again."""
+    Texts are ranked (short ones by hash, then longer ones by length) within
+    (language, slice) first, so no task sorts a whole language, and the slices'
+    best are ranked again."""
     rows = docs if use is None else docs.where(use)
-    rows = rows.where(F.col(lang).isNotNull() & F.col(text).isNotNull() & (F.length(text) <= SAMPLE_CHARS))
-    rows = rows.select(F.col(lang).alias("lang"), F.col(text).alias("text"), F.xxhash64(F.col(text)).alias("h"))
+    rows = rows.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
+    over = F.greatest(F.length(text) - SAMPLE_CHARS, F.lit(0)).alias("over")
+    rows = rows.select(F.col(lang).alias("lang"), F.col(text).alias("text"), F.xxhash64(F.col(text)).alias("h"), over)
     rows = rows.where(F.col("text").rlike(r"\p{L}")).withColumn("slice", F.pmod("h", F.lit(512)))
     langs = [r[0] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS).collect()]
     if not langs:
         return KernelModel([], [])
-    narrow = rows.select("lang", "h", "slice").distinct()
-    first = Window.partitionBy("lang", "slice").orderBy("h")
-    again = Window.partitionBy("lang").orderBy("h")
+    narrow = rows.select("lang", "h", "slice", "over").distinct()
+    first = Window.partitionBy("lang", "slice").orderBy("over", "h")
+    again = Window.partitionBy("lang").orderBy("over", "h")
     best = narrow.withColumn("rn", F.row_number().over(first)).where(F.col("rn") <= per_lang)
     best = best.withColumn("rn", F.row_number().over(again)).where(F.col("rn") <= per_lang).select("lang", "h")
     best = best.where(F.col("lang").isin(langs))  # at most MAX_LANGS * per_lang rows

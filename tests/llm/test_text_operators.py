@@ -152,6 +152,23 @@ def test_language_held_out_and_edges(spark):
     assert langid.identify(docs_frame(spark, ["word"]), langid.fit(empty)).first()["lang_pred"] == "und"
 
 
+def test_language_of_long_texts_only_is_learned(spark):
+    words = {"aa": ["tok", "rel", "min", "sab"], "bb": ["quxo", "zwi", "jyf", "vhk"]}
+    text = lambda k, i, n: " ".join(words[k][(i + j * j) % 4] + str(i % 10) for j in range(n))
+    rows = [("aa", text("aa", i, 40)) for i in range(12)] + [("bb", text("bb", i, 1200 + i)) for i in range(12)]
+    assert all((len(t) > langid.SAMPLE_CHARS) == (k == "bb") for k, t in rows)
+    docs = spark.createDataFrame(rows, "lang string, text string")
+    model = langid.fit(docs)
+    assert model.langs == ["aa", "bb"] and model.predict([text("aa", 3, 30), text("bb", 5, 30)])[0] == ["aa", "bb"]
+    some, model_texts = [], langid.KernelModel
+    try:  # the shortest of the long texts come first, after all short ones
+        langid.KernelModel = lambda texts, langs: some.append(sorted(len(t) for t, k in zip(texts, langs, strict=True) if k == "bb"))
+        langid.fit(docs, per_lang=5)
+    finally:
+        langid.KernelModel = model_texts
+    assert some == [sorted(len(t) for k, t in rows if k == "bb")[:5]]
+
+
 def test_language_kernel_is_the_blended_presence_kernel():
     grams = lambda t: {t.encode()[i : i + n] for n in (1, 2, 3) for i in range(len(t.encode()) - n + 1)}
     x, y = "le chat été", "the chat"
