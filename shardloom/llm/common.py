@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -49,6 +49,17 @@ def fold(doc_id: Column, k: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))), F.lit(k))
 
 
+def quoted(name: str) -> str:
+    """A column's name as a reference: dots in it are not fields."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def columns_but(df: DataFrame, outputs: Iterable[str]) -> list[Column]:
+    """All columns but those an output replaces; names are compared as Spark does, without case."""
+    taken = {o.lower() for o in outputs}
+    return [F.col(quoted(c)) for c in df.columns if c.lower() not in taken]
+
+
 def row_key(doc_id: Column, text: Column) -> Column:
     """128-bit key of (id, text), null-safe: rows equal in both share it."""
     parts = [F.coalesce(F.concat(F.lit("i"), doc_id.cast("string")), F.lit("n")), F.lit("\x00")]

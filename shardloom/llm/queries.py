@@ -1,4 +1,4 @@
-"""Registered queries ``op1_*`` to ``op10_*``: each applies one operator, with its
+"""Registered queries ``op1_*`` to ``op13_*``: each applies one operator, with its
 production parameters, to the whole table, and derives the contract's columns.
 
 ``SQL`` has the same result in DuckDB SQL where SQL can express it.
@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shardloom.llm import bpe, decontaminate, embdedup, fixity, langid, linededup, lm, minhash, pii, quality
+from shardloom.llm import bpe, decontaminate, embdedup, fixity, langid, linededup, lm, minhash, pii, quality, urlfilter
 from shardloom.llm.common import fold, read
 
 #: Documents with a lower score are rejected.
@@ -124,6 +124,12 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = urlfilter.judge_urls(read(spark, sf_dir, "pages").select("page_id", "url"))
+    n_soft = F.size("soft_terms").cast("long").alias("n_soft")
+    return judged.select("page_id", "host", "path", "rule", "verdict", F.col("strict_hits").alias("n_strict"), n_soft, "weight")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -133,7 +139,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     ops = (
         op1_lm_scoring, op2_pii, op3_quality, op4_language_id, op5_decontamination, op6_minhash, op7_line_dedup,
-        op8_embedding_dedup, op9_warc_fixity, op10_bpe, pipeline,
+        op8_embedding_dedup, op9_warc_fixity, op10_bpe, op11_url_filter, pipeline,
     )
     return {f.__name__: f for f in ops}
 
@@ -207,5 +213,27 @@ SELECT coalesce(a.file, b.file) AS file, coalesce(a."offset", b."offset") AS "of
   coalesce(a.length, -1) AS length_a, coalesce(a.digest, '') AS digest_a, coalesce(b.length, -1) AS length_b, coalesce(b.digest, '') AS digest_b,
   CASE WHEN b.file IS NULL THEN 'missing' WHEN a.file IS NULL THEN 'extra' ELSE 'changed' END AS status
 FROM a FULL JOIN b ON a.file = b.file AND a."offset" = b."offset" WHERE a.digest IS DISTINCT FROM b.digest
+""",
+    "op11_url_filter": f"""
+WITH words(term, weight) AS (VALUES {", ".join(f"('{t}', {w})" for t, w in urlfilter.VOCABULARY.items())}),
+u AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, page_id, {_LOWER.replace("text", "url")} AS low,
+    translate(regexp_extract(coalesce(url, ''), '://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(coalesce(url, ''), '://[^/?#]*([^?#]*)', 1) AS path FROM pages),
+ruled AS (
+  SELECT *, '.' || host AS h, CASE
+    WHEN ends_with('.' || host, '.example.net') AND starts_with(path, '/en/') THEN 'allow example.net/en/'
+    WHEN ends_with('.' || host, '.example.com') AND starts_with(path, '/de/') THEN 'block example.com/de/'
+    WHEN ends_with('.' || host, '.org') AND starts_with(path, '/fr/') THEN 'allow org/fr/'
+    WHEN ends_with('.' || host, '.net') AND starts_with(path, '/') THEN 'block net/' END AS fits FROM u),
+hit AS (
+  SELECT r, term, weight, count(*) AS n FROM (SELECT r, unnest(regexp_extract_all(low, '[\\pL\\pN]+')) AS term FROM u) JOIN words USING (term) GROUP BY ALL),
+total AS (
+  SELECT r, sum(CASE WHEN weight >= {urlfilter.LIMIT} THEN n ELSE 0 END) AS n_strict,
+    sum(CASE WHEN weight < {urlfilter.LIMIT} THEN 1 ELSE 0 END) AS n_soft, sum(weight) AS weight FROM hit GROUP BY 1)
+SELECT page_id, host, path, split_part(fits, ' ', 2) AS rule,
+  coalesce(split_part(fits, ' ', 1), CASE WHEN coalesce(weight, 0) >= {urlfilter.LIMIT} THEN 'block' ELSE 'allow' END) AS verdict,
+  CAST(coalesce(n_strict, 0) AS BIGINT) AS n_strict, CAST(coalesce(n_soft, 0) AS BIGINT) AS n_soft, CAST(coalesce(weight, 0) AS BIGINT) AS weight
+FROM ruled LEFT JOIN total USING (r)
 """,
 }
