@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shardloom.llm import bpe, decontaminate, embdedup, fixity, langid, linededup, lm, minhash, pii, quality, urlfilter
+from shardloom.llm import bpe, decontaminate, embdedup, fixity, langid, linededup, lm, manifest, minhash, pii, quality, urlfilter
 from shardloom.llm.common import fold, read
 
 #: Documents with a lower score are rejected.
@@ -130,6 +130,18 @@ def op11_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict", F.col("strict_hits").alias("n_strict"), n_soft, "weight")
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars", "text")
+    fields = [F.col(c) for c in docs.columns]
+    cut = F.when(fold(F.col("doc_id"), 2) == 0, F.translate("text", "\n", "")).otherwise(F.col("text"))
+    carry = {"doc_id": F.col("doc_id"), "stored": manifest.leaf([*fields[:-1], cut])}
+    built = manifest.build(docs, F.col("doc_id"), F.col("source"), fields, carry)
+    folded = built.withColumn("folded_root", manifest.fold(F.col("stored"), "path"))
+    proof = manifest.proof("path").alias("proof_sha256")
+    verified = (F.col("folded_root") == F.col("root")).alias("verified")
+    return folded.select("doc_id", "leaf", "subroot", "root", proof, "folded_root", verified)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -139,7 +151,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     ops = (
         op1_lm_scoring, op2_pii, op3_quality, op4_language_id, op5_decontamination, op6_minhash, op7_line_dedup,
-        op8_embedding_dedup, op9_warc_fixity, op10_bpe, op11_url_filter, pipeline,
+        op8_embedding_dedup, op9_warc_fixity, op10_bpe, op11_url_filter,
+        op13_merkle_manifest, pipeline,
     )
     return {f.__name__: f for f in ops}
 
@@ -235,5 +248,48 @@ SELECT page_id, host, path, split_part(fits, ' ', 2) AS rule,
   coalesce(split_part(fits, ' ', 1), CASE WHEN coalesce(weight, 0) >= {urlfilter.LIMIT} THEN 'block' ELSE 'allow' END) AS verdict,
   CAST(coalesce(n_strict, 0) AS BIGINT) AS n_strict, CAST(coalesce(n_soft, 0) AS BIGINT) AS n_soft, CAST(coalesce(weight, 0) AS BIGINT) AS weight
 FROM ruled LEFT JOIN total USING (r)
+""",
+    "op13_merkle_manifest": """
+WITH RECURSIVE f AS MATERIALIZED (
+  SELECT *, coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+    || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') AS head FROM documents),
+crc_step(i, b, c) AS (
+  SELECT 0, b, b FROM range(256) t(b) UNION ALL
+  SELECT i + 1, b, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM crc_step WHERE i < 8),
+crc_of(t) AS (SELECT list(c ORDER BY b) FROM crc_step WHERE i = 8),
+leaves AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, coalesce('s' || source, '') AS src, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+    CASE WHEN xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, 1 + length(coalesce(CAST(doc_id AS VARCHAR), ''))),
+        lambda k: ascii(coalesce(CAST(doc_id AS VARCHAR), '')[k])::BIGINT)),
+        lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 2 = 0
+      THEN sha256(head || coalesce(strlen(replace(text, chr(10), '')) || ':' || replace(text, chr(10), ''), '-'))
+      ELSE sha256(head || coalesce(strlen(text) || ':' || text, '-')) END AS stored
+  FROM f, crc_of),
+up(l, src, i, n, h) AS (
+  SELECT 0, src, row_number() OVER (PARTITION BY src ORDER BY doc_id NULLS FIRST, leaf, r) - 1, count(*) OVER (PARTITION BY src), leaf FROM leaves
+  UNION ALL SELECT l + 1, src, i // 3, (n + 2) // 3, sha256(string_agg(h, '' ORDER BY i)) FROM up WHERE n > 1 GROUP BY l, src, i // 3, n),
+sub AS MATERIALIZED (SELECT l, src, h FROM up WHERE n = 1),
+top(l, i, n, h) AS (
+  SELECT 0, row_number() OVER (ORDER BY src) - 1, count(*) OVER (), h FROM sub
+  UNION ALL SELECT l + 1, i // 3, (n + 2) // 3, sha256(string_agg(h, '' ORDER BY i)) FROM top WHERE n > 1 GROUP BY l, i // 3, n),
+nodes AS MATERIALIZED (
+  SELECT src, l, i, n, h FROM up WHERE n > 1 UNION ALL
+  SELECT NULL, l, i, n, h FROM top WHERE n > 1),
+sib AS MATERIALIZED (
+  SELECT a.src, a.l, a.i, coalesce(string_agg(b.h, '' ORDER BY b.i) FILTER (b.i < a.i), '') AS lo, coalesce(string_agg(b.h, '' ORDER BY b.i) FILTER (b.i > a.i), '') AS hi
+  FROM nodes a JOIN nodes b ON a.src IS NOT DISTINCT FROM b.src AND a.l = b.l AND a.i // 3 = b.i // 3 GROUP BY ALL),
+place AS MATERIALIZED (
+  SELECT r, doc_id, leaf, stored, src, row_number() OVER (PARTITION BY src ORDER BY doc_id NULLS FIRST, leaf, r) - 1 AS i, dense_rank() OVER (ORDER BY src) - 1 AS g FROM leaves),
+steps AS MATERIALIZED (
+  SELECT r, row_number() OVER (PARTITION BY r ORDER BY tier, l) AS k, lo, hi FROM (
+    SELECT p.r, 0 AS tier, s.l, s.lo, s.hi FROM place p JOIN sib s ON p.src = s.src AND s.i = p.i // CAST(3 ** s.l AS BIGINT)
+    UNION ALL SELECT p.r, 1, s.l, s.lo, s.hi FROM place p JOIN sib s ON s.src IS NULL AND s.i = p.g // CAST(3 ** s.l AS BIGINT))),
+folding(r, k, h) AS (
+  SELECT r, 0, stored FROM place UNION ALL
+  SELECT f.r, s.k, sha256(s.lo || f.h || s.hi) FROM folding f JOIN steps s ON s.r = f.r AND s.k = f.k + 1),
+folded AS (SELECT r, arg_max(h, k) AS folded_root FROM folding GROUP BY 1),
+proofs AS (SELECT r, string_agg(lo || hi, '' ORDER BY k) AS proof FROM steps GROUP BY 1)
+SELECT doc_id, leaf, sub.h AS subroot, root.h AS root, sha256(coalesce(proof, '')) AS proof_sha256, folded_root, folded_root = root.h AS verified
+FROM place JOIN sub USING (src) JOIN (SELECT h FROM top WHERE n = 1) root ON true JOIN folded USING (r) LEFT JOIN proofs USING (r)
 """,
 }
