@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shardloom.session import scratch_path, ship_package
 
@@ -60,6 +61,26 @@ def columns_but(df: DataFrame, outputs: Iterable[str]) -> list[Column]:
     return [F.col(quoted(c)) for c in df.columns if c.lower() not in taken]
 
 
+def add_columns(
+    df: DataFrame,
+    added: Sequence[T.StructField],
+    run: Callable[[Iterator[pa.RecordBatch]], Iterator[tuple[Sequence[pa.Array], Sequence[pa.Array]]]],
+) -> DataFrame:
+    """``df`` with the columns ``added``, made in Arrow batches: ``run`` yields pairs
+    of df's columns (all rows or some) and the new ones.  Columns go by place, so
+    any names will do; those of ``df`` that a new one replaces must be out of it."""
+    fields = [*df.schema.fields, *added]
+    names = [f"c{i}" for i in range(len(fields))]
+    schema = T.StructType([T.StructField(n, f.dataType, f.nullable) for n, f in zip(names, fields, strict=True)])
+
+    def batches(given: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for kept, more in run(given):
+            yield pa.RecordBatch.from_arrays([*kept, *more], names=names)
+
+    plain = df.toDF(*names[: len(df.columns)])
+    return plain.mapInArrow(batches, schema).toDF(*(f.name for f in fields))
+
+
 def row_key(doc_id: Column, text: Column) -> Column:
     """128-bit key of (id, text), null-safe: rows equal in both share it."""
     parts = [F.coalesce(F.concat(F.lit("i"), doc_id.cast("string")), F.lit("n")), F.lit("\x00")]

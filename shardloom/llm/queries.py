@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shardloom.llm import bpe, decontaminate, embdedup, fixity, langid, linededup, lm, manifest, minhash, pii, quality, urlfilter
+from shardloom.llm import bpe, decontaminate, embdedup, fixity, langid, linededup, lm, manifest, minhash, pii, quality, urlfilter, whitening
 from shardloom.llm.common import fold, read
 
 #: Documents with a lower score are rejected.
@@ -130,6 +130,15 @@ def op11_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict", F.col("strict_hits").alias("n_strict"), n_soft, "weight")
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    white = whitening.whiten(vectors, whitening.fit(vectors))
+    deviation = F.expr("try_cast(deviation AS bigint)").alias("deviation")  # null beyond a long
+    each = white.select("vec_id", "n", deviation, F.posexplode("whitened").alias("at", "whitened"), "explained", "identity_error")
+    component = (F.col("at") + 1).alias("component")
+    return each.select("vec_id", component, "n", "deviation", "whitened", F.expr("explained[at]").alias("explained"), "identity_error")
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars", "text")
     fields = [F.col(c) for c in docs.columns]
@@ -152,7 +161,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     ops = (
         op1_lm_scoring, op2_pii, op3_quality, op4_language_id, op5_decontamination, op6_minhash, op7_line_dedup,
         op8_embedding_dedup, op9_warc_fixity, op10_bpe, op11_url_filter,
-        op13_merkle_manifest, pipeline,
+        op12_whitening, op13_merkle_manifest, pipeline,
     )
     return {f.__name__: f for f in ops}
 
