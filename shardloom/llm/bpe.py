@@ -34,10 +34,17 @@ from pyspark.sql import types as T
 
 from shardloom.llm.common import python_ready, small_batches
 
-#: Distinct strings whose ids a Python worker remembers, in each of two generations (about 200 bytes each).
-CACHED_UNITS = 150_000
-CACHED_PIECES = 200_000
+#: Bytes that a Python worker spends on the ids it remembers, of units and of pre-tokens, in each of
+#: two generations (44 MB in all); and the bytes of an entry besides its text and ids.
+UNIT_BYTES, PIECE_BYTES = 8 << 20, 14 << 20
+ENTRY_BYTES = 150
+#: Longer strings are not remembered.
+REMEMBERED = 64
+#: Longer texts are encoded in parts, cut at single blanks.
+LONG = 1 << 20
 DECODE_ROWS = 512
+#: Ids decoded at once: two places a byte are held meanwhile.
+DECODE_IDS = 1 << 18
 #: Text that is encoded together: what is new in it is learned before the next.
 BATCH_BYTES = 1 << 20
 #: New pre-tokens that share a queue (their lists then stay in the CPU's cache).
@@ -156,26 +163,33 @@ def merge_pieces(pieces: list[bytes], table: RankTable) -> list[list[int]]:
 
 
 class _Remembered:
-    """Two generations of at most ``entries`` strings: when the young one is
-    full it becomes the old one, so what is asked for again stays."""
+    """Two generations of strings and their ids, of at most ``limit`` bytes each:
+    when the young one is full it becomes the old one, so what is asked for again
+    stays.  What a batch needs lives in the batch; only then is it remembered."""
 
-    def __init__(self, entries: int):
-        self.entries, self.young, self.old = entries, {}, {}
+    def __init__(self, limit: int):
+        self.limit, self.held, self.young, self.old = limit, 0, {}, {}
 
-    def turn(self) -> None:
-        if len(self.young) > self.entries:
-            self.young, self.old = {}, self.young
-
-    def missing(self, keys: Iterator[str]) -> list[str]:
-        """Those of the distinct ``keys`` that are in neither generation; the others are made young."""
-        out, old, young = [], self.old.get, self.young
+    def known(self, keys: Iterator[str]) -> tuple[dict[str, bytes], list[str]]:
+        """(ids of the distinct ``keys`` that are remembered, the other keys)."""
+        found, new, young, old = {}, [], self.young.get, self.old.get
         for key in keys:
-            held = old(key)
-            if held is None:
-                out.append(key)
+            ids = young(key) or old(key)
+            if ids is None:
+                new.append(key)
             else:
-                young[key] = held
-        return out
+                found[key] = ids
+        return found, new
+
+    def add(self, entries: dict[str, bytes]) -> None:
+        young = self.young
+        for key, ids in entries.items():
+            if len(key) <= REMEMBERED and key not in young:
+                young[key] = ids
+                self.held += ENTRY_BYTES + len(key) * (1 if key.isascii() else 4) + len(ids)
+                if self.held > self.limit:
+                    self.old, self.held = young, 0
+                    young = self.young = {}
 
 
 class Encoder:
@@ -190,30 +204,45 @@ class Encoder:
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.findall = regex.compile(pattern).findall
-        self.units, self.pieces = _Remembered(CACHED_UNITS), _Remembered(CACHED_PIECES)
+        self.units, self.pieces = _Remembered(UNIT_BYTES), _Remembered(PIECE_BYTES)
         self.table = RankTable(ranks)
 
-    def _learn_pieces(self, pieces: set[str]) -> None:
-        """Make every piece young."""
-        young = self.pieces.young
-        new = self.pieces.missing(p for p in pieces if p not in young)
+    def _pieces(self, pieces: set[str]) -> dict[str, bytes]:
+        """Ids of every piece."""
+        out, new = self.pieces.known(pieces)
         data = [p.encode() for p in new]
         whole = list(map(self.table.ranks.get, data))
         split = [d for d, w in zip(data, whole, strict=True) if w is None]
+        fresh = {p: array("i", (w,)).tobytes() for p, w in zip(new, whole, strict=True) if w is not None}
         for start in range(0, len(split), TOGETHER):
             some = split[start : start + TOGETHER]
             for d, ids in zip(some, merge_pieces(some, self.table), strict=True):
-                young[d.decode()] = array("i", ids).tobytes()
-        for p, w in zip(new, whole, strict=True):
-            if w is not None:
-                young[p] = array("i", (w,)).tobytes()
+                fresh[d.decode()] = array("i", ids).tobytes()
+        self.pieces.add(fresh)
+        out.update(fresh)
+        return out
+
+    def _parts(self, text: str) -> Iterator[str]:
+        """A long text's parts: each but the first starts with a single blank."""
+        start = 0
+        while len(text) - start > LONG:
+            cut = text.find(" ", start + LONG)
+            while cut >= 0 and (cut + 1 == len(text) or text[cut - 1].isspace() or text[cut + 1].isspace()):
+                cut = text.find(" ", cut + 1)
+            if cut < 0:
+                break
+            yield text[start:cut]
+            start = cut
+        yield text[start:]
 
     def batch(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text, as the bytes of an int32 array."""
-        self.units.turn()
-        self.pieces.turn()
-        known, findall = self.units.young, self.findall
-        get, unknown = known.get, repeat(b"")
+        if not any(t and len(t) > LONG for t in texts):
+            return self._short(texts)
+        return [b"".join(self._short([p])[0] for p in self._parts(t)) if t else b"" for t in texts]
+
+    def _short(self, texts: list[str | None]) -> list[bytes]:
+        findall, get, unknown = self.findall, self.units.young.get, repeat(b"")
         firsts, looked, asked = [], [], []  # of each text: first unit; ids of the others (empty: not known); units not known
         for t in texts:
             first, blank, rest = t.partition(" ") if t else ("", "", "")
@@ -224,7 +253,8 @@ class Encoder:
             asked.append([] if all(ids) else [u for u, x in zip(units, ids, strict=True) if not x])
         split: dict[str, list[str]] = {}
         joined = set()  # units that cannot stand alone
-        for u in self.units.missing(set().union(*asked)):
+        known, missing = self.units.known(set().union(*asked))
+        for u in missing:
             if u.isalpha():
                 split[u] = [" " + u]
             elif not u or u[0].isspace() or u[-1].isspace():
@@ -233,8 +263,7 @@ class Encoder:
                 split[u] = findall(" " + u)
         odd = [bool(t) and (not f or f[-1].isspace() or not joined.isdisjoint(new)) for t, f, new in zip(texts, firsts, asked, strict=True)]
         heads = [findall(t if o else f) if t else [] for t, f, o in zip(texts, firsts, odd, strict=True)]
-        self._learn_pieces({p for parts in split.values() for p in parts}.union(*heads))
-        piece = self.pieces.young.__getitem__
+        piece = self._pieces({p for parts in split.values() for p in parts}.union(*heads)).__getitem__
         for u, parts in split.items():
             known[u] = b"".join(map(piece, parts))
         out = []
@@ -244,6 +273,7 @@ class Encoder:
                 late = map(known.__getitem__, new)
                 parts += [x or next(late) for x in ids] if new else ids
             out.append(b"".join(parts))
+        self.units.add(known)
         return out
 
     def __call__(self, text: str | None) -> bytes:
@@ -327,10 +357,13 @@ def _decode(ids: pa.ListScalar, blob: np.ndarray, starts: np.ndarray, lengths: n
     """Gather the ids' bytes from the concatenated tokens."""
     if not ids.is_valid or not len(ids.values):
         return b""
-    at = ids.values.to_numpy()
-    size = lengths[at]
-    ends = np.cumsum(size)
-    return blob[np.arange(ends[-1]) + np.repeat(starts[at] - (ends - size), size)].tobytes()
+    whole, out = ids.values.to_numpy(), []
+    for start in range(0, len(whole), DECODE_IDS):
+        at = whole[start : start + DECODE_IDS]
+        size = lengths[at]
+        ends = np.cumsum(size)
+        out.append(blob[np.arange(ends[-1]) + np.repeat(starts[at] - (ends - size), size)].tobytes())
+    return b"".join(out)
 
 
 def ids_sha256(ids) -> F.Column:
