@@ -12,8 +12,8 @@ shuffle.  The rank table (at most a few hundred thousand entries) is the only
 thing broadcast.
 
 Edge cases: a null or empty text has no ids and decodes to no bytes; ids that
-are null decode to no bytes; extra columns are kept; repeated rows are encoded
-each on their own.
+are null decode to no bytes; extra columns are kept, those with the name of
+an output (in any case) are replaced; repeated rows are encoded each on their own.
 """
 
 from __future__ import annotations
@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shardloom.llm.common import python_ready, small_batches
+from shardloom.llm.common import add_columns, columns_but, python_ready, small_batches
 
 #: Bytes that a Python worker spends on the ids it remembers, of units and of pre-tokens, in each of
 #: two generations (44 MB in all); and the bytes of an entry besides its text and ids.
@@ -298,14 +298,13 @@ def encode_documents(
     python_ready(spark)
     shared = spark.sparkContext.broadcast((ranks, pattern))
     token = uuid.uuid4().hex
-    kept = [c for c in docs.columns if c not in (out, decoded)]
+    kept = docs.select(*columns_but(docs, [out, decoded or out]))
     added = [T.StructField(out, T.ArrayType(T.IntegerType(), False))]
     added += [T.StructField(decoded, T.BinaryType())] if decoded else []
-    schema = T.StructType([*docs.select(*kept).schema.fields, *added])
-    at, names = kept.index(text), [*kept, *(f.name for f in added)]
+    at = kept.columns.index(text)
     tokens = token_bytes(ranks) if decoded else None
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list]]:
         if token not in _WORKER:  # a reused worker keeps what it remembers
             _WORKER.clear()
             _WORKER[token] = Encoder(*shared.value)
@@ -316,12 +315,12 @@ def encode_documents(
                 for part in small_batches(batch, at, BATCH_BYTES):
                     ids = _lists(encode.batch(part.column(at).to_pylist()))
                     more = [pa.array([_decode(x, *tokens) for x in ids], pa.binary())] if tokens else []
-                    yield pa.RecordBatch.from_arrays([*part.columns, ids, *more], names=names)
+                    yield part.columns, [ids, *more]
         finally:
             gc.enable()
             pa.default_memory_pool().release_unused()
 
-    return docs.select(*kept).mapInArrow(run, schema)
+    return add_columns(kept, added, run)
 
 
 def token_bytes(ranks: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -338,19 +337,18 @@ def decode_documents(tokens: DataFrame, ranks: dict[bytes, int], *, ids: str = "
     spark = tokens.sparkSession
     python_ready(spark)
     shared = spark.sparkContext.broadcast(token_bytes(ranks))
-    kept = [c for c in tokens.columns if c != out]
-    schema = T.StructType([*tokens.select(*kept).schema.fields, T.StructField(out, T.BinaryType())])
-    at = kept.index(ids)
+    kept = tokens.select(*columns_but(tokens, [out]))
+    at = kept.columns.index(ids)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list]]:
         table = shared.value
         for batch in batches:
             for start in range(0, batch.num_rows, DECODE_ROWS):
                 part = batch.slice(start, DECODE_ROWS)
                 texts = [_decode(x, *table) for x in part.column(at)]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.binary())], names=[*kept, out])
+                yield part.columns, [pa.array(texts, pa.binary())]
 
-    return tokens.select(*kept).mapInArrow(run, schema)
+    return add_columns(kept, [T.StructField(out, T.BinaryType())], run)
 
 
 def _decode(ids: pa.ListScalar, blob: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> bytes:

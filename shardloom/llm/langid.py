@@ -17,7 +17,8 @@ shortest longer ones.  Scoring is one pass without a shuffle.
 
 Edge cases: null texts and texts without a letter are ``und`` with score 0;
 with no labelled text at all every text is ``und``; ties go to the language
-that sorts first; extra columns are kept.
+that sorts first; extra columns are kept, those with the name of an output (in any
+case) are replaced.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shardloom.llm.common import python_ready, small_batches
+from shardloom.llm.common import add_columns, columns_but, python_ready, small_batches
 
 SAMPLE_PER_LANG = 192
 LANDMARKS_PER_LANG = 32
@@ -167,16 +168,15 @@ def identify(docs: DataFrame, model: KernelModel, *, text: str = "text", lang: s
     spark = docs.sparkSession
     python_ready(spark)
     shared = spark.sparkContext.broadcast(model)
-    kept = [c for c in docs.columns if c not in (lang, score)]
+    kept = docs.select(*columns_but(docs, [lang, score]))
     added = [T.StructField(lang, T.StringType(), False), T.StructField(score, T.DoubleType(), False)]
-    schema = T.StructType([*docs.select(*kept).schema.fields, *added])
-    at = kept.index(text)
+    at = kept.columns.index(text)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list]]:
         held = shared.value
         for batch in batches:
             for part in small_batches(batch, at):
                 a, b = held.predict(part.column(at).to_pylist())
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(a, pa.string()), pa.array(b, pa.float64())], names=[*kept, lang, score])
+                yield part.columns, [pa.array(a, pa.string()), pa.array(b, pa.float64())]
 
-    return docs.select(*kept).mapInArrow(run, schema)
+    return add_columns(kept, added, run)

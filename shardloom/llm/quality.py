@@ -17,7 +17,9 @@ the full sample of 750), in pieces of about ``SPAN`` spread over the whole text.
 Edge cases: null and empty texts score as the curve gives for "no evidence";
 without labelled rows of both classes every text gets the share of good labels
 (0.5 without any label); labels that are neither 0 nor 1, or null, are left
-out; a document labelled twice counts twice; extra columns are kept.
+out; a document labelled twice alike counts once (of two texts under one id, the
+one whose hash sorts first), labelled both ways once in each class; extra columns
+are kept, one with the name of the output (in any case) is replaced.
 """
 
 from __future__ import annotations
@@ -33,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shardloom.llm.common import python_ready, small_batches
+from shardloom.llm.common import add_columns, columns_but, python_ready, small_batches
 
 SAMPLE_DOCS = 1500
 SAMPLE_CHARS = 20_000
@@ -148,7 +150,8 @@ def fit(
         chosen = some if chosen is None else chosen.unionByName(some)
     texts = docs.where((F.length(text) > 0) & (F.length(text) <= SAMPLE_CHARS))
     texts = texts.select(F.col(doc_id).alias("__ll_id"), F.col(text).alias("__ll_text"))
-    got = texts.join(F.broadcast(chosen), "__ll_id").dropDuplicates(["__ll_id", "__ll_y"]).select("__ll_h", "__ll_y", "__ll_text").collect()
+    first = F.min(F.struct(F.xxhash64("__ll_text"), "__ll_text"))["__ll_text"].alias("__ll_text")
+    got = texts.join(F.broadcast(chosen.distinct()), "__ll_id").groupBy("__ll_id", "__ll_y", "__ll_h").agg(first).collect()
     by = {v: [r["__ll_text"] for r in sorted(got, key=lambda r: (r["__ll_h"], r["__ll_text"])) if r["__ll_y"] == v] for v in (0, 1)}
     total = len(by[0]) + len(by[1])
     if len(by[0]) < 2 or len(by[1]) < 2:
@@ -166,15 +169,13 @@ def score(docs: DataFrame, model: QualityModel, *, text: str = "text", out: str
     spark = docs.sparkSession
     python_ready(spark)
     shared = spark.sparkContext.broadcast(model)
-    kept = [c for c in docs.columns if c != out]
-    schema = T.StructType([*docs.select(*kept).schema.fields, T.StructField(out, T.DoubleType(), False)])
-    at = kept.index(text)
+    kept = docs.select(*columns_but(docs, [out]))
+    at = kept.columns.index(text)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list]]:
         held = shared.value
         for batch in batches:
             for part in small_batches(batch, at):
-                scores = pa.array([held.score(t) for t in part.column(at).to_pylist()], pa.float64())
-                yield pa.RecordBatch.from_arrays([*part.columns, scores], names=[*kept, out])
+                yield part.columns, [pa.array([held.score(t) for t in part.column(at).to_pylist()], pa.float64())]
 
-    return docs.select(*kept).mapInArrow(run, schema)
+    return add_columns(kept, [T.StructField(out, T.DoubleType(), False)], run)
