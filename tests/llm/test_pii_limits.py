@@ -70,5 +70,6 @@ def test_quality_fit_does_not_depend_on_row_order(spark):
     models = []
     for order in (rows, rows[::-1]):
         docs = spark.createDataFrame(order, "doc_id long, text string").repartition(3)
-        models.append(quality.fit(docs, spark.createDataFrame(labels, "doc_id long, quality int")))
+        model = quality.fit(docs, spark.createDataFrame(labels, "doc_id long, quality int"))
+        models.append((model.good, model.bad, model.weights, model.prior))
     assert models[0] == models[1]
