@@ -35,8 +35,8 @@ from pyspark.sql import types as T
 from shardloom.llm.common import add_columns, columns_but, python_ready, small_batches
 
 #: Bytes that a Python worker spends on the ids it remembers, of units and of pre-tokens, in each of
-#: two generations (44 MB in all); and the bytes of an entry besides its text and ids.
-UNIT_BYTES, PIECE_BYTES = 8 << 20, 14 << 20
+#: two generations (88 MB in all); and the bytes of an entry besides its text and ids.
+UNIT_BYTES, PIECE_BYTES = 40 << 20, 4 << 20
 ENTRY_BYTES = 150
 #: Longer strings are not remembered.
 REMEMBERED = 64
@@ -207,19 +207,15 @@ class Encoder:
         self.units, self.pieces = _Remembered(UNIT_BYTES), _Remembered(PIECE_BYTES)
         self.table = RankTable(ranks)
 
-    def _pieces(self, pieces: set[str]) -> dict[str, bytes]:
-        """Ids of every piece."""
-        out, new = self.pieces.known(pieces)
-        data = [p.encode() for p in new]
-        whole = list(map(self.table.ranks.get, data))
-        split = [d for d, w in zip(data, whole, strict=True) if w is None]
-        fresh = {p: array("i", (w,)).tobytes() for p, w in zip(new, whole, strict=True) if w is not None}
-        for start in range(0, len(split), TOGETHER):
-            some = split[start : start + TOGETHER]
-            for d, ids in zip(some, merge_pieces(some, self.table), strict=True):
-                fresh[d.decode()] = array("i", ids).tobytes()
-        self.pieces.add(fresh)
-        out.update(fresh)
+    def _merge(self, pieces: list[str]) -> list[bytes]:
+        """Ids of each of the distinct pieces."""
+        data = [p.encode() for p in pieces]
+        out = [None if (w := self.table.ranks.get(d)) is None else array("i", (w,)).tobytes() for d in data]
+        left = [i for i, ids in enumerate(out) if ids is None]
+        for start in range(0, len(left), TOGETHER):
+            some = left[start : start + TOGETHER]
+            for i, ids in zip(some, merge_pieces([data[i] for i in some], self.table), strict=True):
+                out[i] = array("i", ids).tobytes()
         return out
 
     def _parts(self, text: str) -> Iterator[str]:
@@ -252,18 +248,30 @@ class Encoder:
             looked.append(ids)
             asked.append([] if all(ids) else [u for u, x in zip(units, ids, strict=True) if not x])
         split: dict[str, list[str]] = {}
-        joined = set()  # units that cannot stand alone
+        words, joined = [], set()  # units that are a pre-token each; units that cannot stand alone
         known, missing = self.units.known(set().union(*asked))
         for u in missing:
             if u.isalpha():
-                split[u] = [" " + u]
+                words.append(u)
             elif not u or u[0].isspace() or u[-1].isspace():
                 joined.add(u)
             else:
                 split[u] = findall(" " + u)
         odd = [bool(t) and (not f or f[-1].isspace() or not joined.isdisjoint(new)) for t, f, new in zip(texts, firsts, asked, strict=True)]
         heads = [findall(t if o else f) if t else [] for t, f, o in zip(texts, firsts, odd, strict=True)]
-        piece = self._pieces({p for parts in split.values() for p in parts}.union(*heads)).__getitem__
+        pieces = {p for parts in split.values() for p in parts}.union(*heads)
+        inside = {p[1:] for p in pieces if p[0] == " " and p[1:].isalpha()}  # blank and word: remembered as a unit
+        more, missing = self.units.known(inside.difference(known, words))
+        known.update(more)
+        words += missing
+        ids_of, missing = self.pieces.known(p for p in pieces if not (p[0] == " " and p[1:] in inside))
+        made = self._merge([" " + w for w in words] + missing)
+        known.update(zip(words, made))
+        fresh = dict(zip(missing, made[len(words) :], strict=True))
+        self.pieces.add(fresh)
+        ids_of.update(fresh)
+        ids_of.update((" " + w, known[w]) for w in inside)
+        piece = ids_of.__getitem__
         for u, parts in split.items():
             known[u] = b"".join(map(piece, parts))
         out = []
