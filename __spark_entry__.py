@@ -265,11 +265,10 @@ def q_npy_read(spark, sf):
 
 
 def q_npy_manifest(spark, sf):
-    """S4 + S5 on the array files: header-sized token counts per shard."""
-    from shardloom.sources.npy import npy_listing
+    """S4 + S5 on the array files: token counts per shard from the part index."""
+    from shardloom.sources.npy import npy_totals
 
-    per_file = feed.npy_manifest(npy_listing(spark, _npy_export(spark, sf)))
-    return per_file.groupBy("shard").agg(F.sum("n_tokens").cast("long").alias("n_tokens"))
+    return npy_totals(spark, _npy_export(spark, sf))
 
 
 def q_parquet_shards(spark, sf):

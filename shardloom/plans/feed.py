@@ -78,10 +78,10 @@ def epoch_orders(shards: DataFrame, spec: FeedSpec, n_epochs: int) -> DataFrame:
 
 def feed_from_npy(spark: SparkSession, path: str, spec: FeedSpec) -> DataFrame:
     """Same batches from ``.npy`` parts; the reader already cuts the windows and
-    the manifest comes from the file sizes."""
-    from shardloom.sources.npy import npy_listing, read_npy_shards
+    the manifest comes from the export's, or from the files' headers."""
+    from shardloom.sources.npy import npy_totals, read_npy_shards
 
-    sizes = feed.npy_manifest(npy_listing(spark, path)).groupBy("shard").agg(F.sum("n_tokens").cast("long").alias("n_tokens"))
+    sizes = npy_totals(spark, path)
     dealt = _deal(sizes.withColumn("n_chunks", F.expr(f"n_tokens div {int(spec.chunk_size)}")), spec)
     opts = {"first_shards": spec.demo_shards} if spec.demo_shards else {}
     return _batches(read_npy_shards(spark, path, spec.chunk_size, **opts), dealt, spec)
