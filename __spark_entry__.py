@@ -346,14 +346,20 @@ def q_batches(spark, sf):
     )
 
 
+def _delivered(spark, sf):
+    """Batches in delivery order: counts and keys come from the dealt manifest."""
+    man = feed.shard_manifest(_packed(spark, sf).select("shard", "n_tokens"), P.CHUNK, labels=None)
+    dealt = feed.deal_shards(man, num_workers=P.WORKERS, seed=P.SEED, epoch=P.EPOCH)
+    counts = materialize(feed.worker_batches(dealt, P.BATCH), "worker-batches")
+    return feed.delivery_order(feed.batch_keys(counts), counts)
+
+
 def q_delivery_order(spark, sf):
-    rows = feed.assign_batches(_samples(spark, sf), P.BATCH).select("worker", "batch_id").distinct()
-    return feed.delivery_order(rows)
+    return _delivered(spark, sf)
 
 
 def q_rank_split(spark, sf):
-    rows = feed.assign_batches(_samples(spark, sf), P.BATCH).select("worker", "batch_id").distinct()
-    return feed.split_ranks(feed.delivery_order(rows), P.WORLD).select("worker", "batch_id", "rank")
+    return feed.split_ranks(_delivered(spark, sf), P.WORLD).select("worker", "batch_id", "rank")
 
 
 def q_pair_check(spark, sf):
@@ -375,8 +381,8 @@ def q_length_check(spark, sf):
 
 
 def q_epoch_plan(spark, sf):
-    total = _tokens(spark, sf).agg(F.sum("length")).first()[0] or 0
-    return stats.epoch_plan(int(total), run_config(spark, P.RUN_CONFIGS))
+    per_shard = _tokens(spark, sf).groupBy("shard").agg(F.sum("length").cast("long").alias("n_tokens"))
+    return stats.epoch_plan(stats.corpus_summary(per_shard, P.CHUNK), run_config(spark, P.RUN_CONFIGS))
 
 
 def q_step_windows(spark, sf):

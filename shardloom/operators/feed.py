@@ -210,6 +210,12 @@ def worker_batches(dealt: DataFrame, batch_size: int) -> DataFrame:
     return chunks.select("worker", F.expr(f"(chunks + {int(batch_size) - 1}) div {int(batch_size)}").alias("n"))
 
 
+def batch_keys(counts: DataFrame) -> DataFrame:
+    """(worker, batch_id) of every batch, from ``worker_batches`` alone: unfolded in
+    slices of bounded size, without reading a sample."""
+    return chunk_keys(counts.withColumnRenamed("n", "n_chunks"), "worker").withColumnRenamed("chunk", "batch_id")
+
+
 def delivery_order(batches: DataFrame, counts: DataFrame | None = None) -> DataFrame:
     """W8 delivery: global position of each ``(worker, batch_id)`` when
     batches are taken round-robin over workers and an exhausted worker is

@@ -47,16 +47,18 @@ def corpus_summary(manifest: DataFrame, chunk_size: int, demo_mode: bool = False
     )
 
 
-def epoch_plan(total_tokens: int, configs: DataFrame) -> DataFrame:
+def epoch_plan(summary: DataFrame | int, configs: DataFrame) -> DataFrame:
     """One plan row per run configuration.
 
-    ``total_tokens`` is the corpus total (an aggregate of the manifest).  The
+    ``summary`` is the ``corpus_summary`` row, read as a scalar subquery of the same
+    plan (its ``total_tokens``; no rows: 0), or the corpus total itself.  The
     loader length is ``ceil(chunks / micro_batch)`` with ``chunks = total div
     seq_len``; after the per-process split it is ``ceil(len / procs)``.
     ``samples_per_epoch`` keeps the reference formula (loader length before
     the split times procs), ``samples_per_epoch_split`` uses the split length.
     """
-    plan = configs.select("*", F.expr(f"{int(total_tokens)}L div seq_len").alias("est_chunks"))
+    total = F.lit(int(summary)) if isinstance(summary, int) else F.coalesce(summary.select("total_tokens").scalar(), F.lit(0))
+    plan = configs.select("*", total.cast("long").alias("_sl_total")).withColumn("est_chunks", F.expr("_sl_total div seq_len"))
     plan = plan.withColumn("loader_len", F.ceil(F.col("est_chunks") / F.col("micro_batch")).cast("long"))
     plan = plan.withColumn("loader_len_split", F.ceil(F.col("loader_len") / F.col("procs")).cast("long"))
     return plan.select(

@@ -88,7 +88,8 @@ def loss_windows(
 
     * ``mean_loss`` = (sum of losses over all ranks) / (micro-steps of the
       main rank) / ranks, as the cross-rank reduce does;
-    * ``perplexity`` = ``exp(min(mean_loss, 20))``;
+    * ``perplexity`` = ``exp(min(mean_loss, 20))``; one loss of a window that is null or
+      not finite makes both NaN (``loss_sum`` adds the others);
     * ``tokens_per_sec`` = tokens_per_step x micro-steps / elapsed, elapsed
       from the previous log (or the epoch start, whichever is later) to this
       log, on the main rank; 0 when elapsed <= 0.  A window spanning an epoch
@@ -103,7 +104,7 @@ def loss_windows(
     per_rank = steps.groupBy("log_window", "rank").agg(
         F.sum(F.col("loss").cast(LOSS_DECIMAL)).alias("loss_sum"),
         F.count("*").alias("micro_steps"),
-        F.max((F.isnan("loss") | (F.abs("loss") == float("inf"))).cast("int")).alias("odd"),
+        F.max(F.coalesce(F.isnan("loss") | (F.abs("loss") == float("inf")), F.lit(True)).cast("int")).alias("odd"),
         F.max(F.struct("epoch", "step", "ts")).alias("last"),
         F.min("epoch").alias("first_epoch"),
         F.max(F.when(F.col("is_sync"), F.col("opt_step"))).alias("last_sync"),

@@ -132,3 +132,25 @@ def test_loss_windows_come_from_one_rollup(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "FileScan" in plan and "ExistingRDD" not in plan and "LocalTableScan" not in plan
     assert sorted((r.log_window, r.micro_steps, r.mean_loss) for r in out.collect()) == [(0, 4, 1.0), (1, 4, 1.0)]
+
+
+def test_null_loss_is_not_a_step_of_loss_zero(spark):
+    from shardloom.operators import trainlog
+
+    rows = [(0, 0, s, None if s == 1 else 1.0, f"2024-01-01 00:00:{s:02d}") for s in range(8)]
+    log = spark.createDataFrame(rows, "rank int, epoch int, step int, loss double, ts string").withColumn("ts", F.col("ts").cast("timestamp"))
+    got = {r["log_window"]: r for r in trainlog.loss_windows(log, 2, 2, 10).collect()}
+    assert got[0]["mean_loss"] != got[0]["mean_loss"] and got[0]["perplexity"] != got[0]["perplexity"]
+    assert got[1]["mean_loss"] == 1.0 and got[0]["micro_steps"] == 4
+
+
+def test_epoch_plan_from_the_summary_row(spark):
+    from shardloom.operators import stats
+
+    man = spark.createDataFrame([("shard_a", 1000), ("shard_b", 500)], "shard string, n_tokens long")
+    columns = "name string, seq_len int, micro_batch int, procs int, accum int, epochs int, warmup_ratio double, log_ratio double, demo_ratio double"
+    configs = spark.createDataFrame([("a", 10, 4, 2, 3, 2, 0.1, 0.2, 0.3), ("b", 7, 1, 1, 1, 1, 0.0, 0.0, 0.0)], columns)
+    joined, given = (stats.epoch_plan(x, configs).collect() for x in (stats.corpus_summary(man, 10), 1500))
+    assert sorted(joined) == sorted(given) and {r["est_chunks"] for r in joined} == {150, 214}
+    empty = stats.epoch_plan(stats.corpus_summary(man.limit(0), 10), configs)
+    assert {r["est_chunks"] for r in empty.collect()} == {0}
