@@ -237,11 +237,11 @@ def q_flatten_tokens(spark, sf):
 
 
 def q_pack_blocks(spark, sf):
-    return _digest_blocks(packing.pack_blocks(_tokens(spark, sf), ["shard"], ["doc_id"], P.BLOCK))
+    return _digest_blocks(packing.pack_blocks(_tokens(spark, sf), ["shard"], ["doc_id"], P.BLOCK, mask="n_masked"))
 
 
 def q_shard_chunks(spark, sf):
-    return _digest_blocks(packing.pack_blocks(_tokens(spark, sf), ["shard"], ["doc_id"], P.CHUNK))
+    return _digest_blocks(packing.pack_blocks(_tokens(spark, sf), ["shard"], ["doc_id"], P.CHUNK, mask="n_masked"))
 
 
 def q_rewindow(spark, sf):
