@@ -335,6 +335,22 @@ def q_epoch_order(spark, sf):
     return epoch_orders(_packed(spark, sf), spec, P.FEED_EPOCHS)
 
 
+def _packed_manifest(spark, sf):
+    return feed.shard_manifest(_packed(spark, sf).select("shard", "n_tokens"), P.CHUNK, labels=None)
+
+
+def q_keyed_order(spark, sf):
+    """W6-W8 by a keyed permutation: each sample's chunk from its place alone."""
+    return feed.keyed_order(_packed_manifest(spark, sf), P.FEED_EPOCHS, P.BATCH, num_workers=P.WORKERS, seed=P.SEED)
+
+
+def q_keyed_resume(spark, sf):
+    """The same from a batch in the middle of the second epoch on."""
+    return feed.keyed_order(
+        _packed_manifest(spark, sf), 2, P.BATCH, num_workers=P.WORKERS, seed=P.SEED, first_epoch=1, first_batch=P.RESUME_BATCH
+    )
+
+
 def q_batches(spark, sf):
     b = feed.stack_batches(_samples(spark, sf), P.BATCH)
     digest = {c: F.md5(F.array_join(F.transform(c, lambda a: ids_digest(a)), ",")) for c in ("input_ids", "labels")}
@@ -348,7 +364,7 @@ def q_batches(spark, sf):
 
 def _delivered(spark, sf):
     """Batches in delivery order: counts and keys come from the dealt manifest."""
-    man = feed.shard_manifest(_packed(spark, sf).select("shard", "n_tokens"), P.CHUNK, labels=None)
+    man = _packed_manifest(spark, sf)
     dealt = feed.deal_shards(man, num_workers=P.WORKERS, seed=P.SEED, epoch=P.EPOCH)
     counts = materialize(feed.worker_batches(dealt, P.BATCH), "worker-batches")
     return feed.delivery_order(feed.batch_keys(counts), counts)

@@ -413,6 +413,26 @@ rk AS (
   SELECT *, seq_base + row_number() OVER (PARTITION BY epoch, shard
          ORDER BY md5({order_key} || '|' || CAST(chunk AS VARCHAR)), chunk) - 1 AS seq FROM ch)
 SELECT epoch, worker, seq // {P.BATCH} AS batch_id, CAST(seq % {P.BATCH} AS INTEGER) AS pos_in_batch, shard, chunk FROM rk"""
+    rounds = "SELECT *, x // b AS u, x % b AS v FROM walk WHERE step = 0 OR x >= n_chunks"
+    for r in range(6):
+        rounds = f"""SELECT * EXCLUDE (u, v), v AS u,
+      (u + CAST('0x' || substr(md5({order_key} || '|{r}|' || CAST(v AS VARCHAR)), 1, 15) AS BIGINT)) % {"ba"[r % 2 == 0]} AS v FROM ({rounds})"""
+    keyed = "WITH RECURSIVE" + base_ctes().lstrip()[4:] + f""",
+{manifest_cte()},
+striped AS (
+  SELECT *, CAST((row_number() OVER (ORDER BY shard) - 1) % {P.WORKERS} AS INTEGER) AS worker FROM manifest),
+ep AS (SELECT s.*, CAST(e.range AS INTEGER) AS epoch FROM striped s, range(0, {P.FEED_EPOCHS}) e WHERE n_chunks > 0),
+based AS (
+  SELECT *, CAST(ceil(sqrt(n_chunks)) AS BIGINT) AS a, CAST(coalesce(sum(n_chunks) OVER (PARTITION BY epoch, worker ORDER BY md5({order_key}), shard
+         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS seq_base FROM ep),
+walk AS (
+  SELECT epoch, worker, shard, seq_base, n_chunks, a, (n_chunks + a - 1) // a AS b, chunk, 0 AS step, chunk AS x
+  FROM (SELECT *, unnest(range(0, n_chunks)) AS chunk FROM based)
+  UNION ALL SELECT epoch, worker, shard, seq_base, n_chunks, a, b, chunk, step + 1, u * b + v FROM ({rounds})),
+placed AS (SELECT epoch, worker, shard, chunk, seq_base + x AS seq FROM walk WHERE step > 0 AND x < n_chunks)
+SELECT epoch, worker, seq // {P.BATCH} AS batch_id, CAST(seq % {P.BATCH} AS INTEGER) AS pos_in_batch, shard, chunk FROM placed"""
+    q["keyed_order"] = keyed
+    q["keyed_resume"] = keyed + f" WHERE epoch > 1 OR (epoch = 1 AND seq >= {P.RESUME_BATCH * P.BATCH})"
     q["batches"] = feed + f"""
 SELECT worker, batch_id, CAST(count(*) AS INTEGER) AS n_samples,
        md5(string_agg(ids_md5, ',' ORDER BY seq)) AS batch_md5, md5(string_agg(labs_md5, ',' ORDER BY seq)) AS labels_md5,

@@ -32,6 +32,7 @@ BATCH = 8
 SEED = 42
 EPOCH = 0
 FEED_EPOCHS = 3
+RESUME_BATCH = 5
 WORLD = 2
 DEMO_SHARDS = 2
 

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from shardloom.functions.tokens import attention_mask, wide_ids
 from shardloom.operators.ordering import broadcast_if_small, ordinal
+from shardloom.operators.permutation import at_place
 from shardloom.session import materialize
 
 #: Chunk keys generated from one manifest row at a time; a hot shard has many such slices.
@@ -202,6 +203,48 @@ def epoch_order(
     return assign_batches(rows, batch_size).select("epoch", "worker", "batch_id", "pos_in_batch", "shard", "chunk")
 
 
+def order_key(seed: int, epoch: Column, shard: Column) -> Column:
+    """Key of a shard's chunk order in an epoch."""
+    return F.concat_ws("|", F.lit(str(seed)), epoch.cast("string"), shard)
+
+
+def keyed_order(
+    manifest: DataFrame,
+    n_epochs: int,
+    batch_size: int,
+    *,
+    num_workers: int,
+    shuffle_shards: bool = True,
+    seed: int = 42,
+    first_epoch: int = 0,
+    first_batch: int = 0,
+) -> DataFrame:
+    """W4-W8 with the chunks of a shard in a keyed permutation (``permutation``): the
+    columns of ``epoch_order``, its shards and batches, another order of the chunks.
+
+    Every sample's chunk is computed from its place alone: no chunk row is sorted or
+    shuffled (slices of places are dealt to tasks, ``KEY_SLICE`` each).  Training
+    resumes at ``first_batch`` of ``first_epoch`` (of every worker): earlier places of
+    that epoch are not unfolded."""
+    if n_epochs <= 0 or batch_size <= 0 or first_batch < 0:
+        raise ValueError("n_epochs and batch_size must be positive, first_batch not negative")
+    epochs = F.explode(F.sequence(F.lit(int(first_epoch)), F.lit(int(first_epoch) + int(n_epochs) - 1))).alias("epoch")
+    man = stripe_workers(manifest, num_workers).select("shard", "worker", "n_chunks", epochs)
+    key = shuffle_key(seed, F.col("epoch"), "shard") if shuffle_shards else F.col("shard")
+    earlier = Window.partitionBy("epoch", "worker").orderBy(key, "shard").rowsBetween(Window.unboundedPreceding, -1)
+    man = man.withColumn("seq_base", F.coalesce(F.sum("n_chunks").over(earlier), F.lit(0)).cast("long"))
+    start = F.when(F.col("epoch") == int(first_epoch), F.lit(int(first_batch) * int(batch_size))).otherwise(0) - F.col("seq_base")
+    start = F.greatest(start, F.lit(0)).cast("long")
+    man = man.withColumn("_sl_from", start).withColumn("_sl_n", F.col("n_chunks").cast("long")).where("_sl_from < _sl_n")
+    left = man.withColumn("n_chunks", F.col("_sl_n") - F.col("_sl_from"))
+    places = chunk_keys(left, "epoch", "worker", "shard", "seq_base", "_sl_from", "_sl_n")
+    place = F.col("chunk") + F.col("_sl_from")
+    rows = places.withColumn("seq", F.col("seq_base") + place).withColumn(
+        "chunk", at_place(place, F.col("_sl_n"), order_key(seed, F.col("epoch"), F.col("shard")))
+    )
+    return assign_batches(rows, batch_size).select("epoch", "worker", "batch_id", "pos_in_batch", "shard", "chunk")
+
+
 def worker_batches(dealt: DataFrame, batch_size: int) -> DataFrame:
     """(worker, n): batches of each worker, from the dealt manifest alone."""
     if batch_size <= 0:
