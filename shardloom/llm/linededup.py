@@ -10,12 +10,14 @@ long line is as good as many short ones.
 
 Every fingerprint is joined with its first occurrence (by id, then place in
 the input, then line), the match is extended both ways as far as the lines
-agree, and the run is deleted at the later place.  A gram has ``GRAM`` words,
-so whichever occurrence is the first, at least the gram agrees with it: no
-later fingerprint stays, and no run of ``RUN`` words is missed because another
-document shares a part of it.  Repeated runs of ``GRAM`` to ``RUN`` words go if
-a fingerprint falls on them; shorter ones stay.  A line is deleted only if an
-equal line stands earlier, so the first copy stays.
+agree, and the run is deleted at the later place.  The first occurrence may share
+less than a later one does.  So the windows of a later fingerprint that its run
+does not cover are joined again, by the hash of the whole window, with the first
+place of an equal window, and deleted where that is another place.  Every window of
+a repeated run has an equal one earlier, so each run of ``RUN`` words that occurred
+anywhere before goes, whatever other documents share with it.  Repeated runs of
+``GRAM`` to ``RUN`` words go if a fingerprint falls on them; shorter ones stay.  A
+line is deleted only if an equal line stands earlier, so the first copy stays.
 
 A fingerprint that a third of all documents share is joined with one row, not
 with its other occurrences; both sides of that join are read from files, so
@@ -59,8 +61,8 @@ def _ends(words: np.ndarray, least: int) -> np.ndarray:
     return np.searchsorted(total, total[:-1] + least, "left")
 
 
-def fingerprints(hashes: np.ndarray, words: np.ndarray, run: int = RUN, gram: int = GRAM) -> list[tuple[int, int]]:
-    """(gram hash, first line) of the selected grams."""
+def fingerprints(hashes: np.ndarray, words: np.ndarray, run: int = RUN, gram: int = GRAM) -> list[tuple[int, int, int, int]]:
+    """(gram hash, first line, first and last window that select it, each by its first line) of the selected grams."""
     n = len(hashes)
     gram_end, run_end = _ends(words, gram), _ends(words, run)
     data, out, last = hashes.tobytes(), [], -1
@@ -79,17 +81,20 @@ def fingerprints(hashes: np.ndarray, words: np.ndarray, run: int = RUN, gram: in
             head += 1
         if held[head] != last:
             last = held[head]
-            out.append((int(np.uint64(value[last]).view(np.int64)), last))
+            out.append((int(np.uint64(value[last]).view(np.int64)), last, i, i))
+        else:
+            out[-1] = (*out[-1][:3], i)
     return out
 
 
 def _sketch(run_words: int, gram: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = pa.list_(pa.struct([("mark", pa.int64()), ("pos", pa.int32())]))
+        names = ("mark", "pos", "lo", "hi")
+        kind = pa.list_(pa.struct([("mark", pa.int64()), *((n, pa.int32()) for n in names[1:])]))
         for batch in batches:
             for part in small_batches(batch, 1):
                 lines = [content_lines(t) for t in part.column(1).to_pylist()]
-                marks = [[{"mark": m, "pos": p} for m, p in fingerprints(h, w, run_words, gram)] for h, w in lines]
+                marks = [[dict(zip(names, f, strict=True)) for f in fingerprints(h, w, run_words, gram)] for h, w in lines]
                 cols = [part.column(0), pa.array([h.tobytes() for h, _ in lines], pa.binary())]
                 cols += [pa.array([w.tobytes() for _, w in lines], pa.binary()), pa.array(marks, kind)]
                 yield pa.RecordBatch.from_arrays(cols, names=["rid", "hashes", "words", "marks"])
@@ -130,6 +135,54 @@ def _extend(least: int):
     return run
 
 
+def _windows(run_words: int):
+    """(rid, hashes, words, [(mark, lo, hi)], runs) -> the windows that these fingerprints
+    stand for and that no run covers: mark, hash of the window, first line, end."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in small_batches(batch, 1, 8 << 20):
+                out = []
+                for rid, a, w, marks, runs in zip(*(part.column(i).to_pylist() for i in range(5)), strict=True):
+                    ends = _ends(words := np.frombuffer(w, np.int32), run_words)
+                    held = np.zeros(len(words) + 1, np.int64)
+                    for r in runs or ():
+                        held[r["start"] : r["stop"]] = 1
+                    held = np.concatenate([[0], np.cumsum(held)])
+                    for m in marks:
+                        for s in range(m["lo"], m["hi"] + 1):
+                            e = int(ends[s])
+                            if held[e] - held[s] < e - s:
+                                out.append((rid, m["mark"], xxhash.xxh3_128_digest(a[8 * s : 8 * e]), s, e))
+                cols = zip(*out, strict=True) if out else [()] * 5
+                kinds = (pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int32())
+                arrays = [pa.array(c, k) for c, k in zip(cols, kinds, strict=True)]
+                yield pa.RecordBatch.from_arrays(arrays, names=["rid", "mark", "same", "start", "stop"])
+
+    return run
+
+
+def _uncovered(lines: DataFrame, marks: DataFrame, later: DataFrame, runs: DataFrame, run: int) -> DataFrame:
+    """(rid, start, stop) of the windows of ``later`` fingerprints outside ``runs`` that have an equal window before them."""
+    kind = "rid long, mark long, same binary, start int, stop int"
+    own = lines.select("rid", "hashes", "words")
+
+    def windows(places: DataFrame, covered: DataFrame | None) -> DataFrame:
+        per = places.groupBy("rid").agg(F.collect_list(F.struct("mark", "lo", "hi")).alias("marks")).join(own, "rid")
+        spans = F.lit(None).cast("array<struct<start:int,stop:int>>").alias("runs")
+        per = per.join(covered, "rid", "left") if covered is not None else per.select("*", spans)
+        return per.select("rid", "hashes", "words", "marks", "runs").mapInArrow(_windows(run), kind)
+
+    wanted = stage(windows(later, runs), "windows")
+    asked = wanted.select("mark").distinct()
+    places = stage(windows(marks.join(asked, "mark", "left_semi"), None), "places")
+    place = F.struct(F.col("id").isNull().alias("last"), "id", "rid", "start")
+    firsts = places.join(marks.select("rid", "id").distinct(), "rid").groupBy("same").agg(F.min(place).alias("first"))
+    firsts = firsts.select("same", F.col("first.rid").alias("rid0"), F.col("first.start").alias("start0"))
+    found = wanted.join(firsts, "same").where("not (rid = rid0 and start = start0)")
+    return found.select("rid", "start", "stop").distinct()
+
+
 def _delete(at: int, runs: int, names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -164,16 +217,17 @@ def dedup_report(
     cols = docs.columns
     held = stage(docs.withColumn("__ll_rid", F.monotonically_increasing_id()), "documents")
     texts = held.select(F.col("__ll_rid").alias("rid"), F.col(text).alias("text"))
-    sketch = "rid long, hashes binary, words binary, marks array<struct<mark:long,pos:int>>"
+    sketch = "rid long, hashes binary, words binary, marks array<struct<mark:long,pos:int,lo:int,hi:int>>"
     lines = stage(texts.mapInArrow(_sketch(run, gram), sketch), "lines")
 
     ids = held.select(F.col("__ll_rid").alias("rid"), F.col(doc_id).alias("id"))
-    marks = lines.select("rid", F.explode("marks").alias("m")).select("rid", "m.mark", "m.pos")
+    marks = lines.select("rid", F.explode("marks").alias("m")).select("rid", "m.*")
     marks = stage(marks.join(ids, "rid"), "fingerprints")
     place = F.struct(F.col("id").isNull().alias("last"), "id", "rid", "pos")
     firsts = marks.groupBy("mark").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1")
     firsts = stage(firsts.select("mark", F.col("first.rid").alias("rid0"), F.col("first.pos").alias("pos0")), "first-marks")
-    later = marks.join(firsts, "mark").where("not (rid = rid0 and pos = pos0)").select("rid", "rid0", "pos", "pos0")
+    later = marks.join(firsts, "mark").where("not (rid = rid0 and pos = pos0)")
+    later = stage(later.select("rid", "mark", "lo", "hi", "rid0", "pos", "pos0"), "later-marks")
     pairs = later.groupBy("rid", "rid0").agg(F.collect_list(F.struct("pos", "pos0")).alias("matches"))
     pairs = stage(pairs, "matches")
     own = lines.select("rid", F.col("hashes").alias("a"), F.col("words").alias("w"))
@@ -181,7 +235,11 @@ def dedup_report(
     both = pairs.join(own, "rid").join(other, "rid0").select("rid", "a", "w", "b", "matches")
     runs = both.mapInArrow(_extend(gram), "rid long, runs array<struct<start:int,stop:int>>")
     runs = runs.where(F.size("runs") > 0).groupBy("rid").agg(F.flatten(F.collect_list("runs")).alias("__ll_runs"))
-    runs = stage(runs.withColumnRenamed("rid", "__ll_rid"), "runs")
+    runs = stage(runs, "runs")
+    whole = _uncovered(lines, marks, later, runs.withColumnRenamed("__ll_runs", "runs"), run)
+    whole = whole.groupBy("rid").agg(F.collect_list(F.struct("start", "stop")).alias("__ll_runs"))
+    runs = runs.unionByName(whole).groupBy(F.col("rid").alias("__ll_rid")).agg(F.flatten(F.collect_list("__ll_runs")).alias("__ll_runs"))
+    runs = stage(runs, "all-runs")
 
     runs = broadcast_within(runs, F.size("__ll_runs") * 16 + 32)  # within the bound, texts are not shuffled
     joined = held.join(runs, "__ll_rid", "left").select(*cols, "__ll_runs")

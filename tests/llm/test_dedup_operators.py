@@ -85,7 +85,8 @@ def test_minhash_pruning_and_empty(spark):
 
 
 def brute_lines(rows, run, gram):
-    """The definition, one document after another: every selected gram against its first occurrence."""
+    """The definition, one document after another: every selected gram against its first
+    occurrence, and every window (shortest run of ``run`` words from a line on) against all earlier ones."""
     order = sorted(range(len(rows)), key=lambda i: (rows[i][0] is None, rows[i][0] or 0, i))
     lines = {i: [x.encode().strip() for x in (rows[i][1] or "").split("\n") if x.encode().strip()] for i in order}
     first, marks = {}, defaultdict(list)
@@ -118,9 +119,32 @@ def brute_lines(rows, run, gram):
                 e += 1
             if sum(len(t.split()) for t in x[a - s : a + e]) >= gram:
                 gone[i] |= set(range(a - s, a + e))
+    seen = set()
+    for i in order:
+        x = lines[i]
+        for s in range(len(x)):
+            e = next((e for e in range(s + 1, len(x) + 1) if sum(len(t.split()) for t in x[s:e]) >= run), None)
+            if e is not None:
+                if tuple(x[s:e]) in seen:
+                    gone[i] |= set(range(s, e))
+                seen.add(tuple(x[s:e]))
     return {i: len(gone[i]) for i in order}
 
 
+def test_a_run_goes_though_an_older_document_shares_its_middle(spark):
+    """In some of the word sets the only fingerprint falls on the middle line, whose first occurrence stands alone."""
+    for seed in range(6):
+        rng = random.Random(seed)
+        line = lambda: " ".join(f"w{rng.randrange(10**6)}" for _ in range(45))
+        x, y, z, other = (line() for _ in range(4))
+        rows = [(1, f"{y}\n{other}"), (2, "\n".join((x, y, z))), (3, "\n".join((x, y, z)))]
+        docs = spark.createDataFrame(rows, "doc_id long, text string")
+        got = {r["doc_id"]: r for r in linededup.dedup_report(docs).collect()}
+        lines, deleted, _ = linededup.REPORT
+        assert got[3][lines] == got[3][deleted] == 3 and got[1][deleted] == 0
+        assert {i: got[i][deleted] for i in (1, 2, 3)} == {i + 1: n for i, n in brute_lines(rows, 48, 40).items()}
+
+
 def test_line_dedup_equals_brute_force(spark):
     rng = random.Random(3)
     pool = [" ".join(f"p{rng.randrange(30)}" for _ in range(rng.randrange(1, 9))) for _ in range(12)]
