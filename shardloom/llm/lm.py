@@ -15,6 +15,9 @@ same weights on their own documents and the weights are averaged (weighted by
 tokens), ``ROUNDS`` times.  Every token of every training document is learned from
 once, at any size: a hash of the text deals the documents over the rounds.
 
+Texts are split and looked up once for both: the token ids of every document, two
+bytes each, are written to the shared folder with its counts, then trained on and scored.
+
 Scoring carries the state across windows, so a document's log-likelihood is
 that of the whole text whatever its length; many documents are scored side by
 side.  Words in a dictionary of at most ``DICTIONARY`` common words are looked
@@ -50,13 +53,14 @@ RARE = 32
 SUFFIX = 3
 STEPS = 32
 LANES = 64  # documents trained on side by side
-SCORE_LANES = 512
+SCORE_LANES = 128
 ROUNDS = 2
 RATE = 0.25
-MAX_TRAINERS = 1024
+MEANS = 64  # weights that one task averages
 DICTIONARY = 300_000
 WORD_BYTES = 64  # longer words are joined, not looked up
 FLUSH = 400_000
+ID = np.dtype("<u2")  # stored token ids: own words, RARE classes and the start
 END = b"\n"  # no word holds white space
 SEED = 7
 
@@ -103,6 +107,10 @@ class Vocabulary:
     distinct: int  # V
     rare_mass: np.ndarray  # sum of c + 1 over the rare words of each class, plus 1
 
+    def shape(self) -> Vocabulary:
+        """What the network needs of it: all but the dictionary's rare part."""
+        return Vocabulary(self.words[: self.neural], self.counts[: self.neural], self.total, self.distinct, self.rare_mass)
+
     @property
     def neural(self) -> int:
         return min(NEURAL, len(self.words))
@@ -193,26 +201,39 @@ class Network:
             at += old.size
         return self
 
-    def states(self, x: np.ndarray, fresh: np.ndarray, h: np.ndarray, keep: list | None = None) -> tuple[np.ndarray, np.ndarray]:
+    def states(self, x: np.ndarray, fresh: np.ndarray, h: np.ndarray, keep: dict | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Run a window.  x: inputs (steps x lanes); fresh: where a document
-        starts; h: state before.  Returns all states and the last one."""
-        n = HIDDEN
-        u_zr, u_c = np.ascontiguousarray(self.u[:, : 2 * n]), np.ascontiguousarray(self.u[:, 2 * n :])
-        out = np.empty((*x.shape, n), np.float32)
-        any_fresh = fresh.any(1)
-        a = self.gate[x] + self.bias
-        for t in range(len(x)):
+        starts; h: state before.  Returns all states and the last one; ``keep``
+        gets what the way back needs.  Steps write into arrays made once."""
+        n, shape = HIDDEN, x.shape
+        kind = np.result_type(self.u, h)
+        a = self.gate[x]
+        a += self.bias
+        np.negative(a[:, :, : 2 * n], out=a[:, :, : 2 * n])  # a gate is 1 / (1 + exp(-a))
+        u_zr, u_c = -self.u[:, : 2 * n], np.ascontiguousarray(self.u[:, 2 * n :])
+        held = shape[0] if keep is not None else 1
+        zr, rh, c = (np.empty((held, shape[1], k), kind) for k in (2 * n, n, n))
+        out, step = np.empty((*shape, n), kind), np.empty((shape[1], n), kind)
+        any_fresh, first = fresh.any(1), h
+        for t in range(shape[0]):
             if any_fresh[t]:
-                h = np.where(fresh[t][:, None], np.float32(0), h)
-            zr = a[t, :, : 2 * n] + h @ u_zr
-            zr = 1 / (1 + np.exp(-zr))
-            z, r = zr[:, :n], zr[:, n:]
-            rh = r * h
-            c = np.tanh(a[t, :, 2 * n :] + rh @ u_c)
-            new = h + z * (c - h)
-            if keep is not None:
-                keep.append((h, z, r, rh, c))
-            out[t] = h = new
+                h = np.where(fresh[t][:, None], kind.type(0), h)
+            at = t if held > 1 else 0
+            g = np.matmul(h, u_zr, out=zr[at])
+            g += a[t, :, : 2 * n]
+            np.exp(g, out=g)
+            g += 1
+            np.reciprocal(g, out=g)
+            np.matmul(np.multiply(g[:, n:], h, out=rh[at]), u_c, out=c[at])
+            c[at] += a[t, :, 2 * n :]
+            np.tanh(c[at], out=c[at])
+            np.subtract(c[at], h, out=step)
+            step *= g[:, :n]
+            h = np.add(h, step, out=out[t])
+        if keep is not None:
+            before = np.concatenate([first[None], out[:-1]])
+            before[fresh] = 0
+            keep.update(before=before, z=zr[:, :, :n], r=zr[:, :, n:], rh=rh, c=c)
         return out, h
 
     def class_of(self, y: np.ndarray) -> np.ndarray:
@@ -221,7 +242,7 @@ class Network:
     def log_probs(self, s: np.ndarray, y: np.ndarray, grads: dict | None = None) -> np.ndarray:
         """Natural log P(token id) for states s (m x h); a rare id's is that of
         its class.  With ``grads``, also gradients of the summed loss, and ``ds``."""
-        order = np.argsort(cls := self.class_of(y), kind="stable")
+        order = np.argsort(cls := self.class_of(y).astype(np.int16), kind="stable")  # 16 bits: a radix sort
         s, y, cls = s[order], y[order], cls[order]
         cuts = np.searchsorted(cls, np.arange(self.c + 1))
         out, p = _softmax(s @ self.wc + self.bc, cls, grads is not None)
@@ -235,7 +256,7 @@ class Network:
             for c in held:
                 np.matmul(s[cuts[c] : cuts[c + 1]], self.ww[c], out=logit[cuts[c] : cuts[c + 1]])
             logit += self.bw[cls[:own]]
-            more, p = _softmax(logit, y[:own] - cls[:own] * WIDTH, grads is not None)
+            more, p = _softmax(logit, y[:own] - cls[:own].astype(np.int32) * WIDTH, grads is not None)
             out[:own] += more
         if own and grads is not None:
             grads["bw"][held] = np.add.reduceat(p, cuts[held])
@@ -256,11 +277,12 @@ def _softmax(logit: np.ndarray, at: np.ndarray, slope: bool) -> tuple[np.ndarray
     own = logit[rows, at]
     with np.errstate(over="ignore"):
         p = np.exp(logit)
-    total = p.sum(1)
+    ones = np.ones(p.shape[1], p.dtype)
+    total = p @ ones
     if not (np.isfinite(total).all() and total.all()):  # rare: large logits
         top = logit.max(1)
         own, p = own - top, np.exp(logit - top[:, None])
-        total = p.sum(1)
+        total = p @ ones
     out = own - np.log(total)
     if not slope:
         return out, None
@@ -284,7 +306,8 @@ class Trainer:
     def window(self, x: np.ndarray, y: np.ndarray, fresh: np.ndarray, h: np.ndarray, real: np.ndarray | None = None) -> np.ndarray:
         """One step on a window.  ``real``: where it holds tokens, if not everywhere;
         the rest of such a lane is filling, which has no loss."""
-        net, n, keep = self.net, HIDDEN, []
+        net, n = self.net, HIDDEN
+        keep: dict = {}
         states, last = net.states(x, fresh, h, keep)
         grads: dict = {}
         if real is None:
@@ -296,22 +319,26 @@ class Trainer:
             ds[real] = grads.pop("ds")
         scale = np.float32(1.0 / size)
         u_zr, u_c = np.ascontiguousarray(net.u[:, : 2 * n].T), np.ascontiguousarray(net.u[:, 2 * n :].T)
-        before, z, r, rh, c = map(np.stack, zip(*keep, strict=True))
+        before, z, r, rh, c = (keep[k] for k in ("before", "z", "r", "rh", "c"))
         to_z, to_c, to_r, stay = (c - before) * z * (1 - z), z * (1 - c * c), before * r * (1 - r), 1 - z
         any_fresh = fresh.any(1)
-        da = np.empty((*x.shape, 3 * n), np.float32)
-        dh = np.zeros_like(last)
+        a_zr, a_c = np.empty((*x.shape, 2 * n), states.dtype), np.empty((*x.shape, n), states.dtype)
+        dh, drh, more = np.zeros_like(last), np.empty_like(last), np.empty_like(last)
         for t in range(len(x) - 1, -1, -1):
-            d, out = ds[t] + dh, da[t]
-            drh = np.multiply(d, to_c[t], out=out[:, 2 * n :]) @ u_c
-            np.multiply(d, to_z[t], out=out[:, :n])
-            np.multiply(drh, to_r[t], out=out[:, n : 2 * n])
-            dh = d * stay[t] + drh * r[t] + out[:, : 2 * n] @ u_zr
+            d, zr = ds[t], a_zr[t]
+            d += dh
+            np.matmul(np.multiply(d, to_c[t], out=a_c[t]), u_c, out=drh)
+            np.multiply(d, to_z[t], out=zr[:, :n])
+            np.multiply(drh, to_r[t], out=zr[:, n:])
+            np.multiply(d, stay[t], out=dh)
+            drh *= r[t]
+            dh += drh
+            dh += np.matmul(zr, u_zr, out=more)
             if any_fresh[t]:
                 dh[fresh[t]] = 0
-        flat = da.reshape(-1, 3 * n)
+        flat = np.concatenate([a_zr, a_c], 2).reshape(-1, 3 * n)
         du = np.concatenate([before.reshape(-1, n).T @ flat[:, : 2 * n], rh.reshape(-1, n).T @ flat[:, 2 * n :]], 1)
-        order = np.argsort(x.ravel(), kind="stable")
+        order = np.argsort(x.ravel().astype(np.uint16), kind="stable")  # 16 bits: a radix sort
         ids, first = np.unique(x.ravel()[order], return_index=True)
         self._step("gate", np.add.reduceat(flat[order], first) * scale, ids)
         self._step("u", du * scale)
@@ -332,9 +359,9 @@ def _stream(docs: list[np.ndarray], start: int) -> tuple[np.ndarray, np.ndarray,
     return y, x, fresh
 
 
-def _train(vocab, weights):
+def _train(shape, weights):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lookup, net = Lookup(vocab.value), Network(vocab.value)
+        net = Network(shape.value)
         if weights is not None:
             net.load(weights.value)
         trainer, used, pending, size = Trainer(net), 0, [], 0
@@ -354,8 +381,8 @@ def _train(vocab, weights):
 
         for batch in batches:
             for part in small_batches(batch, 0):
-                for text in part.column(0).to_pylist():
-                    pending.append(lookup(tokens(text))[1])
+                for ids in part.column(0).to_pylist():
+                    pending.append(np.frombuffer(ids, ID).astype(np.int32))
                     size += len(pending[-1])
                     if size >= 250_000:
                         used += learn()
@@ -379,20 +406,23 @@ def _mean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([mean], pa.binary()), pa.array([n], pa.int64())], names=["w", "n"])
 
 
-def train(texts: DataFrame, vocab: Vocabulary) -> np.ndarray | None:
-    """Averaged weights (flat float32), or None if there is nothing to learn from."""
-    spark = texts.sparkSession
+def train(documents: DataFrame, vocab: Vocabulary) -> np.ndarray | None:
+    """Averaged weights (flat float32) from the learned rows of ``looked_up``
+    documents, or None if there is nothing to learn from."""
+    spark = documents.sparkSession
     if not vocab.total:
         return None
-    held = spark.sparkContext.broadcast(vocab)
-    text = F.coalesce(texts[0], F.lit(""))
-    dealt = texts.select(text.alias("t"), F.pmod(F.xxhash64(text), F.lit(ROUNDS)).alias("round"))
+    held = spark.sparkContext.broadcast(vocab.shape())
     flat, kind = None, "w binary, n long"
     for r in range(ROUNDS):
         now = None if flat is None else spark.sparkContext.broadcast(flat)
-        rows = dealt.where(F.col("round") == r).select("t").coalesce(MAX_TRAINERS)
-        trained = rows.mapInArrow(_train(held, now), kind)
-        means = stage(trained, "weights").repartition(8).mapInArrow(_mean, kind).collect()  # at most 8 rows
+        rows = documents.where(F.col("rid.learned") & (F.col("rid.round") == r)).select("ids")
+        means = stage(rows.mapInArrow(_train(held, now), kind), "weights")
+        left = means.count()  # one row a task that trained
+        while left > 1:
+            left = -(-left // MEANS)
+            means = means.repartition(left).mapInArrow(_mean, kind)
+        means = means.collect()  # at most one row
         if means:
             n = sum(m["n"] for m in means)
             flat = sum(np.frombuffer(m["w"], np.float32).astype(np.float64) * (m["n"] / n) for m in means).astype(np.float32)
@@ -428,13 +458,10 @@ def score_ids(net: Network, docs: list[np.ndarray]) -> np.ndarray:
     return total / math.log(10)
 
 
-def _score(vocab, weights):
+def _look_up(vocab):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = vocab.value
-        lookup, net = Lookup(v), Network(v)
-        if weights is not None:
-            net.load(weights.value)
-        log_mass = np.log10(v.rare_mass)
+        lookup, log_mass = Lookup(v), np.log10(v.rare_mass)
         kind = pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int32())]))
         for batch in batches:
             for part in small_batches(batch, 1):
@@ -443,22 +470,52 @@ def _score(vocab, weights):
                     words = tokens(text)
                     at, own = lookup(words)
                     here = at[at >= 0]
-                    rare = own >= net.k
-                    ids.append(own)
+                    rare = own >= v.neural
+                    ids.append(own.astype(ID).tobytes())
                     sizes.append(len(words))
                     known.append(len(here))
                     base.append(float(lookup.log_count[here].sum()))
-                    extra.append(float(lookup.log_count[here[here >= net.k]].sum()) - float(log_mass[own[rare] - net.k].sum()))
+                    extra.append(float(lookup.log_count[here[here >= v.neural]].sum()) - float(log_mass[own[rare] - v.neural].sum()))
                     tail = Counter(words[i] for i in np.flatnonzero(at < 0)) if len(here) < len(words) else {}
                     tails.append([{"word": w, "n": n} for w, n in tail.items()])
-                model = score_ids(net, ids) + np.array(extra)
-                cols = [part.column(0), pa.array(sizes, pa.int64()), pa.array(known, pa.int64()), pa.array(base, pa.float64())]
-                cols += [pa.array(model, pa.float64()), pa.array(tails, kind)]
-                yield pa.RecordBatch.from_arrays(cols, names=["rid", "n_tokens", "known", "base", "model", "tail"])
+                cols = [part.column(0), pa.array(ids, pa.binary()), pa.array(sizes, pa.int64()), pa.array(known, pa.int64())]
+                cols += [pa.array(base, pa.float64()), pa.array(extra, pa.float64()), pa.array(tails, kind)]
+                yield pa.RecordBatch.from_arrays(cols, names=["rid", "ids", "n_tokens", "known", "base", "extra", "tail"])
 
     return run
 
 
+def looked_up(rows: DataFrame, vocab: Vocabulary) -> DataFrame:
+    """Rows (doc_id, text, learned) with token ids and what the counts say of them,
+    staged; ``round`` is the round of training, by a hash of the text."""
+    text = F.coalesce("text", F.lit(""))
+    deal = F.pmod(F.xxhash64(text), F.lit(ROUNDS)).cast("int").alias("round")
+    rid = F.struct(F.monotonically_increasing_id().alias("rid"), F.col("doc_id").cast("string").alias("doc_id"), "learned", deal)
+    kind = (
+        "rid struct<rid:long,doc_id:string,learned:boolean,round:int>, ids binary, n_tokens long, known long, base double, "
+        "extra double, tail array<struct<word:binary,n:int>>"
+    )
+    held = rows.sparkSession.sparkContext.broadcast(vocab)
+    return stage(rows.select(rid.alias("rid"), "text").mapInArrow(_look_up(held), kind), "ids")
+
+
+def _score(shape, weights):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        net = Network(shape.value)
+        if weights is not None:
+            net.load(weights.value)
+        for batch in batches:
+            for part in small_batches(batch, 1):
+                ids = [np.frombuffer(b, ID).astype(np.int32) for b in part.column(1).to_pylist()]
+                model = score_ids(net, ids) + part.column(5).to_numpy()
+                yield pa.RecordBatch.from_arrays([part.column(0), *part.columns[2:5], pa.array(model, pa.float64())], names=SCORED)
+
+    return run
+
+
+SCORED = ["rid", "n_tokens", "known", "base", "model"]
+
+
 def score_documents(docs: DataFrame, learn: Column, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Fit on the rows of ``docs`` for which ``learn`` holds, score all rows:
     doc_id, learned (the condition), n_tokens, n_known, train_tokens, base_score, score."""
@@ -468,21 +525,21 @@ def score_documents(docs: DataFrame, learn: Column, *, doc_id: str = "doc_id", t
     training = rows.where("learned").select("text")
     counts = count_words(training)
     vocab = vocabulary(counts)
-    weights = train(training, vocab)
-    held = spark.sparkContext.broadcast(vocab)
+    documents = looked_up(rows, vocab)
+    weights = train(documents, vocab)
+    held = spark.sparkContext.broadcast(vocab.shape())
     flat = None if weights is None else spark.sparkContext.broadcast(weights)
 
-    numbered = rows.select(F.monotonically_increasing_id().alias("rid"), "doc_id", "learned", "text")
-    kind = "rid struct<rid:long,doc_id:string,learned:boolean>, n_tokens long, known long, base double, model double, tail array<struct<word:binary,n:int>>"
-    packed = numbered.select(F.struct("rid", F.col("doc_id").cast("string").alias("doc_id"), "learned").alias("rid"), "text")
-    scored = stage(packed.mapInArrow(_score(held, flat), kind), "scored")
-    tail = scored.select(F.col("rid.rid").alias("rid"), F.explode("tail").alias("t")).select("rid", "t.word", F.col("t.n").alias("times"))
+    kind = f"rid {documents.schema['rid'].dataType.simpleString()}, n_tokens long, known long, base double, model double"
+    given = documents.select("rid", "ids", "n_tokens", "known", "base", "extra")
+    scored = given.mapInArrow(_score(held, flat), kind)
+    tail = documents.select(F.col("rid.rid").alias("rid"), F.explode("tail").alias("t")).select("rid", "t.word", F.col("t.n").alias("times"))
     joined = tail.join(counts, "word", "left")
     tail = joined.groupBy("rid").agg(
         F.sum(F.col("times") * F.log10(F.coalesce("n", F.lit(0)) + 1.0)).alias("tail_log"),
         F.sum(F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)).alias("tail_known"),
     )
-    flat_rows = scored.select(
+    flat_rows = stage(scored, "scored").select(
         F.col("rid.rid").alias("rid"), F.col("rid.doc_id").cast(rows.schema["doc_id"].dataType).alias("doc_id"),
         F.col("rid.learned").alias("learned"), "n_tokens", "known", "base", "model",
     )

@@ -257,11 +257,31 @@ def test_lm_trains_on_every_token_at_any_size(spark, monkeypatch):
     docs = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)
     vocab = lm.vocabulary(lm.count_words(docs))
     vocab.total = 50_000_000  # as in a large corpus
+    rows = docs.select(F.lit(1).alias("doc_id"), "text", F.lit(True).alias("learned"))
+    documents = lm.looked_up(rows, vocab)
     kept, real = [], lm.stage
     monkeypatch.setattr(lm, "stage", lambda df, name: kept.append(real(df, name)) or kept[-1])
-    assert lm.train(docs, vocab) is not None
+    assert lm.train(documents, vocab) is not None
     learned = sum(w.agg(F.sum("n")).first()[0] or 0 for w in kept)
     assert learned == sum(len(lm.tokens(t)) for t in texts)
+    lookup = lm.Lookup(vocab)
+    stored = sorted(tuple(np.frombuffer(r["ids"], lm.ID)) for r in documents.select("ids").collect())
+    assert stored == sorted(tuple(lookup(lm.tokens(t))[1]) for t in texts)
+
+
+def test_lm_weights_are_averaged_in_a_tree(spark, monkeypatch):
+    monkeypatch.setattr(lm, "MEANS", 2)
+    texts = [" ".join(f"w{(i * 5 + k) % 40}" for k in range(30)) for i in range(60)]
+    rows = spark.createDataFrame([(i, t, i % 6 > 0) for i, t in enumerate(texts)], "doc_id long, text string, learned boolean")
+    vocab = lm.vocabulary(lm.count_words(rows.where("learned").select("text")))
+    documents = lm.looked_up(rows.repartition(7), vocab)
+    assert documents.rdd.getNumPartitions() > 2
+    weights = lm.train(documents, vocab)
+    net = lm.Network(vocab)
+    assert weights.shape == (sum(getattr(net, n).size for n in net.NAMES),) and np.isfinite(weights).all()
+    lookup = lm.Lookup(vocab)
+    held = [lookup(lm.tokens(t))[1] for t in texts[::6]]
+    assert lm.score_ids(lm.Network(vocab).load(weights), held).sum() > lm.score_ids(net, held).sum()
 
 
 def test_lm_filling_of_a_window_teaches_nothing():
