@@ -11,12 +11,13 @@ import importlib.util
 import os
 import sys
 from collections.abc import Callable
+from functools import reduce
 
 _HERE = os.path.dirname(os.path.abspath(__file__))
 if _HERE not in sys.path:
     sys.path.insert(0, _HERE)
 
-from pyspark.sql import DataFrame, SparkSession  # noqa: E402
+from pyspark.sql import DataFrame, SparkSession, Window  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from checks import params as P  # noqa: E402
@@ -34,7 +35,9 @@ from shardloom.operators.windows import (  # noqa: E402
     split_by_dates,
 )
 from shardloom.plans.build import BuildSpec, materialized_tokens, packed_shards, prompt_table, spread, token_table  # noqa: E402
+from shardloom.plans.feed import FeedSpec, deliver_batches  # noqa: E402
 from shardloom.session import ensure_checkpoint_dir, materialize, scratch_path  # noqa: E402
+from shardloom.sources.delivery import read_rank  # noqa: E402
 from shardloom.sources.tables import corpus_view, read_table, run_config, train_log_view  # noqa: E402
 
 SPEC = BuildSpec(
@@ -378,6 +381,42 @@ def q_rank_split(spark, sf):
     return feed.split_ranks(_delivered(spark, sf), P.WORLD).select("worker", "batch_id", "rank")
 
 
+def _delivery(spark, sf) -> str:
+    spec = FeedSpec(
+        P.CHUNK, P.BATCH, P.WORKERS, shuffle_chunks=True, seed=P.SEED, epoch=P.EPOCH, world_size=P.WORLD, block_size=P.BLOCK
+    )
+    path = scratch_path(spark, "delivery")
+    deliver_batches(_packed(spark, sf), spec, path, P.FILE_BATCHES)
+    return path
+
+
+def _batch_digest(column: str):
+    return F.md5(F.array_join(F.transform(column, lambda a: ids_digest(a)), ","))
+
+
+def q_delivery_files(spark, sf):
+    """Each rank's batches as its files give them: files in name order, rows as they lie in them."""
+    rows = spark.read.parquet(f"{_delivery(spark, sf)}/batches").select(
+        "*", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")
+    )
+    earlier = Window.partitionBy("rank").orderBy("file").rowsBetween(Window.unboundedPreceding, -1)  # a row a file
+    files = rows.groupBy("rank", "file").agg(F.count("*").alias("n"))
+    heads = files.select("rank", "file", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("head"))
+    return rows.join(heads, ["rank", "file"]).select(
+        "rank", (F.col("head") + F.col("row")).cast("long").alias("place"), "worker", "batch_id", "n_samples",
+        _batch_digest("input_ids").alias("batch_md5"), _batch_digest("labels").alias("labels_md5"),
+    )
+
+
+def q_delivery_resume(spark, sf):
+    """Every rank's stream from slot RESUME_SLOT on."""
+    path = _delivery(spark, sf)
+    streams = [read_rank(spark, path, r, P.RESUME_SLOT) for r in range(P.WORLD)]
+    return reduce(DataFrame.unionByName, streams).select(
+        "rank", "slot", "delivery", "worker", "batch_id", _batch_digest("input_ids").alias("batch_md5")
+    )
+
+
 def q_pair_check(spark, sf):
     """J1 on shards with holes: some have no ids, some no labels, some lack the
     labels of their first block."""

@@ -454,6 +454,23 @@ SELECT bb.worker, bb.batch_id,
              + (SELECT count(*) FROM nb WHERE nb.worker < bb.worker AND nb.n > bb.batch_id)) % {P.WORLD} AS INTEGER) AS rank
 FROM bb"""
 
+    delivered = feed + f""",
+nb AS (SELECT worker, max(batch_id) + 1 AS n FROM samples GROUP BY worker),
+bt AS (
+  SELECT worker, batch_id, CAST(count(*) AS INTEGER) AS n_samples,
+         md5(string_agg(ids_md5, ',' ORDER BY seq)) AS batch_md5, md5(string_agg(labs_md5, ',' ORDER BY seq)) AS labels_md5
+  FROM samples GROUP BY worker, batch_id),
+dl AS (
+  SELECT bt.*, CAST((SELECT sum(least(n, bt.batch_id)) FROM nb)
+         + (SELECT count(*) FROM nb WHERE nb.worker < bt.worker AND nb.n > bt.batch_id) AS BIGINT) AS delivery FROM bt),
+rk AS (
+  SELECT *, CAST(delivery % {P.WORLD} AS INTEGER) AS rank,
+         row_number() OVER (PARTITION BY delivery % {P.WORLD} ORDER BY delivery) - 1 AS place FROM dl)"""
+    q["delivery_files"] = delivered + """
+SELECT rank, place, worker, batch_id, n_samples, batch_md5, labels_md5 FROM rk"""
+    q["delivery_resume"] = delivered + f"""
+SELECT rank, place AS slot, delivery, worker, batch_id, batch_md5 FROM rk WHERE place >= {P.RESUME_SLOT}"""
+
     q["pair_check"] = base_ctes() + ",\n" + manifest_cte() + f""",
 sized AS (
   SELECT shard, CASE WHEN substr(shard, 12, 2) <> '07' THEN n_tokens END AS n_ids,

@@ -34,6 +34,8 @@ EPOCH = 0
 FEED_EPOCHS = 3
 RESUME_BATCH = 5
 WORLD = 2
+FILE_BATCHES = 4
+RESUME_SLOT = 6
 DEMO_SHARDS = 2
 
 # training log

@@ -155,13 +155,14 @@ def stack_batches(
     """W8 (stacked form, A3, P12): one row per (worker, batch_id) with int64
     sample arrays and all-ones attention masks.  Groups hold at most
     ``batch_size`` samples."""
-    rows = assign_batches(samples, batch_size)
-    gathered = rows.groupBy("worker", "batch_id").agg(
-        F.sort_array(F.collect_list(F.struct("seq", ids, labels))).alias("_s")
-    )
+    return gather_batches(assign_batches(samples, batch_size), ["worker", "batch_id"], ids, labels)
+
+
+def gather_batches(rows: DataFrame, keys: list[str], ids: str = "input_ids", labels: str = "labels") -> DataFrame:
+    """Samples that agree in ``keys`` (those of one batch) stacked in ``seq`` order."""
+    gathered = rows.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("seq", ids, labels))).alias("_s"))
     return gathered.select(
-        "worker",
-        "batch_id",
+        *keys,
         F.size("_s").alias("n_samples"),
         F.transform("_s", lambda s: wide_ids(s[ids])).alias("input_ids"),
         F.transform("_s", lambda s: wide_ids(s[labels])).alias("labels"),

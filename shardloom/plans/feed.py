@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from shardloom.operators import feed
 from shardloom.operators.packing import cut_windows
+from shardloom.session import materialize
 
 
 @dataclass(frozen=True)
@@ -61,6 +62,19 @@ def feed_batches(shards: DataFrame, spec: FeedSpec) -> DataFrame:
     return _batches(cut_windows(shards, spec.chunk_size, block_size=spec.block_size), dealt, spec)
 
 
+def deliver_batches(shards: DataFrame, spec: FeedSpec, path: str, batches_per_file: int = 64) -> DataFrame:
+    """Batches written as each rank's files in delivery order (``sources.delivery``); returns their index."""
+    from shardloom.sources.delivery import write_delivery
+
+    dealt = _deal(feed.shard_manifest(shards, spec.chunk_size, labels=None), spec)
+    chunks = cut_windows(shards, spec.chunk_size, block_size=spec.block_size)
+    samples = feed.number_samples(chunks, dealt, shuffle_chunks=spec.shuffle_chunks, seed=spec.seed, epoch=spec.epoch)
+    counts = materialize(feed.worker_batches(dealt, spec.batch_size), "worker-batches")
+    return write_delivery(
+        samples, counts, path, batch_size=spec.batch_size, world_size=spec.world_size or 1, per_file=batches_per_file
+    )
+
+
 def epoch_orders(shards: DataFrame, spec: FeedSpec, n_epochs: int) -> DataFrame:
     """Order of every epoch as a narrow table (``feed.epoch_order``); reads the
     stored block lengths only."""
