@@ -25,7 +25,7 @@ from shardloom.functions.templates import qa_prompts, render  # noqa: E402
 from shardloom.functions.text import SECTION_COLUMNS, clean_sections, section_text  # noqa: E402
 from shardloom.functions.tokenizer import length_report  # noqa: E402
 from shardloom.functions.tokens import ids_digest  # noqa: E402
-from shardloom.operators import feed, packing, stats, trainlog  # noqa: E402
+from shardloom.operators import feed, logfold, packing, stats, trainlog  # noqa: E402
 from shardloom.operators.limits import sample_limit  # noqa: E402
 from shardloom.operators.windows import (  # noqa: E402
     assign_windows,
@@ -445,14 +445,29 @@ def q_step_windows(spark, sf):
     return s.select("rank", "epoch", "step", "opt_step", "is_sync", "log_window")
 
 
-def q_loss_windows(spark, sf):
-    w = _windows(spark, sf)
-    return w.select(
+def _window_columns(windows):
+    return windows.select(
         "log_window", "epoch", "end_step", "global_step", F.col("loss_sum").cast("string").alias("loss_sum"),
         "micro_steps", "n_ranks", "spans_epoch",
     )
 
 
+def q_loss_windows(spark, sf):
+    return _window_columns(_windows(spark, sf))
+
+
+def q_loss_windows_folded(spark, sf):
+    """The windows from three slices of the log, folded in as they arrive."""
+    log, path = _log(spark, sf), scratch_path(spark, "folded-log")
+    rule = logfold.FoldRule(P.ACCUM, P.UPDATE_FREQ, P.TOKENS_PER_MICRO_STEP, n_ranks=P.PROCS)
+    cuts = [None, *P.LOG_CUTS, None]
+    for lo, hi in zip(cuts, cuts[1:], strict=False):
+        part = log if lo is None else log.where(F.col("ts") >= F.lit(lo).cast("timestamp"))
+        part = part if hi is None else part.where(F.col("ts") < F.lit(hi).cast("timestamp"))
+        logfold.fold(part, path, rule, finish=hi is None)
+    return _window_columns(logfold.folded_windows(spark, path))
+
+
 def q_perplexity(spark, sf):
     return _windows(spark, sf).select("log_window", F.round("perplexity", 6).alias("perplexity"))
 

@@ -517,7 +517,7 @@ SELECT log_window, epoch, end_step, CAST((log_window + 1) * """ + str(P.UPDATE_F
        CAST(CAST(loss_sum AS DECIMAL(38,12)) AS VARCHAR) AS loss_sum, CAST(main_steps AS BIGINT) AS micro_steps,
        CAST((SELECT n FROM nr) AS BIGINT) AS n_ranks, spans_epoch
 FROM win3"""
-    q["stream_loss_windows"] = q["loss_windows"]
+    q["stream_loss_windows"] = q["loss_windows_folded"] = q["loss_windows"]
     q["perplexity"] = lw + f"""
 SELECT log_window, round(exp(least(mean_loss, {P.PPL_CLAMP})), 6) AS perplexity FROM win3"""
     q["throughput"] = lw + """

@@ -47,3 +47,4 @@ MICRO_BATCH = 8
 TOKENS_PER_MICRO_STEP = CHUNK * PROCS * MICRO_BATCH
 PPL_CLAMP = 20.0
 DEMO_STEPS = 20
+LOG_CUTS = ("2024-01-09", "2024-01-22")  # slices of the log that are folded in one after another

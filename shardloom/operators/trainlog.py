@@ -110,6 +110,21 @@ def loss_windows(
         F.max(F.when(F.col("is_sync"), F.col("opt_step"))).alias("last_sync"),
     )
     per_rank = materialize(per_rank, "log-windows-by-rank")
+    return window_rows(per_rank, epochs, update_freq, tokens_per_step, n_ranks, main_rank)
+
+
+def window_rows(
+    per_rank: DataFrame,
+    epochs: DataFrame,
+    update_freq: int,
+    tokens_per_step: int,
+    n_ranks: int,
+    main_rank: int = 0,
+    *,
+    before: DataFrame | None = None,
+) -> DataFrame:
+    """Rows of the full windows from a rollup per (log_window, rank).  ``before``:
+    (log_window, log_ts) of the main rank for windows that the rollup does not hold."""
     main = per_rank.where(F.col("rank") == main_rank).select(
         "log_window",
         F.col("micro_steps").alias("main_steps"),
@@ -130,7 +145,9 @@ def loss_windows(
     win = full.join(main, "log_window")
 
     starts = epochs.where(F.col("rank") == main_rank).select("epoch", "epoch_start")
-    prev = main.select((F.col("log_window") + 1).alias("log_window"), F.col("log_ts").alias("prev_ts"))
+    logged = main.select("log_window", "log_ts")
+    logged = logged if before is None else logged.unionByName(before)
+    prev = logged.select((F.col("log_window") + 1).alias("log_window"), F.col("log_ts").alias("prev_ts"))
     win = win.join(broadcast_if_small(starts), "epoch").join(prev, "log_window", "left")
     since = F.greatest(F.coalesce(F.col("prev_ts"), F.col("epoch_start")), F.col("epoch_start"))
     elapsed = F.timestamp_diff("MICROSECOND", since, F.col("log_ts")) / 1e6
