@@ -51,8 +51,9 @@ NEURAL = 2048
 WIDTH = 48
 RARE = 32
 SUFFIX = 3
-STEPS = 32
-LANES = 64  # documents trained on side by side
+STEPS = 16  # truncation of the backpropagation
+LANES = 128  # documents trained on side by side
+SCORE_STEPS = 32
 SCORE_LANES = 128
 ROUNDS = 2
 RATE = 0.25
@@ -419,10 +420,10 @@ def train(documents: DataFrame, vocab: Vocabulary) -> np.ndarray | None:
         rows = documents.where(F.col("rid.learned") & (F.col("rid.round") == r)).select("ids")
         means = stage(rows.mapInArrow(_train(held, now), kind), "weights")
         left = means.count()  # one row a task that trained
-        while left > 1:
-            left = -(-left // MEANS)
+        while left > 8:
+            left = max(8, -(-left // MEANS))
             means = means.repartition(left).mapInArrow(_mean, kind)
-        means = means.collect()  # at most one row
+        means = means.collect()  # at most 8 rows
         if means:
             n = sum(m["n"] for m in means)
             flat = sum(np.frombuffer(m["w"], np.float32).astype(np.float64) * (m["n"] / n) for m in means).astype(np.float32)
@@ -448,9 +449,9 @@ def score_ids(net: Network, docs: list[np.ndarray]) -> np.ndarray:
         y[: sizes[i], i], x[: sizes[i], i], fresh[: sizes[i], i] = _stream([docs[d] for d in ds], net.start)
         owner[: sizes[i], i] = np.repeat(ds, [len(docs[d]) for d in ds])
     total, h = np.zeros(len(docs)), np.zeros((lanes, HIDDEN), np.float32)
-    for t in range(0, length, STEPS):
+    for t in range(0, length, SCORE_STEPS):
         n = int(np.searchsorted(-sizes, -t, "left"))  # lanes longer than t
-        stop = min(length, t + STEPS)
+        stop = min(length, t + SCORE_STEPS)
         states, h = net.states(x[t:stop, :n], fresh[t:stop, :n], h[:n])
         real = np.arange(t, stop)[:, None] < sizes[None, :n]
         logs = net.log_probs(states[real], y[t:stop, :n][real])
@@ -462,10 +463,9 @@ def _look_up(vocab):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = vocab.value
         lookup, log_mass = Lookup(v), np.log10(v.rare_mass)
-        kind = pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int32())]))
         for batch in batches:
             for part in small_batches(batch, 1):
-                ids, sizes, known, base, extra, tails = [], [], [], [], [], []
+                ids, sizes, known, base, extra, ends, rest, times = [], [], [], [], [], [0], [], []
                 for text in part.column(1).to_pylist():
                     words = tokens(text)
                     at, own = lookup(words)
@@ -477,9 +477,13 @@ def _look_up(vocab):
                     base.append(float(lookup.log_count[here].sum()))
                     extra.append(float(lookup.log_count[here[here >= v.neural]].sum()) - float(log_mass[own[rare] - v.neural].sum()))
                     tail = Counter(words[i] for i in np.flatnonzero(at < 0)) if len(here) < len(words) else {}
-                    tails.append([{"word": w, "n": n} for w, n in tail.items()])
+                    rest += tail.keys()
+                    times += tail.values()
+                    ends.append(len(rest))
+                tail = pa.StructArray.from_arrays([pa.array(rest, pa.binary()), pa.array(times, pa.int32())], names=["word", "n"])
+                tails = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), tail)
                 cols = [part.column(0), pa.array(ids, pa.binary()), pa.array(sizes, pa.int64()), pa.array(known, pa.int64())]
-                cols += [pa.array(base, pa.float64()), pa.array(extra, pa.float64()), pa.array(tails, kind)]
+                cols += [pa.array(base, pa.float64()), pa.array(extra, pa.float64()), tails]
                 yield pa.RecordBatch.from_arrays(cols, names=["rid", "ids", "n_tokens", "known", "base", "extra", "tail"])
 
     return run

@@ -215,7 +215,7 @@ def test_lm_sums_to_one_and_carries_state():
     ids = np.arange(net.k + lm.RARE)
     state = rng.standard_normal((1, lm.HIDDEN)).astype(np.float32)
     assert np.exp(net.log_probs(np.repeat(state, len(ids), 0), ids)).sum() == pytest.approx(1, abs=1e-4)
-    long = rng.integers(0, 50, 3 * lm.STEPS + 5).astype(np.int32)
+    long = rng.integers(0, 50, 3 * lm.SCORE_STEPS + 5).astype(np.int32)
     y, inputs, fresh = lm._stream([long], net.start)
     states, _ = net.states(inputs[:, None], fresh[:, None], np.zeros((1, lm.HIDDEN), np.float32))
     whole = net.log_probs(states[:, 0], y).sum() / math.log(10)
