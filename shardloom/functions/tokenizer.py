@@ -3,7 +3,9 @@
 The two prompt sides are tokenised separately, without automatic special
 tokens, then concatenated.  A tokenizer is any object with ``encode_sides(df,
 keys, src, tgt)`` that returns the key columns and two id arrays, ``_src`` and
-``_tgt``, per row; users bring their own.  Two are given:
+``_tgt``, per row; users bring their own.  One that also has ``sides_encoder(spark,
+keys, src, tgt)``, a function over Arrow batches, is run in one Python pass with what
+follows it (``streams.tokens_in_place``).  Two are given:
 
 * ``CodePointTokenizer`` - ids are Unicode code points, decoded in Arrow batches
   (used for oracle-checked tests);
@@ -19,7 +21,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,8 +36,9 @@ class CodePointTokenizer:
     name = "codepoint"
 
     def encode_sides(self, df: DataFrame, keys: Sequence[str], src: str, tgt: str) -> DataFrame:
-        ship_package(df.sparkSession)
+        return _encode_sides(df, self, keys, src, tgt)
 
+    def sides_encoder(self, spark: SparkSession, keys: Sequence[str], src: str, tgt: str):
         def encode(batches):
             import numpy as np
             import pyarrow as pa
@@ -53,7 +56,7 @@ class CodePointTokenizer:
                     cols.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids), type=ids_type, mask=null))
                 yield pa.RecordBatch.from_arrays(cols, names=[*keys, "_src", "_tgt"])
 
-        return df.select(*keys, src, tgt).mapInArrow(encode, sides_schema(df, keys))
+        return encode
 
 
 class JsonTokenizer:
@@ -78,6 +81,26 @@ class JsonTokenizer:
     def encode_sides(self, df: DataFrame, keys: Sequence[str], src: str, tgt: str) -> DataFrame:
         return _encode_sides(df, self, keys, src, tgt)
 
+    def sides_encoder(self, spark: SparkSession, keys: Sequence[str], src: str, tgt: str):
+        bc = spark.sparkContext.broadcast(self.json_text)
+        key = hashlib.sha1(self.json_text.encode("utf-8")).hexdigest()
+        special, threads = self.add_special_tokens, self.threads
+
+        def encode(batches):
+            import pyarrow as pa
+
+            tok = _load(key, bc, threads)
+            ids_type = pa.list_(pa.field("element", pa.int32(), nullable=False))
+            for batch in (part for whole in batches for part in text_slices(whole, (src, tgt))):
+                cols = [batch.column(k) for k in keys]
+                for side in (src, tgt):
+                    enc = tok.encode_batch(batch.column(side).to_pylist(), add_special_tokens=special)
+                    cols.append(pa.array([e.ids for e in enc], type=ids_type))
+                    del enc
+                yield pa.RecordBatch.from_arrays(cols, names=[*keys, "_src", "_tgt"])
+
+        return encode
+
 
 _WORKER_CACHE: dict[str, object] = {}
 
@@ -122,28 +145,29 @@ def sides_schema(df: DataFrame, keys: Sequence[str]) -> T.StructType:
     return T.StructType([df.schema[k] for k in keys] + sides)
 
 
-def _encode_sides(df: DataFrame, tokenizer: JsonTokenizer, keys: Sequence[str], src: str, tgt: str) -> DataFrame:
+def _encode_sides(df: DataFrame, tokenizer, keys: Sequence[str], src: str, tgt: str) -> DataFrame:
     spark = df.sparkSession
     ship_package(spark)
-    bc = spark.sparkContext.broadcast(tokenizer.json_text)
-    key = hashlib.sha1(tokenizer.json_text.encode("utf-8")).hexdigest()
-    special, threads = tokenizer.add_special_tokens, tokenizer.threads
-    schema = sides_schema(df, keys)
-
-    def encode(batches):
-        import pyarrow as pa
-
-        tok = _load(key, bc, threads)
-        ids_type = pa.list_(pa.field("element", pa.int32(), nullable=False))
-        for batch in (part for whole in batches for part in text_slices(whole, (src, tgt))):
-            cols = [batch.column(k) for k in keys]
-            for side in (src, tgt):
-                enc = tok.encode_batch(batch.column(side).to_pylist(), add_special_tokens=special)
-                cols.append(pa.array([e.ids for e in enc], type=ids_type))
-                del enc
-            yield pa.RecordBatch.from_arrays(cols, names=[*keys, "_src", "_tgt"])
-
-    return df.select(*keys, src, tgt).mapInArrow(encode, schema)
+    return df.select(*keys, src, tgt).mapInArrow(tokenizer.sides_encoder(spark, keys, src, tgt), sides_schema(df, keys))
+
+
+def joined_sides(batch, keys: Sequence[str]):
+    """An Arrow batch (keys..., _src, _tgt) as (keys..., input_ids, length, n_masked)."""
+    import numpy as np
+    import pyarrow as pa
+
+    src, tgt = batch.column("_src"), batch.column("_tgt")
+    n_src, n_tgt = (x.value_lengths() for x in (src, tgt))
+    null = np.asarray(src.is_null()) | np.asarray(tgt.is_null())
+    (so, sv), (to, tv) = ((x.offsets.to_numpy(), x.values.to_numpy(zero_copy_only=False)) for x in (src, tgt))
+    pieces, offsets = [np.zeros(0, np.int32)], np.zeros(batch.num_rows + 1, np.int32)
+    for i in range(batch.num_rows):
+        if not null[i]:
+            pieces += (sv[so[i] : so[i + 1]], tv[to[i] : to[i + 1]])
+        offsets[i + 1] = offsets[i] + (0 if null[i] else so[i + 1] - so[i] + to[i + 1] - to[i])
+    lengths = pa.array(np.diff(offsets), pa.int32(), mask=null)
+    ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(pieces)), type=src.type, mask=pa.array(null))
+    return pa.RecordBatch.from_arrays([*(batch.column(k) for k in keys), ids, lengths, n_src], names=[*keys, "input_ids", "length", "n_masked"])
 
 
 def tokenize(

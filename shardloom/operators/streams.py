@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shardloom.functions.tokenizer import joined_sides
 from shardloom.operators.ordering import broadcast_if_small, join_on_keys
 from shardloom.session import ship_package
 
@@ -34,39 +35,64 @@ def in_stream_order(df: DataFrame, group_cols: Sequence[str], order_cols: Sequen
     return df.repartitionByRange(*keys).sortWithinPartitions(*keys)
 
 
+def _placed(batches: Iterator, groups: Sequence[str], orders: Sequence[str], max_len: int | None) -> Iterator:
+    """Arrow batches of a task's rows with ``PLACE``."""
+    import pyarrow as pa
+    from pyspark import TaskContext
+
+    part = TaskContext.get().partitionId()
+    group = order = None
+    total, started = 0, False
+    for batch in batches:
+        starts, ties = [], []
+        rows = zip(
+            zip(*(batch.column(c).to_pylist() for c in groups)),
+            zip(*(batch.column(c).to_pylist() for c in orders)),
+            batch.column("length").to_pylist(),
+        )
+        for g, o, n in rows:
+            if not started or g != group:
+                group, order, total, started = g, None, 0, True
+            starts.append(total)
+            keep = max_len is None or (n is not None and n <= max_len)
+            ties.append(keep and order == o)
+            if keep:
+                order, total = o, total + (n or 0)
+        place = [pa.array([part] * len(starts), pa.int32()), pa.array(starts, pa.int64()), pa.array(ties, pa.bool_())]
+        yield pa.RecordBatch.from_arrays([*batch.columns, *place], names=[*batch.schema.names, *PLACE])
+
+
+def _place_fields() -> list[T.StructField]:
+    return T._parse_datatype_string("place_part int, place_start long, place_tie boolean").fields
+
+
 def with_place(tok: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str], max_len: int | None) -> DataFrame:
     """Rows in stream order (``length`` tokens each) with ``PLACE``; rows over
     ``max_len`` count as absent."""
     ship_package(tok.sparkSession)
-    schema = T.StructType([*tok.schema.fields, *T._parse_datatype_string("place_part int, place_start long, place_tie boolean").fields])
+    schema = T.StructType([*tok.schema.fields, *_place_fields()])
     groups, orders = list(group_cols), list(order_cols)
+    return tok.mapInArrow(lambda batches: _placed(batches, groups, orders, max_len), schema)
+
+
+def tokens_in_place(
+    prompts: DataFrame, tokenizer, keys: Sequence[str], group_cols: Sequence[str], order_cols: Sequence[str], max_len: int | None,
+    *, src: str = "inputs", tgt: str = "outputs",
+) -> DataFrame:
+    """(keys..., input_ids, length, n_masked) of prompts in stream order, with ``PLACE``:
+    ``tokenize`` and ``with_place`` in one Python pass, so ids leave Python once."""
+    spark = prompts.sparkSession
+    ship_package(spark)
+    keys, groups, orders = list(keys), list(group_cols), list(order_cols)
+    encode = tokenizer.sides_encoder(spark, keys, src, tgt)
+    ids = T.StructField("input_ids", T.ArrayType(T.IntegerType(), False))
+    counts = T._parse_datatype_string("length int, n_masked int").fields
+    schema = T.StructType([*(prompts.schema[k] for k in keys), ids, *counts, *_place_fields()])
 
     def run(batches: Iterator) -> Iterator:
-        import pyarrow as pa
-        from pyspark import TaskContext
+        return _placed((joined_sides(b, keys) for b in encode(batches)), groups, orders, max_len)
 
-        part = TaskContext.get().partitionId()
-        group = order = None
-        total, started = 0, False
-        for batch in batches:
-            starts, ties = [], []
-            rows = zip(
-                zip(*(batch.column(c).to_pylist() for c in groups)),
-                zip(*(batch.column(c).to_pylist() for c in orders)),
-                batch.column("length").to_pylist(),
-            )
-            for g, o, n in rows:
-                if not started or g != group:
-                    group, order, total, started = g, None, 0, True
-                starts.append(total)
-                keep = max_len is None or (n is not None and n <= max_len)
-                ties.append(keep and order == o)
-                if keep:
-                    order, total = o, total + (n or 0)
-            place = [pa.array([part] * len(starts), pa.int32()), pa.array(starts, pa.int64()), pa.array(ties, pa.bool_())]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *place], names=[*batch.schema.names, *PLACE])
-
-    return tok.mapInArrow(run, schema)
+    return prompts.select(*keys, src, tgt).mapInArrow(run, schema)
 
 
 def place_offsets(tok: DataFrame, group_cols: Sequence[str], length: str, out: str) -> DataFrame:

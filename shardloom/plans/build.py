@@ -19,7 +19,7 @@ from shardloom.functions.tokenizer import CodePointTokenizer, length_filter, tok
 from shardloom.functions.tokens import labels_from_mask, labels_from_runs, narrow_ids, seq_length
 from shardloom.operators.limits import sample_limit
 from shardloom.operators.packing import pack_blocks, pack_stream, whole_blocks
-from shardloom.operators.streams import PLACE, in_stream_order, with_place
+from shardloom.operators.streams import PLACE, in_stream_order, tokens_in_place, with_place
 from shardloom.operators.windows import assign_windows, filter_label_prefix, scan_window
 from shardloom.session import materialize
 
@@ -54,13 +54,16 @@ def windowed_corpus(corpus: DataFrame, spec: BuildSpec) -> DataFrame:
     return sample_limit(rows, spec.n_samples, list(spec.order_cols), ["shard"])
 
 
-def text_table(corpus: DataFrame, spec: BuildSpec) -> DataFrame:
+def text_table(corpus: DataFrame, spec: BuildSpec, *, in_order: bool = False) -> DataFrame:
     rows = windowed_corpus(corpus, spec)
+    if in_order:  # before rendering, which sampling the ranges would run once more
+        rows = in_stream_order(rows, ["shard"], list(spec.order_cols))
     return with_patent_text(rows, SECTION_COLUMNS, spec.on_null, keep=("doc_id", "shard", "ipc_label", "title"))
 
 
-def prompt_table(corpus: DataFrame, spec: BuildSpec) -> DataFrame:
-    return chat_prompts(text_table(corpus, spec), spec.system_prompt, spec.user_template, spec.assistant_template)
+def prompt_table(corpus: DataFrame, spec: BuildSpec, *, in_order: bool = False) -> DataFrame:
+    """``in_order`` deals and sorts the rows by (shard, order) (``operators.streams``)."""
+    return chat_prompts(text_table(corpus, spec, in_order=in_order), spec.system_prompt, spec.user_template, spec.assistant_template)
 
 
 def token_table(corpus: DataFrame, spec: BuildSpec, tokenizer=None, *, max_len="spec") -> DataFrame:
@@ -88,9 +91,13 @@ def materialized_tokens(corpus: DataFrame, spec: BuildSpec, tokenizer=None) -> D
     The length cap is applied on the stored table (a Parquet pushed filter), which
     holds the longer rows too."""
     group, order = ["shard"], list(spec.order_cols)
-    prompts = in_stream_order(prompt_table(corpus, spec), group, order)
-    tok = tokenize(prompts, tokenizer or CodePointTokenizer(), keys=("doc_id", "shard"), max_len=None).drop("labels")
-    stored = length_filter(materialize(with_place(tok, group, order, spec.max_len), "tokens"), spec.max_len)
+    prompts, keys = prompt_table(corpus, spec, in_order=True), ("doc_id", "shard")
+    tokenizer = tokenizer or CodePointTokenizer()
+    if hasattr(tokenizer, "sides_encoder"):
+        tok = tokens_in_place(prompts, tokenizer, keys, group, order, spec.max_len)
+    else:
+        tok = with_place(tokenize(prompts, tokenizer, keys=keys, max_len=None).drop("labels"), group, order, spec.max_len)
+    stored = length_filter(materialize(tok, "tokens"), spec.max_len)
     return stored.withColumn("labels", labels_from_mask("input_ids", "n_masked"))
 
 
