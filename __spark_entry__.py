@@ -24,9 +24,10 @@ from checks import params as P  # noqa: E402
 from shardloom.functions.templates import qa_prompts, render  # noqa: E402
 from shardloom.functions.text import SECTION_COLUMNS, clean_sections, section_text  # noqa: E402
 from shardloom.functions.tokenizer import length_report  # noqa: E402
-from shardloom.functions.tokens import ids_digest  # noqa: E402
+from shardloom.functions.tokens import arrow_digests, ids_digest  # noqa: E402
 from shardloom.operators import feed, logfold, packing, stats, trainlog  # noqa: E402
 from shardloom.operators.limits import sample_limit  # noqa: E402
+from shardloom.operators.ordering import broadcast_if_small  # noqa: E402
 from shardloom.operators.windows import (  # noqa: E402
     assign_windows,
     date_windows,
@@ -97,12 +98,13 @@ def _samples(spark, sf):
 
 
 def _digest_blocks(blocks: DataFrame) -> DataFrame:
+    digest, _ = arrow_digests(blocks.sparkSession)
     return blocks.select(
         "shard",
         "chunk",
         F.size("input_ids").cast("long").alias("n_tokens"),
-        ids_digest("input_ids").alias("ids_md5"),
-        ids_digest("labels").alias("labels_md5"),
+        digest("input_ids").alias("ids_md5"),
+        digest("labels").alias("labels_md5"),
     )
 
 
@@ -356,7 +358,7 @@ def q_keyed_resume(spark, sf):
 
 def q_batches(spark, sf):
     b = feed.stack_batches(_samples(spark, sf), P.BATCH)
-    digest = {c: F.md5(F.array_join(F.transform(c, lambda a: ids_digest(a)), ",")) for c in ("input_ids", "labels")}
+    digest = {c: _batch_digest(spark, c) for c in ("input_ids", "labels")}
     ones = F.size(F.filter(F.flatten("attention_mask"), lambda x: x == 1))
     return b.select(
         "worker", "batch_id", "n_samples", digest["input_ids"].alias("batch_md5"), digest["labels"].alias("labels_md5"),
@@ -390,8 +392,8 @@ def _delivery(spark, sf) -> str:
     return path
 
 
-def _batch_digest(column: str):
-    return F.md5(F.array_join(F.transform(column, lambda a: ids_digest(a)), ","))
+def _batch_digest(spark, column: str):
+    return arrow_digests(spark)[1](column)
 
 
 def q_delivery_files(spark, sf):
@@ -400,11 +402,11 @@ def q_delivery_files(spark, sf):
         "*", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")
     )
     earlier = Window.partitionBy("rank").orderBy("file").rowsBetween(Window.unboundedPreceding, -1)  # a row a file
-    files = rows.groupBy("rank", "file").agg(F.count("*").alias("n"))
+    files = materialize(rows.groupBy("rank", "file").agg(F.count("*").alias("n")), "delivery-heads")
     heads = files.select("rank", "file", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("head"))
-    return rows.join(heads, ["rank", "file"]).select(
+    return rows.join(broadcast_if_small(heads), ["rank", "file"]).select(
         "rank", (F.col("head") + F.col("row")).cast("long").alias("place"), "worker", "batch_id", "n_samples",
-        _batch_digest("input_ids").alias("batch_md5"), _batch_digest("labels").alias("labels_md5"),
+        _batch_digest(spark, "input_ids").alias("batch_md5"), _batch_digest(spark, "labels").alias("labels_md5"),
     )
 
 
@@ -413,7 +415,7 @@ def q_delivery_resume(spark, sf):
     path = _delivery(spark, sf)
     streams = [read_rank(spark, path, r, P.RESUME_SLOT) for r in range(P.WORLD)]
     return reduce(DataFrame.unionByName, streams).select(
-        "rank", "slot", "delivery", "worker", "batch_id", _batch_digest("input_ids").alias("batch_md5")
+        "rank", "slot", "delivery", "worker", "batch_id", _batch_digest(spark, "input_ids").alias("batch_md5")
     )
 
 

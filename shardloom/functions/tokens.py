@@ -2,12 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+import hashlib
+
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+from shardloom.session import ship_package
+
 # --- fixed values ------------------------------------------------------------
 #: Label value ignored by the loss.
 IGNORE_INDEX = -100
+#: Ids from -LOW to TOP - 1 (all code points) have their text in a table of at most 16 MB a worker.
+LOW, TOP = 128, (1 << 21) - 128
 # ---------------------------------------------------------------------------
 
 
@@ -78,3 +86,61 @@ def wide_ids(ids: str | Column) -> Column:
 def ids_digest(ids: str | Column) -> Column:
     """md5 of the comma-joined ids: a compact, format-free array fingerprint."""
     return F.md5(F.array_join(_c(ids), ","))
+
+
+_TEXTS: list = [None]  # of a worker: "<id>," of the ids from -LOW on, eight bytes each, padded with zero bytes
+
+
+def _id_texts(top: int):
+    """The table of id texts, at least up to ``top``."""
+    import numpy as np
+
+    if _TEXTS[0] is None or len(_TEXTS[0]) <= top + LOW:
+        size = 1 << max(16, (top + LOW).bit_length())
+        _TEXTS[0] = np.array([b"%d," % i for i in range(-LOW, size - LOW)], "S8").view("<u8")
+    return _TEXTS[0]
+
+
+def _md5s(lists) -> list[str | None]:
+    """``ids_digest`` of every list of an Arrow array of integer lists."""
+    if not len(lists):
+        return []
+    offsets, valid = lists.offsets.to_numpy(), lists.is_valid().to_numpy(zero_copy_only=False)
+    texts, ids = None, None
+    held = lists.values.slice(offsets[0], offsets[-1] - offsets[0])
+    if not held.null_count and len(held):
+        least, most = pc.min_max(held).as_py().values()
+        if least >= -LOW and most < TOP:
+            ids, texts = held.to_numpy(), _id_texts(most)
+    out: list[str | None] = []
+    for i in range(len(lists)):
+        if not valid[i]:
+            out.append(None)
+            continue
+        if ids is not None:
+            own = ids[offsets[i] - offsets[0] : offsets[i + 1] - offsets[0]]
+            text = texts[own + LOW].tobytes().translate(None, b"\0")[:-1]
+        else:  # null ids, which array_join leaves out, and ids beyond the table
+            text = ",".join(str(v) for v in lists[i].as_py() if v is not None).encode()
+        out.append(hashlib.md5(text).hexdigest())
+    return out
+
+
+def _digest_lists(lists: pa.Array) -> pa.Array:
+    return pa.array(_md5s(lists), pa.string())
+
+
+def _digest_nested(batches: pa.Array) -> pa.Array:
+    out = []
+    for i in range(len(batches)):
+        found = _md5s(batches[i].values) if batches[i].is_valid else None
+        out.append(None if found is None else hashlib.md5(",".join(x for x in found if x is not None).encode()).hexdigest())
+    return pa.array(out, pa.string())
+
+
+def arrow_digests(spark: SparkSession):
+    """(digest of an id array, digest of an array of id arrays) as functions of a
+    column: ``ids_digest``, and the same of the comma-joined digests, in Arrow batches
+    (the texts of ids come from a table instead of being formatted one by one)."""
+    ship_package(spark)
+    return F.arrow_udf(_digest_lists, "string"), F.arrow_udf(_digest_nested, "string")
