@@ -160,12 +160,17 @@ def stack_batches(
     return gather_batches(assign_batches(samples, batch_size).repartition(*keys), keys, ids, labels)
 
 
-def gather_batches(rows: DataFrame, keys: list[str], ids: str = "input_ids", labels: str = "labels") -> DataFrame:
+def gather_batches(
+    rows: DataFrame, keys: list[str], ids: str = "input_ids", labels: str = "labels", sort_by: list[str] | None = None
+) -> DataFrame:
     """Samples that agree in ``keys`` (those of one batch) stacked in ``seq`` order.
-    Masked runs, where samples carry them, are shipped in place of labels."""
+    Masked runs, where samples carry them, are shipped in place of labels; ``sort_by``
+    sorts the batches of a task, before their arrays are widened."""
     runs = "masked" in rows.columns
     held = rows.select(*keys, F.struct("seq", ids, "masked" if runs else labels).alias("_sl_sample"))
     gathered = held.groupBy(*keys).agg(F.sort_array(F.collect_list("_sl_sample")).alias("_s"))
+    if sort_by:
+        gathered = gathered.sortWithinPartitions(*sort_by)
     return gathered.select(
         *keys,
         F.size("_s").alias("n_samples"),

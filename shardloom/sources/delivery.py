@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from shardloom.operators.feed import assign_batches, delivery_order, gather_batches, split_ranks
+from shardloom.session import materialize
 
 
 def placed_samples(samples: DataFrame, counts: DataFrame, batch_size: int, world_size: int, per_file: int) -> DataFrame:
@@ -46,16 +47,16 @@ def write_delivery(samples: DataFrame, counts: DataFrame, path: str, *, batch_si
     rows = placed_samples(samples, counts, batch_size, world_size, per_file)
     # Grouping keys contain the exchange's, so stacking needs no second exchange.
     keys = ["rank", "part", "slot", "delivery", "worker", "batch_id"]
-    batches = gather_batches(rows.repartition("rank", "part"), keys)
-    batches.sortWithinPartitions("rank", "part", "slot").write.partitionBy("rank", "part").parquet(f"{path}/batches")
+    batches = gather_batches(rows.repartition("rank", "part"), keys, sort_by=["rank", "part", "slot"])
+    batches.write.partitionBy("rank", "part").parquet(f"{path}/batches")
 
     total = int(counts.agg(F.sum("n")).first()[0] or 0)
-    held = _files(spark, path).groupBy("rank", "part").agg(
+    held = materialize(_files(spark, path).groupBy("rank", "part").agg(
         F.count("*").alias("n_batches"),
         F.min("slot").alias("first_slot"),
         F.max("slot").alias("last_slot"),
         F.min("delivery").alias("first_delivery"),
-    )
+    ), "delivery-held")  # the files are read once for the check and the index
     index = held.select(
         "rank", "part", "n_batches", "first_slot", "last_slot", "first_delivery",
         F.lit(int(world_size)).alias("world_size"), F.lit(int(per_file)).alias("per_file"), F.lit(total).cast("long").alias("total"),
