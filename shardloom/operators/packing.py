@@ -23,7 +23,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shardloom.functions.tokens import labels_from_mask, labels_from_runs
+from shardloom.functions.tokens import PACKED, arrays_from_packed, labels_from_mask, labels_from_runs
 from shardloom.operators.ordering import join_on_keys, ordinal, running_total
 from shardloom.operators.streams import PLACE, joined_runs, place_offsets
 
@@ -58,27 +58,34 @@ def _with_stream_offset(tok, group_cols, order_cols, length, payload) -> DataFra
 def pack_stream(tok: DataFrame, group_cols: Sequence[str], block_size: int, mask: str = "n_masked") -> DataFrame:
     """A6 of a table in stream order: (group..., chunk, input_ids, masked, n_tokens),
     tail kept, as pieces.  Neighbouring rows are joined where they are read; a block
-    that two tasks share is left in pieces for ``whole_blocks``."""
+    that two tasks share is left in pieces for ``whole_blocks``.  Stored ``PACKED`` ids
+    stay packed."""
     rows = place_offsets(tok, group_cols, "length", _OFF)
     runs = F.when(F.col(mask) > 0, F.array(F.lit(0), F.col(mask).cast("int"))).otherwise(F.array().cast("array<int>"))
-    return joined_runs(rows.where("length > 0").select(*group_cols, F.col(_OFF).alias("pos"), "input_ids", runs.alias("masked")), group_cols, block_size)
+    ids = PACKED if PACKED in tok.columns else "input_ids"
+    return joined_runs(rows.where("length > 0").select(*group_cols, F.col(_OFF).alias("pos"), ids, runs.alias("masked")), group_cols, block_size)
 
 
 def whole_blocks(pieces: DataFrame, group_cols: Sequence[str], block_size: int, *, keep_tail: bool, labels: str | None = "labels") -> DataFrame:
     """Blocks of ``joined_runs``' pieces: whole ones pass, the few parts of a shared
-    block meet by one exchange.  ``labels`` is derived from the masked runs."""
-    keys = [*group_cols, "chunk"]
+    block meet by one exchange.  ``labels`` is derived from the masked runs, and
+    ``input_ids`` from ``PACKED`` ids, by readers that select them."""
+    keys, packed = [*group_cols, "chunk"], PACKED in pieces.columns
+    ids = PACKED if packed else "input_ids"
     whole = F.col("n_tokens") == int(block_size)
     parts = pieces.where(~whole).groupBy(*keys).agg(
-        F.sort_array(F.collect_list(F.struct("pos", "n_tokens", "input_ids", "masked"))).alias("_parts")
+        F.sort_array(F.collect_list(F.struct("pos", "n_tokens", ids, "masked"))).alias("_parts")
     )
     at = F.col("_parts")[0]["pos"]
     moved = F.transform(
         "_parts", lambda p: F.transform(p["masked"], lambda x, i: x + F.when(i % 2 == 0, (p["pos"] - at).cast("int")).otherwise(0))
     )
     n = F.aggregate("_parts.n_tokens", F.lit(0), lambda a, x: a + x)
-    parts = parts.select(*keys, F.flatten("_parts.input_ids").alias("input_ids"), F.flatten(moved).alias("masked"), n.alias("n_tokens"))
-    blocks = pieces.where(whole).select(*keys, "input_ids", "masked", "n_tokens").unionByName(parts if keep_tail else parts.where(whole))
+    joined = F.expr(f"aggregate(_parts.{ids}, X'', (a, x) -> concat(a, x))") if packed else F.flatten("_parts.input_ids")
+    parts = parts.select(*keys, joined.alias(ids), F.flatten(moved).alias("masked"), n.alias("n_tokens"))
+    blocks = pieces.where(whole).select(*keys, ids, "masked", "n_tokens").unionByName(parts if keep_tail else parts.where(whole))
+    if packed:
+        blocks = blocks.withColumn("input_ids", arrays_from_packed(blocks.sparkSession))
     return blocks.withColumn(labels, labels_from_runs("input_ids", "masked")) if labels else blocks
 
 
@@ -219,7 +226,8 @@ def cut_windows(
     require_blocks(shards, int(block_size), group_cols, order_col, ids)
     if "masked" in shards.columns and ids == "input_ids" and order_col == "chunk":
         pos = (F.col(order_col).cast("long") * int(block_size)).alias("pos")
-        pieces = joined_runs(shards.select(*group_cols, pos, ids, "masked"), group_cols, int(chunk_size))
+        held = PACKED if PACKED in shards.columns else ids
+        pieces = joined_runs(shards.select(*group_cols, pos, held, "masked"), group_cols, int(chunk_size))
         return whole_blocks(pieces, group_cols, int(chunk_size), keep_tail=False, labels=labels)
     payload = [ids] + ([labels] if labels else [])
     rows = shards.select(

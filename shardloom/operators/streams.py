@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shardloom.functions.tokenizer import joined_sides
+from shardloom.functions.tokens import PACKED, packed_ids
 from shardloom.operators.ordering import broadcast_if_small, join_on_keys
 from shardloom.session import ship_package
 
@@ -77,24 +78,34 @@ def with_place(tok: DataFrame, group_cols: Sequence[str], order_cols: Sequence[s
 
 def tokens_in_place(
     prompts: DataFrame, tokenizer, keys: Sequence[str], group_cols: Sequence[str], order_cols: Sequence[str], max_len: int | None,
-    *, src: str = "inputs", tgt: str = "outputs",
+    *, src: str = "inputs", tgt: str = "outputs", packed: bool = False,
 ) -> DataFrame:
     """(keys..., input_ids, length, n_masked) of prompts in stream order, with ``PLACE``:
-    ``tokenize`` and ``with_place`` in one Python pass, so ids leave Python once."""
+    ``tokenize`` and ``with_place`` in one Python pass, so ids leave Python once.
+    ``packed`` gives them as ``PACKED`` in place of an array."""
     spark = prompts.sparkSession
     ship_package(spark)
     keys, groups, orders = list(keys), list(group_cols), list(order_cols)
     encode = tokenizer.sides_encoder(spark, keys, src, tgt)
-    ids = T.StructField("input_ids", T.ArrayType(T.IntegerType(), False))
+    ids = T.StructField(PACKED, T.BinaryType()) if packed else T.StructField("input_ids", T.ArrayType(T.IntegerType(), False))
     counts = T._parse_datatype_string("length int, n_masked int").fields
     schema = T.StructType([*(prompts.schema[k] for k in keys), ids, *counts, *_place_fields()])
 
     def run(batches: Iterator) -> Iterator:
-        return _placed((joined_sides(b, keys) for b in encode(batches)), groups, orders, max_len)
+        joined = (joined_sides(b, keys) for b in encode(batches))
+        return _placed(map(_with_packed, joined) if packed else joined, groups, orders, max_len)
 
     return prompts.select(*keys, src, tgt).mapInArrow(run, schema)
 
 
+def _with_packed(batch):
+    """An Arrow batch with ``PACKED`` in place of ``input_ids``."""
+    at, lists = batch.schema.get_field_index("input_ids"), batch.column("input_ids")
+    ends = lists.offsets.to_numpy()
+    flat = lists.values.to_numpy(zero_copy_only=False)[ends[0] : ends[-1]]
+    return batch.set_column(at, PACKED, packed_ids(flat, ends - ends[0], lists.is_null() if lists.null_count else None))
+
+
 def place_offsets(tok: DataFrame, group_cols: Sequence[str], length: str, out: str) -> DataFrame:
     """``out``: tokens of the group before the row.  Rows that tie fail the job."""
     group_cols = list(group_cols)
@@ -119,8 +130,8 @@ class _Run:
         self.ids.append(ids)
         self.end += len(ids)
 
-    def cut(self, block: int, last: bool):
-        """Arrow columns (chunk, pos, input_ids, masked, n_tokens) of the blocks that
+    def cut(self, block: int, last: bool, packed: bool = False):
+        """Arrow columns (chunk, pos, ids, masked, n_tokens) of the blocks that
         are whole, and with ``last`` of the rest; the rest stays."""
         import numpy as np
         import pyarrow as pa
@@ -144,7 +155,10 @@ class _Run:
                 later.append((at, n))
         self.masked, start = later, self.pos
         self.pos = stop
-        lists = pa.ListArray.from_arrays(pa.array((edges - start).astype(np.int32)), pa.array(flat[:kept], pa.int32()))
+        if packed:
+            lists = packed_ids(flat[:kept], edges - start)
+        else:
+            lists = pa.ListArray.from_arrays(pa.array((edges - start).astype(np.int32)), pa.array(flat[:kept], pa.int32()))
         return [
             pa.array(edges[:-1] // block), pa.array(edges[:-1]), lists,
             pa.array(pairs, pa.list_(pa.int32())), pa.array(np.diff(edges).astype(np.int32)),
@@ -153,40 +167,47 @@ class _Run:
 
 def joined_runs(rows: DataFrame, group_cols: Sequence[str], block_size: int) -> DataFrame:
     """(group..., pos, input_ids, masked) -> pieces (group..., chunk, pos, input_ids,
-    masked, n_tokens) that lie in one block of ``block_size`` each."""
+    masked, n_tokens) that lie in one block of ``block_size`` each.  Rows with ``PACKED``
+    give pieces with ``PACKED``, in place of ``input_ids``."""
     if block_size <= 0:
         raise ValueError("the block size must be positive")
     ship_package(rows.sparkSession)
     groups, block = list(group_cols), int(block_size)
-    cols = "chunk long, pos long, input_ids array<int>, masked array<int>, n_tokens int"
+    packed = PACKED in rows.columns
+    held = PACKED if packed else "input_ids"
+    cols = f"chunk long, pos long, {held} {'binary' if packed else 'array<int>'}, masked array<int>, n_tokens int"
     schema = T.StructType([*(rows.schema[c] for c in groups), *T._parse_datatype_string(cols).fields])
 
     def run(batches: Iterator) -> Iterator:
+        import numpy as np
         import pyarrow as pa
 
-        names = [*groups, "chunk", "pos", "input_ids", "masked", "n_tokens"]
+        names = [*groups, "chunk", "pos", held, "masked", "n_tokens"]
         types = None
         run = None
 
         def give(last):
-            columns = run.cut(block, last) if run else None
+            columns = run.cut(block, last, packed) if run else None
             if columns:
                 keys = [pa.array([k] * len(columns[0]), t) for k, t in zip(run.key, types)]
                 yield pa.RecordBatch.from_arrays([*keys, *columns], names=names)
 
         for batch in batches:
             types = [batch.schema.field(c).type for c in groups]
-            ids, masked = batch.column("input_ids"), batch.column("masked")
-            ids_off, ids_val = ids.offsets.to_numpy(), ids.values.to_numpy(zero_copy_only=False)
+            ids, masked = batch.column(held), batch.column("masked")
+            if packed:
+                own = [np.frombuffer(x or b"", "<i4") for x in ids.to_pylist()]  # copies, as the batch goes
+            else:
+                ids_off, ids_val = ids.offsets.to_numpy(), ids.values.to_numpy(zero_copy_only=False)
             m_off, m_val = masked.offsets.to_numpy(), masked.values.to_numpy(zero_copy_only=False)
             keys = zip(*(batch.column(c).to_pylist() for c in groups))
             for i, (key, pos) in enumerate(zip(keys, batch.column("pos").to_pylist())):
                 if run is None or key != run.key or pos != run.end:
                     yield from give(True)
                     run = _Run(key, pos)
-                run.add(ids_val[ids_off[i] : ids_off[i + 1]].copy(), m_val[m_off[i] : m_off[i + 1]].tolist())
+                run.add(own[i] if packed else ids_val[ids_off[i] : ids_off[i + 1]].copy(), m_val[m_off[i] : m_off[i + 1]].tolist())
                 if run.end - run.pos >= HELD:
                     yield from give(False)
         yield from give(True)
 
-    return rows.select(*groups, "pos", "input_ids", "masked").mapInArrow(run, schema)
+    return rows.select(*groups, "pos", held, "masked").mapInArrow(run, schema)

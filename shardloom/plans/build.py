@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from shardloom.functions.templates import chat_prompts
 from shardloom.functions.text import SECTION_COLUMNS, with_patent_text
 from shardloom.functions.tokenizer import CodePointTokenizer, length_filter, tokenize
-from shardloom.functions.tokens import labels_from_mask, labels_from_runs, narrow_ids, seq_length
+from shardloom.functions.tokens import PACKED, PACKED_CODEC, arrays_from_packed, labels_from_mask, labels_from_runs, narrow_ids, seq_length
 from shardloom.operators.limits import sample_limit
 from shardloom.operators.packing import pack_blocks, pack_stream, whole_blocks
 from shardloom.operators.streams import PLACE, in_stream_order, tokens_in_place, with_place
@@ -81,8 +81,9 @@ def materialized_tokens(corpus: DataFrame, spec: BuildSpec, tokenizer=None) -> D
     """Token table written once to the shared folder, so the reads of packing
     (narrow offsets, wide payload) do not re-tokenise.
 
-    Stored compactly: ids and the masked-prefix length; ``labels`` is a
-    derived column, computed only by readers that select it.
+    Stored compactly: ids, four bytes each in one binary value a row, and the
+    masked-prefix length; ``input_ids`` and ``labels`` are derived columns, computed
+    only by readers that select them.
 
     The texts are dealt by ranges of (shard, order) and stored in stream order with
     each row's place (``operators.streams``): packing joins neighbours where it reads
@@ -94,10 +95,12 @@ def materialized_tokens(corpus: DataFrame, spec: BuildSpec, tokenizer=None) -> D
     prompts, keys = prompt_table(corpus, spec, in_order=True), ("doc_id", "shard")
     tokenizer = tokenizer or CodePointTokenizer()
     if hasattr(tokenizer, "sides_encoder"):
-        tok = tokens_in_place(prompts, tokenizer, keys, group, order, spec.max_len)
+        tok = tokens_in_place(prompts, tokenizer, keys, group, order, spec.max_len, packed=True)
     else:
         tok = with_place(tokenize(prompts, tokenizer, keys=keys, max_len=None).drop("labels"), group, order, spec.max_len)
-    stored = length_filter(materialize(tok, "tokens"), spec.max_len)
+    stored = length_filter(materialize(tok, "tokens", PACKED_CODEC), spec.max_len)
+    if PACKED in stored.columns:
+        stored = stored.withColumn("input_ids", arrays_from_packed(stored.sparkSession))
     return stored.withColumn("labels", labels_from_mask("input_ids", "n_masked"))
 
 
@@ -108,7 +111,7 @@ def packed_shards(tokens: DataFrame, spec: BuildSpec, *, keep_tail: bool = True)
     Tokens stored in stream order are packed without a shuffle of ids; the blocks are
     written here, their labels as masked runs, and ``labels`` is derived by readers."""
     if set(PLACE) <= set(tokens.columns):
-        pieces = materialize(pack_stream(tokens, ["shard"], spec.block_size), "shards")
+        pieces = materialize(pack_stream(tokens, ["shard"], spec.block_size), "shards", PACKED_CODEC)
         return whole_blocks(pieces, ["shard"], spec.block_size, keep_tail=keep_tail)
     mask = "n_masked" if "n_masked" in tokens.columns else None
     blocks = pack_blocks(tokens, ["shard"], list(spec.order_cols), spec.block_size, keep_tail=keep_tail, mask=mask)
@@ -124,8 +127,8 @@ def write_shards(blocks: DataFrame, path: str, mode: str = "overwrite") -> None:
     if "n_tokens" not in blocks.columns:
         blocks = blocks.withColumn("n_tokens", F.size("input_ids"))
     # masked runs cross the exchange in place of labels
-    payload = [c for c in blocks.columns if c != ("labels" if "masked" in blocks.columns else "masked")]
-    columns = [c for c in blocks.columns if c != "masked"]
+    payload = [c for c in blocks.columns if c not in ("labels" if "masked" in blocks.columns else "masked", PACKED)]
+    columns = [c for c in blocks.columns if c not in ("masked", PACKED)]
     (
         blocks.select(*payload)
         # Contiguous (shard, chunk) ranges: about one file per task, and a
@@ -144,7 +147,7 @@ def build_shards(corpus: DataFrame, spec: BuildSpec, path: str, tokenizer=None)
     blocks = packed_shards(materialized_tokens(corpus, spec, tokenizer), spec)
     write_shards(blocks, path)
     # the schema is given, so a build without rows reads as an empty table
-    return corpus.sparkSession.read.schema(blocks.drop("masked").schema).parquet(path)
+    return corpus.sparkSession.read.schema(blocks.drop("masked", PACKED).schema).parquet(path)
 
 
 def build_splits(

@@ -108,7 +108,7 @@ def ship_package(spark: SparkSession) -> None:
     _SHIPPED.add(app)
 
 
-def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+def materialize(df: DataFrame, name: str = "stage", compression: str | None = None) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back.
 
     This cuts lineage (a lost executor re-reads files instead of re-running
@@ -116,6 +116,6 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").parquet(path, compression=compression)
     return spark.read.parquet(path)
 
