@@ -324,7 +324,8 @@ def q_shard_shuffle(spark, sf):
 
 
 def q_chunk_shuffle(spark, sf):
-    ranked = feed.order_chunks(_chunks(spark, sf).select("shard", "chunk"), shuffle=True, seed=P.SEED, epoch=P.EPOCH)
+    keys = materialize(_chunks(spark, sf).select("shard", "chunk"), "chunk-keys")  # the windows are cut once
+    ranked = feed.order_chunks(keys, shuffle=True, seed=P.SEED, epoch=P.EPOCH)
     return ranked.select("shard", "chunk", "chunk_rank")
 
 
