@@ -120,21 +120,24 @@ def packed_shards(tokens: DataFrame, spec: BuildSpec, *, keep_tail: bool = True)
     return stored.withColumn("n_tokens", seq_length("input_ids"))
 
 
-def write_shards(blocks: DataFrame, path: str, mode: str = "overwrite") -> None:
+def write_shards(blocks: DataFrame, path: str, mode: str = "overwrite", *, in_order: bool = False) -> None:
     """Parquet partitioned by shard; dynamic overwrite makes a window
-    re-runnable without touching the others."""
+    re-runnable without touching the others.  ``in_order``: each task reads a few
+    contiguous ranges already (``packed_shards`` of tokens in stream order), so the
+    blocks are written where they are read."""
     n = int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     if "n_tokens" not in blocks.columns:
         blocks = blocks.withColumn("n_tokens", F.size("input_ids"))
     # masked runs cross the exchange in place of labels
     payload = [c for c in blocks.columns if c not in ("labels" if "masked" in blocks.columns else "masked", PACKED)]
     columns = [c for c in blocks.columns if c not in ("masked", PACKED)]
-    (
-        blocks.select(*payload)
+    rows = blocks.select(*payload)
+    if not in_order:
         # Contiguous (shard, chunk) ranges: about one file per task, and a
         # hot shard is still split over many tasks.
-        .repartitionByRange(n, "shard", "chunk")
-        .sortWithinPartitions("shard", "chunk")
+        rows = rows.repartitionByRange(n, "shard", "chunk")
+    (
+        rows.sortWithinPartitions("shard", "chunk")
         .select(*(labels_from_runs("input_ids", "masked").alias(c) if c == "labels" and c not in payload else c for c in columns))
         .write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")
@@ -145,7 +148,7 @@ def write_shards(blocks: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 def build_shards(corpus: DataFrame, spec: BuildSpec, path: str, tokenizer=None) -> DataFrame:
     blocks = packed_shards(materialized_tokens(corpus, spec, tokenizer), spec)
-    write_shards(blocks, path)
+    write_shards(blocks, path, in_order="masked" in blocks.columns)
     # the schema is given, so a build without rows reads as an empty table
     return corpus.sparkSession.read.schema(blocks.drop("masked", PACKED).schema).parquet(path)
 
