@@ -15,8 +15,9 @@ same weights on their own documents and the weights are averaged (weighted by
 tokens), ``ROUNDS`` times.  Every token of every training document is learned from
 once, at any size: a hash of the text deals the documents over the rounds.
 
-Texts are split and looked up once for both: the token ids of every document, two
-bytes each, are written to the shared folder with its counts, then trained on and scored.
+Texts are split twice, to count and to look up, in Arrow and ``TOGETHER`` bytes at a
+time: the token ids of every document, two bytes each, are written to the shared folder
+with its counts, then trained on and scored.
 
 Scoring carries the state across windows, so a document's log-likelihood is
 that of the whole text whatever its length; many documents are scored side by
@@ -34,13 +35,14 @@ from __future__ import annotations
 import math
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from heapq import heapreplace
-from itertools import repeat
+from itertools import pairwise, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -60,7 +62,7 @@ RATE = 0.25
 MEANS = 64  # weights that one task averages
 DICTIONARY = 300_000
 WORD_BYTES = 64  # longer words are joined, not looked up
-FLUSH = 400_000
+TOGETHER = 4 << 20  # bytes of text that are split and looked up in one go
 ID = np.dtype("<u2")  # stored token ids: own words, RARE classes and the start
 END = b"\n"  # no word holds white space
 SEED = 7
@@ -75,21 +77,39 @@ def rare_class(word: bytes) -> int:
     return zlib.crc32(word[-SUFFIX:]) % RARE
 
 
-# ------------------------------------------------------------- counts
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    def rows(c: Counter) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(c.keys(), pa.binary()), pa.array(c.values(), pa.int64())], names=["word", "n"])
+def split(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of ``tokens`` of many texts one after another, without the ends,
+    and how many each text has."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    words, cuts = lists.flatten().cast(pa.binary()), lists.offsets.to_numpy().astype(np.int64)
+    held = pc.binary_length(words).to_numpy() > 0  # blanks at an end leave an empty word
+    if held.all():
+        return words, np.diff(cuts)
+    before = np.concatenate([[0], np.cumsum(held)])
+    return words.filter(pa.array(held)), np.diff(before[cuts])
+
 
-    seen: Counter = Counter()
+def _parts(batches: Iterator[pa.RecordBatch], at: int) -> Iterator[pa.RecordBatch]:
+    """Batches cut and joined to about ``TOGETHER`` bytes of the text in column ``at``."""
+    held, size = [], 0
     for batch in batches:
-        for part in small_batches(batch, 0):
-            for text in part.column(0).to_pylist():
-                seen.update(tokens(text))
-                if len(seen) > FLUSH:
-                    yield rows(seen)
-                    seen.clear()
-    if seen:
-        yield rows(seen)
+        for part in small_batches(batch, at, TOGETHER):
+            held.append(part)
+            size += pc.sum(pc.binary_length(part.column(at))).as_py() or 0
+            if size >= TOGETHER // 2 or len(held) >= 256:
+                yield pa.concat_batches(held)
+                held, size = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
+# ------------------------------------------------------------- counts
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for part in _parts(batches, 0):
+        counts = split(part.column(0))[0].value_counts()
+        words = pa.concat_arrays([counts.field(0), pa.array([END], pa.binary())])
+        n = pa.concat_arrays([counts.field(1), pa.array([part.num_rows], pa.int64())])
+        yield pa.RecordBatch.from_arrays([words, n], names=["word", "n"])
 
 
 def count_words(texts: DataFrame) -> DataFrame:
@@ -147,20 +167,20 @@ class Lookup:
     """Word -> place in the dictionary and token id of the model."""
 
     def __init__(self, v: Vocabulary):
-        self.v, self.place = v, dict(zip(v.words, range(len(v.words)), strict=True))
+        self.neural, self.words = v.neural, pa.array(v.words, pa.binary())
         self.ids = np.arange(len(v.words), dtype=np.int32)
         if len(v.words) > v.neural:
             rare = np.fromiter(map(rare_class, v.words[v.neural :]), np.int32, len(v.words) - v.neural)
             self.ids[v.neural :] = v.neural + rare
         self.log_count = np.log10(v.counts + 1.0) if len(v.words) else np.zeros(0)
 
-    def __call__(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    def __call__(self, words: list[bytes] | pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(place or -1, token id) of each word."""
-        at = np.fromiter(map(self.place.get, words, repeat(-1)), np.int32, len(words))
-        missing = np.flatnonzero(at < 0)
+        words = pa.array(words, pa.binary()) if isinstance(words, list) else words
+        at = pc.fill_null(pc.index_in(words, value_set=self.words), -1).to_numpy()
         ids = self.ids[at] if len(self.ids) else np.zeros(len(at), np.int32)
-        for i in missing:
-            ids[i] = self.v.neural + rare_class(words[i])
+        gone = np.flatnonzero(at < 0)
+        ids[gone] = [self.neural + rare_class(w) for w in words.take(pa.array(gone)).to_pylist()]
         return at, ids
 
 
@@ -177,6 +197,9 @@ class Network:
         rng, h = np.random.default_rng(SEED), HIDDEN
         k, c = v.neural, v.classes
         self.k, self.c, self.start = k, c, k + RARE
+        ids = np.arange(k + RARE)
+        self.class_of = np.where(ids < k, ids // WIDTH, c + ids - k).astype(np.int16)  # 16 bits: a radix sort
+        self.place_of = np.where(ids < k, ids % WIDTH, 0)
         self.gate = (0.1 * rng.standard_normal((k + RARE + 1, 3 * h))).astype(np.float32)
         self.u = (rng.standard_normal((h, 3 * h)) / math.sqrt(h)).astype(np.float32)
         self.bias = np.zeros(3 * h, np.float32)
@@ -206,89 +229,104 @@ class Network:
         """Run a window.  x: inputs (steps x lanes); fresh: where a document
         starts; h: state before.  Returns all states and the last one; ``keep``
         gets what the way back needs.  Steps write into arrays made once."""
-        n, shape = HIDDEN, x.shape
+        n, (steps, lanes) = HIDDEN, x.shape
         kind = np.result_type(self.u, h)
-        a = self.gate[x]
-        a += self.bias
-        np.negative(a[:, :, : 2 * n], out=a[:, :, : 2 * n])  # a gate is 1 / (1 + exp(-a))
-        u_zr, u_c = -self.u[:, : 2 * n], np.ascontiguousarray(self.u[:, 2 * n :])
-        held = shape[0] if keep is not None else 1
-        zr, rh, c = (np.empty((held, shape[1], k), kind) for k in (2 * n, n, n))
-        out, step = np.empty((*shape, n), kind), np.empty((shape[1], n), kind)
-        any_fresh, first = fresh.any(1), h
-        for t in range(shape[0]):
+        a = self.gate.reshape(-1, n).take((3 * x)[:, None] + np.arange(3)[:, None], 0)  # steps x (z, r, c) x lanes x n: each in one piece
+        a += np.repeat(self.bias.reshape(3, 1, n), lanes, 1)
+        u_zr = np.ascontiguousarray(self.u[:, : 2 * n].reshape(n, 2, n).transpose(1, 0, 2))
+        u_c = np.ascontiguousarray(self.u[:, 2 * n :])
+        held = steps if keep is not None else 1
+        zr, rh, c = np.empty((held, 2, lanes, n), kind), np.empty((held, lanes, n), kind), np.empty((held, lanes, n), kind)
+        out, step = np.empty((steps, lanes, n), kind), np.empty((lanes, n), kind)
+        any_fresh, first = fresh.any(1).tolist(), h
+        matmul, dot, add, multiply, subtract, negative = np.matmul, np.dot, np.add, np.multiply, np.subtract, np.negative
+        exp, tanh, reciprocal = np.exp, np.tanh, np.reciprocal
+        g, k, m = zr[0], rh[0], c[0]
+        for t in range(steps):
             if any_fresh[t]:
                 h = np.where(fresh[t][:, None], kind.type(0), h)
-            at = t if held > 1 else 0
-            g = np.matmul(h, u_zr, out=zr[at])
-            g += a[t, :, : 2 * n]
-            np.exp(g, out=g)
-            g += 1
-            np.reciprocal(g, out=g)
-            np.matmul(np.multiply(g[:, n:], h, out=rh[at]), u_c, out=c[at])
-            c[at] += a[t, :, 2 * n :]
-            np.tanh(c[at], out=c[at])
-            np.subtract(c[at], h, out=step)
-            step *= g[:, :n]
-            h = np.add(h, step, out=out[t])
+            if held > 1:
+                g, k, m = zr[t], rh[t], c[t]
+            now = a[t]
+            matmul(h, u_zr, out=g)
+            add(g, now[:2], out=g)
+            exp(negative(g, out=g), out=g)  # a gate is 1 / (1 + exp(-a))
+            add(g, 1, out=g)
+            reciprocal(g, out=g)
+            dot(multiply(g[1], h, out=k), u_c, out=m)
+            add(m, now[2], out=m)
+            tanh(m, out=m)
+            subtract(m, h, out=step)
+            multiply(step, g[0], out=step)
+            h = add(h, step, out=out[t])
         if keep is not None:
             before = np.concatenate([first[None], out[:-1]])
             before[fresh] = 0
-            keep.update(before=before, z=zr[:, :, :n], r=zr[:, :, n:], rh=rh, c=c)
+            keep.update(before=before, z=zr[:, 0], r=zr[:, 1], rh=rh, c=c)
         return out, h
 
-    def class_of(self, y: np.ndarray) -> np.ndarray:
-        return np.where(y < self.k, y // WIDTH, self.c + y - self.k)
-
     def log_probs(self, s: np.ndarray, y: np.ndarray, grads: dict | None = None) -> np.ndarray:
         """Natural log P(token id) for states s (m x h); a rare id's is that of
         its class.  With ``grads``, also gradients of the summed loss, and ``ds``."""
-        order = np.argsort(cls := self.class_of(y).astype(np.int16), kind="stable")  # 16 bits: a radix sort
-        s, y, cls = s[order], y[order], cls[order]
+        order = np.argsort(cls := self.class_of.take(y), kind="stable")
+        s, y, cls = s.take(order, 0), y.take(order), cls.take(order)
         cuts = np.searchsorted(cls, np.arange(self.c + 1))
-        out, p = _softmax(s @ self.wc + self.bc, cls, grads is not None)
+        out, p = _softmax(lambda: np.add(logit := s @ self.wc, self.bc, out=logit), cls, grads is not None)
         if grads is not None:
-            grads["wc"], grads["bc"] = s.T @ p, p.sum(0)
+            grads["wc"], grads["bc"] = s.T @ p, np.einsum("ij->j", p)
             ds = p @ self.wc.T
             grads["ww"], grads["bw"] = np.zeros_like(self.ww), np.zeros_like(self.bw)
         held, own = np.flatnonzero(np.diff(cuts)), int(cuts[-1])  # classes that occur; rows of own words, by class
         if own:
-            logit = np.empty((own, WIDTH), np.result_type(s, self.ww))
-            for c in held:
-                np.matmul(s[cuts[c] : cuts[c + 1]], self.ww[c], out=logit[cuts[c] : cuts[c + 1]])
-            logit += self.bw[cls[:own]]
-            more, p = _softmax(logit, y[:own] - cls[:own].astype(np.int32) * WIDTH, grads is not None)
+            parts = [(c, s[a:b], slice(a, b)) for c, a, b in zip(held.tolist(), cuts[held].tolist(), cuts[held + 1].tolist(), strict=True)]
+            dot, ww = np.dot, [*self.ww]
+
+            def logits() -> np.ndarray:
+                logit = np.empty((own, WIDTH), np.result_type(s, self.ww))
+                for c, rows, at in parts:
+                    dot(rows, ww[c], out=logit[at])
+                logit += self.bw.take(cls[:own], 0)
+                return logit
+
+            more, p = _softmax(logits, self.place_of.take(y[:own]), grads is not None)
             out[:own] += more
         if own and grads is not None:
             grads["bw"][held] = np.add.reduceat(p, cuts[held])
-            for c in held:
-                at = slice(cuts[c], cuts[c + 1])
-                grads["ww"][c] = s[at].T @ p[at]
-                ds[at] += p[at] @ self.ww[c].T
+            back, ww_t, to_ww = np.empty((own, HIDDEN), p.dtype), [*self.ww.transpose(0, 2, 1)], [*grads["ww"]]
+            for c, rows, at in parts:
+                dot(rows.T, q := p[at], out=to_ww[c])
+                dot(q, ww_t[c], out=back[at])
+            ds[:own] += back
         back = np.empty_like(order)
         back[order] = np.arange(len(order))
         if grads is not None:
-            grads["ds"] = ds[back]
-        return out[back]
+            grads["ds"] = ds.take(back, 0)
+        return out.take(back)
 
 
-def _softmax(logit: np.ndarray, at: np.ndarray, slope: bool) -> tuple[np.ndarray, np.ndarray | None]:
-    """log softmax at one place of each row, and (if asked) softmax minus one-hot."""
-    rows = np.arange(len(at))
-    own = logit[rows, at]
+def _softmax(logits: Callable[[], np.ndarray], at: np.ndarray, slope: bool) -> tuple[np.ndarray, np.ndarray | None]:
+    """log softmax at one place of each row, and (if asked) softmax minus one-hot.
+    ``logits`` makes an array that is written over."""
+    p = logits()
+    flat = np.arange(0, p.size, p.shape[1])
+    flat += at
+    own = p.take(flat)
     with np.errstate(over="ignore"):
-        p = np.exp(logit)
+        np.exp(p, out=p)
     ones = np.ones(p.shape[1], p.dtype)
     total = p @ ones
     if not (np.isfinite(total).all() and total.all()):  # rare: large logits
-        top = logit.max(1)
-        own, p = own - top, np.exp(logit - top[:, None])
+        p = logits()
+        top = p.max(1)
+        own = own - top
+        p -= top[:, None]
+        np.exp(p, out=p)
         total = p @ ones
     out = own - np.log(total)
     if not slope:
         return out, None
     p /= total[:, None]
-    p[rows, at] -= 1
+    p.reshape(-1)[flat] -= 1
     return out, p
 
 
@@ -299,10 +337,23 @@ class Trainer:
         self.net = net
         self.sq = {n: np.full_like(getattr(net, n), 1e-3) for n in net.NAMES}
 
-    def _step(self, name: str, grad: np.ndarray, rows=slice(None)) -> None:
-        sq = self.sq[name]
-        sq[rows] += grad * grad
-        getattr(self.net, name)[rows] -= RATE * grad / np.sqrt(sq[rows])
+    def _step(self, name: str, grad: np.ndarray, rows: np.ndarray | None = None) -> None:
+        """A step of all weights of a name or of some rows; ``grad`` is written over."""
+        w, sq = getattr(self.net, name), self.sq[name]
+        root = grad * grad
+        if rows is None:
+            sq += root
+            np.sqrt(sq, out=root)
+        else:
+            root += sq.take(rows, 0)
+            sq[rows] = root
+            np.sqrt(root, out=root)
+        grad *= RATE
+        grad /= root
+        if rows is None:
+            w -= grad
+        else:
+            w[rows] = w.take(rows, 0) - grad
 
     def window(self, x: np.ndarray, y: np.ndarray, fresh: np.ndarray, h: np.ndarray, real: np.ndarray | None = None) -> np.ndarray:
         """One step on a window.  ``real``: where it holds tokens, if not everywhere;
@@ -321,34 +372,56 @@ class Trainer:
         scale = np.float32(1.0 / size)
         u_zr, u_c = np.ascontiguousarray(net.u[:, : 2 * n].T), np.ascontiguousarray(net.u[:, 2 * n :].T)
         before, z, r, rh, c = (keep[k] for k in ("before", "z", "r", "rh", "c"))
-        to_z, to_c, to_r, stay = (c - before) * z * (1 - z), z * (1 - c * c), before * r * (1 - r), 1 - z
-        any_fresh = fresh.any(1)
-        a_zr, a_c = np.empty((*x.shape, 2 * n), states.dtype), np.empty((*x.shape, n), states.dtype)
+        stay, to_z, to_c, to_r = 1 - z, c - before, c * c, before * r
+        to_z *= z
+        to_z *= stay
+        np.subtract(1, to_c, out=to_c)
+        to_c *= z
+        to_r *= 1 - r
+        any_fresh, (steps, lanes) = fresh.any(1).tolist(), x.shape
+        a = np.empty((steps, lanes, 3 * n), states.dtype)
         dh, drh, more = np.zeros_like(last), np.empty_like(last), np.empty_like(last)
-        for t in range(len(x) - 1, -1, -1):
-            d, zr = ds[t], a_zr[t]
-            d += dh
-            np.matmul(np.multiply(d, to_c[t], out=a_c[t]), u_c, out=drh)
-            np.multiply(d, to_z[t], out=zr[:, :n])
-            np.multiply(drh, to_r[t], out=zr[:, n:])
-            np.multiply(d, stay[t], out=dh)
-            drh *= r[t]
-            dh += drh
-            dh += np.matmul(zr, u_zr, out=more)
+        dot, add, multiply = np.dot, np.add, np.multiply
+        for t in range(steps - 1, -1, -1):
+            d, g = ds[t], a[t]
+            add(d, dh, out=d)
+            dot(multiply(d, to_c[t], out=g[:, 2 * n :]), u_c, out=drh)
+            multiply(d, to_z[t], out=g[:, :n])
+            multiply(drh, to_r[t], out=g[:, n : 2 * n])
+            multiply(d, stay[t], out=dh)
+            multiply(drh, r[t], out=drh)
+            add(dh, drh, out=dh)
+            add(dh, dot(g[:, : 2 * n], u_zr, out=more), out=dh)
             if any_fresh[t]:
                 dh[fresh[t]] = 0
-        flat = np.concatenate([a_zr, a_c], 2).reshape(-1, 3 * n)
+        flat = a.reshape(-1, 3 * n)
         du = np.concatenate([before.reshape(-1, n).T @ flat[:, : 2 * n], rh.reshape(-1, n).T @ flat[:, 2 * n :]], 1)
-        order = np.argsort(x.ravel().astype(np.uint16), kind="stable")  # 16 bits: a radix sort
-        ids, first = np.unique(x.ravel()[order], return_index=True)
-        self._step("gate", np.add.reduceat(flat[order], first) * scale, ids)
+        ids = x.ravel().astype(np.uint16)  # 16 bits: a radix sort
+        order = np.argsort(ids, kind="stable")
+        ids = ids.take(order)
+        first = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
+        self._step("gate", _sums(flat, order, first) * scale, ids.take(first))
         self._step("u", du * scale)
-        self._step("bias", flat.sum(0) * scale)
+        self._step("bias", np.einsum("ij->j", flat) * scale)
         for name, grad in grads.items():
-            self._step(name, grad * scale)
+            grad *= scale
+            self._step(name, grad)
         return last
 
 
+def _sums(rows: np.ndarray, order: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Sums of the rows of each id, given their order by id and where ids start in it.
+    Most ids of a window occur once: their rows are copied."""
+    sizes = np.diff(first, append=len(order))
+    often = sizes > 1
+    out = rows.take(order.take(first), 0)
+    if often.any():
+        sizes = sizes[often]
+        held = rows.take(order[np.repeat(often, np.diff(first, append=len(order)))], 0)
+        out[often] = np.add.reduceat(held, np.cumsum(sizes) - sizes)
+    return out
+
+
 def _stream(docs: list[np.ndarray], start: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Targets, inputs and document starts of documents one after another."""
     y = np.concatenate(docs)
@@ -443,19 +516,23 @@ def score_ids(net: Network, docs: list[np.ndarray]) -> np.ndarray:
     held.sort(key=lambda ds: -sum(len(docs[d]) for d in ds))
     sizes = np.array([sum(len(docs[d]) for d in ds) for ds in held])
     length = int(sizes[0])
-    y, x = np.zeros((length, lanes), np.int32), np.zeros((length, lanes), np.int32)
-    fresh, owner = np.zeros((length, lanes), bool), np.zeros((length, lanes), np.int32)
+    y, x = np.zeros((lanes, length), np.int32), np.zeros((lanes, length), np.int32)  # a lane in one piece
+    fresh, owner = np.zeros((lanes, length), bool), np.zeros((lanes, length), np.int32)
     for i, ds in enumerate(held):
-        y[: sizes[i], i], x[: sizes[i], i], fresh[: sizes[i], i] = _stream([docs[d] for d in ds], net.start)
-        owner[: sizes[i], i] = np.repeat(ds, [len(docs[d]) for d in ds])
+        y[i, : sizes[i]], x[i, : sizes[i]], fresh[i, : sizes[i]] = _stream([docs[d] for d in ds], net.start)
+        owner[i, : sizes[i]] = np.repeat(ds, [len(docs[d]) for d in ds])
     total, h = np.zeros(len(docs)), np.zeros((lanes, HIDDEN), np.float32)
     for t in range(0, length, SCORE_STEPS):
         n = int(np.searchsorted(-sizes, -t, "left"))  # lanes longer than t
         stop = min(length, t + SCORE_STEPS)
-        states, h = net.states(x[t:stop, :n], fresh[t:stop, :n], h[:n])
-        real = np.arange(t, stop)[:, None] < sizes[None, :n]
-        logs = net.log_probs(states[real], y[t:stop, :n][real])
-        total += np.bincount(owner[t:stop, :n][real], logs, len(docs))
+        states, h = net.states(x[:n, t:stop].T, fresh[:n, t:stop].T, h[:n])
+        targets, owners = y[:n, t:stop].T, owner[:n, t:stop].T
+        if sizes[n - 1] >= stop:
+            states, targets, owners = states.reshape(-1, HIDDEN), targets.ravel(), owners.ravel()
+        else:
+            real = np.arange(t, stop)[:, None] < sizes[None, :n]
+            states, targets, owners = states[real], targets[real], owners[real]
+        total += np.bincount(owners, net.log_probs(states, targets), len(docs))
     return total / math.log(10)
 
 
@@ -463,28 +540,39 @@ def _look_up(vocab):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = vocab.value
         lookup, log_mass = Lookup(v), np.log10(v.rare_mass)
-        for batch in batches:
-            for part in small_batches(batch, 1):
-                ids, sizes, known, base, extra, ends, rest, times = [], [], [], [], [], [0], [], []
-                for text in part.column(1).to_pylist():
-                    words = tokens(text)
-                    at, own = lookup(words)
-                    here = at[at >= 0]
-                    rare = own >= v.neural
-                    ids.append(own.astype(ID).tobytes())
-                    sizes.append(len(words))
-                    known.append(len(here))
-                    base.append(float(lookup.log_count[here].sum()))
-                    extra.append(float(lookup.log_count[here[here >= v.neural]].sum()) - float(log_mass[own[rare] - v.neural].sum()))
-                    tail = Counter(words[i] for i in np.flatnonzero(at < 0)) if len(here) < len(words) else {}
-                    rest += tail.keys()
-                    times += tail.values()
-                    ends.append(len(rest))
-                tail = pa.StructArray.from_arrays([pa.array(rest, pa.binary()), pa.array(times, pa.int32())], names=["word", "n"])
-                tails = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), tail)
-                cols = [part.column(0), pa.array(ids, pa.binary()), pa.array(sizes, pa.int64()), pa.array(known, pa.int64())]
-                cols += [pa.array(base, pa.float64()), pa.array(extra, pa.float64()), tails]
-                yield pa.RecordBatch.from_arrays(cols, names=["rid", "ids", "n_tokens", "known", "base", "extra", "tail"])
+        end = lookup([END])
+        for part in _parts(batches, 1):
+            words, sizes = split(part.column(1))
+            sizes += 1
+            heads = np.concatenate([[0], np.cumsum(sizes)])
+            inner = np.ones(heads[-1], bool)
+            inner[heads[1:] - 1] = False  # the rest are ends
+            at, own = np.empty(len(inner), np.int32), np.empty(len(inner), np.int32)
+            at[~inner], own[~inner] = end
+            at[inner], own[inner] = lookup(words)
+            held = at >= 0
+            log = np.where(held, lookup.log_count[at], 0.0) if len(v.words) else np.zeros(len(at))
+            rare = own >= v.neural
+            more = np.where(rare, log, 0.0)
+            more[rare] -= log_mass[own[rare] - v.neural]
+            known, base, extra = (np.add.reduceat(c, heads[:-1]) for c in (held.astype(np.int64), log, more))
+            stored = own.astype(ID).tobytes()
+            ids = [stored[a:b] for a, b in pairwise((heads * ID.itemsize).tolist())]
+            ends, rest, times, gone = [0], [], [], np.flatnonzero(~held)
+            tail = words.take(pa.array(np.flatnonzero(~held[inner]))).to_pylist()
+            if end[0][0] < 0:  # the end token is in no dictionary
+                tail = [*map(dict(zip(np.flatnonzero(~held & inner).tolist(), tail, strict=True)).get, gone.tolist(), repeat(END))]
+            for a, b in pairwise(np.searchsorted(gone, heads).tolist()):
+                if a < b:
+                    n = Counter(tail[a:b])
+                    rest += n.keys()
+                    times += n.values()
+                ends.append(len(rest))
+            tail = pa.StructArray.from_arrays([pa.array(rest, pa.binary()), pa.array(times, pa.int32())], names=["word", "n"])
+            tails = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), tail)
+            cols = [part.column(0), pa.array(ids, pa.binary()), pa.array(sizes, pa.int64()), pa.array(known, pa.int64())]
+            cols += [pa.array(base, pa.float64()), pa.array(extra, pa.float64()), tails]
+            yield pa.RecordBatch.from_arrays(cols, names=["rid", "ids", "n_tokens", "known", "base", "extra", "tail"])
 
     return run
 
