@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import time
 from glob import glob
 
 import __spark_entry__ as E
@@ -70,3 +71,18 @@ def test_drop_stored_spares_what_is_read_on(spark):
     first, second = materialize(spark.range(5), "a"), materialize(spark.range(7), "b")
     drop_stored(first.union(second), keep=second)
     assert not glob(first.inputFiles()[0].removeprefix("file://")) and second.count() == 7
+
+
+def test_stored_tokens_leave_no_shuffle_files(spark):
+    dirs = [str(d) for d in spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+    before = {f for d in dirs for f in glob(f"{d}/*/shuffle_*")}
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    held = spark.conf.get(key)
+    tokens = materialized_tokens(corpus_from_documents(documents(spark)), E._spec(spark))
+    for _ in range(40):
+        left = {f for d in dirs for f in glob(f"{d}/*/shuffle_*")} - before
+        if not left:
+            break
+        time.sleep(0.25)
+    assert not left and spark.conf.get(key) == held
+    assert tokens.count() == 60
